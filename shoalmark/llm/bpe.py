@@ -229,7 +229,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             for part in slices(batch, most=2 << 20):
                 ids, offsets = coder.encode(part.column(1))
-                lists = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(ids)).cast(pa.list_(pa.int32()))
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 texts = [coder.decode(ids[a:b].tolist()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
@@ -237,6 +237,23 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
+def encode_rows(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The columns `keep` and ids array<int> for each row of docs; nulls and empty texts as in `encode`."""
+    kept = len(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(path)
+        for batch in batches:
+            for part in slices(batch, most=2 << 20):
+                ids, offsets = coder.encode(part.column(kept))
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*part.columns[:kept], lists], [*keep, "ids"])
+
+    rows = docs.select(*keep, F.col(text_col).alias("text"))
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids array<int>"]))
+
+
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_tokens, ids_sha256, decoded_sha256): what `encode` gives, digested before it leaves the worker."""
 

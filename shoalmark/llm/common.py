@@ -97,3 +97,17 @@ def numbered(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.
     array = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data[keep].tobytes())])
     coded = array.dictionary_encode()
     return np.asarray(coded.indices, dtype=np.int64), coded.dictionary
+
+
+def filtered(docs: DataFrame, text_col: str, mask) -> DataFrame:
+    """The rows of docs for whose text mask(texts) is true, all columns as they are; mask runs on the executors."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = pa.RecordBatch.from_arrays(batch.columns, [f"c{i}" for i in range(batch.num_columns)])
+            for part in slices(named, f"c{at}"):
+                kept = part.filter(pa.array(mask(part.column(at))))
+                yield pa.RecordBatch.from_arrays(kept.columns, batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)
