@@ -1,0 +1,184 @@
+"""Web pages: text with rows of tables flattened, tables, links with scores, site health."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+_BLOCK = frozenset("address article blockquote dd div dl dt fieldset footer form h1 h2 h3 h4 h5 h6 header li main nav ol p section table ul".split())
+_SKIP = frozenset("script style noscript template head".split())
+
+
+class _Lines(HTMLParser):
+    """Lines of a page: blocks end lines, cells of a table row stand on one, pictures with a text are noted."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.out: list[str] = []
+        self.skipped = 0
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag in _SKIP:
+            self.skipped += 1
+        elif tag in _BLOCK or tag in ("br", "hr", "tr"):
+            self.out.append("\n")
+        elif tag == "img" and not self.skipped and (alt := (dict(attrs).get("alt") or "").strip()):
+            self.out.append(f"[画像:{alt}]")
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in _SKIP:
+            self.skipped = max(0, self.skipped - 1)
+        elif tag in ("td", "th"):
+            self.out.append(" | ")
+        elif tag in _BLOCK or tag == "tr":
+            self.out.append("\n")
+
+    def handle_data(self, data: str) -> None:
+        if not self.skipped:
+            self.out.append(data.replace("\n", " "))
+
+
+def lines_of(html: str | None) -> list[str]:
+    """The lines with text of a page, none twice in a row."""
+    parser = _Lines()
+    parser.feed(html or "")
+    parser.close()
+    out: list[str] = []
+    for line in "".join(parser.out).split("\n"):
+        line = " ".join(line.split()).removesuffix("|").strip()
+        if line and (not out or out[-1] != line):
+            out.append(line)
+    return out
+
+
+@F.pandas_udf(StringType())
+def page_text(html: pd.Series) -> pd.Series:
+    return html.map(lambda x: "\n".join(lines_of(x)), na_action=None)
+
+
+class _Cells(HTMLParser):
+    """Rows of the tables of a page with spans filled down and to the right."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.tables: list[list[list[str]]] = []
+        self.open: list[dict] = []
+
+    def _end_cell(self, t: dict) -> None:
+        if t["cell"] is None:
+            return
+        text, down, right = " ".join("".join(t["cell"]).split()), *t["span"]
+        row, at = t["rows"][-1], 0
+        for _ in range(right):
+            while at in row:
+                at += 1
+            row[at] = text
+            if down > 1:
+                t["carry"][at] = (text, down - 1)
+        t["cell"] = None
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "table":
+            self.open.append({"rows": [], "carry": {}, "cell": None, "span": (1, 1)})
+        elif self.open and tag == "tr":
+            t = self.open[-1]
+            self._end_cell(t)
+            carried, t["carry"] = t["carry"], {}
+            t["rows"].append({k: v for k, (v, _) in carried.items()})
+            t["carry"] = {k: (v, n - 1) for k, (v, n) in carried.items() if n > 1}
+        elif self.open and tag in ("td", "th") and self.open[-1]["rows"]:
+            t, a = self.open[-1], dict(attrs)
+            self._end_cell(t)
+            number = lambda k: max(1, min(100, int(a[k]))) if (a.get(k) or "").isdigit() else 1
+            t["cell"], t["span"] = [], (number("rowspan"), number("colspan"))
+
+    def handle_endtag(self, tag: str) -> None:
+        if not self.open:
+            return
+        t = self.open[-1]
+        if tag in ("td", "th", "tr", "table"):
+            self._end_cell(t)
+        if tag == "table":
+            self.tables.append([[row[k] for k in sorted(row)] for row in t["rows"]])
+            self.open.pop()
+
+    def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1]["cell"] is not None:
+            self.open[-1]["cell"].append(data)
+
+
+def table_cells(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """(id, tbl, row, col, header, text) of all cells of all tables; the first row of a table is its header."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for i, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                parser = _Cells()
+                parser.feed(html or "")
+                parser.close()
+                for t, rows in enumerate(parser.tables):
+                    head = rows[0] if rows else []
+                    out += [(i, t, r, c, head[c] if c < len(head) else None, text) for r, row in enumerate(rows) for c, text in enumerate(row)]
+            columns = list(zip(*out)) if out else [()] * 6
+            kinds = [batch.schema.field(0).type, pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(columns, kinds)], ["id", "tbl", "row", "col", "header", "text"])
+
+    rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, tbl int, row int, col int, header string, text string")
+
+
+def links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """(id, n, href, text) of the links of each page, in page order."""
+    found = F.regexp_extract_all(html_col, F.lit(r"(?is)(<a\s[^>]*href=[\"'][^\"']*[\"'][^>]*>.*?</a>)"), F.lit(1))
+    out = pages.select(F.col(id_col).alias("id"), F.posexplode(found).alias("n", "a"))
+    href = F.regexp_extract("a", r"(?i)href=[\"']([^\"']*)[\"']", 1)
+    text = F.trim(F.regexp_replace(F.regexp_replace("a", "(?s)<[^>]*>", ""), r"\s+", " "))
+    return out.select("id", "n", href.alias("href"), text.alias("text"))
+
+
+def link_score(href: Column, text: Column) -> Column:
+    """How likely a link leads to a list of catches: words of its text and address, less for old and dated ones."""
+    hit = lambda c, p, n: F.when(c.rlike(p), n).otherwise(0)
+    return (
+        hit(text, "(?i)釣果|catch", 10)
+        + hit(text, "(?i)釣況|速報|report", 5)
+        + hit(href, "(?i)catch|choka|chouka", 6)
+        + hit(href, "(?i)blog|diary", 3)
+        + hit(href, r"/20\d\d/\d\d?/", -4)
+        + hit(text, "過去|(?i)archive", -3)
+    )
+
+
+def health(text: Column, chars: Column) -> Column:
+    """State of a site from its text: the first of the rules that holds."""
+    kana = F.regexp_count(text, F.lit("[ぁ-んァ-ヶ]"))
+    broken = F.regexp_count(text, F.lit("�"))
+    return (
+        F.when(text.rlike("(?i)casino|viagra|オンラインカジノ|アダルト"), "suspect")
+        .when(text.rlike("(?i)閉店|廃業|閉業|営業を終了|permanently closed"), "closed")
+        .when((chars < 1500) & text.rlike("(?i)domain (is )?for sale|このドメイン|parked"), "suspect")
+        .when(text.rlike("(?i)メンテナンス中|under maintenance") & (chars < 500), "unreachable")
+        .when(chars < 80, "thin")
+        .when(broken > 20, "unreachable")
+        .when((kana < 15) & (chars > 200), "suspect")
+        .otherwise("ok")
+    )
+
+
+def link_verdict(code: Column, exit_code: Column, final: Column) -> Column:
+    """'alive', 'dead' or 'unknown' of a checked link."""
+    return (
+        F.when(exit_code == 6, "dead")
+        .when(exit_code.isin(7, 28, 35, 52, 56), "unknown")
+        .when(code.isin(404, 410), "dead")
+        .when(code.between(200, 399) & ~F.coalesce(final, F.lit("")).rlike("(?i)/(404|notfound|suspended)"), "alive")
+        .when(code.between(200, 399), "dead")
+        .otherwise("unknown")
+    )
