@@ -28,6 +28,8 @@ class _Lines(HTMLParser):
             self.skipped += 1
         elif tag in _BLOCK or tag in ("br", "hr", "tr"):
             self.out.append("\n")
+        elif tag in ("td", "th") and self.out and self.out[-1] not in ("\n", " | "):
+            self.out.append(" | ")  # the cell before it was left open
         elif tag == "img" and not self.skipped and (alt := (dict(attrs).get("alt") or "").strip()):
             self.out.append(f"[画像:{alt}]")
 

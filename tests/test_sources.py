@@ -1,0 +1,81 @@
+import json
+import struct
+
+from pyspark.sql import functions as F
+
+from shoalmark.operators import pages
+from shoalmark.operators.search import QuerySpec
+from shoalmark.sources import geometry, json_listings, page_cache, publish
+from shoalmark.streaming import ingest
+
+
+def test_json_listings(spark, tmp_path):
+    (tmp_path / "one.json").write_text(json.dumps([{"src_id": "1", "name": "海丸", "plans": [{"name": "a", "price": 5000}]}, {"src_id": "2", "name": " "}], ensure_ascii=False))
+    (tmp_path / "two.json").write_text(json.dumps({"records": [{"src": "other", "src_id": "3", "name": "山丸"}]}, ensure_ascii=False))
+    (tmp_path / "_skip.json").write_text(json.dumps([{"name": "x"}]))
+    (tmp_path / "bad.json").write_text("{")
+    rows = json_listings.listings(spark, str(tmp_path / "*.json")).orderBy("src_id").collect()
+    assert [(r.src, r.src_id, r.name) for r in rows] == [("one", "1", "海丸"), ("other", "3", "山丸")]
+    assert rows[0].plans[0].price == 5000
+    assert json_listings.listings(spark, str(tmp_path / "none.json")).count() == 0
+
+
+def test_geometry(spark, tmp_path):
+    square = [[0, 0], [0, 1], [1, 1], [0, 0]]
+    shape = {"features": [{"properties": {"nam_ja": "A"}, "geometry": {"type": "Polygon", "coordinates": [square]}}, {"properties": {"nam_ja": "B"}, "geometry": {"type": "MultiPolygon", "coordinates": [[square], [square]]}}]}
+    (tmp_path / "g.json").write_text(json.dumps(shape))
+    rings = geometry.geojson_rings(spark, str(tmp_path / "g.json")).collect()
+    assert sorted((r.area, r.ring, len(r.points)) for r in rings) == [("A", 0, 4), ("B", 0, 4), ("B", 1, 4)]
+    folder = tmp_path / "shp"
+    folder.mkdir()
+    body = b"".join(struct.pack(">ii", i + 1, 10) + struct.pack("<idd", 1, 140.0 + i, 35.0) for i in range(2))
+    (folder / "p.shp").write_bytes(b"\0" * 100 + body)
+    head = b"\3\0\0\0" + struct.pack("<IHH", 2, 65, 6) + b"\0" * 20
+    (folder / "p.dbf").write_bytes(head + b"NAME".ljust(11, b"\0") + b"C\0\0\0\0\5" + b"\0" * 15 + b"\x0d" + b" port1 port2")
+    rows = geometry.shapefile_points(spark, str(folder)).orderBy("n").collect()
+    assert [(r.la, r.lo, r.attributes["NAME"]) for r in rows] == [(35.0, 140.0, "port1"), (35.0, 141.0, "port2")]
+
+
+def test_page_cache(spark, tmp_path):
+    for i, host in enumerate(["a.jp", "b.jp", "a.jp"]):
+        (tmp_path / f"{i}.json").write_text(json.dumps({"url": f"https://{host}/{i}", "final": "", "status": "200", "html": "<p>x"}))
+    page_cache.register(spark)
+    rows = spark.read.format("page_cache").option("path", str(tmp_path)).load()
+    assert rows.count() == 3 and rows.rdd.getNumPartitions() == 2
+
+
+def test_versioned_tables(spark, tmp_path):
+    root = str(tmp_path / "t")
+    publish.write_versioned(spark.range(3).withColumn("p", F.col("id") % 2), root, "p")
+    assert publish.read_current(spark, root).count() == 3
+    publish.write_versioned(spark.range(5).withColumn("p", F.col("id") % 2), root, "p")
+    assert publish.read_current(spark, root).count() == 5
+    assert publish.drop_old(spark, root) == 1
+
+
+def test_tables_with_spans(spark):
+    html = "<table><tr><th>a<th>b</tr><tr><td rowspan=2>x<td>1</tr><tr><td>2</tr></table>"
+    got = pages.table_cells(spark.createDataFrame([(1, html), (2, None)], "id bigint, html string"), "id", "html").orderBy("row", "col").collect()
+    assert [(r.row, r.header, r.text) for r in got] == [(0, "a", "a"), (0, "b", "b"), (1, "a", "x"), (1, "b", "1"), (2, "a", "x"), (2, "b", "2")]
+
+
+def test_lines():
+    assert pages.lines_of("<div>a<br>a<br>b</div><script>x</script><table><tr><td>1<td>2</td></tr></table><img alt=boat>") == ["a", "b", "1 | 2", "[画像:boat]"]
+
+
+def test_query_state_round_trip():
+    for text in ("q=a+b&f=x%2Cy&k=ns&p=7000&pf=12&pl=1&w=1&r=0&b=id1", "g=east", "p=5&pf=99&k=zz", ""):
+        spec = QuerySpec.parse(text)
+        assert QuerySpec.parse(spec.url()) == spec
+    assert QuerySpec.parse("p=5&pf=99&k=zz") == QuerySpec()
+
+
+def test_stream_upsert(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    put = lambda n, rows: (src / f"{n}.json").write_text("\n".join(json.dumps(r) for r in rows))
+    put(0, [{"src": "a", "src_id": "1", "name": "old", "fetched": "2026-01-01"}, {"src": "a", "src_id": "2", "name": "x", "fetched": "2026-01-01"}])
+    ingest.upsert(ingest.listing_stream(spark, str(src)), out, str(tmp_path / "c")).awaitTermination()
+    put(1, [{"src": "a", "src_id": "1", "name": "new", "fetched": "2026-02-01"}])
+    ingest.upsert(ingest.listing_stream(spark, str(src)), out, str(tmp_path / "c")).awaitTermination()
+    assert sorted((r.src_id, r.name) for r in ingest.latest(spark, out).collect()) == [("1", "new"), ("2", "x")]
