@@ -52,6 +52,20 @@ def crc_mod(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int, id_col: str = "doc_id") -> DataFrame:
+    """docs with the column label of about `rows` rows of each label of labels (id_col, label), by a hash of the id.
+
+    Only ids and labels are sampled, and the sample, whose size `rows` bounds, is broadcast: no text is shuffled.
+    """
+    known = labels.where(F.col("label").isNotNull() & F.col(id_col).isNotNull()).select(id_col, "label")
+    sizes = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    part = F.pmod(F.xxhash64(id_col, F.lit(3)), F.lit(1_000_000))
+    taken = F.lit(False)
+    for label, n in sizes.items():
+        taken = taken | ((F.col("label") == label) & (part < min(1_000_000, -(-1_000_000 * rows // n))))
+    return docs.join(F.broadcast(known.where(taken)), id_col)
+
+
 def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with about `most` bytes of text; a longer text is a part of its own, whole."""
     column = batch.column(batch.schema.get_field_index(text))

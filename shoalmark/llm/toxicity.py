@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, slices, table, written
+from .common import crc_mod, slices, table, training_rows, written
 
 # Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 LOOKALIKES = {
@@ -307,6 +307,6 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id"), F.col("toxic").alias("label"))
-    train = docs.select("doc_id", "text").where(crc_mod("doc_id", 4) != 2).join(labels.where(crc_mod("doc_id", 4) != 2), "doc_id")
+    train = training_rows(docs.select("doc_id", "text"), labels.where(crc_mod("doc_id", 4) != 2), Fit.rows)
     out = toxicity(docs, learn(train.select("text", "label")))
     return out.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "n_hits")
