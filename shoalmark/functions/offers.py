@@ -16,8 +16,9 @@ CHILD = r"(小学生|中学生|中高生|中校生|高校生|子供|子ども|
 SMALL_FEE = "変え|変更|替え|回目|の場合は|利用者は"
 FERRY = "渡船|渡し|筏|イカダ|いかだ|カセ|かせ|一文字|波止|堤防|沖堤|磯"
 BOAT_STYLE = "ジギング|ジグ|タイラバ|五目|乗合|乗り合い|仕立|貸切|チャーター|コマセ|泳がせ|テンヤ|エギング|ルアー|ティップラン|SLJ"
-PERSON = "1名|１名|一名|1人|１人|一人|お一人|名様|人あたり|大人"
-BOAT = "1隻|１隻|一隻|1艇|一艇|貸切|仕立|チャーター|船中"
+PERSON = "/人|1名|1人|一人|おひとり|人あたり"
+BOAT = "隻|貸切|貸し切り|仕立|チャーター|名様?まで|人まで|名迄|[0-9一二三四五六七八九十]台"
+GROUP = r"[0-9]\s*名様?\s*[~〜～-]\s*[0-9]+\s*名"
 
 
 def clock(c: Column) -> Column:
@@ -47,15 +48,7 @@ def amounts(c: Column) -> Column:
 
 def price_unit(kind: Column, text: Column) -> Column:
     """'person', 'boat' or '' : what an offer's price is for; the kind decides first."""
-    shared, charter = kind.isin("乗合", "渡船"), kind.isin("仕立", "レンタルボート")
-    return (
-        F.when(shared, "person")
-        .when(charter, "boat")
-        .when(text.rlike(r"\d+\s*[~〜～-]\s*\d+\s*[名人]"), "boat")
-        .when(text.rlike(PERSON), "person")
-        .when(text.rlike(BOAT), "boat")
-        .otherwise("")
-    )
+    return F.when(kind == "仕立", "boat").when(kind == "乗合", "person").when(text.rlike(GROUP), "boat").when(text.rlike(PERSON), "person").when(text.rlike(BOAT), "boat").otherwise("")
 
 
 def before_amount(text: Column, price: Column, size: int = 18) -> Column:

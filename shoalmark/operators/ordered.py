@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -56,7 +55,7 @@ def spiral(rows: DataFrame, id_col: str, lat: str, lon: str, places: int = 4) ->
     w = over(["_la", "_lo"], [id_col])
     i = F.row_number().over(w) - 1
     out = rows.withColumn("_la", F.round(lat, places)).withColumn("_lo", F.round(lon, places)).withColumn("_i", i.cast("double"))
-    radius, angle = F.sqrt("_i") * 0.00028, F.col("_i") * (math.pi * (3 - math.sqrt(5)))
+    radius, angle = F.sqrt("_i") * 0.00028, F.col("_i") * 2.39996
     out = out.withColumn(lat, F.when(F.col("_i") > 0, F.bround(F.col(lat) + radius * F.sin(angle), 6)).otherwise(F.col(lat)))
     moved = F.bround(F.col(lon) + radius * F.cos(angle) / F.cos(F.radians(lat)), 6)
     return out.withColumn(lon, F.when(F.col("_i") > 0, moved).otherwise(F.col(lon))).drop("_la", "_lo", "_i")

@@ -145,33 +145,64 @@ def links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     return out.select("id", "n", href.alias("href"), text.alias("text"))
 
 
-def link_score(href: Column, text: Column) -> Column:
-    """How likely a link leads to a list of catches: words of its text and address, less for old and dated ones."""
+# Words of links to catch reports and of texts that show what a site is.
+CATCH_TEXT = "釣果|釣り果|船釣り情報"
+CATCH_ENGLISH = r"\b(catch|fishing report|results?)\b"
+CATCH_HREF = "catch|choka|chouka|tyouka|report|result"
+BLOG_TEXT = "ブログ|blog|日誌|日記"
+SPAM = "(?i)カジノ|バカラ|スロット|出会い系|アダルト|betting|casino|viagra"
+CLOSED = "廃業(いた)?しました|閉業(いた)?しました|廃業のお知らせ|閉業のお知らせ"
+CLOSED_PART = "(釣り?堀|民宿|旅館|釣具|食堂|売店|店舗|支店|レストラン|カフェ|ショップ|キャンプ場?)[はをがも、・]?\\s*(廃業|閉業)"
+PARKED = "(?i)このドメインは|ドメインは売却|ドメインパーキング|domain (is )?for sale|buy this domain|parked|domain registration has expired"
+MAINTENANCE = "(?i)maintenance|メンテナンス中"
+RELEVANT = "釣|船|丸|乗合|仕立|出船|遊漁|フィッシング|漁|マリン|ボート|渡し|磯|沖"
+
+
+def link_score(href: Column, text: Column, own: Column | None = None) -> Column:
+    """How likely a link leads to reports of catches; 0 without any sign of them, less for dated, old and past ones.
+
+    own: whether the link leads to the page that it stands on.
+    """
     hit = lambda c, p, n: F.when(c.rlike(p), n).otherwise(0)
-    return (
-        hit(text, "(?i)釣果|catch", 10)
-        + hit(text, "(?i)釣況|速報|report", 5)
-        + hit(href, "(?i)catch|choka|chouka", 6)
-        + hit(href, "(?i)blog|diary", 3)
-        + hit(href, r"/20\d\d/\d\d?/", -4)
-        + hit(text, "過去|(?i)archive", -3)
-    )
-
-
-def health(text: Column, chars: Column) -> Column:
-    """State of a site from its text: the first of the rules that holds."""
-    kana = F.regexp_count(text, F.lit("[ぁ-んァ-ヶ]"))
-    broken = F.regexp_count(text, F.lit("�"))
-    return (
-        F.when(text.rlike("(?i)casino|viagra|オンラインカジノ|アダルト"), "suspect")
-        .when(text.rlike("(?i)閉店|廃業|閉業|営業を終了|permanently closed"), "closed")
-        .when((chars < 1500) & text.rlike("(?i)domain (is )?for sale|このドメイン|parked"), "suspect")
-        .when(text.rlike("(?i)メンテナンス中|under maintenance") & (chars < 500), "unreachable")
-        .when(chars < 80, "thin")
-        .when(broken > 20, "unreachable")
-        .when((kana < 15) & (chars > 200), "suspect")
-        .otherwise("ok")
-    )
+    signs = F.when(text.rlike(CATCH_TEXT), 10).when(text.rlike(f"(?i){CATCH_ENGLISH}"), 5).otherwise(0) + hit(href, f"(?i){CATCH_HREF}", 6) + hit(text, f"(?i){BLOG_TEXT}", 3)
+    less = hit(text, r"\d{1,2}月\d{1,2}日|\d{4}[/.]\d{1,2}[/.]\d{1,2}", -4) + hit(text, "過去", -3) + hit(F.concat_ws(" ", href, text), r"(?<!\d)20(0\d|1\d|2[0-3])(?!\d)", -4)
+    if own is not None:
+        less = less + F.when(own, -10).otherwise(0)
+    return F.when(signs == 0, 0).otherwise(signs + less).cast("int")
+
+
+def link_kind(href: Column, site: Column) -> Column:
+    """'sns', 'site' (the same host) or 'blog'."""
+    from ..dims import SNS_HOSTS
+    from ..functions.web import host_in, host_of
+
+    return F.when(host_in(host_of(href), SNS_HOSTS), "sns").when(host_of(href) == host_of(site), "site").otherwise("blog")
+
+
+def health(text: Column, title: Column | None = None) -> Column:
+    """(state, reason) of a site from its text and title: the first of the rules that holds."""
+    title = F.coalesce(title, F.lit("")) if title is not None else F.lit("")
+    text = F.coalesce(text, F.lit(""))
+    top, head = F.concat_ws(" ", text, title), F.concat_ws(" ", title, F.substring(text, 1, 400))
+    size = F.length(F.trim(top))
+    kana, broken = F.regexp_count(top, F.lit("[ぁ-んァ-ン]")), F.regexp_count(top, F.lit("�"))
+    rules = [
+        (size == 0, "unreachable", "no text"),
+        (top.rlike(SPAM), "suspect", "spam"),
+        (head.rlike(CLOSED) & ~head.rlike(CLOSED_PART), "closed", "closed for good"),
+        ((size < 1500) & top.rlike(PARKED), "suspect", "parked domain"),
+        (title.rlike(MAINTENANCE) | ((size < 400) & top.rlike(MAINTENANCE)), "thin", "under maintenance"),
+        (size < 80, "thin", "hardly any text"),
+        (broken > 20, "thin", "broken characters"),
+        ((kana < 15) & (size > 200) & title.rlike(RELEVANT), "thin", "text drawn by scripts"),
+        ((kana < 15) & (size > 200), "suspect", "another language"),
+        (~top.rlike(RELEVANT), "suspect", "another subject"),
+    ]
+    state = reason = None
+    for condition, s, r in rules:
+        state = F.when(condition, s) if state is None else state.when(condition, s)
+        reason = F.when(condition, r) if reason is None else reason.when(condition, r)
+    return F.struct(state.otherwise("ok").alias("state"), reason.otherwise("").alias("reason"))
 
 
 def link_verdict(code: Column, exit_code: Column, final: Column) -> Column:

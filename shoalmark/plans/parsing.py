@@ -35,7 +35,7 @@ def junk_offer_filter(spark, d):
     return o.select("ord", "line", "price", f.junk_offer(F.col("name"), F.col("text"), F.col("price"), F.col("kind"), F.lit(False)).alias("junk"))
 
 
-@query(f"WITH {_OFFERS} SELECT ord, line, CASE WHEN kind IN ('乗合', '渡船') THEN 'person' WHEN kind = '仕立' THEN 'boat' WHEN lead = '大人1名' THEN 'person' WHEN lead = '1隻' THEN 'boat' ELSE '' END AS unit, CAST(price AS BIGINT) AS amount FROM o")
+@query(f"WITH {_OFFERS} SELECT ord, line, CASE WHEN kind = '乗合' THEN 'person' WHEN kind = '仕立' THEN 'boat' WHEN lead = '大人1名' THEN 'person' WHEN lead = '1隻' THEN 'boat' ELSE '' END AS unit, CAST(price AS BIGINT) AS amount FROM o")
 def amount_and_unit(spark, d):
     """The amount that a text states, and what it is for."""
     o = _offer_rows(spark, d)
@@ -80,7 +80,7 @@ def html_to_text(spark, d):
 
 @query(
     r"""WITH a AS (SELECT page_id AS id, regexp_extract_all(html, '(?is)<a\s[^>]*href=["''][^"'']*["''][^>]*>.*?</a>') AS l FROM pages), b AS (SELECT id, CAST(unnest(generate_series(0, len(l) - 1)) AS INTEGER) AS n, unnest(l) AS x FROM a)
-SELECT id, n, regexp_extract(x, '(?i)href=["'']([^"'']*)["'']', 1) AS href, trim(regexp_replace(regexp_replace(x, '(?s)<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS text, CASE WHEN regexp_matches(regexp_extract(x, '(?i)href=["'']([^"'']*)["'']', 1), '(?i)blog|diary') THEN 3 ELSE 0 END AS score FROM b"""
+SELECT id, n, regexp_extract(x, '(?i)href=["'']([^"'']*)["'']', 1) AS href, trim(regexp_replace(regexp_replace(x, '(?s)<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS text, CAST(CASE WHEN regexp_matches(regexp_extract(x, '(?i)href=["'']([^"'']*)["'']', 1), '(?i)catch|choka|chouka|tyouka|report|result') THEN 6 ELSE 0 END AS INTEGER) AS score FROM b"""
 )
 def page_link_scores(spark, d):
     """Links of pages, scored."""
@@ -88,10 +88,10 @@ def page_link_scores(spark, d):
     return out.select("id", "n", "href", "text", pages.link_score(F.col("href"), F.col("text")).alias("score"))
 
 
-@query("SELECT doc_id, CASE WHEN n_chars < 80 THEN 'thin' WHEN n_chars > 200 THEN 'suspect' ELSE 'ok' END AS state FROM documents")
+@query("SELECT doc_id, CASE WHEN n_chars < 80 THEN 'thin' ELSE 'suspect' END AS state FROM documents")
 def site_health_classify(spark, d):
     """State of sites from their text."""
-    return read(spark, d, "documents").select("doc_id", pages.health(F.col("text"), F.col("n_chars")).alias("state"))
+    return read(spark, d, "documents").select("doc_id", pages.health(F.col("text"))["state"].alias("state"))
 
 
 @query("""SELECT c_custkey AS id, CASE WHEN e = 6 THEN 'dead' WHEN e IN (7, 28) THEN 'unknown' WHEN code IN (404, 410) THEN 'dead' WHEN code BETWEEN 200 AND 399 AND c_custkey % 10 <> 3 THEN 'alive' WHEN code BETWEEN 200 AND 399 THEN 'dead' ELSE 'unknown' END AS verdict
@@ -130,3 +130,79 @@ def facility_classify(spark, d):
     t = F.col("text")
     kind = F.when(t.contains("|"), "table").when(t.contains("!!"), "shouting").when(t.rlike("[#*$%&]{3}"), "symbols").when(F.length(t) < 200, "short").otherwise("prose")
     return read(spark, d, "documents").select("doc_id", kind.alias("kind"))
+
+
+@query("SELECT c_custkey AS id, round(24 + (c_custkey * 37 % 2150) / 100.0::DOUBLE, 2) AS la, round(123 + (c_custkey * 91 % 2250) / 100.0::DOUBLE, 2) AS lo FROM customer")
+def map_positions(spark, d):
+    """Positions stated in map links of several forms."""
+    from ..functions.embedded import map_position
+
+    k = F.col("c_custkey")
+    la, lo = F.format_number(F.lit(24) + (k * 37 % 2150) / 100.0, 2), F.format_number(F.lit(123) + (k * 91 % 2250) / 100.0, 2)
+    link = F.when(k % 3 == 0, F.format_string('<a href="https://maps.example/?q=%s,%s">', la, lo)).when(k % 3 == 1, F.format_string("!3d%s!4d%s", la, lo)).otherwise(F.format_string("new LatLng(%s, %s)", la, lo))
+    return read(spark, d, "customer").select(k.alias("id"), map_position(link).alias("p")).select("id", "p.la", "p.lo")
+
+
+@query(
+    """WITH q AS (SELECT n_nationkey, n_name AS q FROM nation), a AS (SELECT q, p_partkey AS n, left(q, CAST(p_partkey % 6 AS INTEGER)) || 'xy' AS title FROM q, part WHERE p_partkey % 25 = n_nationkey AND p_partkey <= 200),
+s AS (SELECT *, (SELECT coalesce(max(i), 0) FROM generate_series(1, 30) g(i) WHERE i <= least(length(q), length(title)) AND left(q, CAST(i AS INTEGER)) = left(title, CAST(i AS INTEGER))) AS lk FROM a) SELECT q, arg_min(title, (-lk, n)) AS title FROM s GROUP BY q"""
+)
+def geocode_pick(spark, d):
+    """Of the geocoder's answers the one that begins most like the query."""
+    from ..operators.gazetteer import best_answers
+
+    n, p = read(spark, d, "nation"), read(spark, d, "part").where("p_partkey <= 200")
+    a = p.join(n, (F.col("p_partkey") % 25) == F.col("n_nationkey")).select(F.col("n_name").alias("q"), F.col("p_partkey").alias("n"), F.concat(F.left("n_name", (F.col("p_partkey") % 6).cast("int")), F.lit("xy")).alias("title"), F.lit(35.0).alias("la"), F.lit(139.0).alias("lo"))
+    return best_answers(a, F.lit(None).cast("string")).select("q", "title")
+
+
+@query(
+    """WITH p AS (SELECT p_partkey AS id, p_size AS s, CASE p_partkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 3 END AS tier, p_partkey % 11 <> 0 AS in_pref, CAST(p_partkey % 30 AS DOUBLE) AS coast, CAST(p_partkey % 60 AS DOUBLE) AS users, p_partkey % 4 = 0 AS watery FROM part)
+SELECT id, CASE WHEN NOT in_pref THEN 'outside its prefecture' WHEN tier = 3 AND s <= 2 THEN 'short name of a building or road' WHEN tier = 3 AND ((coast > 5 AND NOT watery) OR users > 20) THEN 'building or road too far away'
+WHEN tier = 2 AND ((coast > 10 AND NOT watery) OR users > 50) THEN 'place name too far away' WHEN coast > 20 AND NOT watery THEN 'too far inland' END AS rejected FROM p"""
+)
+def gazetteer_verify(spark, d):
+    """Looked-up ports that are kept, and why others aren't."""
+    from ..operators.gazetteer import rejections
+
+    k = F.col("p_partkey")
+    p = read(spark, d, "part").select(k.alias("id"), F.repeat(F.lit("x"), F.col("p_size")).alias("name"), F.when(k % 3 == 0, 1).when(k % 3 == 1, 2).otherwise(3).alias("tier"), (k % 11 != 0).alias("in_pref"), (k % 30).cast("double").alias("coast_km"), (k % 60).cast("double").alias("users_km"), (k % 4 == 0).alias("watery"))
+    return rejections(p).select("id", "rejected")
+
+
+@query(
+    """WITH m AS (SELECT o_custkey AS id, list_distinct(list(month(o_orderdate))) AS ms FROM orders GROUP BY 1), s AS (SELECT id, ms, unnest(list_filter(ms, lambda x: NOT list_contains(ms, CASE WHEN x = 1 THEN 12 ELSE x - 1 END))) AS a FROM m WHERE len(ms) < 12),
+e AS (SELECT id, a, (SELECT min(i) FROM generate_series(1, 12) g(i) WHERE NOT list_contains(ms, (a + i - 1) % 12 + 1)) - 1 AS n FROM s), t AS (SELECT id, string_agg(a || '月' || CASE WHEN n > 0 THEN '~' || ((a + n - 1) % 12 + 1) || '月' ELSE '' END, '、' ORDER BY a) AS season FROM e GROUP BY id)
+SELECT m.id, CASE WHEN len(ms) = 12 THEN '通年' ELSE season END AS season FROM m LEFT JOIN t ON m.id = t.id"""
+)
+def season_ranges(spark, d):
+    """The months of each customer's orders as ranges round the year."""
+    from ..functions.embedded import season
+
+    m = read(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.sort_array(F.collect_set(F.month("o_orderdate"))).alias("ms"))
+    return m.select("id", season(F.col("ms")).alias("season"))
+
+
+@query("SELECT p_partkey AS id, array_to_string(list_distinct_order, ',') AS words FROM (SELECT p_partkey, list_filter(string_split(p_type, ' '), lambda x: x IN ('STEEL', 'BRASS', 'TIN', 'COPPER', 'NICKEL')) AS list_distinct_order FROM part)")
+def vocabulary_hits(spark, d):
+    """Words of a vocabulary in each text."""
+    from ..functions.embedded import vocabulary
+
+    return read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.array_join(vocabulary(F.col("p_type"), ["STEEL", "BRASS", "TIN", "COPPER", "NICKEL"]), ",").alias("words"))
+
+
+@query()
+def prepare_listings(spark, d):
+    """Listings with clean fields and keys, from raw ones made of customers."""
+    from ..operators.prepare import listings
+    from ..schema import LISTING
+    from pyspark.sql.types import StructType
+
+    k = F.col("c_custkey")
+    made = {
+        "src": F.when(k % 2 == 0, "alpha").otherwise("beta"), "src_id": k.cast("string"), "name": F.concat(F.lit("釣船　第"), (k % 90).cast("string"), F.lit("丸（大原港）")), "pref": F.lit("千葉"), "address": F.lit("〒298-0004 いすみ市大原1-2"), "port": F.lit("大原漁港"),
+        "tel": F.format_string("0470(%02d)%04d", k % 100, k % 10000), "website": F.concat(F.lit("https://www.example"), (k % 9).cast("string"), F.lit(".jp/index.html")), "lat": F.lit(24) + (k * 37 % 2150) / 100.0, "lon": F.lit(123) + (k * 91 % 2250) / 100.0,
+    }
+    fields = StructType.fromDDL(LISTING)
+    raw = read(spark, d, "customer").select(*[(made[x.name].cast(x.dataType) if x.name in made else F.lit(None).cast(x.dataType)).alias(x.name) for x in fields])
+    return listings(raw, "2026-01-01").select("src", "src_id", "name", "nkey", "pref", "address", "pkey", "tel", "ukey", "lat", "lon")

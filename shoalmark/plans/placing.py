@@ -146,14 +146,14 @@ def coordinate_repair(spark, d):
 
 @query(
     f"""WITH p AS (SELECT c_custkey AS id, round({SQL_LAT.format('c_custkey % 300')}, 1) AS la, round({SQL_LON.format('c_custkey % 300')}, 1) AS lo FROM customer), n AS (SELECT *, CAST(row_number() OVER (PARTITION BY la, lo ORDER BY id) - 1 AS DOUBLE) AS i FROM p),
-a AS (SELECT id, i, lo, CASE WHEN i > 0 THEN round_even(la + sqrt(i) * 0.00028 * sin(i * pi() * (3 - sqrt(5))), 6) ELSE la END AS la FROM n)
-SELECT id, round(la, 4) AS la, round(CASE WHEN i > 0 THEN lo + sqrt(i) * 0.00028 * cos(i * pi() * (3 - sqrt(5))) / cos(radians(la)) ELSE lo END, 4) AS lo FROM a"""
+a AS (SELECT id, i, lo, CASE WHEN i > 0 THEN round_even(la + sqrt(i) * 0.00028 * sin(i * 2.39996), 6) ELSE la END AS la FROM n)
+SELECT id, la, CASE WHEN i > 0 THEN round_even(lo + sqrt(i) * 0.00028 * cos(i * 2.39996) / cos(radians(la)), 6) ELSE lo END AS lo FROM a"""
 )
 def jitter_spiral(spark, d):
     """Places that share a position, moved apart on a spiral."""
     k = F.col("c_custkey")
     p = read(spark, d, "customer").select(k.alias("id"), F.round(lat_of(k % 300), 1).alias("la"), F.round(lon_of(k % 300), 1).alias("lo"))
-    return ordered.spiral(p, "id", "la", "lo").select("id", F.round("la", 4).alias("la"), F.round("lo", 4).alias("lo"))
+    return ordered.spiral(p, "id", "la", "lo").select("id", "la", "lo")
 
 
 @query(
