@@ -75,3 +75,16 @@ def cell(x: Column, size: float = 0.5) -> Column:
 def cells_for(km: float, size: float, latitude: float) -> tuple[int, int]:
     """How many cells around its own a point within so many km can lie in, north and east, up to that latitude."""
     return math.ceil(km / (KM_PER_LAT * size)), math.ceil(km / (KM_PER_LON * math.cos(math.radians(latitude)) * size))
+
+
+def area_of_signals(*signals: Column) -> Column:
+    """struct<area, conflict>: the first known of several signals by trust, and whether two of them differ."""
+    known = F.array_distinct(F.array_compact(F.array(*signals)))
+    return F.struct(F.coalesce(*signals).alias("area"), (F.size(known) > 1).alias("conflict"))
+
+
+def city_of(address: Column) -> Column:
+    """The city, ward or county town that an address names after its prefecture; null without one."""
+    rest = F.regexp_replace(clean_address(address), f"^({'|'.join(PREFS)})", "")
+    forms = (r"^([^市区町村]{1,6}市[^市区町村]{1,4}区)", r"^([^市]{1,6}市)", r"^([^区]{1,6}区)", r"^([^郡]{1,5}郡[^町村]{1,6}[町村])", r"^([^町村]{1,6}[町村])")
+    return F.coalesce(*[F.nullif(F.regexp_extract(rest, p, 1), F.lit("")) for p in forms])

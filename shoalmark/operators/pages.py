@@ -7,7 +7,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -215,3 +215,33 @@ def link_verdict(code: Column, exit_code: Column, final: Column) -> Column:
         .when(code.between(200, 399), "dead")
         .otherwise("unknown")
     )
+
+
+def accepted(text: Column, title: Column, href: Column, kind: Column, body: Column, evidence: Column, blog_host: Column, dead: Column) -> Column:
+    """(ok, why) whether an opened page shows the catches of the site that links to it: the first of the rules that holds."""
+    named = lambda c: c.rlike(CATCH_TEXT)
+    other = text.rlike("民宿|旅館|食堂|釣具|求人")
+    bare = F.regexp_replace(href, "(?i)^https?://[^/]+", "").rlike("^/?$")
+    rules = [
+        (body.isNull() | (body == ""), False, "open_failed"), (dead, False, "dead"), ((F.length(body) < 1500) & body.rlike(PARKED), False, "parked"), ((kind == "blog") & blog_host & (bare | href.contains("ref=")), False, "platform"),
+        ((kind == "blog") & ~blog_host & bare & ~named(text), False, "portal_top"), ((kind == "blog") & other & ~named(text), False, "other_business"), (named(text), True, "text"), (named(title), True, "title"),
+        (href.rlike(f"(?i){CATCH_HREF}"), True, "url"), ((kind == "blog") & blog_host & text.rlike(f"(?i){BLOG_TEXT}") & ~other, True, "blog_link"), ((evidence >= 3) & ((kind != "blog") | blog_host), True, "evidence"),
+    ]
+    out = None
+    for condition, ok, why in rules:
+        value = F.struct(F.lit(ok).alias("ok"), F.lit(why).alias("why"))
+        out = F.when(condition, value) if out is None else out.when(condition, value)
+    return out.otherwise(F.struct(F.lit(False).alias("ok"), F.lit("weak_evidence").alias("why")))
+
+
+def ranked_pages(pages: DataFrame, site: str, page: str, text: str, most_chars: int = 14000, budget: int = 32000, least: int = 500) -> DataFrame:
+    """Pages of each site by how many amounts they state, the first page of a site pinned first, within its budget of
+    characters; a rest of under `least` ends it."""
+    from .ordered import over
+
+    yen = F.regexp_count(text, F.lit(r"[0-9０-９,]+\s*円|[¥￥]\s*[0-9]"))
+    rows = pages.withColumn("_first", F.row_number().over(over([site], [page])) == 1).withColumn("_yen", yen).withColumn("_size", F.least(F.length(text), F.lit(most_chars)))
+    w = over([site], [F.desc("_first"), F.desc("_yen"), page])
+    before = F.coalesce(F.sum("_size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumn("_room", F.lit(budget) - before).where(F.col("_room") >= least)
+    return rows.withColumn(text, F.substring(text, F.lit(1), F.least("_size", "_room").cast("int"))).drop("_first", "_yen", "_size", "_room")

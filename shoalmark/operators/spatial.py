@@ -77,3 +77,22 @@ def nearest_segment(points: DataFrame, segments: DataFrame, most_km: float, size
     at = points.withColumn("_o", around).withColumn("cy", cell(F.col("la"), size) + F.col("_o.y")).withColumn("cx", cell(F.col("lo"), size) + F.col("_o.x"))
     km = segment_km(F.col("la"), F.col("lo"), F.col("la1"), F.col("lo1"), F.col("la2"), F.col("lo2"))
     return at.join(dealt, ["cy", "cx"]).groupBy("pid").agg(F.min(km).alias("km")).where(F.col("km") <= most_km)
+
+
+def boxes(edges: DataFrame) -> DataFrame:
+    """(area, south, west, north, east) around the edges of each area."""
+    return edges.groupBy("area").agg(F.min(F.least("la1", "la2")).alias("south"), F.min(F.least("lo1", "lo2")).alias("west"), F.max(F.greatest("la1", "la2")).alias("north"), F.max(F.greatest("lo1", "lo2")).alias("east"))
+
+
+def areas_or_nearest(points: DataFrame, edges: DataFrame, margin_km: float = 5.0) -> DataFrame:
+    """(pid, area): the area that a point lies in, else the nearest one within the margin."""
+    inside = in_areas(points, edges).groupBy("pid").agg(F.min("area").alias("area"))
+    outside = points.join(inside.select("pid"), "pid", "left_anti")
+    north, east = cells_for(margin_km, 0.5, 60.0)
+    ys, xs = F.sequence(cell(F.least("la1", "la2")), cell(F.greatest("la1", "la2"))), F.sequence(cell(F.least("lo1", "lo2")), cell(F.greatest("lo1", "lo2")))
+    dealt = edges.withColumn("cy", F.explode(ys)).withColumn("cx", F.explode(xs))
+    around = F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in range(-north, north + 1) for x in range(-east, east + 1)]))
+    at = outside.withColumn("_o", around).withColumn("cy", cell(F.col("la")) + F.col("_o.y")).withColumn("cx", cell(F.col("lo")) + F.col("_o.x"))
+    km = segment_km(F.col("la"), F.col("lo"), F.col("la1"), F.col("lo1"), F.col("la2"), F.col("lo2"))
+    near = at.join(dealt, ["cy", "cx"]).withColumn("km", km).where(F.col("km") <= margin_km).groupBy("pid").agg(F.min_by("area", F.struct("km", "area")).alias("area"))
+    return inside.unionByName(near)

@@ -83,3 +83,21 @@ def dictionary(rows: DataFrame, item: str, order: str, least: int = 3) -> DataFr
     counts = rows.where(F.col(item).isNotNull()).groupBy(item).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("_first")).where(F.col("n") >= least)
     # One row for each distinct item: a dictionary is small by its use, and its codes need one order.
     return counts.withColumn("code", (F.row_number().over(Window.orderBy(F.desc("n"), "_first", item)) - 1).cast("int")).drop("_first")
+
+
+def owned(rows: DataFrame, value: str, owner: str) -> DataFrame:
+    """(value, owner) of the owners that use a value more often than, or as often as, any other."""
+    uses = rows.where(F.col(value).isNotNull()).groupBy(value, owner).agg(F.count(F.lit(1)).alias("_n"))
+    most = uses.groupBy(value).agg(F.max("_n").alias("_top"))
+    return uses.join(most, value).where("_n = _top").select(value, owner)
+
+
+def used_in_one(rows: DataFrame, value: str, group: str, order: str) -> DataFrame:
+    """rows with the value null where it first belongs to another group."""
+    first = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.min_by(group, order).alias("_group"))
+    return rows.join(first, value, "left").withColumn(value, F.when(F.col("_group") == F.col(group), F.col(value))).drop("_group")
+
+
+def first_by(value: Column, rank: Column) -> Column:
+    """Aggregate: the value of the smallest rank; nulls don't count."""
+    return F.min_by(F.when(value.isNotNull(), value), F.when(value.isNotNull(), rank))

@@ -83,3 +83,13 @@ def decoded(files: DataFrame, content: str = "content") -> DataFrame:
         return data.map(one, na_action=None)
 
     return files.withColumn("text", best(content))
+
+
+def osm_places(spark: SparkSession, path: str) -> DataFrame:
+    """(name, kind, la, lo) of the named elements of a map extract; ways and relations by their centre."""
+    elements = "elements array<struct<lat: double, lon: double, center: struct<lat: double, lon: double>, tags: map<string, string>>>"
+    e = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", elements)["elements"]).alias("e"))
+    tag = lambda k: F.element_at("e.tags", F.lit(k))
+    kind = F.coalesce(*[F.when(tag(k).isNotNull(), F.concat_ws("=", F.lit(k), tag(k))) for k in ("harbour", "landuse", "leisure", "man_made", "amenity", "place")])
+    out = e.select(tag("name").alias("name"), kind.alias("kind"), F.coalesce("e.lat", "e.center.lat").alias("la"), F.coalesce("e.lon", "e.center.lon").alias("lo"))
+    return out.where("name IS NOT NULL AND la IS NOT NULL AND lo IS NOT NULL")

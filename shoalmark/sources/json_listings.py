@@ -57,3 +57,19 @@ def counts(rows: DataFrame) -> DataFrame:
 def todo(rows: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     """Keys that a cache of hits and known misses hasn't seen."""
     return rows.select(key).where(F.col(key).isNotNull()).distinct().join(cache.select(key), key, "left_anti")
+
+
+def preferred(paths: Sequence[str], mark: str = ".sample") -> list[str]:
+    """The paths without those of samples whose full file is there too."""
+    full = {p.rsplit("/", 1)[-1].split(".")[0] for p in paths if mark not in p}
+    return [p for p in paths if mark not in p or p.rsplit("/", 1)[-1].split(mark)[0] not in full]
+
+
+def with_labels(rows: DataFrame, sources: DataFrame, kind: str = "directory", prio: int = 40) -> DataFrame:
+    """rows with label, kind and priority of their source from sources (src, label, kind, prio); unknown ones get defaults.
+
+    sources is a dimension of a few rows; it is broadcast only if it has at most 10,000.
+    """
+    few = sources.limit(10_001).count() <= 10_000
+    out = rows.join(F.broadcast(sources) if few else sources, "src", "left")
+    return out.withColumns({"label": F.coalesce("label", "src"), "kind": F.coalesce("kind", F.lit(kind)), "prio": F.coalesce("prio", F.lit(prio))})

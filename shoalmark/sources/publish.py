@@ -66,3 +66,24 @@ def sparse_json(rows: DataFrame, id_col: str) -> DataFrame:
     """(id, js): rows as JSON without nulls, empty texts and empty lists."""
     kept = [F.nullif(F.col(c), F.lit("")).alias(c) if t == "string" else F.when(F.size(c) > 0, F.col(c)).alias(c) if t.startswith("array") else F.col(c) for c, t in rows.dtypes]
     return rows.select(F.col(id_col), F.to_json(F.struct(*kept)).alias("js"))
+
+
+def public(rows: DataFrame) -> DataFrame:
+    """rows without internal columns (those that begin with _); stale is null unless true."""
+    kept = [c for c in rows.columns if not c.startswith("_")]
+    return rows.select(*[F.when(F.col(c), F.lit(True)).alias(c) if c == "stale" else F.col(c) for c in kept])
+
+
+def blanked(rows: DataFrame, flagged: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
+    """rows whose columns are null where flagged (on, <column>_unstated) says so; for rewriting a partition."""
+    marks = flagged.select(*on, *[F.col(f"{c}_unstated").alias(f"_x_{c}") for c in columns])
+    out = rows.join(marks, on, "left")
+    return out.withColumns({c: F.when(~F.coalesce(f"_x_{c}", F.lit(False)), F.col(c)) for c in columns}).drop(*[f"_x_{c}" for c in columns])
+
+
+def used_sources(*tables: DataFrame) -> DataFrame:
+    """The sources that any of the tables names."""
+    out = tables[0].select("src")
+    for t in tables[1:]:
+        out = out.unionByName(t.select("src"))
+    return out.where("src IS NOT NULL").distinct()
