@@ -26,10 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, raw, slices, table
+from .common import numbered, raw, slices, table, trimmed
 
 #: Words whose encoding a worker remembers.
-MOST_WORDS = 400_000
+MOST_WORDS = 200_000
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 # Endings that an apostrophe takes along, in the order in which they are tried.
 ENDINGS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
@@ -227,14 +227,14 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         for batch in batches:
-            for part in slices(batch, most=2 << 20):
+            for part in slices(batch, most=1 << 20):
                 ids, offsets = coder.encode(part.column(1))
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 texts = [coder.decode(ids[a:b].tolist()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
 def encode_rows(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -244,14 +244,14 @@ def encode_rows(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",),
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         for batch in batches:
-            for part in slices(batch, most=2 << 20):
+            for part in slices(batch, most=1 << 20):
                 ids, offsets = coder.encode(part.column(kept))
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns[:kept], lists], [*keep, "ids"])
 
     rows = docs.select(*keep, F.col(text_col).alias("text"))
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids array<int>"]))
+    return rows.mapInArrow(trimmed(run), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids array<int>"]))
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,7 +261,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         coder = codec(path)
         decimal = [str(i) for i in range(len(coder.tokens))]
         for batch in batches:
-            for part in slices(batch, most=2 << 20):
+            for part in slices(batch, most=1 << 20):
                 ids, offsets = coder.encode(part.column(1))
                 of_ids, of_text = [], []
                 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
@@ -271,7 +271,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(offsets)), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
 def op10_bpe(spark, sf_dir: str) -> DataFrame:

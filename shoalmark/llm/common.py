@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,7 +20,7 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[list(SPACES)] = True
 
 #: Bytes of text that a Python worker holds as arrays at once.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -113,6 +115,21 @@ def numbered(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.
     return np.asarray(coded.indices, dtype=np.int64), coded.dictionary
 
 
+def trimmed(run):
+    """run, after which the Python worker gives memory that it doesn't need back: idle workers stay beside the executor."""
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return inner
+
+
 def filtered(docs: DataFrame, text_col: str, mask) -> DataFrame:
     """The rows of docs for whose text mask(texts) is true, all columns as they are; mask runs on the executors."""
     at = docs.columns.index(text_col)
@@ -124,4 +141,4 @@ def filtered(docs: DataFrame, text_col: str, mask) -> DataFrame:
                 kept = part.filter(pa.array(mask(part.column(at))))
                 yield pa.RecordBatch.from_arrays(kept.columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

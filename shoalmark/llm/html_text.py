@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import slices, table, trimmed
 
 # Elements by their kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -220,7 +220,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     kinds = dict(rows.dtypes)
-    out = rows.mapInArrow(run, f"id {kinds['id']}, url {kinds['url']}, text string, n_chars bigint")
+    out = rows.mapInArrow(trimmed(run), f"id {kinds['id']}, url {kinds['url']}, text string, n_chars bigint")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")
 
 

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, numbered, raw, slices, spans, table
+from .common import crc_mod, numbered, raw, slices, spans, table, trimmed
 
 # First and last code point of the ranges of letters, by script.
 SCRIPTS = (
@@ -218,7 +218,7 @@ def learn(rows: DataFrame, fit: Fit = Fit(), **model) -> Model:
         k, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[k, bucket])], ["k", "bucket", "n"])
 
-    counts = sample.mapInArrow(count, "k int, bucket int, n bigint").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = sample.mapInArrow(trimmed(count), "k int, bucket int, n bigint").groupBy("k", "bucket").agg(F.sum("n").alias("n")).toPandas()
     total = np.zeros((BUCKETS + len(SCRIPT_NAMES), len(languages)))
     total[counts["bucket"], counts["k"]] = counts["n"]
     grams, scripts = total[:BUCKETS], total[BUCKETS:]
@@ -263,7 +263,7 @@ def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score)], ["id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:

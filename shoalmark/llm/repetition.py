@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, numbered, raw, slices, spans, table
+from .common import IS_SPACE, numbered, raw, slices, spans, table, trimmed
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -191,7 +191,7 @@ def repetition(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_chars", "longest_repeat"]
     schema = f"id {dict(rows.dtypes)['id']}, {', '.join(f'{c} bigint' for c in counts)}, base_failed boolean, kept boolean"
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(trimmed(run), schema).withColumnRenamed("id", id_col)
 
 
 def op1_repetition(spark, sf_dir: str) -> DataFrame:

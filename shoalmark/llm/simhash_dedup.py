@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, shared_dir, slices, spans, table, written
+from .common import raw, shared_dir, slices, spans, table, trimmed, written
 
 #: Each byte value with its eight bits spread over the bytes of a 64-bit number.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
@@ -76,7 +76,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], ["id", "fp"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, fp bigint")
+    return rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, fp bigint")
 
 
 @cache

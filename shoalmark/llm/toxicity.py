@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, slices, table, training_rows, written
+from .common import crc_mod, slices, table, training_rows, trimmed, written
 
 # Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 LOOKALIKES = {
@@ -193,7 +193,7 @@ def learn(labelled: DataFrame, fit: Fit = Fit(), exceptions: Iterable[str] = EXC
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["term", "n"])
 
     toxic, clean = sample.where("label = 1").select("text", "key"), sample.where("label = 0").select("text")
-    counts = toxic.select("text").mapInArrow(terms, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = toxic.select("text").mapInArrow(trimmed(terms), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
     often = {r.term: r.n for r in counts.where(F.col("n") >= fit.least_docs).orderBy(F.desc("n"), "term").limit(20 * fit.most_terms).toLocalIterator()}
     names = spark.sparkContext.broadcast(frozenset(often))
 
@@ -204,7 +204,7 @@ def learn(labelled: DataFrame, fit: Fit = Fit(), exceptions: Iterable[str] = EXC
                 total.update(_terms(text, stems) & keep)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["term", "n"])
 
-    in_clean = Counter({r.term: r.n for r in clean.mapInArrow(clean_terms, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()})
+    in_clean = Counter({r.term: r.n for r in clean.mapInArrow(trimmed(clean_terms), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()})
     n_toxic, n_clean = toxic.count(), clean.count()
     weight = lambda t: math.log((often[t] + 0.5) / (n_toxic + 1)) - math.log((in_clean[t] + 0.5) / (n_clean + 1))
     pure = sorted((t for t in often if weight(t) >= fit.least_weight), key=lambda t: (-often[t], t))[: fit.most_terms]
@@ -217,7 +217,7 @@ def learn(labelled: DataFrame, fit: Fit = Fit(), exceptions: Iterable[str] = EXC
             terms = pa.array([[t for t, _ in x] for x in found], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([terms, pa.array([[c for _, c in x] for x in found], pa.list_(pa.int64()))], ["terms", "contexts"])
 
-    found = [dict(zip(r.terms, r.contexts)) for r in toxic.select("text").mapInArrow(sets, "terms array<string>, contexts array<bigint>").toLocalIterator()]
+    found = [dict(zip(r.terms, r.contexts)) for r in toxic.select("text").mapInArrow(trimmed(sets), "terms array<string>, contexts array<bigint>").toLocalIterator()]
     lexicon = Lexicon(_chosen(found, in_clean, n_clean, fit), tuple(exceptions)).built()
     lexicon = _with_exceptions(sample, lexicon)
     lexicon.curve = _curve(sample, lexicon, sizes)
@@ -233,7 +233,7 @@ def _scores(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([built.density(t) for t in batch.column(1).to_pylist()], pa.float64())], ["label", "density"])
 
-    return rows.select("label", "text").mapInArrow(run, "label int, density double")
+    return rows.select("label", "text").mapInArrow(trimmed(run), "label int, density double")
 
 
 def _with_exceptions(sample: DataFrame, lexicon: Lexicon, least: int = 3) -> Lexicon:
@@ -251,7 +251,7 @@ def _with_exceptions(sample: DataFrame, lexicon: Lexicon, least: int = 3) -> Lex
                 phrases += near
             yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(phrases, pa.string())], ["label", "phrase"])
 
-    found = sample.select("label", "text").mapInArrow(run, "label int, phrase string").groupBy("phrase").agg(F.sum(1 - F.col("label")).alias("clean"), F.sum("label").alias("toxic"))
+    found = sample.select("label", "text").mapInArrow(trimmed(run), "label int, phrase string").groupBy("phrase").agg(F.sum(1 - F.col("label")).alias("clean"), F.sum("label").alias("toxic"))
     more = [r.phrase for r in found.where(f"toxic = 0 AND clean >= {least}").orderBy(F.desc("clean"), "phrase").limit(1000).collect()]
     return Lexicon(lexicon.weights, (*lexicon.exceptions, *more)).built()
 
@@ -301,7 +301,7 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(hits)], ["id", "score", "predicted", "n_hits"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, score double, predicted int, n_hits bigint").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, score double, predicted int, n_hits bigint").withColumnRenamed("id", id_col)
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
