@@ -19,7 +19,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for each node of the edges (a, b); root is the smallest node that it reaches.
 
     Each round links every node to the smallest of its neighbourhood, alternately over larger and smaller neighbours.  The
-    minima are combined before each shuffle and joined back, so no neighbourhood is gathered; edges are checkpointed.
+    minima are combined before each shuffle and joined back, so no neighbourhood is gathered; edges and minima are
+    checkpointed, and as tables of their own they meet in plain joins that Spark splits where a node is crowded.
     """
     checkpoint_dir(edges.sparkSession)
 
@@ -32,9 +33,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if not was[0]:
             break
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")).checkpoint()
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct().checkpoint()
+        least = large.groupBy("a").agg(F.min("b").alias("m")).checkpoint()
         moved = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct().checkpoint()
         found = state(now)
