@@ -11,11 +11,12 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import slices, table, trimmed, written
 
 BUCKETS = 1024
 #: Rows and bytes of text whose digests are computed together.
@@ -84,10 +85,11 @@ def _rows(texts: list[str]) -> list[pa.Array]:
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
     """Ids and texts of consecutive rows, few enough to compute together."""
     ids, texts, size = [], [], 0
+    coder = zstandard.ZstdDecompressor()
     for batch in batches:
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for i, packed_text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             ids.append(i)
-            texts.append(text or "")
+            texts.append(coder.decompress(packed_text).decode())
             size += len(texts[-1])
             if len(ids) >= MOST_ROWS or size >= MOST_BYTES:
                 yield ids, texts
@@ -109,7 +111,17 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["id"]
     order = [F.col("id").desc_nulls_last(), F.col("tie")]
-    placed = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = zstandard.ZstdCompressor(level=3, write_content_size=True)
+        for batch in batches:
+            for part in slices(batch):
+                texts = [coder.compress((x or "").encode()) for x in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.binary())], ["id", "tie", "packed"])
+
+    # The texts are packed before the shuffle: it moves and keeps about half of what block compression would.
+    packed_rows = rows.select("id", F.xxhash64("text").alias("tie"), "text").mapInArrow(trimmed(pack), f"id {kind}, tie bigint, packed binary")
+    placed = packed_rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "packed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before, id_type = TaskContext.get().partitionId(), None, None
@@ -137,7 +149,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         if before is not None:
             yield out([before[0]], None, "last", before[1])
 
-    found = written(placed.mapInArrow(run, f"id {kind}, {_DDL}, edge string, part int, text string"))
+    found = written(placed.mapInArrow(trimmed(run), f"id {kind}, {_DDL}, edge string, part int, text string"))
     inner = found.where("edge IS NULL").select("id", *(x for x, _ in _FIELDS))
     # One number for each task that had rows.
     parts = sorted(r.part for r in found.where("edge = 'first'").select("part").collect())
@@ -154,7 +166,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 fields = _rows([one.column(1)[0].as_py(), one.column(2)[0].as_py()])
                 yield pa.RecordBatch.from_arrays([one.column(0), *fields], ["id", *(x for x, _ in _FIELDS)])
 
-    edges = last.join(following, "part").join(first, "then").select("id", "text", "following").mapInArrow(across, f"id {kind}, {_DDL}")
+    edges = last.join(following, "part").join(first, "then").select("id", "text", "following").mapInArrow(trimmed(across), f"id {kind}, {_DDL}")
     return inner.unionByName(edges).withColumnRenamed("id", id_col)
 
 
