@@ -10,15 +10,15 @@ from .tables import SQL_LAT, SQL_LON, lat_of, lon_of, read
 
 
 @query(
-    """WITH t AS (SELECT 'n' || n_nationkey AS k, n_name AS v FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT 'r' || r_regionkey, r_name FROM region WHERE r_regionkey <> 3),
+    """WITH t AS (SELECT 'n' || n_nationkey AS k, n_name AS v FROM nation WHERE n_name < 'M' UNION ALL SELECT 'r' || r_regionkey, r_name FROM region WHERE r_name <> 'EUROPE'),
 q AS (SELECT c_custkey AS id, unnest(['c' || c_custkey, 'n' || c_nationkey, 'r' || (c_nationkey % 5)]) AS k, unnest([0, 1, 2]) AS pos FROM customer),
 h AS (SELECT id, arg_min(k, pos) AS query, arg_min(v, pos) AS v FROM q JOIN t USING (k) GROUP BY id) SELECT c_custkey AS id, query, v FROM customer LEFT JOIN h ON id = c_custkey"""
 )
 def lookup_cascade_first_hit(spark, d):
     """The most exact of a customer's lookups that the gazetteer knows."""
     n, r, c = read(spark, d, "nation"), read(spark, d, "region"), read(spark, d, "customer")
-    t = n.where("n_nationkey % 2 = 0").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("k"), F.col("n_name").alias("v"))
-    t = t.unionByName(r.where("r_regionkey <> 3").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("k"), F.col("r_name").alias("v")))
+    t = n.where("n_name < 'M'").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("k"), F.col("n_name").alias("v"))
+    t = t.unionByName(r.where("r_name <> 'EUROPE'").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("k"), F.col("r_name").alias("v")))
     text = lambda p, x: F.concat(F.lit(p), x.cast("string"))
     asked = F.array(text("c", F.col("c_custkey")), text("n", F.col("c_nationkey")), text("r", F.col("c_nationkey") % 5))
     return lookup.first_hit(c.select(F.col("c_custkey").alias("id"), asked.alias("asked")), "id", "asked", t, "k", ["v"])
@@ -47,18 +47,18 @@ def season_anti_join(spark, d):
     return o.where(F.year("o_orderdate") == 1996).join(now, "o_custkey", "left_anti").groupBy(F.col("o_custkey").alias("cust")).agg(F.count("*").alias("stale"))
 
 
-@query("SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderkey % 5 = 0")
+@query("SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1995")
 def except_listed(spark, d):
     """Ids that the index has and no list names."""
-    return read(spark, d, "customer").select(F.col("c_custkey").alias("id")).exceptAll(read(spark, d, "orders").where("o_orderkey % 5 = 0").select(F.col("o_custkey").alias("id")).distinct())
+    return read(spark, d, "customer").select(F.col("c_custkey").alias("id")).exceptAll(read(spark, d, "orders").where(F.year("o_orderdate") == 1995).select(F.col("o_custkey").alias("id")).distinct())
 
 
 @query(
-    """SELECT s_suppkey AS k, s_name AS name, 'a' AS list FROM supplier WHERE s_suppkey % 3 <> 0 UNION ALL SELECT c_custkey, c_name, 'b' FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 3 <> 0)"""
+    """SELECT s_suppkey AS k, s_name AS name, 'a' AS list FROM supplier UNION ALL SELECT c_custkey, c_name, 'b' FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)"""
 )
 def full_outer_completion(spark, d):
     """One list, completed by the rows that only the other has."""
-    a = read(spark, d, "supplier").where("s_suppkey % 3 <> 0").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.lit("a").alias("list"))
+    a = read(spark, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.lit("a").alias("list"))
     b = read(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.lit("b").alias("list"))
     return lookup.completed(a, b, ["k"])
 
@@ -76,33 +76,33 @@ def fd_imputation(spark, d):
 
 
 @query(
-    """WITH a AS (SELECT o_custkey AS c, o_orderstatus AS s, min(o_orderkey) AS k, max(o_totalprice) AS v FROM orders WHERE o_orderkey % 2 = 0 GROUP BY ALL), b AS (SELECT o_custkey AS c, o_orderstatus AS s, max(o_totalprice) AS v FROM orders WHERE o_orderkey % 2 = 1 GROUP BY ALL)
-SELECT a.c AS cust, a.s AS status, a.k AS id, greatest(a.v, b.v) AS price FROM a JOIN b ON a.c = b.c AND a.s = b.s WHERE a.v > 1000 OR b.v > 1000"""
+    """WITH a AS (SELECT o_custkey AS c, o_orderpriority AS p, min(o_orderkey) AS k, max(o_totalprice) AS v FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL), b AS (SELECT o_custkey AS c, o_orderpriority AS p, max(o_totalprice) AS v FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL)
+SELECT a.c AS cust, a.p AS priority, a.k AS id, greatest(a.v, b.v) AS price FROM a JOIN b ON a.c = b.c AND a.p = b.p WHERE a.v > 1000 OR b.v > 1000"""
 )
 def cross_list_merge(spark, d):
     """Rows of two lists of one source that name the same entity, merged."""
-    o = read(spark, d, "orders").select(F.col("o_custkey").alias("cust"), F.col("o_orderstatus").alias("status"), "o_orderkey", "o_totalprice")
-    a = o.where("o_orderkey % 2 = 0").groupBy("cust", "status").agg(F.min("o_orderkey").alias("id"), F.max("o_totalprice").alias("va"))
-    b = o.where("o_orderkey % 2 = 1").groupBy("cust", "status").agg(F.max("o_totalprice").alias("vb"))
-    return a.join(b, ["cust", "status"]).where("va > 1000 OR vb > 1000").select("cust", "status", "id", F.greatest("va", "vb").alias("price"))
+    o = read(spark, d, "orders").select(F.col("o_custkey").alias("cust"), F.col("o_orderpriority").alias("priority"), "o_orderstatus", "o_orderkey", "o_totalprice")
+    a = o.where("o_orderstatus = 'F'").groupBy("cust", "priority").agg(F.min("o_orderkey").alias("id"), F.max("o_totalprice").alias("va"))
+    b = o.where("o_orderstatus = 'O'").groupBy("cust", "priority").agg(F.max("o_totalprice").alias("vb"))
+    return a.join(b, ["cust", "priority"]).where("va > 1000 OR vb > 1000").select("cust", "priority", "id", F.greatest("va", "vb").alias("price"))
 
 
 @query(
-    """WITH p AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_name END AS name, c_mktsegment AS kind FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 6 = 0)
-SELECT c_custkey AS id, CASE WHEN p.id IS NOT NULL THEN p.name ELSE c_name END AS name, CASE WHEN p.id IS NOT NULL THEN p.kind || '!' ELSE c_mktsegment END AS kind FROM customer LEFT JOIN p ON p.id = c_custkey WHERE c_custkey % 11 <> 0"""
+    """WITH p AS (SELECT c_custkey AS id, CASE WHEN c_acctbal > 9500 THEN NULL ELSE c_name END AS name, c_mktsegment AS kind FROM customer WHERE c_acctbal > 9000)
+SELECT c_custkey AS id, CASE WHEN p.id IS NOT NULL THEN p.name ELSE c_name END AS name, CASE WHEN p.id IS NOT NULL THEN p.kind || '!' ELSE c_mktsegment END AS kind FROM customer LEFT JOIN p ON p.id = c_custkey WHERE c_acctbal >= -900"""
 )
 def overrides_apply(spark, d):
     """Rows dropped by a list, and fields set by hand, also to null."""
-    c = read(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("kind"))
-    drop = c.where("id % 11 = 0").select("id")
-    patch = c.where("id % 6 = 0").select("id", F.when(F.col("id") % 9 != 0, F.col("name")).alias("name"), F.concat("kind", F.lit("!")).alias("kind"), F.lit(True).alias("set_name"), F.lit(True).alias("set_kind"))
-    return lookup.patched(c.join(drop, "id", "left_anti"), patch, "id", ["name", "kind"])
+    c = read(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("kind"), "c_acctbal")
+    drop = c.where("c_acctbal < -900").select("id")
+    patch = c.where("c_acctbal > 9000").select("id", F.when(F.col("c_acctbal") <= 9500, F.col("name")).alias("name"), F.concat("kind", F.lit("!")).alias("kind"), F.lit(True).alias("set_name"), F.lit(True).alias("set_kind"))
+    return lookup.patched(c.join(drop, "id", "left_anti").drop("c_acctbal"), patch, "id", ["name", "kind"])
 
 
-@query("SELECT l_orderkey AS ord, l_linenumber AS line, s AS slot FROM lineitem, (SELECT unnest(['a', 'b', 'c']) AS s) WHERE l_orderkey % 100 = 1")
+@query("SELECT l_orderkey AS ord, l_linenumber AS line, s AS slot FROM lineitem, (SELECT unnest(['a', 'b', 'c']) AS s)")
 def kinds_by_sessions(spark, d):
     """Each offer with each session (nested explode, no cross join)."""
-    l = read(spark, d, "lineitem").where("l_orderkey % 100 = 1")
+    l = read(spark, d, "lineitem")
     return l.select(F.col("l_orderkey").alias("ord"), F.col("l_linenumber").alias("line"), F.explode(F.array(*map(F.lit, "abc"))).alias("slot"))
 
 

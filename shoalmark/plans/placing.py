@@ -157,11 +157,11 @@ def jitter_spiral(spark, d):
 
 
 @query(
-    f"""WITH p AS (SELECT c_custkey AS id, c_nationkey AS city, c_custkey % 60 AS spot FROM customer), b AS (SELECT spot FROM p GROUP BY spot HAVING count(DISTINCT city) >= 2 AND spot % 2 = 0)
+    f"""WITH p AS (SELECT c_custkey AS id, c_nationkey AS city, c_custkey % 1000 AS spot FROM customer), b AS (SELECT spot FROM p GROUP BY spot HAVING count(DISTINCT city) >= 2)
 SELECT id, CASE WHEN spot IN (SELECT spot FROM b) THEN NULL ELSE spot END AS spot FROM p"""
 )
 def shared_coord_invalidated(spark, d):
     """Positions that rows of several cities share are dropped."""
-    p = read(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("city"), (F.col("c_custkey") % 60).alias("spot"))
-    bad = p.groupBy("spot").agg(F.count_distinct("city").alias("n")).where("n >= 2 AND spot % 2 = 0").select("spot", F.lit(True).alias("bad"))
+    p = read(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("city"), (F.col("c_custkey") % 1000).alias("spot"))
+    bad = p.groupBy("spot").agg(F.count_distinct("city").alias("n")).where("n >= 2").select("spot", F.lit(True).alias("bad"))
     return p.join(bad, "spot", "left").select("id", F.when(F.col("bad").isNull(), F.col("spot")).alias("spot"))
