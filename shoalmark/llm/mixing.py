@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import table, training_rows, written
 
 SPLIT = r"[\x20\x09-\x0D]+"
 
@@ -191,9 +191,11 @@ TARGETS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
 
 
 def labelled_domains(spark, sf_dir: str) -> DataFrame:
-    """(text, domain) of the documents that the labels table covers; the domain is the language that they are marked with."""
-    covered = table(spark, sf_dir, "labels").select("doc_id").distinct()
-    return table(spark, sf_dir, "documents").join(covered, "doc_id", "left_semi").select("text", F.col("lang").alias("domain"))
+    """(text, domain) of about Fit.rows documents that the labels table covers; the domain is the language that they are
+    marked with."""
+    covered = table(spark, sf_dir, "labels").select("doc_id", F.lit(0).alias("label")).distinct()
+    known = training_rows(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), covered, Fit.rows)
+    return known.select("text", F.col("lang").alias("domain"))
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
