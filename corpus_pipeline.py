@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoalmark.llm import bpe, language_id, mixing, quality_cnn, simhash_dedup
-from shoalmark.llm.common import crc_mod, filtered, table, written
+from shoalmark.llm.common import crc_mod, filtered, table, training_rows, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents to which the byte network, learned from the labels outside the held-out fold, gives 0.3 or more."""
     labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))
-    train = table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+    train = training_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), labels, quality_cnn.Fit.rows)
     network = quality_cnn.learn(train.select("text", "label"))
     return filtered(docs, "text", lambda texts: network.score(texts) >= 0.3)
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, raw, slices, table
+from .common import crc_mod, raw, slices, table, training_rows, trimmed
 
 CHUNK, STEP = 256, 224  # bytes of a chunk, and from one to the next
 WIDTH, STRIDE = 8, 2  # bytes under a filter, and from one place to the next
@@ -115,7 +115,7 @@ def learn(rows: DataFrame, fit: Fit = Fit()) -> Network:
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(octets, pa.binary())], ["label", "chunks"])
 
     # At most fit.rows times fit.chunks chunks come to the driver: 12 MB at the defaults.
-    found = sorted((bytes(r.chunks), r.label) for r in sample.mapInArrow(cut, "label int, chunks binary").toLocalIterator())
+    found = sorted((bytes(r.chunks), r.label) for r in sample.mapInArrow(trimmed(cut), "label int, chunks binary").toLocalIterator())
     return trained([np.frombuffer(x, np.uint8).reshape(-1, CHUNK) for x, _ in found], np.array([y for _, y in found], np.float32), fit)
 
 
@@ -195,11 +195,11 @@ def quality(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["id", "score", "predicted"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, score double, predicted int").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, score double, predicted int").withColumnRenamed("id", id_col)
 
 
 def op6_quality_cnn(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))
-    train = docs.where(crc_mod("doc_id", 5) != 0).select("doc_id", "text").join(labels, "doc_id")
+    train = training_rows(docs.select("doc_id", "text"), labels, Fit.rows)
     return quality(docs, learn(train.select("text", "label"))).select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")

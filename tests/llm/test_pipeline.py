@@ -4,13 +4,13 @@ import corpus_pipeline as cp
 from pyspark.sql import functions as F
 
 from shoalmark.llm import language_id, mixing, quality_cnn, simhash_dedup
-from shoalmark.llm.common import crc_mod, table, written
+from shoalmark.llm.common import crc_mod, table, training_rows, written
 
 
 def test_stages(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))
-    network = quality_cnn.learn(docs.select("doc_id", "text").join(labels, "doc_id").select("text", "label"))
+    network = quality_cnn.learn(training_rows(docs.select("doc_id", "text"), labels, quality_cnn.Fit.rows).select("text", "label"))
     stages = dict(cp.STAGES)
     assert [n for n, _ in cp.STAGES] == ["quality classifier", "language ID", "SimHash near-dedup", "mixing", "BPE encoding"]
     one = written(stages["quality classifier"](spark, docs, sf_dir))
