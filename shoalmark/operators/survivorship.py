@@ -39,9 +39,7 @@ def median_by_rank(rows: DataFrame, keys: Sequence[str], value: str, name: str)
 def majority(rows: DataFrame, keys: Sequence[str], value: str, order: Sequence[Column], name: str) -> DataFrame:
     """The most frequent value of each group; of equally frequent ones that which comes first in the order."""
     votes = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*order)).alias("_first"))
-    best = votes.groupBy(*keys).agg(F.max("_n").alias("_top"))
-    tied = votes.join(best, [*keys]).where("_n = _top")
-    return tied.groupBy(*keys).agg(F.min_by(value, F.struct("_first", value)).alias(name))
+    return votes.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("_n"), F.col("_first"), F.col(value))).alias(name))
 
 
 def tiered(value: Column, tier: Column, *order: Column) -> Column:
