@@ -174,3 +174,26 @@ def op8_quartile_digest(spark, sf_dir: str) -> DataFrame:
     out = digests(table(spark, sf_dir, "documents"))
     text = lambda c: F.lower(F.hex(c))
     return out.select("doc_id", "n_chars", "edited_sha256", text("print").alias("fingerprint"), text("edited_print").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+#: The same in DuckDB SQL.
+SQL = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+o AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_id, coalesce(lead(t) OVER w, first_value(t) OVER w) AS following FROM d WINDOW w AS (ORDER BY doc_id DESC)),
+e AS (SELECT doc_id, n, next_id, t, left(t, n - n // 3) || left(following, n // 3) AS edited FROM o),
+x AS (SELECT doc_id, 0 AS kind, t AS s FROM e UNION ALL SELECT doc_id, 1, edited FROM e),
+h AS (SELECT doc_id, kind, regexp_extract_all(hex(encode(s)), '..') AS octets FROM x),
+b AS (SELECT doc_id, kind, unnest(generate_series(1, len(octets))) AS i, CAST('0x' || unnest(octets) AS UBIGINT) AS b FROM h),
+t AS (SELECT doc_id, kind, b AS b0, lead(b, 1) OVER p AS b1, lead(b, 2) OVER p AS b2 FROM b WINDOW p AS (PARTITION BY doc_id, kind ORDER BY i)),
+k AS (SELECT doc_id, kind, CAST((((b0 * 2654435761 + b1) % 4294967296 * 2246822519 + b2) % 4294967296 * 3266489917) % 4294967296 >> 22 AS INTEGER) AS bucket FROM t WHERE b2 IS NOT NULL),
+c AS (SELECT doc_id, kind, bucket, count(*) AS n FROM k GROUP BY ALL),
+g AS (SELECT doc_id, kind, bucket, coalesce(c.n, 0) AS n FROM (SELECT doc_id, kind, unnest(generate_series(0, 1023)) AS bucket FROM h) LEFT JOIN c USING (doc_id, kind, bucket)),
+q AS (SELECT doc_id, kind, list_sort(list(n)) AS v FROM g GROUP BY ALL),
+code AS (SELECT doc_id, kind, bucket, CAST(n > v[256] AS INTEGER) + CAST(n > v[512] AS INTEGER) + CAST(n > v[768] AS INTEGER) AS code FROM g JOIN q USING (doc_id, kind)),
+packed AS (SELECT doc_id, kind, bucket // 4 AS place, format('{:02x}', CAST(sum(code << (2 * (bucket % 4))) AS BIGINT)) AS octet FROM code GROUP BY ALL),
+text AS (SELECT doc_id, kind, string_agg(octet, '' ORDER BY place) AS body FROM packed GROUP BY ALL),
+lists AS (SELECT doc_id, kind, list(code ORDER BY bucket) AS codes FROM code GROUP BY ALL),
+f AS (SELECT doc_id, kind, CAST(least(255, round(8 * log2(1.0 + len(octets)))) AS BIGINT) AS size, body, codes FROM h JOIN text USING (doc_id, kind) JOIN lists USING (doc_id, kind))
+SELECT e.doc_id, e.n AS n_chars, sha256(e.edited) AS edited_sha256, format('{:02x}', a.size) || a.body AS fingerprint, format('{:02x}', z.size) || z.body AS edited_fingerprint,
+  greatest(0.0::DOUBLE, 1.0::DOUBLE - 0.75::DOUBLE * least(1.0::DOUBLE, list_sum(list_transform(list_zip(a.codes, z.codes), lambda y: abs(y[1] - y[2])))::DOUBLE / 1280.0::DOUBLE) - 0.25::DOUBLE * least(1.0::DOUBLE, abs(a.size - z.size)::DOUBLE / 8.0::DOUBLE)) AS near_edited,
+  greatest(0.0::DOUBLE, 1.0::DOUBLE - 0.75::DOUBLE * least(1.0::DOUBLE, list_sum(list_transform(list_zip(a.codes, m.codes), lambda y: abs(y[1] - y[2])))::DOUBLE / 1280.0::DOUBLE) - 0.25::DOUBLE * least(1.0::DOUBLE, abs(a.size - m.size)::DOUBLE / 8.0::DOUBLE)) AS near_next
+FROM e JOIN f a ON a.doc_id = e.doc_id AND a.kind = 0 JOIN f z ON z.doc_id = e.doc_id AND z.kind = 1 JOIN f m ON m.doc_id = e.next_id AND m.kind = 0"""

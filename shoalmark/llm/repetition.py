@@ -196,3 +196,25 @@ def repetition(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def op1_repetition(spark, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents"))
+
+
+#: The same in DuckDB SQL.  Two equal windows of five words are a pair on the diagonal of their distance; the longest run of
+#: neighbouring pairs on a diagonal, and four words, is the longest repeat.
+SQL = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+l AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+w AS (SELECT doc_id, unnest(ws) AS w, unnest(generate_series(1, len(ws))) AS i FROM l),
+g AS (SELECT doc_id, i, list_value(w, lead(w, 1) OVER p, lead(w, 2) OVER p, lead(w, 3) OVER p, lead(w, 4) OVER p) AS five, lead(w, 4) OVER p IS NOT NULL AS whole FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, five FROM g WHERE whole GROUP BY ALL HAVING count(*) > 1),
+m AS (SELECT g.doc_id, g.i, g.five FROM g JOIN r ON g.doc_id = r.doc_id AND g.five = r.five WHERE g.whole),
+hit AS (SELECT DISTINCT doc_id, i + k AS i FROM m, (SELECT unnest([0, 1, 2, 3, 4]) AS k)),
+cov AS (SELECT doc_id, count(*) AS n, sum(length(w)) AS chars FROM hit JOIN w USING (doc_id, i) GROUP BY doc_id),
+pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS delta FROM m a JOIN m b ON a.doc_id = b.doc_id AND a.five = b.five AND a.i < b.i),
+runs AS (SELECT doc_id, delta, i - row_number() OVER (PARTITION BY doc_id, delta ORDER BY i) AS run FROM pairs),
+top AS (SELECT doc_id, max(n) + 4 AS longest FROM (SELECT doc_id, delta, run, count(*) AS n FROM runs GROUP BY ALL) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM l),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(cov.chars, 0) AS BIGINT) AS covered_chars, CAST(coalesce(top.longest, 0) AS BIGINT) AS longest_repeat
+  FROM l LEFT JOIN dup USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN top USING (doc_id)),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND covered_chars <= 0.2 * word_chars AND NOT (longest_repeat > 50 AND longest_repeat > 0.1 * n_words) AS kept FROM f"""

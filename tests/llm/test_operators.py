@@ -500,3 +500,16 @@ def test_bpe_query(spark, sf_dir, coder, odd, none):
     out = bpe.encode(odd, coder).collect()
     assert len(out) == len(ODD) and bpe.encode(none, coder).count() == 0
     assert all(r.ids == [] and r.decoded == "" for r in out if r.doc_id in (2, 3))
+
+
+@pytest.mark.parametrize("name", list(registry.ORACLE_SQL))
+def test_sql(name, spark, sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    found = con.sql(registry.ORACLE_SQL[name])
+    columns = sorted(found.columns)
+    rows = registry.QUERIES[name](spark, sf_dir)
+    assert sorted(rows.columns) == columns
+    assert sorted(tuple(r) for r in rows.select(*columns).collect()) == sorted(found.select(*[duckdb.ColumnExpression(c) for c in columns]).fetchall())
