@@ -17,3 +17,23 @@ def session(master: str = "local[8]", **more: str) -> SparkSession:
     for k, v in (SETTINGS | more).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers where they would not find it: they inherit PYTHONPATH and, on one
+    machine, the working folder.  Submitting it with --py-files does the same."""
+    import os
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    known = [Path(p or ".").resolve() for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]]
+    sc = spark.sparkContext
+    if root in known or any("shoalmark" in f for f in sc.listFiles):
+        return
+    at = os.path.join(tempfile.mkdtemp(prefix="shoalmark-"), "shoalmark.zip")
+    with zipfile.ZipFile(at, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in [*(root / "shoalmark").rglob("*.py"), *root.glob("corpus_pipeline.py")]:
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(at)
