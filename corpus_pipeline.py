@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those go of which no language has half (or that have no letter)."""
+    """Documents in a known language; those go that have no letter, or of which their language holds under a tenth."""
     model = language_id.learn(table(spark, sf_dir, "documents").where(crc_mod("doc_id", 4) != 2).select("text", "lang"))
     shared = spark.sparkContext.broadcast(model)
 
@@ -30,7 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         if not shared.value.languages:
             return [False] * len(texts)
         lang, score = language_id.predict(texts, shared.value)
-        return [x != "und" and s >= 0.5 for x, s in zip(lang, score)]
+        return [x != "und" and s >= 0.1 for x, s in zip(lang, score)]
 
     return filtered(docs, "text", mask)
 
