@@ -42,10 +42,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """The rows of df as a Parquet table in the shared folder, read again: it cuts the lineage and survives lost executors."""
+    """The rows of df as a Parquet table in the shared folder, read again: it cuts the lineage and survives lost executors.
+
+    The table goes when the application ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/shoalmark-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 

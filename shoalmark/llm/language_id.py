@@ -194,13 +194,14 @@ def language_spans(text: str | None, model: Model) -> list[tuple[str, str]]:
 
 def learn(rows: DataFrame, fit: Fit = Fit(), **model) -> Model:
     """A model from rows (text, lang); rows with a null text or lang aren't used; without rows it knows no language."""
-    rows = rows.where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
+    rows = rows.where("lang IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
+    # Counted without reading the texts: the shares are approximate anyway.
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(fit.most_languages).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool))
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1_000_000, math.ceil(1_000_000 * fit.rows / n))))])
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.element_at(share, F.col("lang")))
+    sample = rows.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.try_element_at(share, F.col("lang"))))
     number = {k: i for i, k in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
