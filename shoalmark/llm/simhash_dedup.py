@@ -19,7 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw, shared_dir, slices, spans, table, trimmed, written
+from ..operators.graph import components
+from .common import raw, slices, spans, table, trimmed, written
 
 #: Each byte value with its eight bits spread over the bytes of a 64-bit number.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
@@ -113,6 +114,8 @@ def links(prints: DataFrame, most_bits: int = 4, list_bytes: int | None = None)
         return out
 
     fp = F.col("fp")
+    # Each fingerprint becomes a row for each list: dealt out again first, as what is small before that isn't after it.
+    prints = prints.select("fp").repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     lists = prints.select(fp, F.explode(F.array(*[F.struct(F.lit(i).cast("smallint").alias("list"), key(fp, s).alias("bytes")) for i, s in enumerate(sets)])).alias("at"))
     lists = lists.select("at.list", "at.bytes", "fp")
     a, b = lists.select("list", "bytes", F.col("fp").alias("a")), lists.select("list", "bytes", F.col("fp").alias("b"))
@@ -127,39 +130,6 @@ def links(prints: DataFrame, most_bits: int = 4, list_bytes: int | None = None)
     return la.join(lb, kept).select("a", "b")
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root) for each node of the edges (a, b): root is the smallest node that it reaches.
-
-    Alternating large and small stars; each round only aggregates minima (combined before the shuffle) and joins
-    them back, and its edges are checkpointed in the shared folder.
-    """
-    shared_dir(edges.sparkSession)
-
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
-
-    # Edges point from the larger node to the smaller one.
-    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().checkpoint()
-    was = state(now)
-    for _ in range(most_rounds):
-        if not was[0]:
-            break
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct().checkpoint()
-        is_ = state(now)
-        if is_ == was:
-            break
-        was = is_
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42, most_bits: int = 4, list_bytes: int | None = None) -> DataFrame:
     """(id_col, fp, component_id) for each row of docs: the smallest id that its fingerprint reaches over links.
 
@@ -172,7 +142,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(prints, most_bits, list_bytes))
     named = prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = named.checkpoint()
-    best = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    best = named.groupBy("root").agg(F.min("least").alias("component_id")).checkpoint()
     of = named.join(best, "root").select("fp", "component_id")
     return rows.join(of, "fp", "left").select(F.col("id").alias(id_col), "fp", "component_id")
 
