@@ -507,7 +507,8 @@ def test_sql(name, spark, sf_dir):
     import duckdb
 
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for t in ("documents", "pages"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     found = con.sql(registry.ORACLE_SQL[name])
     columns = sorted(found.columns)
     rows = registry.QUERIES[name](spark, sf_dir)
