@@ -232,6 +232,6 @@ def op7_html_text(spark, sf_dir: str) -> DataFrame:
 SQL = r"""WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)(</article>|$)', 1), '<[^<>]*$', '') AS h FROM pages),
 b AS (SELECT page_id, url, regexp_replace(regexp_replace(h, '<!--.*?-->', '', 'g'), '</?b>', '', 'g') AS h FROM a),
 c AS (SELECT page_id, url, regexp_replace(h, '<[^>]*>', ' ', 'g') AS t FROM b),
-d AS (SELECT page_id, url, regexp_replace(replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '&amp$', '&') AS t FROM c),
+d AS (SELECT page_id, url, regexp_replace(replace(replace(replace(t, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS t FROM c),
 e AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM d)
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM e"""
