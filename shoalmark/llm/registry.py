@@ -13,6 +13,7 @@ from .quartile_digest import op8_quartile_digest
 from .repetition import SQL as REPETITION_SQL
 from .repetition import op1_repetition
 from .sharding import op4_sharding
+from .sharding import sql as sharding_sql
 from .simhash_dedup import op3_simhash_dedup
 from .simhash_sql import SQL as SIMHASH_SQL
 from .toxicity import op2_toxicity
@@ -20,4 +21,4 @@ from .toxicity import op2_toxicity
 QUERIES = {f.__name__: f for f in (op1_repetition, op2_toxicity, op3_simhash_dedup, op4_sharding, op5_mixing, op6_quality_cnn, op7_html_text, op8_quartile_digest, op9_language_id, op10_bpe)}
 
 #: Training, automata and iterations can't be expressed in SQL; tests/llm holds brute-force versions.
-ORACLE_SQL: dict[str, str] = {"op1_repetition": REPETITION_SQL, "op3_simhash_dedup": SIMHASH_SQL, "op7_html_text": HTML_SQL, "op8_quartile_digest": DIGEST_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_repetition": REPETITION_SQL, "op3_simhash_dedup": SIMHASH_SQL, "op4_sharding": sharding_sql(), "op7_html_text": HTML_SQL, "op8_quartile_digest": DIGEST_SQL}

@@ -86,3 +86,16 @@ def write_shards(rows: DataFrame, path: str, parts: int = 4, **how) -> None:
 
 def op4_sharding(spark, sf_dir: str) -> DataFrame:
     return placed(table(spark, sf_dir, "documents")).select("doc_id", "slot", "shard")
+
+
+def sql() -> str:
+    """The placement in DuckDB SQL, the filled table given as text (two digits a slot); filling it takes turns, which SQL
+    can't tell, and is tested against a plain version."""
+    from .simhash_sql import xxh64
+
+    digits = "".join(f"{i:02d}" for i in lookup_table(SHARDS).tolist())
+    return f"""WITH sh AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS s FROM documents),
+{xxh64("sh")},
+signed AS (SELECT doc_id, h::HUGEINT - CASE WHEN h >= {1 << 63}::UBIGINT THEN {1 << 64}::HUGEINT ELSE 0::HUGEINT END AS h FROM hashed),
+placed AS (SELECT doc_id, CAST((h % {SLOTS} + {SLOTS}) % {SLOTS} AS INTEGER) AS slot FROM signed)
+SELECT doc_id, slot, 'shard-' || lpad(substr('{digits}', 2 * slot + 1, 2), 3, '0') AS shard FROM placed"""
