@@ -26,10 +26,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, raw, slices, table, trimmed
+from .common import numbered, raw, slices, small_batches, table, trimmed
 
 #: Words whose encoding a worker remembers.
-MOST_WORDS = 200_000
+MOST_WORDS = 120_000
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 # Endings that an apostrophe takes along, in the order in which they are tried.
 ENDINGS = (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d")
@@ -240,6 +240,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 def encode_rows(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """The columns `keep` and ids array<int> for each row of docs; nulls and empty texts as in `encode`."""
     kept = len(keep)
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)

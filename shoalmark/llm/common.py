@@ -23,7 +23,19 @@ IS_SPACE[list(SPACES)] = True
 SLICE_BYTES = 1 << 20
 
 
+#: Bytes of an Arrow batch between the JVM and Python; Spark's default of 64 MB is held twice or thrice on both sides.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the size of Arrow batches where the session has the default: texts are long, and several tasks share a machine."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key).rstrip("b") == str(64 << 20):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -138,6 +150,7 @@ def trimmed(run):
 def filtered(docs: DataFrame, text_col: str, mask) -> DataFrame:
     """The rows of docs for whose text mask(texts) is true, all columns as they are; mask runs on the executors."""
     at = docs.columns.index(text_col)
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
