@@ -64,8 +64,10 @@ def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return data, offsets, *spans(data, offsets, OUTSIDE[data])
 
 
-def _grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the byte n-grams of the words, a space before and behind, and the word number of each."""
+def _grams(words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each n the buckets of the byte n-grams of the words, a space before and behind, and the word number of each."""
+    if not len(words):
+        return
     _, offsets, data = words.buffers()
     at = np.frombuffer(offsets, np.int64)[: len(words) + 1]
     size = np.diff(at)
@@ -76,7 +78,6 @@ def _grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         padded[np.arange(at[-1]) + 2 * word_of + 1] = np.frombuffer(data, np.uint8)[: at[-1]]
     owner = np.repeat(np.arange(len(words)), size + 2)
     end = begin + size + 2
-    out, of = [], []
     value = np.zeros(len(padded), np.uint64)
     for n in range(1, max(GRAMS) + 1):
         value = value[: len(padded) - n + 1] * np.uint64(0x9E3779B1) + padded[n - 1 :] + np.uint64(n)
@@ -86,9 +87,7 @@ def _grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
                 fits &= padded != 32
             mixed = value[fits]
             mixed = mixed ^ (mixed >> np.uint64(29))
-            out.append(((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(48)).astype(np.int64))
-            of.append(owner[: len(value)][fits])
-    return np.concatenate(out), np.concatenate(of)
+            yield ((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(48)).astype(np.int64), owner[: len(value)][fits]
 
 
 def script_of(words: pa.Array) -> np.ndarray:
@@ -113,9 +112,9 @@ def word_scores(words: pa.Array, model: Model) -> np.ndarray:
     total = np.zeros((len(words), len(model.languages)))
     if not len(words):
         return total
-    bucket, of = _grams(words)
-    for k in range(len(model.languages)):
-        total[:, k] = np.bincount(of, model.logs[bucket, k], minlength=len(words))
+    for bucket, of in _grams(words):
+        for k in range(len(model.languages)):
+            total[:, k] += np.bincount(of, model.logs[bucket, k], minlength=len(words))
     may = model.scripts[script_of(words)]
     may[~may.any(axis=1)] = True
     total = np.where(may, total, -np.inf)
@@ -211,12 +210,14 @@ def learn(rows: DataFrame, fit: Fit = Fit(), **model) -> Model:
                 lang = np.array([number[x] for x in part.column(1).to_pylist()])
                 data, _, first, last, text_of = _letters(part.column(0))
                 words, distinct = numbered(data, first, last)
-                bucket, of = _grams(distinct) if len(distinct) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
                 script = script_of(distinct)
-                for k in np.unique(lang):
-                    times = np.bincount(words[lang[text_of] == k], minlength=len(distinct))
-                    total[k, :BUCKETS] += np.bincount(bucket, times[of], minlength=BUCKETS).astype(np.int64)
-                    total[k, BUCKETS:] += np.bincount(script, times, minlength=len(SCRIPT_NAMES)).astype(np.int64)
+                present = np.unique(lang)
+                times = {k: np.bincount(words[lang[text_of] == k], minlength=len(distinct)) for k in present}
+                for k in present:
+                    total[k, BUCKETS:] += np.bincount(script, times[k], minlength=len(SCRIPT_NAMES)).astype(np.int64)
+                for bucket, of in _grams(distinct):
+                    for k in present:
+                        total[k, :BUCKETS] += np.bincount(bucket, times[k][of], minlength=BUCKETS).astype(np.int64)
         k, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[k, bucket])], ["k", "bucket", "n"])
 
