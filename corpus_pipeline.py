@@ -22,15 +22,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those go that have no letter, or of which their language holds under a tenth."""
+    """Documents in a clear language; those go that have no letter, are mixed, or are unlike the rows of all languages."""
     model = language_id.learn(table(spark, sf_dir, "documents").where(crc_mod("doc_id", 4) != 2).select("text", "lang"))
     shared = spark.sparkContext.broadcast(model)
 
     def mask(texts):
         if not shared.value.languages:
             return [False] * len(texts)
-        lang, score = language_id.predict(texts, shared.value)
-        return [x != "und" and s >= 0.1 for x, s in zip(lang, score)]
+        return language_id.clear(texts, shared.value)
 
     return filtered(docs, "text", mask)
 

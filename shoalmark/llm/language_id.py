@@ -8,7 +8,7 @@ every language before it, the blocks of a text are chained, and the path is trac
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,6 +56,7 @@ class Model:
     penalty: float = 9.0
     clip: float = 6.0
     opening: float = 1.0  # share from which the language that opens a text is the text's, whatever has most
+    least: float = -math.inf  # mean log probability of a text's n-grams in its language, below which it is unlike all learned rows
 
 
 def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -107,14 +108,21 @@ def script_of(words: pa.Array) -> np.ndarray:
     return np.where((k >= 0) & (point <= _LAST[k]), _SCRIPT_ID[k], len(SCRIPT_NAMES) - 1)
 
 
-def word_scores(words: pa.Array, model: Model) -> np.ndarray:
-    """For each word and language the score over the best one of the word, within the clip; candidates by script."""
-    total = np.zeros((len(words), len(model.languages)))
-    if not len(words):
-        return total
+def word_logs(words: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """For each word and language the log probability of the word's n-grams, and how many n-grams each word has."""
+    total, n = np.zeros((len(words), len(model.languages))), np.zeros(len(words))
     for bucket, of in _grams(words):
+        n += np.bincount(of, minlength=len(words))
         for k in range(len(model.languages)):
             total[:, k] += np.bincount(of, model.logs[bucket, k], minlength=len(words))
+    return total, n
+
+
+def word_scores(words: pa.Array, model: Model, logs: np.ndarray | None = None) -> np.ndarray:
+    """For each word and language the score over the best one of the word, within the clip; candidates by script."""
+    total = word_logs(words, model)[0] if logs is None else logs
+    if not len(words):
+        return total
     may = model.scripts[script_of(words)]
     may[~may.any(axis=1)] = True
     total = np.where(may, total, -np.inf)
@@ -228,8 +236,9 @@ def learn(rows: DataFrame, fit: Fit = Fit(), **model) -> Model:
     logs = np.log((grams + fit.smoothing) / (grams.sum(axis=0) + fit.smoothing * BUCKETS))
     used = scripts >= 0.01 * np.maximum(1, scripts.sum(axis=0))
     found = Model(languages, logs.astype(np.float32), used, **model)
-    if "opening" not in model and len(languages) > 1:
-        found.opening = _opening(sample, found)
+    opening, least = _fitted(sample, found, [model["opening"]] if "opening" in model else OPENINGS)
+    found.opening = opening
+    found.least = model.get("least", least)
     return found
 
 
@@ -237,37 +246,62 @@ def learn(rows: DataFrame, fit: Fit = Fit(), **model) -> Model:
 OPENINGS = (0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 1.0)
 
 
-def _opening(sample: DataFrame, model: Model) -> float:
-    """The share that gets most of the sample right; of equal ones the largest.
+#: Steps of the mean log probability from 0 down in which learned rows are counted.
+STEP, STEPS = 0.01, 4000
+#: The share of the learned rows that may lie anywhere; what the others span is taken half as wide again.
+STRAY = 0.001
+#: What a text's language and the one that it quotes hold together, above the two thirds of three languages evenly mixed.
+PAIR = 0.7
 
-    A text that quotes another language at length is still marked with its own, the one it opens in.
+
+def _fitted(sample: DataFrame, model: Model, openings: Sequence[float]) -> tuple[float, float]:
+    """The share that gets most of the sample right, of equal ones the largest; and the least mean log probability.
+
+    A text that quotes another language at length is still marked with its own, the one it opens in.  The rows that are
+    right by that share have a range of mean log probabilities in their language, which long quotes make wide; the least
+    is as far below its lower end (without the strays) as half the way from there to the median.
     """
     number = {k: i for i, k in enumerate(model.languages)}
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        right = np.zeros(len(OPENINGS), np.int64)
+        right = np.zeros((len(openings), STEPS), np.int64)
         for batch in batches:
             for part in slices(batch):
                 lang = np.array([number[x] for x in part.column(1).to_pylist()])
-                share, opens = _shares(part.column(0), shared.value)
-                for i, least in enumerate(OPENINGS):
-                    right[i] += int((_choice(share, opens, least)[share.sum(axis=1) > 0] == lang[share.sum(axis=1) > 0]).sum())
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(OPENINGS)), pa.int32()), pa.array(right)], ["i", "n"])
-
-    total = {r.i: r.n for r in sample.mapInArrow(trimmed(run), "i int, n bigint").groupBy("i").agg(F.sum("n").alias("n")).collect()}
-    return OPENINGS[max(range(len(OPENINGS)), key=lambda i: (total.get(i, 0), i))]
-
-
-def _shares(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of words of each text by language, and the language of its first word (0 without one)."""
-    _, size, text_of, path = labels_of(column, model)
+                share, opens, logs = _shares(part.column(0), shared.value)
+                for i, least in enumerate(openings):
+                    ok = (share.sum(axis=1) > 0) & (_choice(share, opens, least) == lang)
+                    step = np.minimum(STEPS - 1, -logs[ok, lang[ok]] / STEP).astype(np.int64)
+                    right[i] += np.bincount(step, minlength=STEPS)
+        i, step = np.nonzero(right)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(step.astype(np.int32)), pa.array(right[i, step])], ["i", "step", "n"])
+
+    right = np.zeros((len(openings), STEPS), np.int64)
+    for r in sample.mapInArrow(trimmed(run), "i int, step int, n bigint").groupBy("i", "step").agg(F.sum("n").alias("n")).collect():
+        right[r.i, r.step] = r.n
+    best = max(range(len(openings)), key=lambda i: (right[i].sum(), i))
+    upto = np.cumsum(right[best])
+    if not upto[-1]:
+        return openings[best], -math.inf
+    middle, end = (STEP * (1 + int(np.searchsorted(upto, share * upto[-1]))) for share in (0.5, 1 - STRAY))
+    return openings[best], -(end + (end - middle) / 2)
+
+
+def _shares(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of words of each text by language, the language of its first word (0 without one), and the mean log
+    probability of all its n-grams in each language."""
+    data, offsets, first, last, text_of = _letters(column)
+    words, distinct = numbered(data, first, last)
+    logs, grams = word_logs(distinct, model)
+    path = viterbi(word_scores(distinct, model, logs)[words], text_of, model.penalty)
     n, k = len(column), len(model.languages)
-    share = np.bincount(text_of * k + path, size, minlength=n * k).reshape(n, k)
+    share = np.bincount(text_of * k + path, last - first, minlength=n * k).reshape(n, k)
     opens = np.zeros(n, np.int64)
-    texts, first = np.unique(text_of, return_index=True)
-    opens[texts] = path[first]
-    return share, opens
+    texts, begins = np.unique(text_of, return_index=True)
+    opens[texts] = path[begins]
+    of_text = np.stack([np.bincount(text_of, logs[words, i], minlength=n) for i in range(k)], axis=1)
+    return share, opens, of_text / np.maximum(1, np.bincount(text_of, grams[words], minlength=n))[:, None]
 
 
 def _choice(share: np.ndarray, opens: np.ndarray, least: float) -> np.ndarray:
@@ -275,13 +309,9 @@ def _choice(share: np.ndarray, opens: np.ndarray, least: float) -> np.ndarray:
     return np.where(held >= least * share.sum(axis=1), opens, share.argmax(axis=1))
 
 
-def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
-    """The language of each text and its share of the bytes of words; `und` without a letter or a model.
-
-    It is the one with most, or the one that the text opens in where that holds the share `opening`.
-    """
+def _judged(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
     n = len(column)
-    share, opens = _shares(column, model)
+    share, opens, logs = _shares(column, model)
     total = share.sum(axis=1)
     best = _choice(share, opens, model.opening)
     score = np.where(total > 0, share[np.arange(n), best] / np.maximum(total, 1), 0.0)
@@ -291,7 +321,27 @@ def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     lettered = ascii_letters[offsets[1:]] > ascii_letters[offsets[:-1]]
     for i in np.flatnonzero(~lettered & (total > 0)):
         lettered[i] = any(map(str.isalpha, column[int(i)].as_py() or ""))
-    return [model.languages[b] if ok else "und" for b, ok in zip(best, lettered & (total > 0))], np.where(lettered, score, 0.0)
+    known = lettered & (total > 0)
+    other = share.copy()
+    other[np.arange(n), best] = 0
+    quotes = (best == opens) & (score >= model.opening) & (share[np.arange(n), best] + other.max(axis=1) >= PAIR * total)
+    held = (score >= 0.5) | quotes
+    clear = known & held & (logs[np.arange(n), best] >= model.least)
+    return [model.languages[b] if ok else "und" for b, ok in zip(best, known)], np.where(lettered, score, 0.0), clear
+
+
+def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
+    """The language of each text and its share of the bytes of words; `und` without a letter or a model.
+
+    It is the one with most, or the one that the text opens in where that holds the share `opening`.
+    """
+    return _judged(column, model)[:2]
+
+
+def clear(column: pa.Array, model: Model) -> np.ndarray:
+    """Whether each text is in a clear language: it has letters, its language holds half of it (or opens it, holds the
+    share `opening` and quotes one other language), and its n-grams are as likely in that language as `least` asks, which the learned rows' range gives."""
+    return _judged(column, model)[2]
 
 
 def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

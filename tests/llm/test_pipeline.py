@@ -1,6 +1,7 @@
 """The pipeline's stages on their own inputs against plain versions."""
 
 import corpus_pipeline as cp
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from shoalmark.llm import language_id, mixing, quality_cnn, simhash_dedup
@@ -35,3 +36,21 @@ def test_empty_and_odd_documents(spark, sf_dir):
         for name, stage in cp.STAGES:
             out = stage(spark, docs, sf_dir)
             assert out.count() <= 8
+
+
+def test_language_stage_rejects_unclear_texts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    by = {r.lang: " ".join(r.text.split()) for r in docs.where("length(text) BETWEEN 2000 AND 20000").orderBy("doc_id").collect()}
+    parts = [by[k][300:900] for k in sorted(by)]
+    foreign = ["kokeilen suomen kielta taalla metsassa ja jarvella huomenna aamulla " * 5, "qzx vbn wrtk plmkj zzxq hgfd wqpt " * 10, "привет как дела сегодня у нас хорошая погода " * 5]
+    go = [" ".join(parts), " ".join(parts[::-1]), *foreign]
+    stay = [*parts, f"{parts[0]} {parts[1][:500]}"]
+    rows = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in enumerate(go + stay)], docs.schema)
+    kept = dict(cp.STAGES)["language ID"](spark, rows, sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(len(go), len(go) + len(stay)))
+    # Where learned rows quote at length, a text of many languages that opens in one of them still goes.
+    model = language_id.learn(docs.select("text", "lang"), opening=0.25, least=-100.0)
+    assert language_id.clear(pa.array([" ".join(parts), " ".join(parts[1:]), f"{parts[0][:400]} {parts[1]}"]), model).tolist() == [False, False, True]
+    # Its own rows stay, whatever the share of their language.
+    lettered = docs.where(F.col("text").rlike("[A-Za-z]"))
+    assert dict(cp.STAGES)["language ID"](spark, lettered, sf_dir).count() >= 0.99 * lettered.count()
