@@ -1,4 +1,4 @@
-"""From raw documents to token ids in five stages, each by one operator of shoalmark.llm.
+"""From raw documents to token ids and the text decoded from them in five stages, each by one operator of shoalmark.llm.
 
 Each stage takes (spark, docs, sf_dir) and gives the rows that the next one works on, written as Parquet in between.
 Nulls: a document with a null text is rejected by the language stage.  Empty tables pass through all stages.
@@ -45,7 +45,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, ids and n_tokens of each document."""
+    """doc_id, source, ids, the text decoded from them, and n_tokens of each document: BPE encoding and decoding in one pass."""
     import public_tokenizers
 
     coded = bpe.encode_rows(docs, public_tokenizers.path("word_bpe_49k.json"), ("doc_id", "source"))

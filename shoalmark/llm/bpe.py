@@ -238,7 +238,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 
 def encode_rows(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
-    """The columns `keep` and ids array<int> for each row of docs; nulls and empty texts as in `encode`."""
+    """The columns `keep`, ids array<int> and decoded string for each row of docs; nulls and empty texts as in `encode`."""
     kept = len(keep)
     small_batches(docs.sparkSession)
 
@@ -248,11 +248,12 @@ def encode_rows(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",),
             for part in slices(batch, most=1 << 20):
                 ids, offsets = coder.encode(part.column(kept))
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*part.columns[:kept], lists], [*keep, "ids"])
+                texts = [coder.decode(ids[a:b].tolist()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:kept], lists, pa.array(texts, pa.string())], [*keep, "ids", "decoded"])
 
     rows = docs.select(*keep, F.col(text_col).alias("text"))
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(trimmed(run), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids array<int>"]))
+    return rows.mapInArrow(trimmed(run), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "ids array<int>", "decoded string"]))
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -54,3 +54,17 @@ def test_language_stage_rejects_unclear_texts(spark, sf_dir):
     # Its own rows stay, whatever the share of their language.
     lettered = docs.where(F.col("text").rlike("[A-Za-z]"))
     assert dict(cp.STAGES)["language ID"](spark, lettered, sf_dir).count() >= 0.99 * lettered.count()
+
+
+def test_last_stage_decodes(spark, sf_dir):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, sf_dir, "documents").limit(60)
+    rows = docs.unionByName(spark.createDataFrame([(-1, None, None, "s", 0), (-2, "", None, "s", 0), (-3, "Aé 中 x<|endoftext|>", None, "s", 0)], docs.schema))
+    text = {r.doc_id: r.text or "" for r in rows.collect()}
+    out = cp.STAGES[-1][1](spark, rows, sf_dir).collect()
+    assert len(out) == len(text) == 63
+    for r in out:
+        assert r.decoded == whole.decode(whole.encode(text[r.doc_id], add_special_tokens=False).ids, skip_special_tokens=False)
