@@ -98,6 +98,16 @@ def test_repetition_query(spark, odd, none):
     assert repetition.repetition(spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(300)))], "doc_id int, text string")).first().kept
 
 
+def test_one_long_repeat_in_a_long_text_fails():
+    def pasted(n, k):  # n distinct words, of which k stand again at the end
+        w = [f"w{i}" for i in range(n)]
+        return " ".join(w + w[:k])
+
+    got = repetition.measures(pa.array([pasted(18100, 1900), pasted(4600, 400), pasted(1000, 51), pasted(1000, 50), pasted(20000, 0)]))
+    assert got["longest_repeat"].tolist() == [1900, 400, 51, 50, 0] and not got["base_failed"].any()
+    assert got["kept"].tolist() == [False, False, False, True, True]
+
+
 # 2
 
 
