@@ -37,6 +37,10 @@ P_SCOPE = frozenset("article aside blockquote body caption div dd dl dt fieldset
 NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget complementary contentinfo alert".split()
 )
+# Those of blocks that can hold more text than the article and still aren't part of it.
+DISCUSSION = frozenset("comment comments disqus replies reply respond".split())
+# Words beside which they say something of a page or an article that has, or lacks, such a block.
+SAYING = frozenset("closed has hide no open show with without".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>?", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -48,16 +52,23 @@ class Dom:
 
     def __init__(self, html: str):
         self.tag, self.parent, self.noise, self.pieces = ["#root"], [-1], [False], [[]]
+        self.named: dict[int, str] = {}  # nodes that only class, id or role marks: as "discussion", "part" (by a whole name) or "other"
         self._parse(html)
+        if self.named:
+            self._judge_names()
 
     def _open(self, tag: str, attributes: str, parent: int) -> int:
-        words = {w.lower() for m in _NAMES.findall(attributes) for w in _PARTS.split("".join(m))} if "=" in attributes else ()
-        noise = self.noise[parent] or tag in NOISE or bool(words and words & NOISE_WORDS) or bool(attributes and _HIDDEN.search(attributes))
-        if noise and not self.noise[parent]:
-            if tag in ("body", "html", "main"):
-                noise = False
-            elif tag == "header" and self._inside(parent, "article"):
-                noise = False  # the head of the article, not of the page
+        names = ["".join(m) for m in _NAMES.findall(attributes)] if "=" in attributes else ()
+        words = {w.lower() for x in names for w in _PARTS.split(x)}
+        firm = tag in NOISE or bool(attributes and _HIDDEN.search(attributes))
+        noise = self.noise[parent] or firm
+        exempt = tag in ("body", "html", "main") or tag == "header" and self._inside(parent, "article")  # the head of the article, not of the page
+        if not self.noise[parent] and exempt:
+            noise = False
+        elif not noise and words & NOISE_WORDS:
+            each = [{w.lower() for w in _PARTS.split(x)} for name in names for x in name.split()]
+            part = any(x.lower() in NOISE_WORDS for name in names for x in name.split())
+            self.named[len(self.tag)] = "discussion" if any(x & DISCUSSION and not x & SAYING for x in each) else "part" if part else "other"
         self.tag.append(tag)
         self.parent.append(parent)
         self.noise.append(noise)
@@ -65,6 +76,41 @@ class Dom:
         self.pieces[parent].append(len(self.tag) - 1)
         return len(self.tag) - 1
 
+    def _judge_names(self) -> None:
+        """Makes noise of the nodes that their names mark and of what is below them, except those that hold the main text.
+
+        A node holds it with a main element, with the article (the longest one, if it is no shorter than all text outside
+        marked nodes), or with over half of the body's text where no article stands outside.  Discussions never do, their
+        text doesn't count, and articles in a part that is named as such (related, sidebar) don't if it has under half.
+        """
+        n = len(self.tag)
+        marked, out, mains = [False] * n, list(self.noise), [False] * n
+        chars, plain = [0] * n, 0  # plain: characters outside marked nodes
+        for i in range(n):
+            up = self.parent[i]
+            marked[i] = i in self.named or up >= 0 and marked[up]
+            out[i] = out[i] or self.named.get(i) == "discussion" or up >= 0 and out[up]
+            mains[i] = self.tag[i] == "main" and not out[i]
+            chars[i] = 0 if out[i] else sum(len("".join(x.split())) for x in self.pieces[i] if isinstance(x, str))
+            plain += 0 if marked[i] else chars[i]
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+            mains[self.parent[i]] |= mains[i]
+        for i in range(1, n):
+            out[i] = out[i] or out[self.parent[i]] or (self.named.get(i) == "part" and 2 * chars[i] <= chars[0])
+        articles = [i for i in range(n) if self.tag[i] == "article" and not out[i] and chars[i]]
+        article = at = max(articles, key=lambda i: (chars[i], -i), default=-1)
+        above = set()
+        while at >= 0:
+            above.add(at)
+            at = self.parent[at]
+        for i, kind in self.named.items():
+            holds = mains[i] or i in above and chars[article] >= plain or 2 * chars[i] > chars[0] and (i in above or not articles)
+            if kind == "discussion" or not holds:
+                self.noise[i] = True
+        for i in range(1, n):
+            self.noise[i] = self.noise[i] or self.noise[self.parent[i]]
+
     def _inside(self, node: int, tag: str) -> bool:
         while node >= 0:
             if self.tag[node] == tag:
@@ -173,8 +219,8 @@ class Dom:
         whole = next((i for i in path if self.tag[i] in ("article", "main")), best)
         out = [whole]
         if self.tag[whole] not in ("article", "main", "body"):
-            beside = [x for x in self.pieces[self.parent[whole]] if isinstance(x, int) and x != whole and not self.noise[x]]
-            out += [x for x in beside if density[x] >= least and (total[x] >= 0.3 * total[best] or self.tag[x] in ("h1", "h2"))]
+            for node in path[:-1]:
+                out += [x for x in self.pieces[self.parent[node]] if isinstance(x, int) and x != node and not self.noise[x] and density[x] and density[x] >= least]
         return sorted(out)
 
     def text(self, roots: list[int]) -> str:

@@ -366,6 +366,29 @@ def test_html():
     assert [html_text.main_text(x) for x in (None, "", "  ", "<p>", "<script>x", "plain & simple", "<p>a<!-- b", "<p>cut <a hre")] == ["", "", "", "", "", "plain & simple", "a", "cut"]
 
 
+def test_html_keeps_dense_parts_beside_the_path():
+    p = "".join(f"<p>{x * 100}</p>" for x in "abcde")
+    want = " ".join(x * 100 for x in "abcde")
+    assert html_text.main_text(f"<body><div>{p}</div><p>{'f' * 150}</p></body>") == f"{want} {'f' * 150}"
+    # Beside an ancestor of the chosen node, and a section with a small share of the sum.
+    assert html_text.main_text(f"<body><div><div>{p}</div></div><div><p>{'f' * 400}</p></div></body>") == f"{want} {'f' * 400}"
+    assert html_text.main_text(f"<body><div>{p}</div><p><a href=1>{'f' * 150}</a></p></body>") == want
+
+
+def test_html_wrappers_with_noise_words():
+    p = "".join(f"<p>{x * 100}</p>" for x in "abcde")
+    want = " ".join(x * 100 for x in "abcde")
+    side, talk = f"<div class=sidebar>{'s' * 50}</div>", f"<div id=comments><p>{'t' * 900}</p></div>"
+    for wrapper in ("layout has-sidebar", "widget", "page-with-banner"):
+        for inner in (f"<article>{p}</article>", f"<main>{p}</main>", f"<div>{p}</div>"):
+            assert html_text.main_text(f'<body><div class="{wrapper}">{inner}{side}</div></body>') == want
+        assert html_text.main_text(f'<body><div class="{wrapper}"><article>{p}</article></div>{talk}</body>') == want
+    assert html_text.main_text(f'<body><div class="sidebar related"><article><p>{"c" * 90}</p></article></div><div>{p}</div>{talk}</body>') == want
+    assert html_text.main_text(f'<body><div class="layout has-sidebar"><div>{p}</div></div><div class=related><article><p>{"c" * 90}</p></article></div></body>') == want
+    assert html_text.main_text(f'<body><div class="post has-comments">{p}</div><div class="post-comments"><p>{"t" * 900}</p></div></body>') == want
+    assert html_text.main_text(f"<body><article>{p}</article><div class=sidebar>{'s' * 2000}</div></body>") == want
+
+
 def test_html_query(spark, sf_dir):
     got = registry.QUERIES["op7_html_text"](spark, sf_dir).collect()
     for r, page in zip(sorted(got, key=lambda r: r.page_id), table(spark, sf_dir, "pages").orderBy("page_id").collect()):
