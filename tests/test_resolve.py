@@ -70,3 +70,13 @@ def test_components(spark):
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
     assert got == {x: root(x) for x in parent}
     assert graph.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_equal_documents_behind_a_shared_beginning(spark, tmp_path):
+    from shoalmark.plans import registry
+
+    head = "the same beginning " * 8
+    rows = [(1, head + "one", "s"), (2, head + "two", "s"), (3, head + "two", "s"), (4, head + "two", "t"), (5, "apart", "s")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.idx: r.cluster for r in registry.QUERIES["dedup_constrained_clusters"](spark, str(tmp_path)).collect()}
+    assert len(got) == 5 and got[2] == got[3] and got[1] != got[2] and got[5] not in (got[1], got[2])
