@@ -8,11 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the session's spark.checkpoint.dir; sets a new folder only where the session has none."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder of checkpoints, which driver and executors share: the session's spark.checkpoint.dir.
+
+    A session without one gets a new folder only where all runs in one process (a local master); on a cluster, whose
+    executors could not read it, that is an error.
+    """
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shoalmark-"))
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    known = sc._jsc.sc().getCheckpointDir()
+    if not at and known.isDefined():
+        at = known.get()
+    if not at:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = tempfile.mkdtemp(prefix="shoalmark-")
+    if known.isEmpty():
+        sc.setCheckpointDir(at)
+    return at.rstrip("/")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
