@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -14,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import checkpoint_dir
+
 #: ASCII white space: the complement of the word pattern [^\x20\x09-\x0D]+.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 IS_SPACE = np.zeros(256, bool)
@@ -40,17 +41,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where the session has none, a new one is set."""
-    sc = spark.sparkContext
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = sc._jsc.sc().getCheckpointDir()
-        at = at.get() if at.isDefined() else None
-    if not at:
-        at = tempfile.mkdtemp(prefix="shoalmark-")
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(at)
-    return at.rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir.  Where a session has none, one on a cluster is an
+    error, and one in a single process (a local master, as in tests) gets a new folder."""
+    return checkpoint_dir(spark)
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -66,23 +59,45 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores behind as make it differ from all columns (letter case aside)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def named(out: DataFrame, **given: str) -> DataFrame:
+    """out with its columns renamed as given; another column that would bear one of those names gets an underscore behind."""
+    others = [c for c in out.columns if c not in given]
+    new = dict(zip(others, unused(list(given.values()), *others)))
+    return out.toDF(*[given.get(c) or new[c] for c in out.columns])
+
+
 def crc_mod(column: str, n: int):
     """crc32 of the column as text, modulo n: the folds of held-out rows."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int, id_col: str = "doc_id") -> DataFrame:
-    """docs with the column label of about `rows` rows of each label of labels (id_col, label), by a hash of the id.
+    """docs with the columns label and weight of about `rows` rows of each label of labels (id_col, label), by a hash of the id.
 
-    Only ids and labels are sampled, and the sample, whose size `rows` bounds, is broadcast: no text is shuffled.
+    weight: the rows of its label that a row stands for, so that weighted labels have the shares of all labelled rows at
+    every size.  Only ids and labels are sampled, and the sample, whose size `rows` bounds, is broadcast: no text is shuffled.
     """
     known = labels.where(F.col("label").isNotNull() & F.col(id_col).isNotNull()).select(id_col, "label")
     sizes = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    weight = F.lit(None).cast("double")
+    for label, n in sizes.items():
+        weight = F.when(F.col("label") == label, max(1.0, n / rows)).otherwise(weight)
     part = F.pmod(F.xxhash64(id_col, F.lit(3)), F.lit(1_000_000))
     taken = F.lit(False)
     for label, n in sizes.items():
         taken = taken | ((F.col("label") == label) & (part < min(1_000_000, -(-1_000_000 * rows // n))))
-    return docs.join(F.broadcast(known.where(taken)), id_col)
+    return docs.join(F.broadcast(known.where(taken).withColumn("weight", weight)), id_col)
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -196,6 +196,62 @@ def test_links_by_position_lists(spark, list_bytes):
     assert got == want
 
 
+def clustered(rng, n, centres, most):
+    out = []
+    for _ in range(n):
+        p = rng.choice(centres)
+        for b in rng.sample(range(64), rng.randint(0, most)):
+            p ^= 1 << b
+        out.append(p)
+    return list(dict.fromkeys(out))
+
+
+def signed(p):
+    return p - (1 << 64) if p >> 63 else p
+
+
+@pytest.mark.parametrize("bits,list_bytes", [(4, 2), (4, None), (3, 2), (5, 2)])
+def test_count_filter_rejects_pairs(spark, bits, list_bytes):
+    """Pairs that meet have the tally that counting their positional bytes gives, and the filter drops some of them."""
+    rng = random.Random(bits)
+    prints = clustered(rng, 300, [rng.getrandbits(64) for _ in range(12)], 9)
+    sets = simhash_dedup.position_sets(8 - bits, min(list_bytes or 2, 8 - bits))
+    lists = simhash_dedup._lists(spark.createDataFrame([(signed(p),) for p in prints], "fp bigint"), sets)
+    met = simhash_dedup.meetings(lists, sets).collect()
+    unsigned = lambda p: p % (1 << 64)
+    shared = lambda a, b: sum(a >> 8 * k & 255 == b >> 8 * k & 255 for k in range(8))
+    assert all(r.tally == shared(unsigned(r.a), unsigned(r.b)) and r.bits == (unsigned(r.a) ^ unsigned(r.b)).bit_count() for r in met)
+    assert len({(r.a, r.b) for r in met}) == len(met)
+    pairs = {tuple(sorted((signed(a), signed(b)))) for a, b in itertools.combinations(prints, 2) if shared(a, b) >= 8 - bits}
+    reached = {(r.a, r.b) for r in met if r.tally >= 8 - bits}
+    assert reached == pairs and len(met) > len(reached) > sum(r.bits <= bits for r in met) > 0
+
+
+@pytest.mark.parametrize("bits", [4, 3, 1])
+def test_dense_lists_connect_the_same(spark, bits):
+    from shoalmark.operators.graph import components
+
+    rng = random.Random(bits + 20)
+    prints = clustered(rng, 400, [rng.getrandbits(64) for _ in range(8)], 5)
+    rows = spark.createDataFrame([(signed(p),) for p in prints], "fp bigint")
+    for dense in (0, 20):
+        links = simhash_dedup.links(rows, bits, min(2, 8 - bits), dense)
+        assert all((r.a % (1 << 64) ^ r.b % (1 << 64)).bit_count() <= bits for r in links.collect())
+        root = {r.node: r.root for r in components(links).collect()}
+        got = [root.get(signed(p), signed(p)) for p in prints]
+        assert got == plain_components([signed(p) for p in prints], prints, bits)
+
+
+def test_clashing_names(spark):
+    rows = spark.createDataFrame([(1, "same text of some words here", 5, "p"), (2, "same text of some words here", 6, "q"), (2, "same text of some words here", 7, "r"), (None, "other words", 8, "s")], "fp int, text string, head int, content string")
+    out = simhash_dedup.near_duplicates(rows, id_col="fp")
+    assert out.columns == ["fp", "fp_", "component_id"] and sorted(r.component_id or 0 for r in out.collect()) == [0, 1, 1, 1]
+    kept = simhash_dedup.dedup(rows, id_col="fp")
+    assert kept.columns == rows.columns and sorted(r.head for r in kept.collect()) == [5, 8]
+    first = rows.withColumn("_head", F.lit(1)).withColumn("_n", F.lit(1)).withColumn("_content", F.lit(1)).withColumn("first", F.lit(2))
+    assert simhash_dedup.dedup(first, id_col="fp").count() == 2
+
+
 def test_position_sets_cover():
     for least, size in ((4, 3), (4, 2), (4, 4), (3, 2)):
         sets = simhash_dedup.position_sets(least, size)
