@@ -1,9 +1,10 @@
 """HTML extraction by composite text density.
 
 Every DOM node has the characters and tags below it, and those of them in links; its composite density is characters per
-tag, times a logarithm that falls with the share of links (its base grows with the share in the whole body).  The node
+tag, times a logarithm that falls with the share of links (its base grows with the share in the whole body).  The block
 whose children's densities have the greatest sum is the main part; the least density on its path to the body is the
-threshold that parts beside it must reach.
+threshold that parts beside the path must reach.  A run of bare text and text markup beside blocks is a part like a block.
+No tag or name says what the main part is; menus, adverts, notices and the like, which elements and names mark, take no part.
 """
 
 from __future__ import annotations
@@ -17,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, table, trimmed
+from .common import named, slices, table, trimmed
 
 # Elements by their kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math object xmp noframes".split())
-NOISE = frozenset("nav header footer aside form button select dialog menu script style noscript template iframe svg math object textarea title head".split())
+RAW = frozenset("script style title textarea noscript template iframe xmp noframes".split())
+# Those of them that last to the end of a page that doesn't end them; the others are then empty.
+RAW_TO_END = frozenset("script style title textarea xmp".split())
+NOISE = frozenset("nav header footer aside form button select dialog menu script style noscript template iframe textarea title desc metadata head".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -37,13 +40,20 @@ P_SCOPE = frozenset("article aside blockquote body caption div dd dl dt fieldset
 NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget complementary contentinfo alert".split()
 )
+# Words beside which a noise word still names such a block (related posts, but not related work).
+COMPANIONS = frozenset(
+    "all area article articles bar block blog body bottom box btn button buttons center col column container content count entry feed fixed form global google group head header heading holder icon icons inline inner item items js left link links list main mobile module more my news nested outer page panel post posts primary right row secondary section site slot small sticky sub text the this title to top unit us view wrap wrapper".split()
+)
 # Those of blocks that can hold more text than the article and still aren't part of it.
 DISCUSSION = frozenset("comment comments disqus replies reply respond".split())
+# Those that as a whole name are never the article, however short that is beside them.
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising promo promoted promotion sponsor sponsored cookie cookies consent".split())
 # Words beside which they say something of a page or an article that has, or lacks, such a block.
 SAYING = frozenset("closed has hide no open show with without".split())
+#: The share of a block's text from which it counts as nearly all.
+NEARLY = 0.9
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*)>?", re.S)
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -52,23 +62,25 @@ class Dom:
 
     def __init__(self, html: str):
         self.tag, self.parent, self.noise, self.pieces = ["#root"], [-1], [False], [[]]
-        self.named: dict[int, str] = {}  # nodes that only class, id or role marks: as "discussion", "part" (by a whole name) or "other"
+        self.named: dict[int, str] = {}  # nodes that only class, id or role marks: as "never", "part" (by a whole name) or "other"
         self._parse(html)
         if self.named:
             self._judge_names()
 
     def _open(self, tag: str, attributes: str, parent: int) -> int:
-        names = ["".join(m) for m in _NAMES.findall(attributes)] if "=" in attributes else ()
-        words = {w.lower() for x in names for w in _PARTS.split(x)}
-        firm = tag in NOISE or bool(attributes and _HIDDEN.search(attributes))
-        noise = self.noise[parent] or firm
+        found = _NAMES.findall(attributes) if "=" in attributes else ()
+        # An id inside an article is mostly the anchor of a heading: it only names discussions.
+        anchors = any(kind.lower() == "id" for kind, *_ in found) and self._inside(parent, "article")
+        marks = [(x, anchors and kind.lower() == "id") for kind, *value in found for x in "".join(value).split()]
+        noise = self.noise[parent] or tag in NOISE
         exempt = tag in ("body", "html", "main") or tag == "header" and self._inside(parent, "article")  # the head of the article, not of the page
         if not self.noise[parent] and exempt:
             noise = False
-        elif not noise and words & NOISE_WORDS:
-            each = [{w.lower() for w in _PARTS.split(x)} for name in names for x in name.split()]
-            part = any(x.lower() in NOISE_WORDS for name in names for x in name.split())
-            self.named[len(self.tag)] = "discussion" if any(x & DISCUSSION and not x & SAYING for x in each) else "part" if part else "other"
+        elif not noise and marks:
+            each = [(x.lower(), {w.lower() for w in _PARTS.split(x)} - {""}, anchor) for x, anchor in marks]
+            each = [(x, words) for x, words, anchor in each if words & NOISE_WORDS and (words <= NOISE_WORDS | COMPANIONS) and (not anchor or words & DISCUSSION)]
+            if each:
+                self.named[len(self.tag)] = "never" if any(x in ADVERTS or words & DISCUSSION and not words & SAYING for x, words in each) else "part" if any(x in NOISE_WORDS for x, _ in each) else "other"
         self.tag.append(tag)
         self.parent.append(parent)
         self.noise.append(noise)
@@ -80,8 +92,8 @@ class Dom:
         """Makes noise of the nodes that their names mark and of what is below them, except those that hold the main text.
 
         A node holds it with a main element, with the article (the longest one, if it is no shorter than all text outside
-        marked nodes), or with over half of the body's text where no article stands outside.  Discussions never do, their
-        text doesn't count, and articles in a part that is named as such (related, sidebar) don't if it has under half.
+        marked nodes), or with over half of the body's text where no article stands outside.  Discussions and adverts never do,
+        their text doesn't count, and articles in a part that is named as such (related, sidebar) don't if it has under half.
         """
         n = len(self.tag)
         marked, out, mains = [False] * n, list(self.noise), [False] * n
@@ -89,7 +101,7 @@ class Dom:
         for i in range(n):
             up = self.parent[i]
             marked[i] = i in self.named or up >= 0 and marked[up]
-            out[i] = out[i] or self.named.get(i) == "discussion" or up >= 0 and out[up]
+            out[i] = out[i] or self.named.get(i) == "never" or up >= 0 and out[up]
             mains[i] = self.tag[i] == "main" and not out[i]
             chars[i] = 0 if out[i] else sum(len("".join(x.split())) for x in self.pieces[i] if isinstance(x, str))
             plain += 0 if marked[i] else chars[i]
@@ -106,7 +118,7 @@ class Dom:
             at = self.parent[at]
         for i, kind in self.named.items():
             holds = mains[i] or i in above and chars[article] >= plain or 2 * chars[i] > chars[0] and (i in above or not articles)
-            if kind == "discussion" or not holds:
+            if kind == "never" or not holds:
                 self.noise[i] = True
         for i in range(1, n):
             self.noise[i] = self.noise[i] or self.noise[self.parent[i]]
@@ -166,21 +178,25 @@ class Dom:
             if tag == "body":
                 del stack[2 if len(stack) > 1 and tags[stack[1]] == "html" else 1 :]
             node = self._open(tag, m[3], stack[-1])
-            if tag in RAW:
+            closed = m[3].endswith("/")
+            if tag in RAW and not closed:
                 end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(html, at)
-                if not end:
+                if tag == "xmp":
+                    self.pieces[node].append(html[at : end.start() if end else len(html)])
+                if end:
+                    at = end.end()
+                elif tag in RAW_TO_END:
                     return
-                at = end.end()
-            elif tag not in VOID and not m[3].endswith("/"):
+            elif tag not in VOID and not closed:
                 stack.append(node)
         text(at, len(html))
 
-    def densities(self) -> tuple[list[float], list[float]]:
-        """The composite density of each node and the sum over its children; noise has and adds none."""
+    def _counts(self) -> tuple[list[int], list[int], list[int], list[int]]:
+        """Characters (without white space) and tags below each node, and those of them in links."""
         n = len(self.tag)
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         for i in range(n):
-            chars[i] = sum(len("".join(x.split())) for x in self.pieces[i] if isinstance(x, str))
+            chars[i] = sum(_size(x) for x in self.pieces[i] if isinstance(x, str))
         for i in range(n - 1, 0, -1):
             up = self.parent[i]
             if self.tag[i] == "a":
@@ -189,59 +205,105 @@ class Dom:
             tags[up] += tags[i] + 1
             link_chars[up] += link_chars[i]
             link_tags[up] += link_tags[i]
-        body = next((i for i in range(n) if self.tag[i] == "body"), 0)
-        in_body = link_chars[body] / max(1, chars[body])
+        return chars, tags, link_chars, link_tags
+
+    def densities(self) -> tuple[list[float], list[float]]:
+        """The composite density of each node and the sum over its children; noise has and adds none."""
+        n, of = len(self.tag), self._counts()
+        in_body = self._link_share(of)
         density, total = [0.0] * n, [0.0] * n
         for i in range(n):
-            c, t, lc, lt = chars[i], max(1, tags[i]), max(1, link_chars[i]), max(1, link_tags[i])
-            if not c or self.noise[i]:
-                continue
-            base = math.log(c * link_chars[i] / max(1, c - link_chars[i]) + in_body * c + math.e)
-            gain = math.log(max(1.0, c / lc * t / lt)) / math.log(base) if base > 1.0000001 else math.log(max(1.0, c / lc * t / lt)) + 1
-            density[i] = c / t * gain
+            if of[0][i] and not self.noise[i]:
+                density[i] = composite(*(x[i] for x in of), in_body)
         for i in range(1, n):
             total[self.parent[i]] += density[i]
         return density, total
 
-    def main(self) -> list[int]:
-        """The roots of the main part, in page order."""
+    def _body(self) -> int:
+        return next((i for i, t in enumerate(self.tag) if t == "body"), 0)
+
+    def _link_share(self, of: tuple[list[int], ...]) -> float:
+        body = self._body()
+        return of[2][body] / max(1, of[0][body])
+
+    def main(self) -> list:
+        """The main part: pieces (node or text) in page order."""
         density, total = self.densities()
-        body = next((i for i, t in enumerate(self.tag) if t == "body"), 0)
+        of, body = self._counts(), self._body()
+        in_body = self._link_share(of)
         allowed = [i for i in range(len(self.tag)) if not self.noise[i] and self.tag[i] not in ("#root", "html")] or [0]
         best = max(allowed, key=lambda i: (total[i], -i))
         if not total[best]:
             return [body]
-        path, node = [best], best
-        while node not in (body, 0) and self.parent[node] >= 0:
-            node = self.parent[node]
-            path.append(node)
+        while best not in (body, 0) and self.tag[best] not in BLOCKS:  # text markup is no part of its own
+            best = self.parent[best]
+        path = [best]
+        while path[-1] not in (body, 0):
+            path.append(self.parent[path[-1]])
         least = min((density[i] for i in path if i and density[i]), default=0.0)
-        whole = next((i for i in path if self.tag[i] in ("article", "main")), best)
-        out = [whole]
-        if self.tag[whole] not in ("article", "main", "body"):
-            for node in path[:-1]:
-                out += [x for x in self.pieces[self.parent[node]] if isinstance(x, int) and x != node and not self.noise[x] and density[x] and density[x] >= least]
-        return sorted(out)
-
-    def text(self, roots: list[int]) -> str:
-        """The text below the roots without noise: blocks, their white space made one space, joined by one space."""
+
+        def run_density(run: list) -> float:
+            nodes = [x for x in run if not isinstance(x, str)]
+            chars = sum(_size(x) for x in run if isinstance(x, str)) + sum(of[0][x] for x in nodes)
+            in_links = [sum(of[k][x] for x in nodes) for k in (2, 3)]
+            return composite(chars, sum(of[1][x] + 1 for x in nodes), *in_links, in_body) if chars else 0.0
+
+        def parts(node: int, on: int) -> list[tuple[list, int, bool, bool]]:
+            """The parts of a node of the path, `on` being the next one: pieces, characters, whether dense, whether in no link."""
+            out, run = [], []
+
+            def end_run() -> None:
+                if chars := sum(_size(x) if isinstance(x, str) else of[0][x] for x in run):
+                    out.append(([" ", *run, " "], chars, run_density(run) >= least, not any(of[2][x] for x in run if not isinstance(x, str))))
+                run.clear()
+
+            for x in self.pieces[node]:
+                if isinstance(x, str) or self.tag[x] not in BLOCKS and x != on:
+                    if isinstance(x, str) or not self.noise[x]:
+                        run.append(x)
+                    continue
+                end_run()
+                if x == on or density[x]:
+                    out.append(([x], of[0][x], x == on or density[x] >= least, not of[2][x]))
+            end_run()
+            return out
+
+        kept = [best]
+        for on, node in zip(path, path[1:]):
+            found = parts(node, on)
+            # Beside dense parts that hold nearly all of a block its short ones stay, too, unless they link.
+            whole = node not in (body, 0) and sum(c for _, c, dense, _ in found if dense) >= NEARLY * sum(c for _, c, _, _ in found)
+            kept = [y for x, _, dense, plain in found if dense or whole and plain for y in (kept if x == [on] else x)]
+        return kept
+
+    def text(self, pieces: list) -> str:
+        """The text of pieces and below them without noise: blocks, their white space made one space, joined by one space."""
         out: list[str] = []
-        for root in roots:
-            todo: list = [root]
-            while todo:
-                x = todo.pop()
-                if isinstance(x, str):
-                    out.append(x)
-                elif not self.noise[x]:
-                    block = self.tag[x] in BLOCKS
-                    if block:
-                        out.append(" ")
-                        todo.append(" ")
-                    todo.extend(reversed(self.pieces[x]))
-            out.append(" ")
+        todo: list = list(reversed(pieces))
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                out.append(x)
+            elif not self.noise[x]:
+                if self.tag[x] in BLOCKS:
+                    out.append(" ")
+                    todo.append(" ")
+                todo.extend(reversed(self.pieces[x]))
         return " ".join("".join(out).split())
 
 
+def _size(text: str) -> int:
+    return len("".join(text.split()))
+
+
+def composite(chars: int, tags: int, link_chars: int, link_tags: int, in_body: float) -> float:
+    """Composite density: characters per tag times a logarithm that falls with the links' share; in_body: their share in the body."""
+    t, lc, lt = max(1, tags), max(1, link_chars), max(1, link_tags)
+    base = math.log(chars * link_chars / max(1, chars - link_chars) + in_body * chars + math.e)
+    gain = math.log(max(1.0, chars / lc * t / lt))
+    return chars / t * (gain / math.log(base) if base > 1.0000001 else gain + 1)
+
+
 def main_text(html: str | None) -> str:
     """The main text of a page; null, empty and textless pages have an empty one."""
     if not html or not html.strip():
@@ -251,7 +313,7 @@ def main_text(html: str | None) -> str:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(id_col, url_col, text, n_chars) for each row of pages; no shuffle.
+    """(id_col, url_col, text, n_chars) for each row of pages; no shuffle.  A page is held whole, as nodes of Python.
 
     Null and empty pages and pages without text have an empty text.  Tags that a page leaves open end with their block,
     a tag that its end cuts off is dropped.  Repeated rows give repeated rows, null ids and urls stay null, an empty table
@@ -267,7 +329,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     kinds = dict(rows.dtypes)
     out = rows.mapInArrow(trimmed(run), f"id {kinds['id']}, url {kinds['url']}, text string, n_chars bigint")
-    return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars")
+    return named(out, id=id_col, url=url_col)
 
 
 def op7_html_text(spark, sf_dir: str) -> DataFrame:

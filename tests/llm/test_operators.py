@@ -445,6 +445,122 @@ def test_html_wrappers_with_noise_words():
     assert html_text.main_text(f"<body><article>{p}</article><div class=sidebar>{'s' * 2000}</div></body>") == want
 
 
+def test_html_raw_and_foreign_elements():
+    """Self-closing and unended elements don't swallow text, comments nest no further than HTML has them."""
+    for x in ("<svg/>", "<object/>", "<iframe/>", "<math/>", "<iframe src=x>", "<script src=x />", "<noscript>", "<template>"):
+        assert html_text.main_text(f"<p>a</p>{x}<p>b</p>") == "a b", x
+    assert html_text.main_text("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b</p>") == "a x=1 b"
+    assert html_text.main_text("<p>a<svg><title>icon</title><path d=x /><text>n</text></svg> b</p><xmp>x <b> y</xmp>") == "an b x <b> y"
+    assert html_text.main_text("<p>a<!-- x <p>gone</p> --> b</p>") == "a b"
+
+
+def test_html_names_inside_an_article():
+    p = "".join(f"<p>{x * 100}</p>" for x in "abcde")
+    want = " ".join(x * 100 for x in "abcde")
+    for name in ('id="related-work"', 'id="search"', 'class="search-results"', 'id="alert"', 'class="shared-memory"'):
+        assert html_text.main_text(f"<body><article>{p}<section {name}><p>Some text of the article.</p></section></article></body>") == f"{want} Some text of the article.", name
+    for name in ('class="related-posts"', 'class="share-buttons"', 'id="comments"', 'class="newsletter-signup"', 'role="navigation"', 'class="ad"'):
+        assert html_text.main_text(f"<body><article>{p}<section {name}><p>Not of the article.</p></section></article></body>") == want, name
+
+
+class Tree(__import__("html.parser", fromlist=["x"]).HTMLParser):
+    """A page as nested lists [tag, pieces], for pages whose elements are all ended."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.root = self.at = ["#root", [], None]
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        node = [tag, [], self.at]
+        self.at[1].append(node)
+        if tag not in html_text.VOID:
+            self.at = node
+
+    def handle_endtag(self, tag):
+        self.at = self.at[2]
+
+    def handle_data(self, data):
+        self.at[1].append(data)
+
+
+def test_html_density_by_brute_force():
+    """The densities and the chosen block of generated pages against recursion over another parser's tree; no page has an article."""
+    import math
+
+    rng = random.Random(9)
+
+    def made(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return f"<p>{'word ' * rng.randint(0, 30)}{'<a href=1>' + 'link ' * rng.randint(1, 5) + '</a>' if rng.random() < 0.3 else ''}{'<b>x</b>' * rng.randint(0, 2)}</p>"
+        return f"<div>{'bare ' * rng.choice((0, 0, 6))}{''.join(made(depth - 1) for _ in range(rng.randint(1, 4)))}</div>"
+
+    def count(node):
+        """(chars, tags, link chars, link tags) below a node."""
+        c = t = lc = lt = 0
+        for x in node[1]:
+            if isinstance(x, str):
+                c += len(re.sub(r"\s", "", x))
+                continue
+            a = count(x)
+            c, t = c + a[0], t + a[1] + 1
+            lc, lt = (lc + a[0], lt + a[1] + 1) if x[0] == "a" else (lc + a[2], lt + a[3])
+        return c, t, lc, lt
+
+    for _ in range(60):
+        html = f"<html><body>{''.join(made(3) for _ in range(rng.randint(1, 4)))}</body></html>"
+        dom, tree = html_text.Dom(html), Tree(html).root
+        density, total = dom.densities()
+        body = tree[1][0][1][0]
+        in_body = count(body)[2] / max(1, count(body)[0])
+
+        def own(node):
+            c, t, lc, lt = count(node)
+            if node[0] == "a":
+                lc, lt = c, t + 1
+            if not c:
+                return 0.0
+            t1, lc1, lt1 = max(1, t), max(1, lc), max(1, lt)
+            base = math.log(c / max(1, c - lc) * lc + in_body * c + math.e)
+            gain = max(0.0, math.log(c * t1 / (lc1 * lt1)))
+            return c / t1 * (gain / math.log(base) if base > 1.0000001 else gain + 1)
+
+        flat = []
+
+        def walk(node):
+            flat.append(node)
+            for x in node[1]:
+                if not isinstance(x, str):
+                    walk(x)
+
+        walk(tree)
+        assert [x[0] for x in flat] == dom.tag
+        assert np.allclose(density, [own(x) for x in flat]) and np.allclose(total, [sum(own(y) for y in x[1] if not isinstance(y, str)) for x in flat])
+        best = max(range(2, len(flat)), key=lambda i: (round(total[i], 9), -i))
+        inside = html_text.main_text(html)
+        assert " ".join("".join(y for y in dom.pieces[best] if isinstance(y, str)).split()) in inside
+        # Every block beside the path that is as dense as the least dense node of the path is whole in the text.
+        node, path = flat[best], []
+        while node[0] not in ("p", "div", "body"):
+            node = node[2]
+        while node is not body:
+            path.append(node)
+            node = node[2]
+        least = min(own(x) for x in [*path, body] if own(x))
+        whole = lambda x: " ".join("".join(s if isinstance(s, str) else f" {whole(s)} " if s[0] in html_text.BLOCKS else whole(s) if s[1] else "" for s in x[1]).split())
+        for x in path:
+            for y in x[2][1]:
+                if not isinstance(y, str) and y not in path and own(y) >= least and y[0] in ("p", "div"):
+                    assert re.sub(r"\s", "", whole(y)) in re.sub(r"\s", "", inside)
+
+
+def test_html_without_articles(spark, sf_dir):
+    for page in table(spark, "/root/testdata/sf0.01", "pages").where("html IS NOT NULL").collect():
+        other = page.html.replace("<article>", '<div class="post">').replace("</article>", "</div>")
+        assert html_text.main_text(other) == html_text.main_text(page.html)
+
+
 def test_html_query(spark, sf_dir):
     got = registry.QUERIES["op7_html_text"](spark, sf_dir).collect()
     for r, page in zip(sorted(got, key=lambda r: r.page_id), table(spark, sf_dir, "pages").orderBy("page_id").collect()):
