@@ -7,9 +7,11 @@ from labelled rows.  An occurrence inside an exception phrase doesn't count.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, slices, table, training_rows, trimmed, written
+from .common import crc_mod, named, slices, table, training_rows, trimmed, written
 
 # Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 LOOKALIKES = {
@@ -47,6 +49,7 @@ def _fold_table() -> dict[int, str | None]:
 
 FOLD = _fold_table()
 _WORDS = re.compile(r"[^\W\d_]+")
+_PAIR = re.compile(r"[^\W\d_]+ [^\W\d_]+")
 
 
 def fold(text: str) -> str:
@@ -55,13 +58,16 @@ def fold(text: str) -> str:
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds and thresholds of the fit: at most about `rows` labelled rows of either label are learned from."""
+    """Bounds and thresholds of the fit: at most about `rows` labelled rows of either label are learned from.
+
+    letters: the least and most of a whole-word entry; stems begin words of any length.
+    """
 
     rows: int = 12000
     least_docs: int = 4
     least_weight: float = 3.0
     stems: tuple[int, ...] = (4, 5, 6, 7)
-    most_terms: int = 20000
+    letters: tuple[int, int] = (3, 30)
 
 
 @dataclass
@@ -107,7 +113,18 @@ class Lexicon:
                     continue
                 if begin not in best or best[begin][1] < weight:
                     best[begin] = end, weight
-        return [(b, e, w) for b, (e, w) in best.items() if not any(x <= b and e <= y for x, y in excused)]
+        if not excused:
+            return [(b, e, w) for b, (e, w) in best.items()]
+        excused.sort()
+        begins, reach = [x for x, _ in excused], []  # reach: the furthest end of the spans up to each
+        for _, y in excused:
+            reach.append(max(y, reach[-1]) if reach else y)
+
+        def inside(b: int, e: int) -> bool:
+            k = bisect_right(begins, b)
+            return k > 0 and reach[k - 1] >= e
+
+        return [(b, e, w) for b, (e, w) in best.items() if not inside(b, e)]
 
     def density(self, text: str | None) -> float:
         """Weight of the occurrences, over the fourth root of the length in thousands of characters."""
@@ -120,15 +137,15 @@ class Lexicon:
         return 1 / (1 + math.exp(-(a + b * math.log1p(self.density(text)))))
 
 
-def _terms(text: str, stems: Iterable[int]) -> set[str]:
+def _terms(text: str, fit: Fit) -> set[str]:
     """Words of a folded text, and their first letters with a * behind."""
-    words = {w for w in _WORDS.findall(fold(text)) if 3 <= len(w) <= 30}
-    return words | {w[:k] + "*" for w in words for k in stems if len(w) >= k}
+    words, (least, most) = set(_WORDS.findall(fold(text))), fit.letters
+    return {w for w in words if least <= len(w) <= most} | {w[:k] + "*" for w in words for k in fit.stems if len(w) >= k}
 
 
 def _contexts(text: str, keep: frozenset[str], stems: Iterable[int]) -> dict[str, int]:
     """The terms of a text that are in keep, each with a hash of the words around its first occurrence."""
-    words = [w for w in _WORDS.findall(fold(text)) if len(w) <= 30]
+    words = _WORDS.findall(fold(text))
     out: dict[str, int] = {}
     for i, w in enumerate(words):
         for t in (w, *(w[:k] + "*" for k in stems if len(w) >= k)):
@@ -154,61 +171,65 @@ def _chosen(found: list[dict[str, int]], clean: Counter, n_clean: int, fit: Fit)
 
     pure = {t: d for t, d in docs_of.items() if weight(t) >= fit.least_weight and evidence[t] >= fit.least_docs}
     left, out = {t: dict(d) for t, d in pure.items()}, {}
-    gain = {t: evidence[t] for t in pure}
-    while left:
-        term = max(left, key=lambda t: (gain[t], evidence[t], len(t), t))
+    terms_in: dict[int, list[str]] = defaultdict(list)
+    for t, docs in pure.items():
+        for i in docs:
+            terms_in[i].append(t)
+    # What a term still explains only falls, so the top of the heap is looked at again before it is taken.
+    heap = [(-evidence[t], -evidence[t], -len(t), -k, t) for k, t in enumerate(sorted(pure))]
+    heapq.heapify(heap)
+    while heap:
+        gain, *tie, term = heapq.heappop(heap)
+        now = len(set(left[term].values()))
+        if now < fit.least_docs:
+            continue
+        if now < -gain:
+            heapq.heappush(heap, (-now, *tie, term))
+            continue
         out[term] = weight(term)
-        gone = set(left[term])
-        for t in list(left):
-            if gone & left[t].keys():
-                left[t] = {i: c for i, c in left[t].items() if i not in gone}
-                gain[t] = len(set(left[t].values()))
-            if gain[t] < fit.least_docs:
-                del left[t]
+        for i in list(left[term]):
+            for t in terms_in[i]:
+                left[t].pop(i, None)
     # Whole words whose purity chance would not give any of the terms weigh in beside them.
     rare = math.log(n / (n + n_clean))
     return out | {t: weight(t) for t in pure if t not in out and not t.endswith("*") and clean[t] == 0 and evidence[t] * rare < -math.log(1000 * max(1, len(docs_of)))}
 
 
 def learn(labelled: DataFrame, fit: Fit = Fit(), exceptions: Iterable[str] = EXCEPTIONS) -> Lexicon:
-    """A lexicon from rows (id, text, label); rows with a null text or label aren't used.
+    """A lexicon from rows (text, label and, if there is one, weight); rows with a null text or label aren't used.
 
-    Of each label about fit.rows rows are taken, by a hash of their text, and equal texts count once.  Without rows of
+    Of each label about fit.rows rows are taken, by a hash of their text.  Equal texts count once, with the label that most
+    of their rows have; where both have as many, the text isn't used.  weight: the rows that a row stands for; the score's
+    curve takes the labels at their weighted shares, so that a score means the same whatever was sampled.  Without rows of
     both labels the lexicon is empty, and its score is the same low one everywhere.
+
+    To the driver come the terms that are purely toxic and, for each toxic row of the sample, those that it has: fit.rows
+    bounds both.
     """
     spark = labelled.sparkSession
-    rows = labelled.where("text IS NOT NULL AND label IN (0, 1)").select("text", F.col("label").cast("int").alias("label"))
-    hashed = rows.select("label", F.pmod(F.xxhash64("text"), F.lit(1_000_000)).alias("h"))
-    sizes = {r.label: r.n for r in hashed.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
+    weight = F.col("weight").cast("double") if "weight" in labelled.columns else F.lit(1.0)
+    rows = labelled.where("text IS NOT NULL AND label IN (0, 1)").select("text", F.col("label").cast("int").alias("label"), weight.alias("weight"))
+    totals = {r.label: r for r in rows.groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("weight")).collect()}
+    if len(totals) < 2:
         return Lexicon({}, tuple(exceptions)).built()
-    share = {k: min(1_000_000, math.ceil(1_000_000 * fit.rows / n)) for k, n in sizes.items()}
+    share = {k: min(1_000_000, math.ceil(1_000_000 * fit.rows / r.n)) for k, r in totals.items()}
     bound: Column = F.when(F.col("label") == 1, share[1]).otherwise(share[0])
-    sample = written(rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < bound).withColumn("key", F.xxhash64("text")).dropDuplicates(["key"]))
-    stems = fit.stems
+    taken = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < bound)
+    voted = taken.groupBy(F.xxhash64("text").alias("key")).agg(F.first("text").alias("text"), F.avg("label").alias("vote")).where("vote <> 0.5")
+    sample = written(voted.select("text", (F.col("vote") > 0.5).cast("int").alias("label")))
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = Counter(t for text in batch.column(0).to_pylist() for t in _terms(text, stems))
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["term", "n"])
-
-    toxic, clean = sample.where("label = 1").select("text", "key"), sample.where("label = 0").select("text")
-    counts = toxic.select("text").mapInArrow(trimmed(terms), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-    often = {r.term: r.n for r in counts.where(F.col("n") >= fit.least_docs).orderBy(F.desc("n"), "term").limit(20 * fit.most_terms).toLocalIterator()}
-    names = spark.sparkContext.broadcast(frozenset(often))
-
-    def clean_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep, total = names.value, Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total.update(_terms(text, stems) & keep)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["term", "n"])
+            found = Counter((label, t) for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for t in _terms(text, fit))
+            yield pa.RecordBatch.from_arrays([pa.array([t for _, t in found], pa.string()), pa.array([k for k, _ in found], pa.int32()), pa.array(list(found.values()), pa.int64())], ["term", "label", "n"])
 
-    in_clean = Counter({r.term: r.n for r in clean.mapInArrow(trimmed(clean_terms), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()})
-    n_toxic, n_clean = toxic.count(), clean.count()
-    weight = lambda t: math.log((often[t] + 0.5) / (n_toxic + 1)) - math.log((in_clean[t] + 0.5) / (n_clean + 1))
-    pure = sorted((t for t in often if weight(t) >= fit.least_weight), key=lambda t: (-often[t], t))[: fit.most_terms]
-    kept = spark.sparkContext.broadcast(frozenset(pure))
+    sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    of = F.when(F.col("label") == 1, F.col("n")), F.when(F.col("label") == 0, F.col("n"))
+    counts = sample.mapInArrow(trimmed(terms), "term string, label int, n bigint").groupBy("term").agg(F.coalesce(F.sum(of[0]), F.lit(0)).alias("toxic"), F.coalesce(F.sum(of[1]), F.lit(0)).alias("clean"))
+    purity = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
+    in_clean = Counter({r.term: r.clean for r in counts.where((F.col("toxic") >= fit.least_docs) & (purity >= fit.least_weight)).toLocalIterator()})
+    kept, stems = spark.sparkContext.broadcast(frozenset(in_clean)), fit.stems
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = kept.value
@@ -217,10 +238,11 @@ def learn(labelled: DataFrame, fit: Fit = Fit(), exceptions: Iterable[str] = EXC
             terms = pa.array([[t for t, _ in x] for x in found], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([terms, pa.array([[c for _, c in x] for x in found], pa.list_(pa.int64()))], ["terms", "contexts"])
 
-    found = [dict(zip(r.terms, r.contexts)) for r in toxic.select("text").mapInArrow(trimmed(sets), "terms array<string>, contexts array<bigint>").toLocalIterator()]
+    toxic = sample.where("label = 1").select("text")
+    found = [dict(zip(r.terms, r.contexts)) for r in toxic.mapInArrow(trimmed(sets), "terms array<string>, contexts array<bigint>").toLocalIterator()]
     lexicon = Lexicon(_chosen(found, in_clean, n_clean, fit), tuple(exceptions)).built()
     lexicon = _with_exceptions(sample, lexicon)
-    lexicon.curve = _curve(sample, lexicon, sizes)
+    lexicon.curve = _curve(sample, lexicon, {k: r.weight for k, r in totals.items()})
     return lexicon
 
 
@@ -246,17 +268,17 @@ def _with_exceptions(sample: DataFrame, lexicon: Lexicon, least: int = 3) -> Lex
             labels, phrases = [], []
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 folded = fold(text)
-                near = {m[0] for b, _, _ in built.hits(folded) if (m := re.compile(r"[^\W\d_]+ [^\W\d_]+").match(folded, b))}
+                near = {m[0] for b, _, _ in built.hits(folded) if (m := _PAIR.match(folded, b))}
                 labels += [label] * len(near)
                 phrases += near
             yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(phrases, pa.string())], ["label", "phrase"])
 
     found = sample.select("label", "text").mapInArrow(trimmed(run), "label int, phrase string").groupBy("phrase").agg(F.sum(1 - F.col("label")).alias("clean"), F.sum("label").alias("toxic"))
-    more = [r.phrase for r in found.where(f"toxic = 0 AND clean >= {least}").orderBy(F.desc("clean"), "phrase").limit(1000).collect()]
+    more = [r.phrase for r in found.where(f"toxic = 0 AND clean >= {least}").orderBy(F.desc("clean"), "phrase").collect()]
     return Lexicon(lexicon.weights, (*lexicon.exceptions, *more)).built()
 
 
-def _curve(sample: DataFrame, lexicon: Lexicon, sizes: dict[int, int]) -> tuple[float, float]:
+def _curve(sample: DataFrame, lexicon: Lexicon, sizes: dict[int, float]) -> tuple[float, float]:
     """Intercept and slope of a logistic curve of log(1 + density), each label at its share among all labelled rows.
 
     The densities are counted in steps of 0.05 before they leave the executors.
@@ -280,7 +302,8 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col
     """(id_col, score, predicted, n_hits) for each row of docs; no shuffle.
 
     Null and empty texts have no occurrences and so the score of clean text.  Repeated rows give repeated rows, a null
-    id stays null, an empty table gives an empty one, other columns are not read.
+    id stays null, an empty table gives an empty one, other columns are not read.  An id_col called like a result
+    keeps its name, and the result gets an underscore behind.  A text is held whole, with its folded form and its hits.
     """
     plain = Lexicon(lexicon.weights, lexicon.exceptions, lexicon.curve)
 
@@ -301,12 +324,12 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score), pa.array((score >= threshold).astype(np.int32)), pa.array(hits)], ["id", "score", "predicted", "n_hits"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, score double, predicted int, n_hits bigint").withColumnRenamed("id", id_col)
+    return named(rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, score double, predicted int, n_hits bigint"), id=id_col)
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id"), F.col("toxic").alias("label"))
     train = training_rows(docs.select("doc_id", "text"), labels.where(crc_mod("doc_id", 4) != 2), Fit.rows)
-    out = toxicity(docs, learn(train.select("text", "label")))
+    out = toxicity(docs, learn(train.select("text", "label", "weight")))
     return out.select("doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "n_hits")

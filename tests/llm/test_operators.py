@@ -144,6 +144,104 @@ def test_toxic_copies_are_not_evidence(spark):
     assert "unseenword" not in lexicon.weights and "pebble" not in lexicon.weights
 
 
+def naive_hits(lexicon, text):
+    """Every entry tried at every place of the folded text; the heaviest at a place counts, outside exception phrases."""
+    t = toxicity.fold(text or "")
+    excused = [(i, i + len(p)) for p in map(toxicity.fold, lexicon.exceptions) for i in range(len(t)) if t.startswith(p, i)]
+    out = []
+    for i in range(len(t)):
+        if i and t[i - 1].isalpha():
+            continue
+        found = []
+        for term, weight in lexicon.weights.items():
+            word = toxicity.fold(term.rstrip("*"))
+            for form in {word, word.replace("l", "i")}:
+                end = i + len(form)
+                if t.startswith(form, i) and (term.endswith("*") or end == len(t) or not t[end].isalpha()):
+                    found.append((weight, end))
+        if found:
+            weight = max(w for w, _ in found)
+            ends = {e for w, e in found if w == weight}
+            if not any(a <= i and e <= b for a, b in excused for e in ends):
+                out.append((i, weight))
+    return out
+
+
+def test_toxic_matches_by_brute_force():
+    rng = random.Random(5)
+    lexicon = toxicity.Lexicon({"grumbo": 5.0, "nast*": 4.0, "flea": 3.0, "fleazak*": 6.0, "pill": 2.5}, ("nasty weather", "flea market", "grumbo grumbo nast")).built()
+    parts = ["grumbo", "GRUMB0", "nasty", "n4stiko", "flea", "f1ea", "fleazaks", "weather", "market", "pi11", " ", " ", " ", ",", "x", "grúmbo", "nа\u200bsty"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 25)))
+        assert sorted((b, w) for b, _, w in lexicon.hits(toxicity.fold(text))) == naive_hits(lexicon, text), text
+        want = sum(w for _, w in naive_hits(lexicon, text))
+        assert lexicon.density(text) == pytest.approx(want)
+
+
+def test_many_exceptions_take_linear_time():
+    import time
+
+    lexicon = toxicity.Lexicon({"flea": 3.0}, ("flea market",)).built()
+
+    def took(n):
+        text, begin = toxicity.fold("flea market flea pit " * n), time.perf_counter()
+        assert len(lexicon.hits(text)) == n
+        return time.perf_counter() - begin
+
+    took(1000)
+    assert took(80000) < 40 * max(took(8000), 0.01)
+
+
+def test_conflicting_labels_of_one_text(spark):
+    """A text's label is the one that most of its rows have; with as many of both it isn't used, and order doesn't matter."""
+    base = [tuple(r) for r in toxic_corpus(spark).collect()]
+    tied = [(5000 + i, f"tiedword sits in w{i // 2} place", i % 2) for i in range(40)]
+    mostly = [(6000 + i, f"mostword {'abcdefghijkl'[i // 3]} sits w{i // 3} here", int(i % 3 > 0)) for i in range(36)]
+    for rows in (base + tied + mostly, (base + tied + mostly)[::-1]):
+        lexicon = toxicity.learn(spark.createDataFrame(rows, "doc_id bigint, text string, label int"))
+        assert "tiedword" not in lexicon.weights and any("mostword".startswith(t.rstrip("*")) for t in lexicon.weights)
+
+
+def test_a_score_means_the_same_at_every_sample(spark):
+    """The curve and the network follow the labels' shares of all rows, not of those that the fit's bound takes."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(3000):
+        label = int(i % 10 == 0)
+        # One text in three of either label is alike: there a score must be about a tenth.
+        word = "plain" if i % 3 == 0 else "badword" if label else "goodword"
+        rows.append((i, f"{word} " + " ".join(f"w{rng.randint(0, 40)}" for _ in range(20)), label))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    all_rows, few = toxicity.learn(docs, toxicity.Fit(rows=3000)), toxicity.learn(docs, toxicity.Fit(rows=280))
+    assert abs(all_rows.score("plain w1 w2") - few.score("plain w1 w2")) < 0.05 and few.score("plain w1 w2") < 0.2
+    nets = [quality_cnn.learn(docs, quality_cnn.Fit(rows=n, least_steps=300)) for n in (3000, 280)]
+    probes = pa.array([t for _, t, _ in rows if t.startswith("plain")])
+    means = [float(net.score(probes).mean()) for net in nets]
+    assert all(m < 0.3 for m in means) and abs(means[0] - means[1]) < 0.15
+
+
+def test_toxicity_query(spark):
+    from zlib import crc32
+
+    d = "/root/testdata/sf0.01"
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels").select("doc_id", "toxic")
+    out = registry.QUERIES["op2_toxicity"](spark, d)
+    assert out.columns[:4] == ["doc_id", "held_out", "score", "predicted"] and out.count() == docs.count()
+    rows = out.collect()
+    assert all(r.held_out == (crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    held = out.join(labels, "doc_id").where("held_out").toPandas()
+    assert (held.predicted == held.toxic).mean() > 0.9 and held.predicted[held.toxic == 0].mean() < 0.05
+    assert abs(held.score.mean() - held.toxic.mean()) < 0.06
+    # Labels of held-out rows are never read: other ones change nothing.
+    import tempfile
+
+    with tempfile.TemporaryDirectory() as other:
+        docs.write.parquet(f"{other}/documents.parquet")
+        flipped = table(spark, d, "labels").withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+        flipped.write.parquet(f"{other}/labels.parquet")
+        assert {(r.doc_id, r.score) for r in registry.QUERIES["op2_toxicity"](spark, other).collect()} == {(r.doc_id, r.score) for r in rows}
+
+
 # 3
 
 
