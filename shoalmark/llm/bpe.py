@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, raw, slices, small_batches, table, trimmed
+from .common import named, numbered, raw, slices, small_batches, table, trimmed
 
 #: Words whose encoding a worker remembers.
 MOST_WORDS = 200_000
@@ -234,7 +234,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+    return named(rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, ids array<int>, decoded string"), id=id_col)
 
 
 def encode_rows(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -273,7 +273,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(offsets)), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return named(rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"), id=id_col)
 
 
 def op10_bpe(spark, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, numbered, raw, slices, spans, table, trimmed
+from .common import SLICE_BYTES, crc_mod, named, numbered, raw, slices, spans, table, trimmed
 
 # First and last code point of the ranges of letters, by script.
 SCRIPTS = (
@@ -35,15 +35,21 @@ OUTSIDE = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 BLOCK = 32
+#: Numbers that the forward pass holds at once.
+CELLS = 1 << 18
 
 
 @dataclass(frozen=True)
 class Fit:
-    """About `rows` labelled rows of each language are learned from, by a hash of the text."""
+    """About `rows` labelled rows of each language are learned from, by a hash of the text.
+
+    opens: whether a text is in the language that it opens in where that holds a share, which is fitted on those rows; else
+    it is in the one that holds most of it.
+    """
 
     rows: int = 6000
     smoothing: float = 0.3
-    most_languages: int = 64
+    opens: bool = False
 
 
 @dataclass
@@ -129,8 +135,12 @@ def word_scores(words: pa.Array, model: Model, logs: np.ndarray | None = None) -
     return np.maximum(total - total.max(axis=1, keepdims=True), -model.clip)
 
 
-def viterbi(scores: np.ndarray, text_of: np.ndarray, penalty: float) -> np.ndarray:
-    """The best language of each word; scores of the words of all texts in a row, text_of ascending."""
+def viterbi(scores: np.ndarray, text_of: np.ndarray, penalty: float, cells: int = CELLS) -> np.ndarray:
+    """The best language of each word; scores of the words of all texts in a row, text_of ascending.
+
+    Blocks are solved in turns of so many that their languages squared are about `cells` numbers, however long a text is
+    and however many languages there are; between the turns a text hands on one number a language.
+    """
     n, states = scores.shape
     if not n:
         return np.zeros(0, np.int64)
@@ -142,68 +152,82 @@ def viterbi(scores: np.ndarray, text_of: np.ndarray, penalty: float) -> np.ndarr
     nth = np.arange(len(owner)) - first_block[owner]
     start = begin[owner] + nth * BLOCK
     filled = np.minimum(BLOCK, begin[owner] + n_words[owner] - start)
-    steps = int(filled.max())
     padded = np.vstack([scores, np.zeros((1, states))])
-
-    def row(t: int) -> np.ndarray:
-        return padded[np.where(t < filled, start + t, n)]
-
-    # value[block, language before, language now]; a padding word changes nothing.
-    value = row(0)[:, None, :] - penalty * (1 - np.eye(states))
-    back = np.zeros((steps, len(owner), states, states), np.uint8)
-    itself = np.arange(states, dtype=np.uint8)
-    for t in range(1, steps):
-        best = value.max(axis=2, keepdims=True)
-        moved = (best - penalty > value) & (t < filled)[:, None, None]
-        back[t] = np.where(moved, value.argmax(axis=2)[:, :, None].astype(np.uint8), itself)
-        value = np.where(moved, best - penalty, value) + row(t)[:, None, :]
-    # Blocks of a text one after the other, all texts side by side, those with most blocks first.
+    turn = max(1, cells // (states * states))
+    turns = [slice(x, min(x + turn, len(owner))) for x in range(0, len(owner), turn)]
+    small = np.min_scalar_type(states)
+    itself = np.arange(states, dtype=small)
+
+    def row(part: slice, t: int) -> np.ndarray:
+        return padded[np.where(t < filled[part], start[part] + t, n)]
+
+    # Forwards: the value of each block by the languages before and at its end, then along the blocks of each text.
+    ahead, came = np.zeros((len(texts), states)), np.zeros((len(owner), states), small)
+    for part in turns:
+        # value[block, language before, language now]; a padding word changes nothing.
+        value = row(part, 0)[:, None, :] - penalty * (1 - np.eye(states))
+        for t in range(1, int(filled[part].max())):
+            best = value.max(axis=2, keepdims=True) - penalty
+            value = np.where((best > value) & (t < filled[part])[:, None, None], best, value) + row(part, t)[:, None, :]
+        here, at, count = np.unique(owner[part], return_index=True, return_counts=True)
+        by_size = np.argsort(-count, kind="stable")
+        for k in range(int(count.max())):
+            live = by_size[: np.searchsorted(-count[by_size], -k, "left")]
+            block, text = at[live] + k, here[live]
+            total = ahead[text][:, :, None] + value[block]
+            came[part.start + block] = total.argmax(axis=1)
+            ahead[text] = total.max(axis=1)
+    # Backwards along the blocks: the language at the end of each, and the one before it.
     by_size = np.argsort(-n_blocks, kind="stable")
-    sorted_blocks = n_blocks[by_size]
-    ahead = np.zeros((len(texts), states))
-    came = np.zeros((len(owner), states), np.uint8)
-    for k in range(int(sorted_blocks[0])):
-        live = by_size[: np.searchsorted(-sorted_blocks, -k, "left")]
-        block = first_block[live] + k
-        total = ahead[live][:, :, None] + value[block]
-        came[block] = total.argmax(axis=1)
-        ahead[live] = total.max(axis=1)
-    state = ahead.argmax(axis=1)
+    sorted_blocks, state = n_blocks[by_size], ahead.argmax(axis=1)
     last, before = np.zeros(len(owner), np.int64), np.zeros(len(owner), np.int64)
     for k in range(int(sorted_blocks[0]) - 1, -1, -1):
         live = by_size[: np.searchsorted(-sorted_blocks, -k, "left")]
         block = first_block[live] + k
         last[block] = state[live]
         before[block] = state[live] = came[block, state[live]]
+    # Within each block, from the one language before it.
     out = np.zeros(n + 1, np.int64)
-    blocks = np.arange(len(owner))
-    for t in range(steps - 1, -1, -1):
-        out[np.where(t < filled, start + t, n)] = last
-        last = back[t, blocks, before, last]
+    for part in turns:
+        steps, size, now = int(filled[part].max()), filled[part], last[part]
+        value = row(part, 0) - penalty * (itself != before[part][:, None])
+        back = np.empty((steps, len(size), states), small)
+        for t in range(1, steps):
+            best = value.max(axis=1, keepdims=True) - penalty
+            moved = (best > value) & (t < size)[:, None]
+            back[t] = np.where(moved, value.argmax(axis=1)[:, None].astype(small), itself)
+            value = np.where(moved, best, value) + row(part, t)
+        for t in range(steps - 1, -1, -1):
+            out[np.where(t < size, start[part] + t, n)] = now
+            if t:
+                now = back[t, np.arange(len(size)), now]
     return out[:-1]
 
 
-def labels_of(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First byte in its lower-cased text, size, text number and language number of each word."""
-    data, offsets, first, last, text_of = _letters(column)
+def labels_of(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of the lower-cased texts in a row, and first byte in them, end, text number and language number of each word."""
+    data, _, first, last, text_of = _letters(column)
     words, distinct = numbered(data, first, last)
     path = viterbi(word_scores(distinct, model)[words], text_of, model.penalty)
-    return first - offsets[text_of], last - first, text_of, path
+    return data, first, last, text_of, path
 
 
 def language_spans(text: str | None, model: Model) -> list[tuple[str, str]]:
     """(language, stretch of the lower-cased text) of the spans of one language, in order."""
-    at, size, _, path = labels_of(pa.array([text], pa.string()), model)
-    lower = (text or "").lower().encode()
+    data, first, last, _, path = labels_of(pa.array([text], pa.string()), model)
     edges = [0, *(np.flatnonzero(path[1:] != path[:-1]) + 1).tolist(), len(path)]
-    return [(model.languages[path[a]], lower[at[a] : at[b - 1] + size[b - 1]].decode(errors="replace")) for a, b in zip(edges, edges[1:]) if a < b]
+    return [(model.languages[path[a]], data[first[a] : last[b - 1]].tobytes().decode()) for a, b in zip(edges, edges[1:]) if a < b]
 
 
 def learn(rows: DataFrame, fit: Fit = Fit(), **model) -> Model:
-    """A model from rows (text, lang); rows with a null text or lang aren't used; without rows it knows no language."""
+    """A model from rows (text, lang); rows with a null text or lang aren't used; without rows it knows no language.
+
+    All languages of the rows are learned; the model has 65,536 numbers for each, and what is held while it is used grows in
+    proportion to their number, not to its square.
+    """
     rows = rows.where("lang IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
     # Counted without reading the texts: the shares are approximate anyway.
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(fit.most_languages).collect()}
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool))
@@ -236,7 +260,7 @@ def learn(rows: DataFrame, fit: Fit = Fit(), **model) -> Model:
     logs = np.log((grams + fit.smoothing) / (grams.sum(axis=0) + fit.smoothing * BUCKETS))
     used = scripts >= 0.01 * np.maximum(1, scripts.sum(axis=0))
     found = Model(languages, logs.astype(np.float32), used, **model)
-    opening, least = _fitted(sample, found, [model["opening"]] if "opening" in model else OPENINGS)
+    opening, least = _fitted(sample, found, [model["opening"]] if "opening" in model else OPENINGS if fit.opens else OPENINGS[-1:])
     found.opening = opening
     found.least = model.get("least", least)
     return found
@@ -267,7 +291,7 @@ def _fitted(sample: DataFrame, model: Model, openings: Sequence[float]) -> tuple
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = np.zeros((len(openings), STEPS), np.int64)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=_slice(model)):
                 lang = np.array([number[x] for x in part.column(1).to_pylist()])
                 share, opens, logs = _shares(part.column(0), shared.value)
                 for i, least in enumerate(openings):
@@ -288,6 +312,11 @@ def _fitted(sample: DataFrame, model: Model, openings: Sequence[float]) -> tuple
     return openings[best], -(end + (end - middle) / 2)
 
 
+def _slice(model: Model) -> int:
+    """Bytes of text worked on at once: with many languages less, as each word has a number for each."""
+    return SLICE_BYTES * 8 // max(8, len(model.languages))
+
+
 def _shares(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of words of each text by language, the language of its first word (0 without one), and the mean log
     probability of all its n-grams in each language."""
@@ -333,7 +362,7 @@ def _judged(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.n
 def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     """The language of each text and its share of the bytes of words; `und` without a letter or a model.
 
-    It is the one with most, or the one that the text opens in where that holds the share `opening`.
+    It is the one with most; or, in a model with a share `opening`, the one that the text opens in where that holds the share.
     """
     return _judged(column, model)[:2]
 
@@ -348,14 +377,16 @@ def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """(id_col, lang_pred, score) for each row of docs; no shuffle.
 
     `und` with score 0 for null and empty texts, texts without a letter, and a model without languages.  Repeated rows
-    give repeated rows, a null id stays null, an empty table gives an empty one, other columns are not read.
+    give repeated rows, a null id stays null, an empty table gives an empty one, other columns are not read.  An id_col
+    called like a result keeps its name, and the result gets an underscore behind.  A text is held whole, with some numbers
+    for each of its words.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 65,536 buckets of at most 64 languages
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 65,536 numbers for each learned language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=_slice(known)):
                 if known.languages:
                     lang, score = predict(part.column(1), known)
                 else:
@@ -363,7 +394,7 @@ def detect(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score)], ["id", "lang_pred", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return named(rows.mapInArrow(trimmed(run), f"id {dict(rows.dtypes)['id']}, lang_pred string, score double"), id=id_col)
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:

@@ -6,8 +6,8 @@ projected-gradient least squares reaches from one copy of each document: the tok
 over the rates and posteriors, match the targets, errors counting in proportion to the domain's own tokens.
 
 Each step changes a rate by the document's posterior times the domains' errors, so documents of equal posterior keep equal
-rates: the steps run over the distinct posteriors (a lattice of `resolution` steps, however many documents there are) with
-their summed tokens.
+rates: the steps run over the distinct posteriors with their summed tokens.  Those are a lattice of `resolution` steps: with
+few domains it is small however many documents there are, with many it has as many points as documents at most.
 """
 
 from __future__ import annotations
@@ -19,8 +19,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, training_rows, written
+from .common import named, table, training_rows, written
 
+#: Steps after which the rates are written.
+STEPS_WRITTEN = 8
 SPLIT = r"[\x20\x09-\x0D]+"
 
 
@@ -34,7 +36,6 @@ class Fit:
     smoothing: float = 0.5
     evidence_words: float = 5.0  # words of a text aren't independent: its likelihood counts as that of so many at most
     resolution: int = 100
-    most_domains: int = 16
 
 
 @dataclass
@@ -56,14 +57,17 @@ def _bucket(word: Column, fit: Fit) -> Column:
 
 
 def learn(labelled: DataFrame, fit: Fit = Fit()) -> Classifier:
-    """A classifier from rows (text, domain); rows with a null text or domain aren't used; without rows it has no domain."""
+    """A classifier from rows (text, domain); rows with a null text or domain aren't used; without rows it has no domain.
+
+    All domains of the rows are learned; the expression of the posteriors has fit.buckets numbers for each.
+    """
     rows = labelled.where("text IS NOT NULL AND domain IS NOT NULL").select("text", F.col("domain").cast("string").alias("domain"))
-    sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "domain").limit(fit.most_domains).collect()}
+    sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     domains, total = sorted(sizes), sum(sizes.values())
     if not domains:
         return Classifier([], [], [], fit)
     share = min(1_000_000, math.ceil(1_000_000 * fit.rows / total))
-    sample = rows.where((F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share) & F.col("domain").isin(domains))
+    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
     words = sample.select("domain", F.explode(_words(F.col("text"))).alias("word")).select("domain", _bucket(F.col("word"), fit).alias("bucket"))
     # At most domains times buckets counts come to the driver.
     counts = {(r.domain, r.bucket): r.n for r in words.groupBy("domain", "bucket").agg(F.count("*").alias("n")).toLocalIterator()}
@@ -109,11 +113,12 @@ def _dot(p: Column, g: Column, k: int) -> Column:
     return sum((F.get(p, F.lit(i)) * F.get(g, F.lit(i)) for i in range(1, k)), F.get(p, F.lit(0)) * F.get(g, F.lit(0)))
 
 
-def _rate(p: Column, steps: list[list[float]], k: int) -> Column:
-    """The rate after the steps: from 1, each time less the posterior times the step, and not under 0."""
+def _rate(p: Column, steps: list[list[float]], k: int, rate: Column | None = None) -> Column:
+    """The rate after the steps: from 1 (or `rate`), each time less the posterior times the step, and not under 0."""
+    rate = F.lit(1.0) if rate is None else rate
     if not steps:
-        return F.lit(1.0)
-    return F.aggregate(F.lit(steps), F.lit(1.0), lambda r, g: F.greatest(F.lit(0.0), r - _dot(p, g, k)))
+        return rate
+    return F.aggregate(F.lit(steps), rate, lambda r, g: F.greatest(F.lit(0.0), r - _dot(p, g, k)))
 
 
 @dataclass
@@ -127,10 +132,11 @@ class Mixture:
 def fit_rates(known: DataFrame, model: Classifier, weights: Mapping[str, float] | None = None, most_steps: int = 60, tolerance: float = 1e-4, prefix: str = "_mix_") -> Mixture:
     """Rates for the rows of known (with the columns of `posteriors`), as the steps that lead to them.
 
-    weights: domain -> share of all tokens; domains without one share what is left alike; no weights: all alike.
+    weights: domain -> share of all tokens; domains without one share what is left alike; no weights: all alike.  Each step
+    is one aggregation of the distinct posteriors, whose rates are written every few steps.
     """
     k = len(model.domains)
-    groups = written(known.groupBy(F.col(prefix + "p").alias("p")).agg(F.sum(prefix + "tokens").alias("tokens")))
+    groups = written(known.groupBy(F.col(prefix + "p").alias("p")).agg(F.sum(prefix + "tokens").alias("tokens"), F.lit(1.0).alias("rate")))
     token = lambda r: [F.sum(F.col("tokens") * F.get("p", F.lit(i)) * r).alias(f"d{i}") for i in range(k)]
     own = [float(x or 0) for x in groups.agg(*token(F.lit(1.0))).first()] if k else []
     total = sum(own)
@@ -140,14 +146,17 @@ def fit_rates(known: DataFrame, model: Classifier, weights: Mapping[str, float]
     wanted = [given.get(d, left / len(free) if free else 0.0) for d in model.domains]
     norm = sum(wanted) or 1.0
     targets = [total * w / norm for w in wanted]
-    steps, reached = [], own
+    steps, ahead, reached = [], [], own  # ahead: the steps that the written rates lack
     for _ in range(most_steps):
         errors = [r - t for r, t in zip(reached, targets)]
         # A domain without tokens can't be reached, and no document pulls towards it.
         step = [e / o if o > 0 else 0.0 for e, o in zip(errors, own)]
         if not total or max(map(abs, errors), default=0.0) <= tolerance * total:
             break
-        new = [float(x or 0) for x in groups.agg(*token(_rate(F.col("p"), [*steps, step], k))).first()]
+        if len(ahead) == STEPS_WRITTEN:
+            groups, ahead = written(groups.withColumn("rate", _rate(F.col("p"), ahead, k, F.col("rate")))), []
+        ahead.append(step)
+        new = [float(x or 0) for x in groups.agg(*token(_rate(F.col("p"), ahead, k, F.col("rate")))).first()]
         settled = sum(abs(a - b) for a, b in zip(new, reached)) <= tolerance * 0.01 * total
         steps, reached = [*steps, step], new
         if settled:
@@ -161,7 +170,8 @@ def rated(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     copies is the rate rounded up with the chance of its fraction, drawn from a hash of the id and the text.  Null and
     empty texts have no tokens, the posterior of the domains' shares, and the rate that follows from it.  Without
     labelled rows there is no domain, and every rate is 1.  Repeated rows are rated alike; a null id stays null; an empty
-    table gives an empty one; other columns are not read.
+    table gives an empty one; other columns are not read.  An id_col called like a result keeps its name, and the result
+    gets an underscore behind.
     """
     model = learn(labelled, fit)
     known = written(posteriors(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), model).withColumn("u", F.pmod(F.xxhash64("id", "text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)).drop("text"))
@@ -171,19 +181,22 @@ def rated(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     names = F.array(*map(F.lit, model.domains)) if k else F.lit(None).cast("array<string>")
     domain = F.get(names, (F.array_position("_mix_p", F.array_max("_mix_p")) - 1).cast("int")) if k else F.lit(None).cast("string")
     copies = (F.floor("rate") + (F.col("u") < F.col("rate") - F.floor("rate")).cast("long")).cast("long")
-    return out.select(F.col("id").alias(id_col), F.col("_mix_tokens").alias("n_tokens"), domain.alias("domain"), F.col("_mix_p").alias("posteriors"), "rate", copies.alias("copies"))
+    return named(out.select("id", F.col("_mix_tokens").alias("n_tokens"), domain.alias("domain"), F.col("_mix_p").alias("posteriors"), "rate", copies.alias("copies")), id=id_col)
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, text_col: str = "text", id_col: str = "doc_id", weights: Mapping[str, float] | None = None, fit: Fit = Fit(), seed: int = 11) -> DataFrame:
     """The mixture: each row of docs as many times as its copies, all its columns as they are; rows at 0 copies go."""
     model = learn(labelled, fit)
-    known = posteriors(docs, model, text_col)
-    mixture = fit_rates(written(known.select("_mix_tokens", "_mix_p")), model, weights)
-    rate = _rate(F.col("_mix_p"), mixture.steps, len(model.domains))
+    prefix = "mix_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):  # the columns of docs stay as they are
+        prefix = "_" + prefix
+    known = posteriors(docs, model, text_col, prefix)
+    mixture = fit_rates(written(known.select(prefix + "tokens", prefix + "p")), model, weights, prefix=prefix)
     u = F.pmod(F.xxhash64(id_col, text_col, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    out = known.withColumn("_mix_rate", rate).withColumn("_mix_n", (F.floor("_mix_rate") + (u < F.col("_mix_rate") - F.floor("_mix_rate")).cast("long")).cast("int"))
-    out = out.withColumn("_mix_i", F.explode(F.array_repeat(F.lit(0), F.col("_mix_n"))))
-    return out.select(*docs.columns)
+    rate = F.col(prefix + "rate")
+    out = known.withColumn(prefix + "rate", _rate(F.col(prefix + "p"), mixture.steps, len(model.domains)))
+    out = out.withColumn(prefix + "n", (F.floor(rate) + (u < rate - F.floor(rate)).cast("long")).cast("int"))
+    return out.withColumn(prefix + "i", F.explode(F.array_repeat(F.lit(0), F.col(prefix + "n")))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 #: Shares of the tokens that the registered query and the pipeline aim at.

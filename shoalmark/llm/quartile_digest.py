@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, table, trimmed, written
+from .common import named, slices, table, trimmed, written
 
 BUCKETS = 1024
 #: Rows and bytes of text whose digests are computed together.
@@ -154,7 +154,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # One number for each task that had rows.
     parts = sorted(r.part for r in found.where("edge = 'first'").select("part").collect())
     if not parts:
-        return inner.select(F.col("id").alias(id_col), *(x for x, _ in _FIELDS))
+        return named(inner, id=id_col)
     following = docs.sparkSession.createDataFrame(list(zip(parts, [*parts[1:], parts[0]])), "part int, then int")
     last = found.where("edge = 'last'").select("part", "id", F.col("text").alias("text"))
     first = found.where("edge = 'first'").select(F.col("part").alias("then"), F.col("text").alias("following"))
@@ -167,7 +167,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 yield pa.RecordBatch.from_arrays([one.column(0), *fields], ["id", *(x for x, _ in _FIELDS)])
 
     edges = last.join(following, "part").join(first, "then").select("id", "text", "following").mapInArrow(trimmed(across), f"id {kind}, {_DDL}")
-    return inner.unionByName(edges).withColumnRenamed("id", id_col)
+    return named(inner.unionByName(edges), id=id_col)
 
 
 def op8_quartile_digest(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, unused
 
 #: A prime; its slots are all that is ever broadcast.
 SLOTS = 65537
@@ -62,18 +62,21 @@ def placed(rows: DataFrame, key: str = "doc_id", shards: Sequence[str] = SHARDS,
 
     Rows of equal keys go to one shard; rows with a null key are dealt by a hash of all their columns, so that many of
     them don't meet in one shard.  Repeated rows go together; an empty table gives an empty one.  Columns of rows that
-    have the name of slot_col or shard_col are replaced.
+    have the name of slot_col or shard_col are replaced, but for the key: where it has such a name, the result gets an
+    underscore behind.
     """
+    slot_col, shard_col = unused([key], slot_col, shard_col)
     spark = rows.sparkSession
     filled = lookup_table(shards, slots, weights)
-    entries = spark.createDataFrame([(i, shards[s]) for i, s in enumerate(filled.tolist())], "_slot int, _shard string")
-    rows = rows.drop(*[c for c in (slot_col, shard_col) if c != key])
+    rows = rows.drop(slot_col, shard_col)
+    slot, shard = unused([*rows.columns, slot_col, shard_col], "slot", "shard")
+    entries = spark.createDataFrame([(i, shards[s]) for i, s in enumerate(filled.tolist())], f"{slot} int, {shard} string")
     hashed = F.xxhash64(F.col(key).cast("string"))
     plain = [c for c, t in rows.dtypes if not t.startswith("map") and c != key]
     if plain:
         hashed = F.when(F.col(key).isNull(), F.xxhash64(*plain)).otherwise(hashed)
     rows = rows.withColumn(slot_col, F.pmod(hashed, F.lit(slots)).cast("int"))
-    return rows.join(F.broadcast(entries), F.col(slot_col) == F.col("_slot")).drop("_slot").withColumnRenamed("_shard", shard_col)
+    return rows.join(F.broadcast(entries), F.col(slot_col) == F.col(slot)).drop(slot).withColumnRenamed(shard, shard_col)
 
 
 def write_shards(rows: DataFrame, path: str, parts: int = 4, **how) -> None:

@@ -450,6 +450,35 @@ def test_mixing_edges(spark, odd, none):
     assert all(r.rate == 1 for r in one)
 
 
+def test_names_that_clash(spark):
+    """Columns called like an operator's own or like its results stay what they are."""
+    rows = spark.createDataFrame([(i, f"some text of {i} words", "en" if i % 2 else "de", 7) for i in range(6)], "doc_id int, text string, lang string, mine int")
+    for name in ("_slot", "_shard", "slot_", "shard_"):
+        out = sharding.placed(rows.withColumnRenamed("mine", name))
+        assert out.columns == ["doc_id", "text", "lang", name, "slot", "shard"] and {r[name] for r in out.collect()} == {7}
+    out = sharding.placed(rows.withColumnRenamed("doc_id", "slot"), key="slot")
+    assert out.columns == ["slot", "text", "lang", "mine", "slot_", "shard"] and sorted(r.slot for r in out.collect()) == list(range(6))
+    labelled = rows.select("text", F.col("lang").alias("domain"))
+    for name in ("_mix_tokens", "mix_p", "_mix_p", "MIX_n", "__mix_i"):
+        out = mixing.mixed(rows.withColumnRenamed("mine", name), labelled)
+        assert out.columns == ["doc_id", "text", "lang", name] and {r[name] for r in out.collect()} <= {7}
+    lexicon, net = toxicity.Lexicon({"some": 3.0}).built(), quality_cnn.learn(rows.select("text", F.lit(1).alias("label")))
+    model = language_id.learn(rows.select("text", "lang"))
+    for apply, name in ((lambda d, i: repetition.repetition(d, i), "n_words"), (lambda d, i: toxicity.toxicity(d, lexicon, i), "score"), (lambda d, i: mixing.rated(d, labelled, i), "rate"), (lambda d, i: quality_cnn.quality(d, net, i), "predicted"), (lambda d, i: quartile_digest.digests(d, i), "n_chars"), (lambda d, i: language_id.detect(d, model, i), "lang_pred")):
+        out = apply(rows.withColumnRenamed("doc_id", name), name)
+        assert out.columns[0] == name and name + "_" in out.columns and len(set(out.columns)) == len(out.columns)
+        assert sorted(r[0] for r in out.collect()) == list(range(6))
+
+
+def test_all_domains_and_languages_are_learned(spark):
+    rows = spark.createDataFrame([(f"{chr(97 + k % 26) * 3}{chr(97 + k // 26) * 2}{i} " * 4, f"d{k:03d}") for k in range(90) for i in range(2)], "text string, domain string")
+    assert len(mixing.learn(rows).domains) == 90
+    model = language_id.learn(rows.select("text", F.col("domain").alias("lang")))
+    assert len(model.languages) == 90
+    found, _ = language_id.predict(pa.array([r.text for r in rows.collect()]), model)
+    assert np.mean([a == r.domain for a, r in zip(found, rows.collect())]) > 0.9
+
+
 # 6
 
 
@@ -738,6 +767,24 @@ def test_viterbi():
         assert tuple(language_id.viterbi(s, np.zeros(n, int), 1.0)) == best
 
 
+def test_viterbi_in_turns():
+    rng = np.random.default_rng(3)
+    for states, sizes in ((4, [100, 1, 700, 64, 32, 7, 250]), (70, [300, 5, 90])):
+        scores, of = rng.normal(size=(sum(sizes), states)) * 2, np.repeat(np.arange(len(sizes)), sizes)
+        whole = language_id.viterbi(scores, of, 2.0)
+        for cells in (1, states * states * 3, 1 << 20):
+            assert (language_id.viterbi(scores, of, 2.0, cells) == whole).all()
+        at = 0
+        for n in sizes:
+            assert list(whole[at : at + n]) == slow_path(scores[at : at + n], 2.0)
+            at += n
+
+
+def test_spans_of_letters_that_change_their_length():
+    model = language_id.Model(["en", "tr"], np.zeros((language_id.BUCKETS, 2), np.float32), np.ones((len(language_id.SCRIPT_NAMES), 2), bool))
+    assert [x for _, x in language_id.language_spans("İstanbul İzmir hello there", model)] == [pa.compute.utf8_lower(pa.array(["İstanbul İzmir hello there"]))[0].as_py()]
+
+
 def test_language(spark, odd, none):
     d = "/root/testdata/sf0.01"
     out = registry.QUERIES["op9_language_id"](spark, d).join(table(spark, d, "documents").select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
