@@ -1,7 +1,10 @@
 """From raw documents to token ids and the text decoded from them in five stages, each by one operator of shoalmark.llm.
 
 Each stage takes (spark, docs, sf_dir) and gives the rows that the next one works on, written as Parquet in between.
-Nulls: a document with a null text is rejected by the language stage.  Empty tables pass through all stages.
+Nulls: a document with a null text is rejected by the language stage; one with a null id stays unless its fingerprint's
+component has an id.  Empty tables pass through all stages.  Repeated rows and ties: of equal texts, and of texts within the
+bits, the row with the smallest id stays, and of several rows with that id the first by a hash of its content.  Other columns
+of documents stay as they are up to the last stage, whatever they are called.
 """
 
 from __future__ import annotations
@@ -17,13 +20,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents to which the byte network, learned from the labels outside the held-out fold, gives 0.3 or more."""
     labels = table(spark, sf_dir, "labels").where(crc_mod("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))
     train = training_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), labels, quality_cnn.Fit.rows)
-    network = quality_cnn.learn(train.select("text", "label"))
+    network = quality_cnn.learn(train.select("text", "label", "weight"))
     return filtered(docs, "text", lambda texts: network.score(texts) >= 0.3)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a clear language; those go that have no letter, are mixed, or are unlike the rows of all languages."""
-    model = language_id.learn(table(spark, sf_dir, "documents").where(crc_mod("doc_id", 4) != 2).select("text", "lang"))
+    known = table(spark, sf_dir, "documents").where(crc_mod("doc_id", 4) != 2).select("text", "lang")
+    model = language_id.learn(known, language_id.Fit(opens=True))  # a text that quotes at length is clear, too
     shared = spark.sparkContext.broadcast(model)
 
     def mask(texts):
