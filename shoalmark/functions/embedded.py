@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..dims import FISH
+
 _NUMBER = r"(-?\d{1,3}\.\d+)"
 #: Ways in which map links and scripts state a position, and the groups of latitude and longitude, in order of trust.
 POSITIONS = (
@@ -89,7 +91,7 @@ def vocabulary(c: Column, words: Iterable[str]) -> Column:
 
 def canonical(items: Column, synonyms: Mapping[str, str | None]) -> Column:
     """Items by their canonical names, each once, in order; `A(B)` is A's or B's canonical name, or A; words that map to
-    nothing, that hold digits or more than 12 letters go."""
+    nothing, that hold digits or more than 12 letters go, and endings that say no more than "and so on"."""
     known = {k: v for k, v in synonyms.items() if v}
     dropped = [k for k, v in synonyms.items() if not v]
     names = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
@@ -97,11 +99,19 @@ def canonical(items: Column, synonyms: Mapping[str, str | None]) -> Column:
     def one(x: Column) -> Column:
         a, b = F.regexp_extract(x, r"^(.+?)\((.+?)\)$", 1), F.regexp_extract(x, r"^(.+?)\((.+?)\)$", 2)
         x = F.when(a == "", x).otherwise(F.coalesce(F.try_element_at(names, a), F.try_element_at(names, b), a))
-        x = F.when(x.endswith("五目釣り"), x).otherwise(F.regexp_replace(x, "(など|等|ほか|他|各種|狙い|釣り)$", ""))
-        return F.coalesce(F.try_element_at(names, x), x)
+        return F.when(x == "五目釣り", x).otherwise(F.regexp_replace(x, "(など|等|ほか|他|各種|狙い|釣り)$", ""))
+
+    # The filter looks at the spelling: a long canonical name stays.
+    kept = F.filter(F.transform(items, one), lambda x: (x != "") & (F.length(x) <= 12) & ~x.rlike("[0-9]"))
+    if dropped:
+        kept = F.filter(kept, lambda x: ~x.isin(*dropped))
+    return F.array_distinct(F.transform(kept, lambda x: F.coalesce(F.try_element_at(names, x), x)))
+
 
-    kept = F.filter(F.transform(items, one), lambda x: (x != "") & (F.length(x) <= 12) & ~x.rlike(r"\d") & ~x.isin(*dropped) if dropped else (x != ""))
-    return F.array_distinct(kept)
+def fish_list(c: Column) -> Column:
+    """The fish that a list in a composed text names, by their canonical names."""
+    items = F.transform(F.split(c, r"[、,，/／・\s]+"), lambda x: F.regexp_replace(x, r"^[　 .。]+|[　 .。]+$", ""))
+    return canonical(F.filter(items, lambda x: x != ""), FISH)
 
 
 def allowed(path: Column, rules: Column) -> Column:

@@ -16,7 +16,7 @@ CHILD = r"(小学生|中学生|中高生|中校生|高校生|子供|子ども|
 SMALL_FEE = "変え|変更|替え|回目|の場合は|利用者は"
 FERRY = "渡船|渡し|筏|イカダ|いかだ|カセ|かせ|一文字|波止|堤防|沖堤|磯"
 BOAT_STYLE = "ジギング|ジグ|タイラバ|五目|乗合|乗り合い|仕立|貸切|チャーター|コマセ|泳がせ|テンヤ|エギング|ルアー|ティップラン|SLJ"
-PERSON = "/人|1名|1人|一人|おひとり|人あたり"
+PERSON = "/人|/1名|/1人|1名様|1人|1名|一人|お一人|おひとり|人あたり"
 BOAT = "隻|貸切|貸し切り|仕立|チャーター|名様?まで|人まで|名迄|[0-9一二三四五六七八九十]台"
 GROUP = r"[0-9]\s*名様?\s*[~〜～-]\s*[0-9]+\s*名"
 
@@ -79,22 +79,56 @@ def junk_offer(name: Column, text: Column, price: Column, kind: Column, ferry: C
 
 
 def price_forms(price: Column) -> Column:
-    """Ways in which a price may be written: 15000, 15,000, 1万5千, 1.5万, 9千."""
-    man, rest = F.floor(price / 10000).cast("int"), price % 10000
+    """Ways in which a price may be written: 15000, 15,000, 1万5千, 1.5万, 9千, 1万4000, 一万五千."""
+    man, rest = F.floor(price / 10000).cast("int"), (price % 10000).cast("int")
     sen = F.floor(rest / 1000).cast("int")
-    long = F.when((man > 0) & (rest == 0), F.concat(man.cast("string"), F.lit("万"))).when((man > 0) & (rest % 1000 == 0), F.concat(man.cast("string"), F.lit("万"), sen.cast("string"), F.lit("千")))
-    point = F.when((man > 0) & (sen > 0) & (rest % 1000 == 0), F.concat(man.cast("string"), F.lit("."), sen.cast("string"), F.lit("万")))
-    short = F.when((man == 0) & (sen > 0) & (rest % 1000 == 0), F.concat(sen.cast("string"), F.lit("千")))
-    return F.array_compact(F.array(price.cast("string"), F.format_number(price, 0), long, point, short))
+    whole = rest % 1000 == 0
+    s = lambda c: c.cast("string")
+    kanji = lambda n: F.substring(F.lit("〇一二三四五六七八九"), n + 1, F.lit(1))
+    long = F.when((man > 0) & (rest == 0), F.concat(s(man), F.lit("万"))).when((man > 0) & whole, F.concat(s(man), F.lit("万"), s(sen), F.lit("千")))
+    point = F.when((man > 0) & (sen > 0) & whole, F.concat(s(man), F.lit("."), s(sen), F.lit("万")))
+    short = F.when((man == 0) & (sen > 0) & whole, F.concat(s(sen), F.lit("千")))
+    mixed = F.when((man > 0) & (rest > 0), F.concat(s(man), F.lit("万"), s(rest)))
+    signs = F.when(whole & (man < 10) & (price > 0), F.concat(F.when(man > 0, F.concat(kanji(man), F.lit("万"))).otherwise(""), F.when(sen > 0, F.concat(kanji(sen), F.lit("千"))).otherwise("")))
+    return F.array_compact(F.array(s(price), F.format_number(price, 0), long, point, short, mixed, signs))
+
+
+# Words beside which a time of the afternoon may be written without saying so.
+CLOCK_WORDS = "沖上がり 沖揚がり 沖あがり 帰港 納竿 上がり 出船 出航 集合".split()
 
 
 def time_forms(hhmm: Column) -> Column:
-    """Ways in which HH:MM may be written."""
+    """Ways in which HH:MM may be written: 24 and 12 hours, kanji, AM and PM, late hours beyond 24, and a bare hour of the
+    afternoon beside a word like return to port."""
     h, m = F.substring(hhmm, 1, 2).cast("int"), F.substring(hhmm, 4, 2)
-    hs = h.cast("string")
-    kanji = F.concat(hs, F.lit("時"), F.when(m == "00", "").when(m == "30", "半").otherwise(F.concat(m, F.lit("分"))))
-    afternoon = F.when(h >= 12, F.concat(F.lit("午後"), (h - 12).cast("string"), F.lit("時"))).otherwise(F.concat(F.lit("午前"), hs, F.lit("時")))
-    return F.array_distinct(F.array(hhmm, F.concat(hs, F.lit(":"), m), kanji, afternoon))
+    full, half = m == "00", m == "30"
+    minute = m.cast("int").cast("string")
+    join = lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y.cast("string") for y in x])
+
+    def plain(n: Column) -> list[Column]:
+        return [join(n, ":", m), join(n, "時", m, "分"), F.when(~full, join(n, "時", m)), F.when(half, join(n, "時半")), F.when(full, join(n, "時"))]
+
+    twelve = F.when(h > 12, h - 12).otherwise(h)
+    after = [F.when(h.between(12, 23), x) for n in (twelve, F.when(h == 12, 0)) for x in (join("午後", n, "時"), join("午後", n, ":", m), join("PM", n, "時"), join("PM", n, ":", m), join(n, ":", m, "PM"), join("夕方", n, "時"), join("夜", n, "時"), join("夜中", n, "時"))]
+    before = [F.when(h < 12, x) for x in (join("午前", h, "時"), join("午前", h, ":", m), join("AM", h, "時"), join("AM", h, ":", m), join(h, ":", m, "AM"))]
+    late = [F.when(h < 6, x) for x in (join(h + 24, ":", m), join(h + 24, "時"))] + [F.when(h == 24, F.lit(x)) for x in ("夜中12時", "午前0時", "深夜0時", "24時")] + [F.when(h == 24, join("0:", m))]
+    bare = [join(h - 12, ":", m), F.when(full, join(h - 12, "時")).otherwise(join(h - 12, "時", m, "分")), F.when(~full, join(h - 12, "時", m)), F.when(half, join(h - 12, "時半"))]
+    beside = [F.when(h >= 13, x) for c in bare for w in CLOCK_WORDS for x in (join(w, c), join(c, w), join(c, "頃", w), join(w, c, "頃"))]
+    return F.array_distinct(F.array_compact(F.array(hhmm, *plain(h), join(h, "時", minute, "分"), *after, *before, *late, *beside)))
+
+
+def claim_text(c: Column) -> Column:
+    """A composed text as claims are looked up in it: no thousands separators or white space, 7;30 as 7:30, upper case."""
+    c = F.regexp_replace(F.regexp_replace(c, r"(?<=\d)[ \t]*[,.，．、][ \t]*(?=\d{3}(?!\d))", ""), r"[\s_]+", "")
+    return F.upper(F.regexp_replace(c, r"(?<=\d);(?=\d{2})", ":"))
+
+
+def time_stated(hhmm: Column, text: Column) -> Column:
+    """A time occurs in a text in one of its forms, as noon, or as an end of a range of full hours."""
+    h, full = F.substring(hhmm, 1, 2).cast("int"), F.substring(hhmm, 4, 2) == "00"
+    span = lambda n, lead: F.regexp_like(text, F.concat(F.lit(f"{lead}(?<!\\d)("), n, F.lit("[~〜～-]\\d{1,2}|\\d{1,2}[~〜～-]"), n, F.lit(")時")))
+    late = span((h - 12).cast("string"), "(?:(?:午後|PM).{0,4}|[夜夕].{0,5})")
+    return F.exists(time_forms(hhmm), lambda f: text.contains(f)) | (full & ((h == 12) & text.contains("正午") | span(h.cast("string"), "") | ((h >= 13) & late)))
 
 
 def stated(forms: Column, text: Column) -> Column:

@@ -83,8 +83,17 @@ def area_of_signals(*signals: Column) -> Column:
     return F.struct(F.coalesce(*signals).alias("area"), (F.size(known) > 1).alias("conflict"))
 
 
+# Cities and towns whose names hold a sign of a city, county or town.
+WHOLE_NAMES = (
+    "四日市市 廿日市市 市川市 市原市 野々市市 町田市 大町市 十日町市 村上市 村山市 東村山市 武蔵村山市 羽村市 大村市 田村市 中新川郡上市町 余市郡余市町 市貝町 上市町 余市町 玉村町 木曽郡上松町".split()
+)
+
+
 def city_of(address: Column) -> Column:
     """The city, ward or county town that an address names after its prefecture; null without one."""
     rest = F.regexp_replace(clean_address(address), f"^({'|'.join(PREFS)})", "")
-    forms = (r"^([^市区町村]{1,6}市[^市区町村]{1,4}区)", r"^([^市]{1,6}市)", r"^([^区]{1,6}区)", r"^([^郡]{1,5}郡[^町村]{1,6}[町村])", r"^([^町村]{1,6}[町村])")
+    forms = (
+        f"^({'|'.join(WHOLE_NAMES)})",
+        r"^((?:北|西|東)村山郡[^町村]{1,6}[町村])",
+        r"^([^市区町村]{1,6}市[^市区町村]{1,4}区)", r"^([^市]{1,6}市)", r"^([^区]{1,6}区)", r"^([^郡]{1,5}郡[^町村]{1,6}[町村])", r"^([^町村]{1,6}[町村])")
     return F.coalesce(*[F.nullif(F.regexp_extract(rest, p, 1), F.lit("")) for p in forms])

@@ -21,7 +21,7 @@ def host_of(u: Column) -> Column:
 
 def host_in(host: Column, hosts: Sequence[str]) -> Column:
     """The host is one of the hosts or below one."""
-    return F.exists(F.array(*map(F.lit, hosts)), lambda h: (host == h) | host.endswith(F.concat(F.lit("."), h)))
+    return host.rlike(f"(^|\\.)({'|'.join(h.replace('.', chr(92) + '.') for h in hosts)})$")
 
 
 def clean_url(u: Column) -> Column:
@@ -57,6 +57,46 @@ def url_class(u: Column) -> Column:
     return F.when(h == "", None).when(host_in(h, SNS_HOSTS), "sns").when(host_in(h, PORTAL_HOSTS), "portal").otherwise("official")
 
 
+# Profiles whose blog is meant, pages of a network that are no profile, forms, and files that are no pages.
+BLOG_PROFILE = r"^https?://(?:profile\.ameba\.jp/ameba|(?:www\.)?ameba\.jp/profile/general)/([\w-]+)"
+NO_PROFILE = ("p", "reel", "tv", "explore", "stories")
+FORM = "(?i)contact|inquiry|form|reserve|yoyaku|toiawase"
+ASSET = r"(?i)\.(pdf|jpe?g|png|gif|webp|mp4|mov|zip|docx?|xlsx?)(\?|$)"
+
+
+def blog_of_profile(u: Column) -> Column:
+    """The blog of a profile page of its host; other URLs as they are."""
+    who = F.regexp_extract(u, BLOG_PROFILE, 1)
+    return F.when(who != "", F.concat(F.lit("https://ameblo.jp/"), who, F.lit("/"))).otherwise(u)
+
+
+def own_links(website: Column, sns: Column) -> Column:
+    """struct<website, sns>: the site if it is someone's own, and the networks, among them a site that is one."""
+    site = blog_of_profile(clean_url(website))
+    kind = url_class(site)
+    networks = F.filter(F.transform(F.coalesce(sns, F.array().cast("array<string>")), clean_url), lambda u: url_class(u) == "sns")
+    return F.struct(F.when(kind == "official", site).alias("website"), F.array_distinct(F.when(kind == "sns", F.concat(networks, F.array(site))).otherwise(networks)).alias("sns"))
+
+
+def instagram_profile(u: Column, text: Column | None = None) -> Column:
+    """The profile that a link to the network leads to, else that of the handle that a text of an embedded post names."""
+    name = F.regexp_extract(F.coalesce(u, F.lit("")), r"^https?://(?:www\.)?instagram\.com/([A-Za-z0-9._]{1,30})/?(?:[?#].*)?$", 1)
+    name = F.when(~name.isin("", *NO_PROFILE), name)
+    if text is not None:
+        name = F.coalesce(name, F.nullif(F.regexp_extract(text, r"\(@([A-Za-z0-9._]{1,30})\)", 1), F.lit("")))
+    return F.concat(F.lit("https://www.instagram.com/"), name, F.lit("/"))
+
+
+def root_of_form(u: Column) -> Column:
+    """The site of a form for questions or bookings; other URLs as they are."""
+    path = F.regexp_extract(u, r"^https?://[^/?#]+(/[^?#]*)", 1)
+    return F.when(path.rlike(FORM), F.concat(F.regexp_extract(u, r"^(https?://[^/?#]+)", 1), F.lit("/"))).otherwise(u)
+
+
+def is_asset(u: Column) -> Column:
+    return u.rlike(ASSET)
+
+
 def _phones(c: Column) -> Column:
     c = F.regexp_replace(F.regexp_replace(c, r"[()\s.・]", "-"), "[‐‑–—―ー−]", "-")
     found = F.regexp_extract_all(c, F.lit(r"((?<!\d)0\d{1,4}-*\d{1,4}-*\d{3,4}(?!\d))"), F.lit(1))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,3 +33,55 @@ def offers(lines: DataFrame, doc: str, ln: str, line: str) -> DataFrame:
     )
     junk = f.junk_offer(F.col("name"), F.col("_line"), F.col("price"), F.col("kind"), F.lit(False))
     return out.where(~junk).drop("_line")
+
+
+# How amounts are written, what isn't one, and what belongs to one behind it.
+AMOUNT = (
+    r"(?:\d+(?:\.\d+)?\s*万\s*(?:\d\s*千)?\s*(?:\d{1,4})?\s*円|\d{1,3}\s*千\s*円|[¥\\]\s*(?:\d{1,3}(?:,\d{3})+|\d{3,7})(?![\d,])\s*円?|(?:\d{1,3}(?:,\d{3})+|\d{3,7})\s*円"
+    r"|(?<![\d,.])(?:\d{1,3}(?:,\d{3})+(?![\d,])(?:\s*-(?!\s*\d))?|\d{4,6}\s*-(?!\s*\d))(?!\s*(?:m|M|号|匹|本|kg|g|cm|mm|名|人|時|分|%|馬力|t|トン)))"
+)
+BEHIND = r"(?:\s*(?:円|~|〜|-|。|税込み?|税別|税抜き?|程度|前後|/\s*[^\s/()]{1,10}|\([^()]{0,30}\)))*"
+
+
+def yen(written: str) -> int:
+    """The number of yen of an amount as it is written."""
+    import re
+
+    text = written.replace(",", "").replace(" ", "")
+    m = re.match(r"(\d+(?:\.\d+)?)万(?:(\d)千)?(\d{1,4})?", text)
+    if m:
+        return round(float(m[1]) * 10000) + int(m[2] or 0) * 1000 + int(m[3] or 0)
+    number = int(re.search(r"\d+", text)[0])
+    return number * 1000 if "千" in text else number
+
+
+def line_amounts(line: str | None) -> list[tuple[str, int, str]]:
+    """(before, amount, behind) of each amount of a composed line: what stands before it since the amount before, and what
+    belongs to it behind.  A range is its lower bound, also where only its upper one says that it is money."""
+    import re
+
+    low = r"(?:(?<![\d,.])(?P<low>\d{1,3}(?:,\d{3})+|\d{3,7})\s*[~〜]\s*)?"
+    found, out, at = re.compile(rf"{low}(?P<amount>{AMOUNT})(?P<behind>(?:\s*[~〜\-ー]\s*{AMOUNT})?{BEHIND})"), [], 0
+    for m in found.finditer(line or ""):
+        value, begin = yen(m["amount"]), m.start()
+        if m["low"] and 500 <= int(m["low"].replace(",", "")) < value:
+            value = int(m["low"].replace(",", ""))
+        elif m["low"]:
+            begin = m.start("amount")
+        out.append((line[at:begin].strip(), value, m["behind"].strip()))
+        at = m.end() - (len(m[0]) - len(re.sub(r"[~〜\-]\s*$", "", m[0])))
+    return out
+
+
+def segments(lines: DataFrame, id_col: str, line: str) -> DataFrame:
+    """(id_col, n, before, amount, behind) of the amounts of each line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(i, n, *found) for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for n, found in enumerate(line_amounts(text))]
+            kinds = [batch.schema.field(0).type, pa.int32(), pa.string(), pa.int32(), pa.string()]
+            columns = list(zip(*rows)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(columns, kinds)], ["id", "n", "before", "amount", "behind"])
+
+    rows = lines.select(F.col(id_col).alias("id"), F.col(line).alias("line"))
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, n int, before string, amount int, behind string").withColumnRenamed("id", id_col)

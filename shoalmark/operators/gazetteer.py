@@ -65,8 +65,9 @@ def port_positions(rows: DataFrame) -> DataFrame:
     return rows.withColumn("la", pick("la")).withColumn("lo", pick("lo")).withColumn("basis", basis)
 
 
-def thinned(points: DataFrame, key: str, order: str, km: float = 1.5) -> DataFrame:
-    """(key, order, la, lo) of the points of each key, taken in order, that aren't within so many km of one taken before.
+def thinned(points: DataFrame, key: str, order: str, km: float = 1.5, box: float | None = None) -> DataFrame:
+    """(key, order, la, lo) of the points of each key, taken in order, that aren't within so many km of one taken before, or
+    in a box of so many degrees either way around it.
 
     Taking is sequential, so a key's points go to one task; a key is one port name with its few map features.
     """
@@ -79,6 +80,9 @@ def thinned(points: DataFrame, key: str, order: str, km: float = 1.5) -> DataFra
         for row in group.sort_values("_order").itertuples(index=False):
             far = True
             for other in kept:
+                if box:
+                    far = far and not (abs(other[2] - row[2]) < box and abs(other[3] - row[3]) < box)
+                    continue
                 x = math.radians(other[3] - row[3]) * math.cos(math.radians((other[2] + row[2]) / 2))
                 far = far and math.hypot(x, math.radians(other[2] - row[2])) * 6371.0 >= km
             if far:

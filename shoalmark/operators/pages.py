@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..dims import CATCH_SITES
+from ..functions.web import host_in
+
 _BLOCK = frozenset("address article blockquote dd div dl dt fieldset footer form h1 h2 h3 h4 h5 h6 header li main nav ol p section table ul".split())
 _SKIP = frozenset("script style noscript template head".split())
 
@@ -97,7 +100,7 @@ class _Cells(HTMLParser):
         elif self.open and tag in ("td", "th") and self.open[-1]["rows"]:
             t, a = self.open[-1], dict(attrs)
             self._end_cell(t)
-            number = lambda k: max(1, min(100, int(a[k]))) if (a.get(k) or "").isdigit() else 1
+            number = lambda k: max(1, int(a[k])) if (a.get(k) or "").isdigit() else 1
             t["cell"], t["span"] = [], (number("rowspan"), number("colspan"))
 
     def handle_endtag(self, tag: str) -> None:
@@ -145,58 +148,111 @@ def links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     return out.select("id", "n", href.alias("href"), text.alias("text"))
 
 
-# Words of links to catch reports and of texts that show what a site is.
-CATCH_TEXT = "釣果|釣り果|船釣り情報"
-CATCH_ENGLISH = r"\b(catch|fishing report|results?)\b"
-CATCH_HREF = "catch|choka|chouka|tyouka|report|result"
-BLOG_TEXT = "ブログ|blog|日誌|日記"
-SPAM = "(?i)カジノ|バカラ|スロット|出会い系|アダルト|betting|casino|viagra"
+# Patterns of links to catch reports, of hosts of blogs, and of texts that show what a site is.
+CATCH_TEXT = "釣果|ちょうか|チョウカ|釣れてます|釣れ情報"
+CATCH_ENGLISH = r"\bcatch(es)?\b|fishing\s*report|\bresults?\b|chou?ka"
+CATCH_HREF = r"chou?ka|tyou?ka|cyou?ka|chouka|catch|fishing[-_]?report|turika|tsurika|/results?\b|result\.|%e9%87%a3%e6%9e%9c"
+CATCH_HREF_SURE = r"chou?ka|tyou?ka|cyou?ka|/catch(\.html?|\.php|/|$)"
+BLOG_TEXT = "ブログ|blog|日記|日誌|最新情報|釣り情報|釣況|釣行記|レポート|report"
+BLOG_NAME = "ブログ|blog|日誌|日記"
+BLOG_HOST = r"livedoor\.biz|ameblo\.jp|\.fc2\.com|hatenablog|hatena\.ne\.jp|livedoor\.(jp|blog)|blog\.goo\.ne\.jp|exblog\.jp|seesaa\.net|jugem\.jp|note\.com|wordpress\.com|blogspot\.|amebaownd\.com|cocolog|blog\.jp|webnode|jimdo"
+SNS_HOST = r"(^|\.)(instagram\.com|facebook\.com|fb\.com|twitter\.com|x\.com|threads\.net|youtube\.com|youtu\.be|tiktok\.com|line\.me|lin\.ee)$"
+POST_URL = (
+    r"QBlog-\d{8}|[?&][\w-]*-\d{8}(-\d+)?$|instagram\.com/(p|reel|reels|tv)/|facebook\.com/.*/(posts|photos|videos)/|/permalink\.php|/status(es)?/\d|blog-entry-\d+|/entry-\d+\.html|/archives/\d+|[?&]p=\d+\b|"
+    r"/\d{4}/\d{2}/\d{2}/|/posts/\d{5,}|/\d{4}-\d{2}-\d{2}|/entry/\d{4}/"
+)
+EXCLUDED_URL = r"privacy|policy|kiyaku|terms|kozin|kojin|entrylist|imagelist|/page-\d+\.html|official\.ameba|auth\.|reader\.do|signup|login|/profile|/follow|/intent/|sharer|/share|line\.me/R/msg|/feed\b|/rss|\.xml$|/comment|/trackback|/admin|wp-login"
+PRIVACY_TEXT = "個人情報|プライバシー|規約|免責|著作権"
+PLATFORM_ROOT = (
+    r"^(www\.)?(jugem\.jp|wordpress\.com|ameblo\.jp|ameba\.jp|fc2\.com|blog\.fc2\.com|hatenablog\.com|hatena\.ne\.jp|livedoor\.com|livedoor\.blog|blog\.livedoor\.jp|note\.com|seesaa\.net|exblog\.jp|blogger\.com|blogspot\.com|goo\.ne\.jp|"
+    r"blog\.goo\.ne\.jp|cocolog-nifty\.com|jimdo\.com|wix\.com|amebaownd\.com|naturum\.ne\.jp)$"
+)
+SUBDOMAIN_PLATFORM = r"^(www\.)?(jugem\.jp|wordpress\.com|fc2\.com|blog\.fc2\.com|hatenablog\.com|seesaa\.net|exblog\.jp|blogspot\.com|blogger\.com|cocolog-nifty\.com|jimdo\.com|wix\.com|amebaownd\.com|naturum\.ne\.jp)$"
+OTHER_BUSINESS = "釣具|ショップ|shop|店|協会|組合|漁協|連合|観光|ホテル|旅館|市役所|町役場"
+DATED_TEXT = r"\d{1,2}\s*月\s*\d{1,2}\s*日|20\d\d\s*[./年]\s*\d{1,2}|\d{1,2}/\d{1,2}(?!\d)"
+EVIDENCE = r"釣果|\d+\s*(匹|尾|杯|枚|本|cm|ｃｍ|㎝|センチ|kg|ｋｇ|キロ)|釣れ|ヒット|竿頭|トップ\s*\d"
+SPAM = "カジノ|バカラ|スロット|出会い系|アダルト|娱乐|博彩|官方网站|英国上市|彩票|betting|casino|viagra"
 CLOSED = "廃業(いた)?しました|閉業(いた)?しました|廃業のお知らせ|閉業のお知らせ"
-CLOSED_PART = "(釣り?堀|民宿|旅館|釣具|食堂|売店|店舗|支店|レストラン|カフェ|ショップ|キャンプ場?)[はをがも、・]?\\s*(廃業|閉業)"
-PARKED = "(?i)このドメインは|ドメインは売却|ドメインパーキング|domain (is )?for sale|buy this domain|parked|domain registration has expired"
-MAINTENANCE = "(?i)maintenance|メンテナンス中"
+CLOSED_PART = r"(釣り?堀|民宿|旅館|釣具|食堂|売店|店舗|支店|レストラン|カフェ|ショップ|キャンプ場?)[はをがも、・]?\s*(廃業|閉業)"
+PARKED = (
+    r"このドメインは|ドメインは売却|お名前\.com|ムームードメイン|ドメインパーキング|domain (is )?for sale|this domain|buy this domain|parked|Hosted by Sedo|Domain registration has expired|Click here to enter|Index of /|期限切れ|有効期限が切れ|"
+    r"ページが見つかりません|404 Not Found|アカウントが停止|サービスは終了|サービス終了のお知らせ"
+)
+MAINTENANCE = "maintenance|メンテナンス中|ただいまメンテナンス"
 RELEVANT = "釣|船|丸|乗合|仕立|出船|遊漁|フィッシング|漁|マリン|ボート|渡し|磯|沖"
 
 
-def link_score(href: Column, text: Column, own: Column | None = None) -> Column:
+def _any_case(c: Column, pattern: str) -> Column:
+    return c.rlike(f"(?i)(?:{pattern})")
+
+
+def netloc(u: Column) -> Column:
+    """The lower-cased host of a URL without its port; empty for a path alone."""
+    return F.lower(F.regexp_extract(F.coalesce(u, F.lit("")), r"(?i)^[a-z]+://([^/?#:]*)", 1))
+
+
+def _path(u: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(u, r"(?i)^[a-z]+://[^/?#]*", ""), "[?#].*$", "")
+
+
+def _path_query(u: Column) -> Column:
+    return F.concat(_path(u), F.lit("?"), F.regexp_extract(u, r"\?([^#]*)", 1))
+
+
+def link_score(href: Column, text: Column, own: Column | None = None, site: Column | None = None, context: Column | None = None) -> Column:
     """How likely a link leads to reports of catches; 0 without any sign of them, less for dated, old and past ones.
 
-    own: whether the link leads to the page that it stands on.
+    own: whether the link leads to the page that it stands on.  site: the page; a blog on another host counts more.
+    context: the text around the link, which can name what an icon of a network is for.
     """
-    hit = lambda c, p, n: F.when(c.rlike(p), n).otherwise(0)
-    signs = F.when(text.rlike(CATCH_TEXT), 10).when(text.rlike(f"(?i){CATCH_ENGLISH}"), 5).otherwise(0) + hit(href, f"(?i){CATCH_HREF}", 6) + hit(text, f"(?i){BLOG_TEXT}", 3)
-    less = hit(text, r"\d{1,2}月\d{1,2}日|\d{4}[/.]\d{1,2}[/.]\d{1,2}", -4) + hit(text, "過去", -3) + hit(F.concat_ws(" ", href, text), r"(?<!\d)20(0\d|1\d|2[0-3])(?!\d)", -4)
+    hit = lambda c, n: F.when(c, n).otherwise(0)
+    host, path = netloc(href), _path_query(href)
+    around = _any_case(host, SNS_HOST) & context.rlike(CATCH_TEXT) & (F.length(context) <= 80) if context is not None else F.lit(False)
+    signs = F.when(text.rlike(CATCH_TEXT), 10).when(_any_case(text, CATCH_ENGLISH), 5).when(around, 8).otherwise(0) + hit(_any_case(path, CATCH_HREF), 6) + hit(_any_case(text, BLOG_TEXT), 3)
+    unfit = _any_case(href, EXCLUDED_URL) | _any_case(path, POST_URL) | _any_case(href, POST_URL) | text.rlike(PRIVACY_TEXT)
+    more = hit(_any_case(host, BLOG_HOST) & (host != netloc(site)), 2) if site is not None else F.lit(0)
+    less = hit(text.rlike(DATED_TEXT), -4) + hit(text.contains("過去"), -3) + hit(F.concat_ws(" ", _path(href), text).rlike(r"(?<!\d)20(0\d|1\d|2[0-3])(?!\d)"), -4)
     if own is not None:
-        less = less + F.when(own, -10).otherwise(0)
-    return F.when(signs == 0, 0).otherwise(signs + less).cast("int")
+        less = less + hit(own, -10)
+    return F.when((signs == 0) | unfit, 0).otherwise(signs + more + less).cast("int")
 
 
 def link_kind(href: Column, site: Column) -> Column:
-    """'sns', 'site' (the same host) or 'blog'."""
-    from ..dims import SNS_HOSTS
-    from ..functions.web import host_in, host_of
+    """'sns', 'catchsite' (a site that reports catches), 'site' (the same host) or 'blog'."""
+    host, own = netloc(href), netloc(site)
+    bare = lambda h: F.regexp_replace(h, r"www\.", "")
+    return F.when(_any_case(host, SNS_HOST), "sns").when(host_in(host, list(CATCH_SITES)), "catchsite").when(bare(host) == bare(own), "site").otherwise("blog")
+
+
+def evidence(body: Column) -> Column:
+    """How often a text speaks of catches."""
+    return F.regexp_count(body, F.lit(f"(?i)(?:{EVIDENCE})"))
 
-    return F.when(host_in(host_of(href), SNS_HOSTS), "sns").when(host_of(href) == host_of(site), "site").otherwise("blog")
 
+def health(text: Column, title: Column | None = None, whole: Column | None = None, names: Column | None = None) -> Column:
+    """(state, reason) of a site from the text and title of its first page: the first of the rules that holds.
 
-def health(text: Column, title: Column | None = None) -> Column:
-    """(state, reason) of a site from its text and title: the first of the rules that holds."""
+    whole: texts and titles of all its pages (the first page's where not given); names: the names of those whose site it
+    is, which make any text relevant that holds one.  Without a page, or with an empty one, the site is unreachable.
+    """
     title = F.coalesce(title, F.lit("")) if title is not None else F.lit("")
     text = F.coalesce(text, F.lit(""))
     top, head = F.concat_ws(" ", text, title), F.concat_ws(" ", title, F.substring(text, 1, 400))
-    size = F.length(F.trim(top))
+    whole = F.coalesce(whole, top) if whole is not None else top
+    named = F.exists(F.coalesce(names, F.array().cast("array<string>")), lambda n: (n != "") & whole.contains(n)) if names is not None else F.lit(False)
+    size = F.length(top)
     kana, broken = F.regexp_count(top, F.lit("[ぁ-んァ-ン]")), F.regexp_count(top, F.lit("�"))
     rules = [
-        (size == 0, "unreachable", "no text"),
-        (top.rlike(SPAM), "suspect", "spam"),
+        (F.length(F.trim(whole)) == 0, "unreachable", "no text"),
+        (_any_case(top, SPAM), "suspect", "spam"),
         (head.rlike(CLOSED) & ~head.rlike(CLOSED_PART), "closed", "closed for good"),
-        ((size < 1500) & top.rlike(PARKED), "suspect", "parked domain"),
-        (title.rlike(MAINTENANCE) | ((size < 400) & top.rlike(MAINTENANCE)), "thin", "under maintenance"),
-        (size < 80, "thin", "hardly any text"),
+        ((size < 1500) & _any_case(top, PARKED), "suspect", "parked domain"),
+        (_any_case(title, MAINTENANCE) | ((size < 400) & _any_case(top, MAINTENANCE)), "thin", "under maintenance"),
+        (F.length(F.trim(whole)) < 80, "thin", "hardly any text"),
         (broken > 20, "thin", "broken characters"),
-        ((kana < 15) & (size > 200) & title.rlike(RELEVANT), "thin", "text drawn by scripts"),
+        ((kana < 15) & (size > 200) & title.rlike(RELEVANT) & title.rlike("[ぁ-んァ-ン一-龥]"), "thin", "text drawn by scripts"),
         ((kana < 15) & (size > 200), "suspect", "another language"),
-        (~top.rlike(RELEVANT), "suspect", "another subject"),
+        (~whole.rlike(RELEVANT) & ~named, "suspect", "another subject"),
     ]
     state = reason = None
     for condition, s, r in rules:
@@ -217,15 +273,21 @@ def link_verdict(code: Column, exit_code: Column, final: Column) -> Column:
     )
 
 
-def accepted(text: Column, title: Column, href: Column, kind: Column, body: Column, evidence: Column, blog_host: Column, dead: Column) -> Column:
-    """(ok, why) whether an opened page shows the catches of the site that links to it: the first of the rules that holds."""
-    named = lambda c: c.rlike(CATCH_TEXT)
-    other = text.rlike("民宿|旅館|食堂|釣具|求人")
-    bare = F.regexp_replace(href, "(?i)^https?://[^/]+", "").rlike("^/?$")
+def accepted(text: Column, title: Column, href: Column, kind: Column, body: Column, evidence: Column, blog_host: Column, dead: Column, blog_links: bool | Column = True) -> Column:
+    """(ok, why) whether an opened page shows the catches of the site that links to it: the first of the rules that holds.
+
+    blog_links: whether a blog counts that the site only names as its blog.
+    """
+    blog_links = F.lit(blog_links) if isinstance(blog_links, bool) else blog_links
+    blog, named = kind == "blog", lambda c: c.rlike(CATCH_TEXT)
+    outside, other = blog & blog_host, _any_case(text, OTHER_BUSINESS)
+    host, path = netloc(href), _path(href)
+    folder = F.regexp_replace(path, "^/+|/+$", "")
+    platform = _any_case(host, SUBDOMAIN_PLATFORM) | (_any_case(host, PLATFORM_ROOT) & (F.length(folder) < 3)) | F.regexp_extract(href, r"\?([^#]*)", 1).contains("ref=")
     rules = [
-        (body.isNull() | (body == ""), False, "open_failed"), (dead, False, "dead"), ((F.length(body) < 1500) & body.rlike(PARKED), False, "parked"), ((kind == "blog") & blog_host & (bare | href.contains("ref=")), False, "platform"),
-        ((kind == "blog") & ~blog_host & bare & ~named(text), False, "portal_top"), ((kind == "blog") & other & ~named(text), False, "other_business"), (named(text), True, "text"), (named(title), True, "title"),
-        (href.rlike(f"(?i){CATCH_HREF}"), True, "url"), ((kind == "blog") & blog_host & text.rlike(f"(?i){BLOG_TEXT}") & ~other, True, "blog_link"), ((evidence >= 3) & ((kind != "blog") | blog_host), True, "evidence"),
+        (body.isNull() | (body == ""), False, "open_failed"), (dead, False, "dead"), ((F.length(body) < 1500) & _any_case(body, PARKED), False, "parked"), (blog & platform, False, "platform"),
+        (blog & ~blog_host & (folder == "") & ~named(text), False, "portal_top"), (blog & other & ~named(text), False, "other_business"), (named(text), True, "text"), (named(title), True, "title"),
+        (_any_case(_path_query(href), CATCH_HREF_SURE), True, "url"), (blog_links & outside & _any_case(text, BLOG_NAME) & ~other, True, "blog_link"), ((evidence >= 3) & (~blog | (outside & blog_links)), True, "evidence"),
     ]
     out = None
     for condition, ok, why in rules:
@@ -235,11 +297,12 @@ def accepted(text: Column, title: Column, href: Column, kind: Column, body: Colu
 
 
 def ranked_pages(pages: DataFrame, site: str, page: str, text: str, most_chars: int = 14000, budget: int = 32000, least: int = 500) -> DataFrame:
-    """Pages of each site by how many amounts they state, the first page of a site pinned first, within its budget of
+    """Pages of each site by the signs of fares in them, the first page of a site pinned first, within its budget of
     characters; a rest of under `least` ends it."""
     from .ordered import over
 
-    yen = F.regexp_count(text, F.lit(r"[0-9０-９,]+\s*円|[¥￥]\s*[0-9]"))
+    fares = F.when(F.col(text).rlike("料金|乗合|仕立"), 50).otherwise(0)
+    yen = F.regexp_count(text, F.lit("円")) * 3 + F.regexp_count(text, F.lit(r"\d{1,2}[:：時]\d{0,2}")) + fares
     rows = pages.withColumn("_first", F.row_number().over(over([site], [page])) == 1).withColumn("_yen", yen).withColumn("_size", F.least(F.length(text), F.lit(most_chars)))
     w = over([site], [F.desc("_first"), F.desc("_yen"), page])
     before = F.coalesce(F.sum("_size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import offers as f
+from ..functions.embedded import fish_list
 from ..functions.places import clean_address, prefecture
 from ..functions.text import cut, kinds_of, name_key, nfkc, port_key, split_list
 from ..functions.web import clean_url, exact_url, phone_key, phone_shown, site_key, url_class
@@ -21,9 +22,9 @@ def offers(listings: DataFrame, ident: tuple[str, ...] = ("src", "src_id")) -> D
     so do offers with neither name, price, price text nor departure.
     """
     ferry = F.exists(F.coalesce("types", F.array().cast("array<string>")), lambda t: t.rlike("渡船|瀬渡|磯渡|筏")) | F.coalesce(F.col("name").rlike("渡船|筏|イカダ|いかだ|カセ"), F.lit(False))
-    rows = listings.select(*ident, ferry.alias("_ferry"), F.posexplode("plans").alias("pos", "p"))
+    rows = listings.select(*ident, ferry.alias("_ferry"), F.posexplode("plans").alias("pos", "p")).withColumn("t_targets", nfkc(F.array_join("p.targets", "、")))
     text = {c: nfkc(f"p.{c}") for c in ("name", "kind", "price_text", "depart", "return", "meet", "season", "days", "includes")}
-    rows = rows.select(*ident, "_ferry", "pos", *[v.alias(f"t_{k}") for k, v in text.items()], F.col("p.price").alias("t_price"), F.col("p.targets").alias("targets"), F.col("p.url").alias("t_url"))
+    rows = rows.select(*ident, "_ferry", "pos", *[v.alias(f"t_{k}") for k, v in text.items()], F.col("p.price").alias("t_price"), fish_list(F.col("t_targets")).alias("targets"), F.col("p.url").alias("t_url"))
     blank = lambda c: F.nullif(c, F.lit(""))
     kind = F.coalesce(F.get(kinds_of(F.col("t_kind")), F.lit(0)), blank(cut(F.col("t_kind"), 10)))
     rows = rows.withColumn("kind", kind).withColumn("price", f.in_range(F.col("t_price"), 300, 600000))
@@ -31,7 +32,7 @@ def offers(listings: DataFrame, ident: tuple[str, ...] = ("src", "src_id")) -> D
     rows = rows.where(~F.coalesce(junk, F.lit(False)))
     name = blank(F.regexp_replace(cut(F.col("t_name"), 90), r"^[、。，,.)）\]】」』\s※*＊・:：]+", ""))
     out = rows.select(
-        *ident, "pos", name.alias("name"), "kind", F.array_distinct("targets").alias("targets"), "price", blank(cut(F.col("t_price_text"), 80)).alias("price_text"), f.clock(F.col("t_depart")).alias("depart"),
+        *ident, "pos", name.alias("name"), "kind", "targets", "price", blank(cut(F.col("t_price_text"), 80)).alias("price_text"), f.clock(F.col("t_depart")).alias("depart"),
         f.clock(F.col("t_return")).alias("return"), *[blank(cut(F.col(f"t_{c}"), n)).alias(c) for c, n in (("meet", 40), ("season", 60), ("days", 60), ("includes", 80))], clean_url(F.col("t_url")).alias("url"),
     )
     return out.where("name IS NOT NULL OR price IS NOT NULL OR price_text IS NOT NULL OR depart IS NOT NULL")
@@ -42,7 +43,7 @@ def listings(raw: DataFrame, today: str) -> DataFrame:
     blank = lambda c: F.nullif(c, F.lit(""))
     # Texts are composed first: what comes after stays in the JVM, and higher-order functions take no Python.
     composed = ("src_id", "src_url", "name", "kana", "pref", "city", "port", "address", "tel", "website", "holidays", "access", "description", "schedule_text", "fetched")
-    raw = raw.withColumn("_ident", nfkc(F.coalesce("src_url", "name"))).withColumn("_nkey", name_key(F.col("name"))).withColumns({c: nfkc(c) for c in composed})
+    raw = raw.withColumn("_targets", nfkc(F.array_join("targets", "、"))).withColumn("_ident", nfkc(F.coalesce("src_url", "name"))).withColumn("_nkey", name_key(F.col("name"))).withColumns({c: nfkc(c) for c in composed})
     one = lambda c, n: blank(cut(F.col(c), n))
     address = blank(clean_address(F.col("address")))
     pref = F.coalesce(prefecture(F.col("pref")), prefecture(address), prefecture(F.col("city")))
@@ -56,7 +57,7 @@ def listings(raw: DataFrame, today: str) -> DataFrame:
         "src", F.coalesce(blank(F.col("src_id")), F.left(F.sha1("_ident"), F.lit(10))).alias("src_id"), clean_url(F.col("src_url")).alias("src_url"), cut(name, 60).alias("name"), one("kana", 60).alias("kana"),
         F.when(F.col("_address").isNotNull() & F.col("_pref").isNotNull() & prefecture(F.col("_address")).isNull(), F.concat("_pref", "_address")).otherwise(F.col("_address")).alias("address"), F.col("_pref").alias("pref"),
         blank(F.col("city")).alias("city"), blank(F.col("port")).alias("port"), phone_key(F.col("tel")).alias("tel"), phone_shown(F.col("tel")).alias("tel_shown"), F.col("_web").alias("website"), F.array_distinct("_sns").alias("sns"),
-        F.when(inside, F.col("lat")).alias("lat"), F.when(inside, F.col("lon")).alias("lon"), F.when(inside, "site").alias("geo"), kinds_of(F.array_join("types", " ")).alias("types"), F.array_distinct("targets").alias("targets"),
+        F.when(inside, F.col("lat")).alias("lat"), F.when(inside, F.col("lon")).alias("lon"), F.when(inside, "site").alias("geo"), kinds_of(F.array_join("types", " ")).alias("types"), fish_list(F.col("_targets")).alias("targets"),
         F.slice(split_list(F.array_join("methods", "、")), 1, 12).alias("methods"), F.slice(split_list(F.array_join("facilities", "、")), 1, 20).alias("facilities"), one("holidays", 80).alias("holidays"), f.in_range(F.col("capacity"), 1, 300).alias("capacity"),
         one("access", 160).alias("access"), one("description", 160).alias("description"), one("schedule_text", 300).alias("schedule_text"), F.coalesce(blank(F.col("fetched")), F.lit(today)).alias("fetched"), F.coalesce("stale", F.lit(False)).alias("stale"),
         F.col("_nkey").alias("nkey"), port_key(F.coalesce("port", F.lit("")), plain=True).alias("pkey"), site_key(F.col("_web")).alias("ukey"), exact_url(F.col("_web")).alias("page"),
@@ -64,12 +65,16 @@ def listings(raw: DataFrame, today: str) -> DataFrame:
 
 
 def false_claims(claims: DataFrame, texts: DataFrame, key: str) -> DataFrame:
-    """Claims (key, n, price, depart) that the text of their site (key, text) doesn't state in any way of writing."""
-    both = claims.join(texts, key)
-    plain = F.regexp_replace(F.regexp_replace("text", r"(?<=\d),(?=\d{3})", ""), r"\s+", "")
-    price = F.col("price").isNotNull() & ~(f.stated(f.price_forms(F.col("price")), F.col("text")) | f.stated(f.price_forms(F.col("price")), plain))
-    time = F.col("depart").isNotNull() & ~(f.stated(f.time_forms(F.col("depart")), F.col("text")) | f.stated(f.time_forms(F.col("depart")), plain))
-    return both.where(price | time).select(key, "n", price.alias("price_unstated"), time.alias("time_unstated"))
+    """Claims (key, n, price, depart) that the text of their site (key, text) doesn't state in any way of writing.
+
+    Prices are also looked for in the text without any separator between digits, as sites misplace them.
+    """
+    both = claims.join(texts, key).withColumn("_plain", f.claim_text(nfkc("text")))
+    loose = F.regexp_replace("_plain", r"(?<=\d)[,.，．、](?=\d)", "")
+    forms = f.price_forms(F.col("price"))
+    price = F.col("price").isNotNull() & ~F.exists(forms, lambda x: F.col("_plain").contains(x) | loose.contains(x))
+    time = F.col("depart").rlike(r"^\d{2}:\d{2}$") & ~f.time_stated(F.col("depart"), F.col("_plain"))
+    return both.select(key, "n", F.coalesce(price, F.lit(False)).alias("price_unstated"), F.coalesce(time, F.lit(False)).alias("time_unstated")).where("price_unstated OR time_unstated")
 
 
 def place_label(city: Column, port: Column, address: Column, pref: Column, town: Column) -> Column:
