@@ -121,6 +121,36 @@ def allowed(path: Column, rules: Column) -> Column:
     return F.coalesce(best["allow"], F.lit(True))
 
 
+def robots(text: Column) -> Column:
+    """array<struct<allow, prefix>> of the rules that a robots.txt has for all agents, in order; none without a text.
+
+    An empty prefix forbids nothing.
+    """
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), r"\r?\n"), lambda l: F.trim(F.regexp_replace(l, "#.*$", "")))
+    start = F.struct(F.lit("").alias("agents"), F.lit(True).alias("open"), F.array().cast("array<struct<allow:boolean,prefix:string>>").alias("rules"))
+
+    def step(a: Column, line: Column) -> Column:
+        field, value = F.lower(F.trim(F.substring_index(line, ":", 1))), F.trim(F.regexp_extract(line, r":(.*)$", 1))
+        agent, rule = field == "user-agent", field.isin("allow", "disallow")
+        # Agents one after the other share the rules behind them.
+        agents = F.when(agent, F.concat(F.when(a["open"], a["agents"]).otherwise(""), F.lit(" "), value, F.lit(" "))).otherwise(a["agents"])
+        mine = rule & agents.contains(" * ")
+        added = F.concat(a["rules"], F.array(F.struct(((field == "allow") | (value == "")).alias("allow"), value.alias("prefix"))))
+        return F.struct(agents.alias("agents"), F.when(agent, True).when(rule, False).otherwise(a["open"]).alias("open"), F.when(mine, added).otherwise(a["rules"]).alias("rules"))
+
+    return F.aggregate(lines, start, step)["rules"]
+
+
+def may_fetch(path: Column, rules: Column) -> Column:
+    """Whether the first rule that a path begins with allows it; without one, yes."""
+    return F.coalesce(F.get(F.filter(rules, lambda r: path.startswith(r["prefix"])), F.lit(0))["allow"], F.lit(True))
+
+
+def total_of(text: Column) -> Column:
+    """The number of entries that a composed text of a list announces: the last one counted in 件."""
+    return F.regexp_replace(F.element_at(F.filter(F.concat(F.array(F.lit("")), F.regexp_extract_all(text, F.lit(r"(\d[\d,]*)\s*件"), F.lit(1))), lambda x: x.isNotNull()), -1), ",", "").try_cast("int")
+
+
 def pages_of(total: Column, each: int) -> Column:
     """The page numbers of a list of so many entries."""
     return F.when(total > 0, F.sequence(F.lit(1), F.ceil(total / each).cast("int"))).otherwise(F.array().cast("array<int>"))

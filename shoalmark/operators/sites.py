@@ -85,11 +85,12 @@ def crawl_order(links: DataFrame, most_pages: int = 7, most_tries: int = 25, fra
     return links.select("site", "page", "n", "url", "score", "found").groupBy("site").applyInPandas(walk, "site string, visit int, url string")
 
 
-def condensed(pages: DataFrame, around: int = 2, most_page: int = 3500, most_site: int = 7000, most_line: int = 300, head: int = 300, least: int = 200) -> DataFrame:
-    """(site, text): of each site (site, page, title, text of lines) the lines that speak of fares and times with their
+def condensed(pages: DataFrame, about: DataFrame, around: int = 2, most_page: int = 3500, most_site: int = 7000, most_line: int = 300, head: int = 300, least: int = 200) -> DataFrame:
+    """(site, text): of each site (site, page, url, title, text of lines) the lines that speak of fares and times with their
     neighbours, gaps marked, cut to a size for each page and each site.
 
-    The first page's beginning stands before its parts and counts towards the size; a rest of under `least` ends a site.
+    about (site, website, names) and the first page's beginning stand before the parts and count towards the size; a rest of
+    under `least` ends a site.
     """
     lines = pages.select("site", "page", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
     w = over(["site", "page"], ["ln"])
@@ -97,17 +98,20 @@ def condensed(pages: DataFrame, around: int = 2, most_page: int = 3500, most_sit
     gap = F.coalesce(F.col("ln") != F.lag("ln").over(w) + 1, F.lit(False))
     cut = F.when(F.length("line") <= most_line, F.col("line")).otherwise(F.concat(F.substring("line", 1, most_line), F.lit("…")))
     kept = kept.withColumn("_text", F.concat(F.when(gap, "…\n").otherwise(""), cut))
-    by_page = kept.groupBy("site", "page").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ln", "_text"))), lambda x: x["_text"]), "\n").alias("_body"))
+    in_order = lambda by, c: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(by, c))), lambda x: x[c]), "\n")
+    by_page = kept.groupBy("site", "page").agg(in_order("ln", "_text").alias("_body"))
     by_page = by_page.withColumn("_body", F.substring("_body", 1, most_page)).where(F.trim("_body") != "")
-    blocks = by_page.join(pages.select("site", "page", "title"), ["site", "page"]).withColumn("_block", F.concat(F.lit("## "), "page", F.lit("（"), F.coalesce("title", F.lit("")), F.lit("）\n"), "_body"))
+    titled = lambda *x: F.concat(F.lit("## "), *x, F.lit("）"))
+    blocks = by_page.join(pages.select("site", "page", "url", "title"), ["site", "page"]).withColumn("_block", F.concat(titled("url", F.lit("（"), F.coalesce("title", F.lit(""))), F.lit("\n"), "_body"))
     first = pages.groupBy("site").agg(F.min_by(F.struct("title", "text"), "page").alias("f"))
-    top = F.concat(F.lit("## 冒頭（"), F.coalesce("f.title", F.lit("")), F.lit("）\n"), F.substring("f.text", 1, head))
-    starts = first.select("site", top.alias("_top"))
+    parts = F.array(F.concat(F.lit("# key: "), "site"), F.concat(F.lit("# website: "), "website"), F.concat(F.lit("# 船宿: "), "names"), titled(F.lit("冒頭（"), F.coalesce("f.title", F.lit(""))), F.substring("f.text", 1, head))
+    starts = first.join(about, "site").select("site", parts.alias("_parts"))
+    starts = starts.withColumn("_size", F.aggregate("_parts", F.lit(0), lambda n, p: n + F.length(p)))
     before = F.coalesce(F.sum(F.length("_block")).over(over(["site"], ["page"]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    room = blocks.join(starts, "site").withColumn("_room", F.lit(most_site) - F.length("_top") - before)
+    room = blocks.join(starts, "site").withColumn("_room", F.lit(most_site) - F.col("_size") - before)
     room = room.where((F.length("_block") <= F.col("_room")) | (F.col("_room") >= least)).withColumn("_block", F.substring("_block", F.lit(1), F.greatest(F.lit(0), "_room").cast("int")))
-    joined = room.groupBy("site").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page", "_block"))), lambda x: x["_block"]), "\n").alias("_rest"))
-    return starts.join(joined, "site", "left").select("site", F.concat_ws("\n", "_top", "_rest").alias("text"))
+    joined = room.groupBy("site").agg(in_order("page", "_block").alias("_rest"))
+    return starts.join(joined, "site", "left").select("site", F.concat_ws("\n", "_parts", "_rest").alias("text"))
 
 
 def official_listings(read: DataFrame, sites: DataFrame, today: str) -> tuple[DataFrame, DataFrame]:

@@ -1,0 +1,323 @@
+"""Cases of pages, official sites, classes of listings, and small decisions."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import embedded, web
+from ..functions.text import nfkc
+from ..operators import classify, pages, sites
+from .cases import case
+
+c = F.col
+_PAD = "釣り船の案内です。" + "船の予約をお待ちしています。" * 8
+
+
+@case(
+    ("i int, t string, title string, whole string, names array<string>", [
+        (1, None, None, None, None), (2, "オンラインカジノで遊ぶ", "", None, None), (3, "このたび廃業しました。長らくありがとうございました。", "海丸", None, None), (4, "※海上釣堀は閉業しました。" + _PAD, "海丸", None, None), (5, "Index of /", "", None, None), (6, "お名前.com", "", None, None),
+        (7, "x", "メンテナンス中", None, None), (8, "短い船の案内", "海丸", None, None), (9, "船" + "�" * 21 + "あ" * 90, "", None, None), (10, "abc " * 60, "釣り船 海丸", None, None), (11, "abc " * 60, "Home", None, None), (12, "これはとてもながいおみせのごあんないです。" * 5, "", None, ["海空"]),
+        (13, "これはとてもながいおみせのごあんないです。うみそら。" * 5, "", None, ["うみそら"]), (14, _PAD, "海丸", None, None), (15, "短い", "", "短い " + _PAD, None), (16, "buy this domain " + "あ船" * 800, "", None, None),
+    ]),
+    ddl="i int, state string, reason string",
+    expected=[
+        (1, "unreachable", "no text"), (2, "suspect", "spam"), (3, "closed", "closed for good"), (4, "ok", ""), (5, "suspect", "parked domain"), (6, "suspect", "parked domain"), (7, "thin", "under maintenance"), (8, "thin", "hardly any text"), (9, "thin", "broken characters"),
+        (10, "thin", "text drawn by scripts"), (11, "suspect", "another language"), (12, "suspect", "another subject"), (13, "ok", ""), (14, "ok", ""), (15, "ok", ""), (16, "ok", ""),
+    ],
+)
+def site_health_rules(rows):
+    """Every rule of a site's health, in order."""
+    return rows.select("i", pages.health(c("t"), c("title"), c("whole"), c("names")).alias("h")).select("i", "h.state", "h.reason")
+
+
+@case(
+    ("i int, href string, t string, ctx string", [
+        (1, "https://umi.jp/choka/", "釣果情報", ""), (2, "https://umi.jp/news", "catch", ""), (3, "https://ameblo.jp/umi/", "ブログ", ""), (4, "https://umi.jp/blog/entry-123.html", "釣果", ""), (5, "https://umi.jp/choka2019/", "過去の釣果", ""), (6, "https://umi.jp/", "釣果", ""), (7, "https://umi.jp/about", "会社概要", ""),
+        (8, "https://www.instagram.com/umi/", "", "釣果はこちらで発信中"), (9, "https://umi.jp/c", "9月1日の釣果", ""), (10, "https://umi.jp/privacy", "釣果", ""), (11, "https://umi.jp/x", "個人情報と釣果", ""), (12, "https://umi.jp/result.html", "一覧", ""),
+    ]),
+    ddl="i int, score int, kind string",
+    expected=[(1, 16, "site"), (2, 5, "site"), (3, 5, "blog"), (4, 0, "site"), (5, 9, "site"), (6, 0, "site"), (7, 0, "site"), (8, 8, "sns"), (9, 6, "site"), (10, 0, "site"), (11, 0, "site"), (12, 6, "site")],
+)
+def catch_link_scores(rows):
+    """How likely links lead to reports of catches, and what kind of page they lead to."""
+    own = F.regexp_replace("href", "/+$", "") == "https://umi.jp"
+    site = F.lit("https://www.umi.jp/")
+    return rows.select("i", pages.link_score(c("href"), c("t"), own, site, c("ctx")).alias("score"), pages.link_kind(c("href"), site).alias("kind"))
+
+
+@case(
+    ("i int, href string", [(1, "https://www.umi.jp/a"), (2, "https://m.facebook.com/umi"), (3, "https://www.fishing-v.jp/choka/1"), (4, "https://blog.umi.jp/"), (5, "https://theboat.jp/b/1"), (6, "https://umi.jp.example.com/")]),
+    ddl="i int, kind string", expected=[(1, "site"), (2, "sns"), (3, "catchsite"), (4, "blog"), (5, "catchsite"), (6, "blog")],
+)
+def kinds_of_links(rows):
+    """Networks, sites that report catches, the same site, and everything else."""
+    return rows.select("i", pages.link_kind(c("href"), F.lit("http://umi.jp/")).alias("kind"))
+
+
+@case(
+    ("i int, t string, title string, href string, kind string, body string, ev int, blog boolean, dead boolean", [
+        (1, "釣果", "", "https://a.jp/x", "site", None, 0, False, False), (2, "釣果", "", "https://a.jp/x", "site", "b" * 2000, 0, False, True), (3, "釣果", "", "https://a.jp/x", "site", "このドメインは", 0, False, False), (4, "ブログ", "", "https://wordpress.com/", "blog", "b" * 2000, 9, True, False),
+        (5, "リンク", "", "https://b.jp/", "blog", "b" * 2000, 9, False, False), (6, "釣具店", "", "https://b.jp/x", "blog", "b" * 2000, 9, False, False), (7, "釣果", "", "https://a.jp/x", "site", "b" * 2000, 0, False, False), (8, "記録", "釣果情報", "https://a.jp/x", "site", "b" * 2000, 0, False, False),
+        (9, "記録", "", "https://a.jp/catch.html", "site", "b" * 2000, 0, False, False), (10, "船長日誌", "", "https://ameblo.jp/umi/", "blog", "b" * 2000, 0, True, False), (11, "記録", "", "https://a.jp/x", "site", "b" * 2000, 3, False, False), (12, "記録", "", "https://a.jp/x", "site", "b" * 2000, 2, False, False),
+        (13, "記録", "", "https://b.jp/x", "blog", "b" * 2000, 9, False, False), (14, "記録", "", "https://b.jp/x?ref=1", "blog", "b" * 2000, 9, False, False),
+    ]),
+    ddl="i int, ok boolean, why string, strict_ok boolean",
+    expected=[
+        (1, False, "open_failed", False), (2, False, "dead", False), (3, False, "parked", False), (4, False, "platform", False), (5, False, "portal_top", False), (6, False, "other_business", False), (7, True, "text", True), (8, True, "title", True), (9, True, "url", True), (10, True, "blog_link", False),
+        (11, True, "evidence", True), (12, False, "weak_evidence", False), (13, False, "weak_evidence", False), (14, False, "platform", False),
+    ],
+)
+def catch_pages_accepted(rows):
+    """Every outcome of opening a page that may show catches, with and without blogs that are only named so."""
+    given = [c(x) for x in ("t", "title", "href", "kind", "body", "ev", "blog", "dead")]
+    return rows.select("i", pages.accepted(*given).alias("v"), pages.accepted(*given, blog_links=False).alias("s")).select("i", "v.ok", "v.why", F.col("s.ok").alias("strict_ok"))
+
+
+@case(
+    ("i int, t string", [(1, "本日の釣果 マダイ3匹 50cm、竿頭12尾"), (2, "ヒットしたが釣れず"), (3, "営業案内")]),
+    ddl="i int, n int, yen int, kana int", expected=[(1, 5, 0, 1), (2, 2, 0, 5), (3, 0, 0, 0)],
+)
+def text_statistics(rows):
+    """How often a text speaks of catches and money, and its kana."""
+    return rows.select("i", pages.evidence(c("t")).alias("n"), F.regexp_count("t", F.lit("円")).alias("yen"), F.regexp_count("t", F.lit("[ぁ-ん]")).alias("kana"))
+
+
+@case(
+    ("site string, n int, score int, url string, strict boolean, loose boolean, blog boolean", [
+        ("a", 1, 5, "a1", False, True, True), ("a", 2, 9, "a2", False, False, False), ("a", 3, 3, "a3", True, True, False), ("b", 1, 4, "b1", False, True, True), ("b", 2, 3, "b2", False, True, True), ("c", 1, 4, "c1", False, True, True), ("d", 1, 0, "d1", True, True, False),
+        ("e", 1, 9, "e1", False, False, False), ("e", 2, 8, "e2", False, False, False), ("e", 3, 7, "e3", False, False, False), ("e", 4, 6, "e4", False, False, False), ("e", 5, 5, "e5", False, False, False), ("e", 6, 4, "e6", True, True, False),
+    ]),
+    ddl="site string, url string, turn int, why string", expected=[("a", "a3", 1, "s"), ("c", "c1", 2, "l")],
+)
+def best_links_in_two_turns(rows):
+    """The first of the five best links that passes, strictly first, then with the one blog that is only named so."""
+    of = lambda ok, why: F.struct(c(ok).alias("ok"), F.lit(why).alias("why"))
+    cands = rows.select("site", "n", "score", "url", of("strict", "s").alias("strict"), of("loose", "l").alias("loose"), c("blog").alias("named_blog"))
+    return sites.chosen_links(cands)
+
+
+@case(
+    ("i int, label string, url string", [(1, "料金表", "https://a.jp/x"), (2, "ご案内", "https://a.jp/price.html"), (3, "乗合プラン", "https://a.jp/plan"), (4, "アクセス", "https://a.jp/access"), (5, "出船スケジュール", "https://a.jp/s"), (6, "会社", "https://a.jp/reserve/")]),
+    ddl="i int, score int", expected=[(1, 10), (2, 8), (3, 8), (4, 0), (5, 6), (6, 2)],
+)
+def crawl_link_scores(rows):
+    """How close to fares links lead, by label, else by URL."""
+    return rows.select("i", sites.crawl_score(c("label"), c("url")).alias("score"))
+
+
+@case(
+    ("site string, page string, n int, url string, score int, found boolean", [
+        ("s", "s", 1, "s/a", 4, True), ("s", "s", 2, "s/b", 10, True), ("s", "s", 3, "s/f", 20, True), ("s", "s", 4, "s/gone", 8, False), ("s", "s", 5, "s/b/", 6, True), ("s", "s/f", 1, "s/c", 9, True), ("s", "s/f", 2, "s/a", 10, True), ("s", "s/b", 1, "s/never", 10, True), ("t", "t", 1, "t/x", 0, True),
+    ]),
+    ddl="site string, visit int, url string", expected=[("s", 0, "s"), ("s", 1, "s/f"), ("s", 2, "s/b"), ("s", 3, "s/a"), ("s", 4, "s/c"), ("t", 0, "t")],
+)
+def crawl_best_first(links):
+    """The order in which a crawl reads pages: best first, what frames lead to joins, no page twice."""
+    return sites.crawl_order(links)
+
+
+@case(
+    ("id string, name string, website string, n_plans int", [("b1", "海丸", "https://www.umi.jp/index.html", 0), ("b2", "海丸二号", "http://umi.jp/", None), ("b3", "山丸", "https://yama.jp/", 3), ("b4", "星丸", None, 0)]),
+    ddl="key string, website string, members int", expected=[("915389ad7a80", "https://www.umi.jp/index.html", 2)],
+)
+def sites_to_read(entities):
+    """The sites of entities that have no offers yet, one row a site."""
+    out = sites.to_read(entities)
+    return out.select("key", "website", F.size("members").alias("members"))
+
+
+_ABOUT = "site string, website string, names string"
+
+
+@case(
+    ("site string, page int, url string, title string, text string", [("s", 1, "u1", "海丸", "ようこそ\nあ\nい\n大人9000円\nう\nえ\nお\nか\nき\n定休日は火曜"), ("s", 2, "u2", "案内", "なにもない"), ("t", 1, "v1", "山丸", "静か")]),
+    (_ABOUT, [("s", "https://a.jp/", "海丸（千葉県 大原）"), ("t", "https://b.jp/", "山丸（ ）")]),
+    ddl="site string, text string",
+    expected=[
+        ("s", "# key: s\n# website: https://a.jp/\n# 船宿: 海丸（千葉県 大原）\n## 冒頭（海丸）\nようこそ\nあ\nい\n大人9000円\nう\nえ\nお\nか\nき\n定休日は火曜\n## u1（海丸）\nあ\nい\n大人9000円\nう\nえ\n…\nか\nき\n定休日は火曜"),
+        ("t", "# key: t\n# website: https://b.jp/\n# 船宿: 山丸（ ）\n## 冒頭（山丸）\n静か"),
+    ],
+)
+def condensed_sites(rows, about):
+    """The lines of each site that speak of fares and times, with two neighbours on either side."""
+    return sites.condensed(rows, about)
+
+
+@case(
+    ("site string, page int, url string, title string, text string", [("s", 1, "u", "題", "円" * 400 + "\n" + "\n".join("x" * 9 for _ in range(9)) + "\n便"), ("s", 2, "v", "題", "便"), ("t", 1, "u", "題", "便" * 140), ("t", 2, "v", "題", "便" * 140)]),
+    (_ABOUT, [("s", "w", "n"), ("t", "w", "n")]),
+    ddl="site string, text string",
+    expected=[("s", "# key: s\n# website: w\n# 船宿: n\n## 冒頭（題）\n" + "円" * 10 + "\n## u（題）\n" + "円" * 247), ("t", "# key: t\n# website: w\n# 船宿: n\n## 冒頭（題）\n" + "便" * 10 + "\n## u（題）\n" + "便" * 140)],
+)
+def condensed_within_budgets(rows, about):
+    """Long lines and the budgets of sites cut the text; a small rest ends a site."""
+    return sites.condensed(rows, about, most_site=300, head=10)
+
+
+@case(
+    ("key string, n int, usable boolean, dead boolean, plans array<string>, schedule_text string, holidays string, targets array<string>, types array<string>", [
+        ("k1", 1, True, False, ["p"], None, None, [], ["乗合"]), ("k1", 2, True, False, ["q"], None, None, [], []), ("k2", 1, False, True, [], None, None, [], []), ("k3", 1, None, None, [], None, "火曜", [], []), ("k4", 1, True, False, [], "", "", [], []), ("k5", 1, True, False, ["p"], None, None, [], []), ("k6", 1, False, False, ["p"], None, None, [], []),
+    ]),
+    ("key string, website string, name string, pref string, port string, tel string", [("k1", "https://a.jp/", "海丸", "千葉県", "大原", "03"), ("k2", "https://b.jp/", "山丸", "千葉県", None, None), ("k3", "https://c.jp/", "星丸", None, None, None), ("k4", "https://d.jp/", "波丸", None, None, None), ("k5", None, "風丸", None, None, None), ("k6", "https://f.jp/", "雲丸", None, None, None)]),
+    ddl="what string, key string, website string, name string, holidays string, n int", expected=[("listing", "k1", "https://a.jp/", "海丸", None, 1), ("listing", "k3", "https://c.jp/", "星丸", "火曜", 0), ("dead", "k2", "https://b.jp/", None, None, None)],
+)
+def official_records(read, known):
+    """Listings from what was read of official sites, the first of each, and the sites found dead."""
+    members = known.select("key", "website", F.array(F.struct("name", "pref", "port", "tel")).alias("members"))
+    out, dead = sites.official_listings(read, members, "2026-09-15")
+    a = out.select(F.lit("listing").alias("what"), c("src_id").alias("key"), "website", "name", "holidays", F.size("plans").alias("n"))
+    return a.unionByName(dead.select(F.lit("dead").alias("what"), "key", "website", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("holidays"), F.lit(None).cast("int").alias("n")))
+
+
+@case(
+    ("id int, website string, src string", [(1, "https://www.umi.jp/a.html", "theboat"), (2, "https://yama.jp/", "chowari"), (3, "https://hoshi.jp/", "theboat"), (4, None, None), (5, "https://ameblo.jp/kaze/", None)]),
+    ("website string, verdict string", [("http://umi.jp/", "closed"), ("https://yama.jp/index.html", "closed"), ("https://hoshi.jp/x.html", "suspect"), ("https://ameblo.jp/kaze/entry", "dead"), ("https://nami.jp/", "alive")]),
+    ddl="id int, website string, bad boolean", expected=[(2, None, False), (3, "https://hoshi.jp/", True), (4, None, False), (5, "https://ameblo.jp/kaze/", True)],
+)
+def closed_and_bad_sites(entities, judged):
+    """Entities whose site says that they closed go, unless a booking source lists them; bad sites are known by their key."""
+    states = sites.site_states(judged)
+    rows = entities.withColumn("links", F.when(c("src").isNotNull(), F.array(F.struct("src", F.lit("u").alias("url")))))
+    kept = sites.without_closed(rows, states, ["chowari", "castingnet"]).withColumn("ukey", web.site_key(c("website")))
+    return kept.join(states.where("bad").select("ukey", "bad"), "ukey", "left").select("id", "website", F.coalesce("bad", F.lit(False)).alias("bad"))
+
+
+@case(
+    ("i int, state string, kind string, how string, url string, ev int, links array<string>, sns array<string>", [
+        (1, "self", "self", "blog_site", None, 3, [], []), (2, "self", "self", "blog_site", None, 2, [], []), (3, "none", None, None, None, None, [], []), (4, "ok", "sns", "text", "https://www.instagram.com/umi/", None, [], []), (5, "ok", "sns", "text", "https://x.com/umi", None, [], ["https://x.com/umi"]),
+        (6, "ok", "catchsite", "text", "https://www.fishing-v.jp/choka/1", 0, ["https://theboat.jp/1"], None), (7, "ok", "catchsite", "text", "https://fishing-v.jp/choka/2", 0, ["https://www.fishing-v.jp/choka/9"], None), (8, "ok", "catchsite", "text", "https://gyo.ne.jp/a/1", 0, [], None), (9, "ok", "blog", "blog_link", "https://ameblo.jp/umi/", 0, [], None),
+        (10, "ok", "blog", "evidence", "https://ameblo.jp/umi/", 5, [], None), (11, "ok", "site", "text", "https://umi.jp/choka/", 5, ["https://umi.jp/choka/#top"], None), (12, "ok", "site", "text", "https://umi.jp/choka/", 5, None, None), (13, "ok", "site", "text", "", 5, None, None), (14, None, None, None, None, None, None, None), (15, "ok", "sns", "text", "https://line.me/R/ti/p/x", 0, [], []),
+    ]),
+    ddl="i int, own boolean, url string, label string",
+    expected=[
+        (1, True, None, None), (2, None, None, None), (3, None, None, None), (4, False, "https://www.instagram.com/umi/", "釣果（Instagram）"), (5, None, None, None), (6, False, "https://www.fishing-v.jp/choka/1", "釣果（釣りビジョン）"), (7, None, None, None), (8, False, "https://gyo.ne.jp/a/1", "釣果（gyo.ne.jp）"),
+        (9, False, "https://ameblo.jp/umi/", "公式ブログ"), (10, False, "https://ameblo.jp/umi/", "釣果（公式ブログ）"), (11, None, None, None), (12, False, "https://umi.jp/choka/", "公式サイトの釣果"), (13, None, None, None), (14, None, None, None), (15, False, "https://line.me/R/ti/p/x", "釣果（LINE）"),
+    ],
+)
+def catch_buttons(rows):
+    """Labels of the buttons that lead to catches; pages that another button leads to have none."""
+    b = sites.catch_button(c("state"), c("kind"), c("how"), c("url"), c("ev"), c("links"), c("sns"))
+    return rows.select("i", b.alias("b")).select("i", c("b.self").alias("own"), "b.url", "b.label")
+
+
+@case(
+    ("i int, location string", [(1, "https://umimaru.tsurisoku.com/"), (2, "https://www.tsurisoku.com/f/x"), (3, "https://www.facebook.com/umi"), (4, "https://umi.jp/"), (5, "https://www.google.com/maps"), (6, None), (7, "")]),
+    ddl="i int, kind string, value string", expected=[(1, "subpage", "umimaru"), (2, None, None), (3, "sns", "https://www.facebook.com/umi"), (4, "website", "https://umi.jp/"), (5, None, None), (6, None, None), (7, None, None)],
+)
+def redirects_of_listings(rows):
+    """Where a listing's redirect leads: to its pages on the portal, to a network, to its own site, or nowhere of use."""
+    return rows.select("i", sites.redirect_target(c("location"), "tsurisoku.com", ["google.com", "tsurisoku.com"]).alias("r")).select("i", "r.kind", "r.value")
+
+
+@case(
+    ("i int, name string, t string, gear string, fresh boolean", [
+        (1, "海丸", "", "", True), (2, "海上釣堀まるや", "乗合船", "", False), (3, "トラウトパーク", "", "", False), (4, "海釣りセンター", "カセ釣り 出船します", "", False), (5, "海釣り公園", "出船", "", False), (6, "みなと渡船", "", "トイレ", False), (7, "みなと屋", "", "トイレ", False), (8, "釣具のみなと", "出船", "", False), (9, "磯渡しみなと", "", "", False),
+        (10, "みなと屋", "レンタルボートあり", "", False), (11, "みなと屋", "筏で釣り", "", False), (12, "みなと屋", "筏 乗船 開園", "", False), (13, "海丸", "", "", False), (14, "みなと屋", "乗合で行く", "", False), (15, "海丸", "乗合 入園料", "", False), (16, "みなと屋", "入園料", "", False), (17, "みなと屋", "", "", False), (18, "渡船桟橋", "カセットコンロ", "", False),
+    ]),
+    ddl="i int, keep boolean, kind string, reason string",
+    expected=[
+        (1, False, "淡水", "breadcrumb:sea=0"), (2, False, "釣り堀", "name:海上釣"), (3, False, "管理釣り場", "name:トラウト"), (4, True, "カセ・筏", "name:釣りセンター+text:カセ,出船"), (5, False, "釣り公園・施設", "name:公園"), (6, True, "渡船", "row:船の設備+name:渡船"), (7, True, "船宿", "row:船の設備"), (8, False, "釣具店", "name:釣具"), (9, True, "渡船", "name:磯渡"),
+        (10, False, "レンタルボート", "text:レンタルボート"), (11, True, "カセ・筏", "text:筏"), (12, True, "カセ・筏", "text:筏,乗船"), (13, True, "船宿", "name:丸"), (14, True, "船宿", "text:乗合"), (15, True, "船宿", "name:丸+text:乗合 (nonboat text:入園)"), (16, False, "不明", "no boat evidence / nonboat text:入園"), (17, False, "不明", "no boat evidence"), (18, True, "渡船", "name:渡船"),
+    ],
+)
+def facilities_by_rules(rows):
+    """Every rule that says what a facility is, with what it saw."""
+    return rows.select("i", classify.facility(c("name"), c("t"), c("gear"), c("fresh")).alias("f")).select("i", "f.keep", "f.kind", "f.reason")
+
+
+@case(
+    ("i int, cats array<string>, title string, name string, info string", [(1, ["瀬渡し", "釣り堀"], "", "", None), (2, ["釣り堀"], "海丸", "海丸", None), (3, [], "海上釣堀", "海丸", None), (4, [], "案内", "海丸", None), (5, None, "案内", "みなと", None), (6, ["筏"], "", "", "陸続きの筏"), (7, ["筏"], "", "", None), (8, ["筏", "釣り堀"], "", "", None), (9, ["乗合船", "釣り堀"], "", "", None)]),
+    ddl="i int, boat boolean, listed boolean", expected=[(1, True, False), (2, False, False), (3, False, False), (4, True, False), (5, False, False), (6, False, False), (7, False, True), (8, False, False), (9, False, True)],
+)
+def boats_by_categories(rows):
+    """Whether listings have boats, by two portals' categories."""
+    return rows.select("i", classify.is_boat(c("cats"), c("title"), c("name")).alias("boat"), classify.listed_as_boat(c("cats"), c("info")).alias("listed"))
+
+
+@case(
+    ("i int, name string", [(1, "テスト船"), (2, "Test1"), (3, "貸しボート屋"), (4, "海上釣堀X"), (5, "筏のみなと"), (6, "筏渡船みなと"), (7, "海丸")]),
+    ddl="i int, rejected boolean", expected=[(1, True), (2, True), (3, True), (4, True), (5, True), (6, False), (7, False)],
+)
+def names_to_leave_out(rows):
+    """Tests, rented boats, ponds, rafts."""
+    return rows.select("i", classify.rejected_name(c("name")).alias("rejected"))
+
+
+@case(
+    ("i int, v array<int>, floor int", [(1, [1, 54000], 3000), (2, [8000, 9000], 500), (3, [1, 2], 500), (4, [0, 7000], 500), (5, [], 500)]),
+    ddl="i int, low int, high int, from_template boolean", expected=[(1, None, 54000, True), (2, 8000, 9000, False), (3, None, None, True), (4, 7000, 7000, False), (5, None, None, False)],
+)
+def amounts_from_templates(rows):
+    """Lower ends that a template filled in aren't known."""
+    return rows.select("i", classify.without_template(c("v"), c("floor")).alias("r")).select("i", "r.*")
+
+
+@case(
+    ("i int, a array<string>, b array<string>", [(1, ["x", "x"], ["p", "q", "p"]), (2, ["x", "y"], ["q", "p"]), (3, [], []), (4, [None, "z"], ["r"])]),
+    ddl="i int, one string, most string, pairs int, inside boolean, reading string",
+    expected=[(1, "x", "p", None, True, "x"), (2, None, "q", 2, False, "x"), (3, None, None, 0, True, None), (4, "z", "r", None, False, None)],
+)
+def small_decisions(rows):
+    """The only candidate, the most frequent one, pairs by place, a subset test, the first reading that found something."""
+    reading = F.get(classify.first_reading(c("a"), c("b")), F.lit(0))
+    return rows.select("i", classify.only_one(c("a")).alias("one"), classify.mode(c("b")).alias("most"), F.size(classify.zipped(c("a"), c("b"))).alias("pairs"), classify.within_set(c("a"), ["x"]).alias("inside"), reading.alias("reading"))
+
+
+@case(
+    ("i int, t string", [(1, "ヤリイカ"), (2, "ヤリイカとイカ"), (3, "イカ"), (4, "アジ"), (5, "ケンサキイカ、スルメイカ")]),
+    ddl="i int, hits array<string>", expected=[(1, ["ヤリイカ"]), (2, ["ヤリイカ", "イカ"]), (3, ["イカ"]), (4, ["アジ"]), (5, ["ケンサキイカ"])],
+)
+def generic_terms_suppressed(rows):
+    """A generic word that a text has only inside special ones isn't a hit."""
+    words = ("アジ", "ヤリイカ", "ケンサキイカ", "イカ")
+    hits = F.array_compact(F.array(*[F.when(c("t").contains(w), F.lit(w)) for w in words]))
+    rule = {"イカ": (("ヤリイカ", "ケンサキイカ", "アオリイカ", "剣先イカ", "イカメタル"), "(?<![リキオルメ])イカ")}
+    return rows.select("i", classify.specific(hits, c("t"), rule).alias("hits"))
+
+
+@case(
+    ("id int", [(1,), (2,), (3,)]), ("id int", [(1,), (2,)]), ("n int", [(1,), (1,)]),
+    ddl="id int, stale boolean", expected=[(1, False), (2, False), (3, True)],
+)
+def stale_if_list_complete(rows, listed, announced):
+    """What a complete list lacks is stale."""
+    return classify.gone(rows, listed, announced, "id")
+
+
+@case(
+    ("id int", [(1,), (2,), (3,)]), ("id int", [(1,), (2,)]), ("n int", [(3,), (0,)]),
+    ddl="id int, stale boolean", expected=[(1, False), (2, False), (3, False)],
+)
+def not_stale_if_list_incomplete(rows, listed, announced):
+    """A list that lacks more than a fiftieth says nothing."""
+    return classify.gone(rows, listed, announced, "id")
+
+
+@case(
+    ("site string, n int, text string", [("s", 1, "x" * 20000), ("s", 2, "y" * 20000), ("s", 3, "9000円 " * 2000), ("t", 1, "a"), ("t", 2, "7時"), ("t", 3, "料金")]),
+    ddl="site string, n int, size int", expected=[("s", 1, 14000), ("s", 2, 6000), ("s", 3, 12000), ("t", 1, 1), ("t", 2, 2), ("t", 3, 2)],
+)
+def pages_within_budget(rows):
+    """Pages by signs of fares, the first pinned, within a site's budget."""
+    return pages.ranked_pages(rows, "site", "n", "text").select("site", "n", F.length("text").alias("size"))
+
+
+@case(
+    ("i int, path string", [(1, "/a/b/c"), (2, "/a/x"), (3, "/z"), (4, "/img/x.gif"), (5, "/img/x.png"), (6, "/q?id=1")]),
+    ddl="i int, allowed boolean, without boolean, listed boolean", expected=[(1, True, True, True), (2, False, True, True), (3, True, True, True), (4, False, True, True), (5, True, True, True), (6, False, True, True)],
+)
+def robots_rules(rows):
+    """The first rule for all agents that a path begins with decides; without a rule, or with an empty one, all is allowed."""
+    text = "User-agent: x\nDisallow: /\n\nUser-agent: y\nUser-Agent: *\nAllow: /a/b # open\nDisallow: /a\nDisallow: /img/x.gif\nDisallow: /q?\n\nUser-agent: z\nDisallow: /z"
+    may = lambda t: embedded.may_fetch(c("path"), embedded.robots(t))
+    return rows.select("i", may(F.lit(text)).alias("allowed"), may(F.lit(None).cast("string")).alias("without"), may(F.lit("user-agent: *\ndisallow:")).alias("listed"))
+
+
+@case(
+    ("i int, t string", [(1, "全125件"), (2, "1〜15件 / 31件"), (3, "なし"), (4, "１２０ 件中")]),
+    ddl="i int, total int, pages int", expected=[(1, 125, 9), (2, 31, 3), (3, None, 0), (4, 120, 8)],
+)
+def totals_and_pages(rows):
+    """The number of entries that a list announces, and of its pages of 15."""
+    total = embedded.total_of(nfkc("t"))
+    return rows.withColumn("total", total).select("i", "total", F.size(embedded.pages_of(c("total"), 15)).alias("pages"))
