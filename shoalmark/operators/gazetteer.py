@@ -42,6 +42,19 @@ def tier(kind: Column, what: Column) -> Column:
     return F.when(harbour, 1).when(kind == "place", 2).otherwise(3)
 
 
+# Classes of map features that can be where a port is.
+USABLE = ("place", "natural", "man_made", "waterway", "leisure", "landuse", "amenity", "boundary", "building")
+
+
+def port_picks(answers: DataFrame) -> DataFrame:
+    """(pref, key, n, la, lo, tier) of the first answer (pref, key, n, display, class, type, la, lo and, where it is known, inside)
+    of each port whose full name holds the prefecture, whose class is usable and that lies inside the prefecture."""
+    inside = F.coalesce("inside", F.lit(False)) if "inside" in answers.columns else F.lit(True)
+    rows = answers.where(F.col("display").contains(F.col("pref")) & F.col("class").isin(*USABLE) & inside)
+    best = rows.groupBy("pref", "key").agg(F.min_by(F.struct("n", "la", "lo", "class", "type"), "n").alias("b")).select("pref", "key", "b.*")
+    return best.select("pref", "key", "n", "la", "lo", tier(F.col("class"), F.col("type")).alias("tier"))
+
+
 def rejections(ports: DataFrame) -> DataFrame:
     """ports (key, name, tier, in_pref, coast_km, users_km, watery) with the column `rejected`: why, or null if kept."""
     coast, users, dry = F.col("coast_km"), F.col("users_km"), ~F.col("watery")

@@ -119,12 +119,12 @@ def minimum_fare(plans: DataFrame, noriai: DataFrame, key: str = "id") -> DataFr
 def with_tours(boats: DataFrame, tours: DataFrame) -> DataFrame:
     """(boat, n, name, kind, price): the offers of boats: those of their tours, then those of their own page (boat, n, tour,
     name, kind, price) that no tour gives, by the tour's number or, without one, by its name; equal ones once."""
-    of_tours = tours.select("boat", F.lit(0).alias("_part"), F.col("tour").alias("_n"), "name", "kind", "price")
+    of_tours = tours.select("boat", F.lit(0).alias("_part"), F.col("tour").alias("_place"), "name", "kind", "price")
     same_tour = boats.join(tours.select("boat", "tour").distinct(), ["boat", "tour"], "left_semi").select("boat", "n")
     same_name = boats.where("tour IS NULL").join(tours.select("boat", "name").distinct(), ["boat", "name"], "left_semi").select("boat", "n")
-    own = boats.join(same_tour.unionByName(same_name), ["boat", "n"], "left_anti").select("boat", F.lit(1).alias("_part"), F.col("n").alias("_n"), "name", "kind", "price")
-    rows = keep_first(of_tours.unionByName(own), ["boat", "name", "kind", "price"], ["_part", "_n"])
-    return rows.select("boat", (F.row_number().over(Window.partitionBy("boat").orderBy("_part", "_n")) - 1).alias("n"), "name", "kind", "price")
+    own = boats.join(same_tour.unionByName(same_name), ["boat", "n"], "left_anti").select("boat", F.lit(1).alias("_part"), F.col("n").alias("_place"), "name", "kind", "price")
+    rows = keep_first(of_tours.unionByName(own), ["boat", "name", "kind", "price"], ["_part", "_place"])
+    return rows.select("boat", (F.row_number().over(Window.partitionBy("boat").orderBy("_part", "_place")) - 1).alias("n"), "name", "kind", "price")
 
 
 def enriched(listing: DataFrame, detail: DataFrame, key: str) -> DataFrame:

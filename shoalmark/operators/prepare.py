@@ -9,7 +9,7 @@ from ..functions import offers as f
 from ..functions.embedded import fish_list
 from ..functions.places import clean_address, prefecture
 from ..functions.text import cut, kinds_of, name_key, nfkc, port_key, split_list
-from ..functions.web import clean_url, exact_url, phone_key, phone_shown, site_key, url_class
+from ..functions.web import blog_of_profile, clean_url, exact_url, phone_key, phone_shown, site_key, url_class
 
 #: Sources whose offers were checked or come structured; their amounts are fares.
 VERIFIED = ("official", "chowari", "castingnet", "reserver")
@@ -47,7 +47,7 @@ def listings(raw: DataFrame, today: str) -> DataFrame:
     one = lambda c, n: blank(cut(F.col(c), n))
     address = blank(clean_address(F.col("address")))
     pref = F.coalesce(prefecture(F.col("pref")), prefecture(address), prefecture(F.col("city")))
-    web = clean_url(F.col("website"))
+    web = blog_of_profile(clean_url(F.col("website")))
     kind = url_class(web)
     sns = F.filter(F.transform(F.coalesce("sns", F.array().cast("array<string>")), clean_url), lambda u: url_class(u) == "sns")
     inside = F.col("lat").between(20, 46.5) & F.col("lon").between(122, 154.5)
