@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import offers as f
 from ..functions.text import kinds_of
-from .ordered import forward_fill, over
+from .ordered import forward_fill, over, section
 
 
 def offers(lines: DataFrame, doc: str, ln: str, line: str) -> DataFrame:
@@ -85,3 +85,26 @@ def segments(lines: DataFrame, id_col: str, line: str) -> DataFrame:
 
     rows = lines.select(F.col(id_col).alias("id"), F.col(line).alias("line"))
     return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, n int, before string, amount int, behind string").withColumnRenamed("id", id_col)
+
+
+def named_blocks(lines: DataFrame, known: DataFrame, page: str, end: str) -> DataFrame:
+    """(page, name, body): the lines (page, ln, line) between a known name and the next one, or a line like `end`; of a name's
+    blocks on a page the first counts."""
+    names = known.select(F.col("name").alias("line"), F.lit(True).alias("_named")).distinct()
+    rows = lines.join(names, "line", "left").withColumn("_ends", F.col("_named").isNotNull() | F.col("line").rlike(end))
+    w = over([page], ["ln"])
+    rows = rows.withColumn("_block", section(F.col("_ends"), w)).withColumn("_name", F.first(F.when(F.col("_named"), F.col("line"))).over(over([page, "_block"], ["ln"])))
+    inside = rows.where(F.col("_name").isNotNull() & F.col("_named").isNull())
+    blocks = inside.groupBy(page, "_name", "_block").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ln", "line"))), lambda x: x["line"]), "\n").alias("body"))
+    return blocks.groupBy(page, F.col("_name").alias("name")).agg(F.min_by("body", "_block").alias("body"))
+
+
+def guarded(rows: DataFrame, texts: DataFrame, page: str, text: str, must: str) -> DataFrame:
+    """Records written by hand, without those whose page is missing or lacks one of the texts that they must find there."""
+    both = rows.join(texts.select(page, F.col(text).alias("_text")), page)
+    return both.where(F.forall(must, lambda m: F.col("_text").contains(m))).drop("_text", must)
+
+
+def line_fields(lines: DataFrame, line: str, pattern: str, names: list[str]) -> DataFrame:
+    """lines that match a pattern, with its groups as columns; others are left out."""
+    return lines.where(F.col(line).rlike(pattern)).withColumns({n: F.regexp_extract(line, pattern, i + 1) for i, n in enumerate(names)})

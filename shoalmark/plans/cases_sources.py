@@ -1,0 +1,312 @@
+"""Cases of sources, sinks and streams: small files in the shared folder, read and written by the operators."""
+
+from __future__ import annotations
+
+import json
+import struct
+
+from pyspark.sql import functions as F
+
+from ..functions import embedded
+from ..operators import extract, ordered, pages
+from ..sources import files, geometry, json_listings, publish
+from ..streaming import ingest
+from .cases import case, rows_sql
+from .registry import query
+from .tables import read
+
+c = F.col
+
+
+def _put(spark, **contents):
+    folder = files.scratch(spark)
+    for name, content in contents.items():
+        files.put(spark, f"{folder}/{name.replace('__', '.')}", content if isinstance(content, (str, bytes)) else json.dumps(content, ensure_ascii=False))
+    return folder
+
+
+@query(rows_sql("src string, name string, label string, kind string, prio int", [("chowari", "海丸", "釣割", "booking", 100), ("gap01", "山丸", "gap01", "directory", 40), ("tsuree", "星丸", "つりー新", "directory", 61), ("tsuree", "波丸", "つりー新", "directory", 61)]))
+def source_scan(spark, d):
+    """Listings of all source files with the labels of their sources; side files, closed lists and samples are left out."""
+    folder = _put(
+        spark, chowari__json=[{"src_id": "1", "name": "海丸"}, {"name": " "}, 5], tsuree__json={"records": [{"src": "other", "src_id": "2", "name": "星丸"}, {"name": "波丸"}]}, gap01__json={"boats": [{"name": "山丸"}]}, _labels__json={"tsuree": ["つりー新", "directory", 61]}, funaduri_closed__json=[{"name": "x"}],
+        fishingv_excluded__json=[{"name": "x"}], point__sample__json=[{"name": "y"}], broken__json="{",
+    )
+    sources = [("chowari", "釣割", "booking", 100), ("tsuree", "つりー", "directory", 60)]
+    given = json.loads(files.text(spark, f"{folder}/_labels.json"))  # a small dimension
+    known = {s[0]: s for s in sources} | {k: (k, *v) for k, v in given.items()}
+    dims = spark.createDataFrame(list(known.values()), "src string, label string, kind string, prio int")
+    return json_listings.with_labels(json_listings.source_listings(spark, folder), dims).select("src", "name", "label", "kind", "prio")
+
+
+@query(rows_sql("src string, n bigint", [("a", 1), ("b", 2), ("c", 1)]))
+def source_counts_with_samples(spark, d):
+    """Listings of each source; a sample stands in where the whole file isn't there."""
+    folder = _put(spark, a__json=[{"name": "1"}], a__sample__json=[{"name": "2"}, {"name": "3"}], b__sample__json=[{"name": "4"}, {"name": "5"}], c__json=[{"name": "6"}])
+    return json_listings.counts(json_listings.source_listings(spark, folder, samples=True))
+
+
+@query(rows_sql("n bigint", [(0,)]))
+def missing_sources(spark, d):
+    """A folder that isn't there has no listings."""
+    return json_listings.source_listings(spark, files.scratch(spark) + "/none").agg(F.count("*").alias("n"))
+
+
+@query(rows_sql("src_id string, name string, pref string, reg_no string, boats int", [("12:千1:0", "海丸水産", "千葉県", "千1", 1), ("12:千2:1", "第二山丸", "千葉県", "千2", 2), ("12:千3:2", "星太郎", "千葉県", "千3", 0), ("13::0", "波", "東京都", None, 1), ("13:東5:1", "月丸", "神奈川県", "東5", 0)]))
+def registry_scan(spark, d):
+    """Licence rows: names by office, boat and operator, ids by place, prefectures by file."""
+    folder = _put(
+        spark, **{"12__json": [{"reg_no": "千１", "operator": "山田", "office_name": "海丸水産", "boats": ["x"]}, {"reg_no": "千2", "operator": "林", "office_name": "林", "boats": ["あ", "第二山丸"]}, {"operator": "", "office_name": ""}, {"reg_no": "千3", "operator": "星太郎"}]},
+        **{"13__json": [{"boats": ["波"]}, {"reg_no": "東5", "office_name": "月丸", "pref": "神奈川"}]},
+    )
+    return json_listings.registry(spark, [f"{folder}/12.json", f"{folder}/13.json"]).select("src_id", "name", "pref", c("registry.reg_no").alias("reg_no"), F.size("boats").alias("boats"))
+
+
+@case(
+    ("i int, t string, code string", [(1, "海丸のひらがな", "cp932"), (2, "海丸のひらがな", "euc_jp"), (3, "海丸のひらがな", "utf-8"), (4, None, None)]),
+    ddl="i int, t string", expected=[(1, "海丸のひらがな"), (2, "海丸のひらがな"), (3, "海丸のひらがな"), (4, None)],
+)
+def charsets_detected(rows):
+    """Bytes in the charset that gives most kana and fewest broken characters."""
+    encode = F.udf(lambda t, code: bytearray(t.encode(code)) if t else None, "binary")
+    return geometry.decoded(rows.select("i", encode("t", "code").alias("content"))).select("i", c("text").alias("t"))
+
+
+@case(
+    ("url string, value string", [("s/index", "<sitemapindex><sitemap><loc> s/a </loc></sitemap><sitemap><loc>s/gone</loc></sitemap><sitemap><loc>s/deep</loc></sitemap></sitemapindex>"), ("s/a", "<urlset><url><loc>p/boat/1</loc></url><url><loc>p/about</loc></url></urlset>"), ("s/deep", "<sitemapindex><sitemap><loc>s/b</loc></sitemap></sitemapindex>"), ("s/b", "<urlset><url><loc>p/boat/2</loc></url><url><loc>p/boat/1</loc></url></urlset>"), ("s/other", "<urlset><url><loc>p/boat/9</loc></url></urlset>")]),
+    ddl="url string", expected=[("p/boat/1",), ("p/boat/2",)],
+)
+def sitemaps_through_indexes(rows):
+    """Pages that a sitemap names, through its indexes."""
+    return geometry.sitemap_pages(rows, "s/index", wanted="/boat/")
+
+
+@case(
+    ("id int, html string", [(1, "<table><tr><th>a<th>b</tr><tr><td rowspan=2>x<td>1</tr><tr><td>2</tr></table>"), (2, "<table><tr><th>k<th colspan=2>v</tr><tr><td>p<td>q<td>r</tr></table><table><tr><td>only</table>"), (3, None)]),
+    ddl="id int, tbl int, row int, col int, header string, text string",
+    expected=[(1, 0, 0, 0, "a", "a"), (1, 0, 0, 1, "b", "b"), (1, 0, 1, 0, "a", "x"), (1, 0, 1, 1, "b", "1"), (1, 0, 2, 0, "a", "x"), (1, 0, 2, 1, "b", "2"), (2, 0, 0, 0, "k", "k"), (2, 0, 0, 1, "v", "v"), (2, 0, 0, 2, "v", "v"), (2, 0, 1, 0, "k", "p"), (2, 0, 1, 1, "v", "q"), (2, 0, 1, 2, "v", "r"), (2, 1, 0, 0, "only", "only")],
+)
+def tables_with_spans(rows):
+    """Cells of tables by row and column, spans filled, with their headers."""
+    return pages.table_cells(rows, "id", "html")
+
+
+@case(
+    ("id int, html string", [(1, "<div>a<br>a<br>b</div><script>x</script><table><tr><td>1<td>2</td></tr></table><img alt=boat>"), (2, "<ul><li>x<li>y</ul> z"), (3, None)]),
+    ddl="id int, t string", expected=[(1, "a\nb\n1 | 2\n[画像:boat]"), (2, "x\ny\nz"), (3, "")],
+)
+def lines_of_pages(rows):
+    """The lines of pages: blocks, rows of tables, pictures with a text, none twice in a row."""
+    return rows.select("id", pages.page_text("html").alias("t"))
+
+
+@case(
+    ("id int, html string", [(1, "<dl><dt>電話番号</dt><dd>03-1</dd><dt>TEL</dt><dd>9</dd></dl><tr><th>住所 </th><td>千葉<b>県</b></td></tr>"), (2, "<p>x")]),
+    ddl="id int, tel string, address string, other string", expected=[(1, "03-1", "千葉 県", None), (2, None, None, None)],
+)
+def labels_and_values(rows):
+    """Pairs of labels and values by their canonical names; the first of a label counts."""
+    m = embedded.labelled(c("html"), {"電話番号": "tel", "TEL": "tel", "住所": "address", "備考": "other"})
+    return rows.select("id", *[F.try_element_at(m, F.lit(k)).alias(k) for k in ("tel", "address", "other")])
+
+
+_LD = '<script type="application/ld+json">{}</script>'
+
+
+@case(
+    ("id int, html string", [
+        (1, _LD.format('{"@graph":[{"@type":"WebPage","name":"p"},{"@type":"LocalBusiness","name":"海丸","telephone":"03"}]}')), (2, _LD.format('{"@type":"WebSite","name":"s"}') + _LD.format('[{"@type":["LocalBusiness","Store"],"name":"山丸"}]')), (3, _LD.format("{broken") + "<p>x"), (4, None),
+        (5, '<script id="__NUXT_DATA__">[{"a":1,"b":2},["Ref",3],[4,5],"海","x","y",9]</script>'), (6, 'x={"0a1b2c3d-0000-0000-0000-000000000001":{"title":"A {b}","n":1},"0a1b2c3d-0000-0000-0000-000000000002":{"n":2},"zz":{"title":"C"}} "0a1b2c3d-0000-0000-0000-000000000003":{bad'), (7, "var lat = 35.12; var lng = 139.5; L = 'x';"),
+    ]),
+    ddl="id int, business string, nuxt string, objects string, literal string",
+    expected=[(1, "海丸", None, "", None), (2, "山丸", None, "", None), (3, None, None, "", None), (4, None, None, "", None), (5, None, '{"a": "海", "b": ["x", "y"]}', "", None), (6, None, None, "0a1b2c3d-0000-0000-0000-000000000001", None), (7, None, None, "", "35.12,139.5")],
+)
+def objects_in_pages(rows):
+    """What pages carry as JSON: the business of a graph, reference arrays, objects by their keys, plain literals."""
+    out = rows.withColumn("business", F.get_json_object(pages.business("html"), "$.name")).withColumn("nuxt", pages.nuxt("html"))
+    keys = F.transform(pages.keyed_objects("html", F.lit("title")), lambda x: x["key"])
+    lat, lng = (F.nullif(F.regexp_extract("html", rf"var {k}\s*=\s*(-?[\d.]+)", 1), F.lit("")) for k in ("lat", "lng"))
+    return out.select("id", "business", "nuxt", F.array_join(F.coalesce(keys, F.array().cast("array<string>")), ",").alias("objects"), F.when(lat.isNotNull(), F.concat_ws(",", lat, lng)).alias("literal"))
+
+
+@case(
+    ("id int, html string", [(1, "<h2>鹿児島県</h2><h3>指宿市</h3><div class=n>海丸</div><p>本文1</p><div class=n>山丸</div><p>本文2</p><h2>宮崎県</h2><div class=n>星丸</div><p>本文3</p>")]),
+    ddl="n int, pref string, city string, name string, body string", expected=[(3, "鹿児島県", "指宿市", "海丸", "本文1"), (4, "鹿児島県", "指宿市", "山丸", "本文2"), (6, "宮崎県", None, "星丸", "本文3")],
+)
+def tokens_in_order(rows):
+    """Headings and entries of a page in document order; an entry is below the headings before it."""
+    found = pages.tokens(rows, "id", "html", {"h2": "<h2>(.*?)</h2>", "h3": "<h3>(.*?)</h3>", "entry": "<div class=n>.*?</p>"})
+    w = ordered.over(["id"], ["n"])
+    pref = found.withColumn("pref", ordered.forward_fill(F.when(c("kind") == "h2", c("text")), w)).withColumn("_area", ordered.section(c("kind") == "h2", w))
+    city = pref.withColumn("city", ordered.forward_fill(F.when(c("kind") == "h3", c("text")), ordered.over(["id", "_area"], ["n"])))
+    return city.where("kind = 'entry'").select("n", "pref", "city", F.regexp_extract("raw", "<div class=n>(.*?)</div>", 1).alias("name"), F.regexp_extract("raw", "<p>(.*?)</p>", 1).alias("body"))
+
+
+@case(
+    ("page string, ln int, line string", [("p", 1, "案内"), ("p", 2, "海丸"), ("p", 3, "電話 03"), ("p", 4, "定員 5"), ("p", 5, "山丸"), ("p", 6, "電話 04"), ("p", 7, "宿泊予約状況"), ("p", 8, "x"), ("p", 9, "海丸"), ("p", 10, "また")]),
+    ("name string", [("海丸",), ("山丸",), ("星丸",)]),
+    ddl="page string, name string, body string", expected=[("p", "海丸", "電話 03\n定員 5"), ("p", "山丸", "電話 04")],
+)
+def blocks_between_names(lines, known):
+    """The lines between a known name and the next one, or a line that ends the list; a name's first block counts."""
+    return extract.named_blocks(lines, known, "page", "^宿泊予約状況")
+
+
+@case(
+    ("page string, t string", [("a", "海丸 03-1 山丸 04-1"), ("b", "別の内容")]),
+    ("page string, name string, tel string, must array<string>", [("a", "海丸", "03-1", ["海丸", "03-1"]), ("a", "山丸", "05-1", ["山丸", "05-1"]), ("b", "星丸", "06", ["星丸"]), ("c", "波丸", "07", [])]),
+    ddl="page string, name string, tel string", expected=[("a", "海丸", "03-1")],
+)
+def literals_behind_asserts(texts, rows):
+    """Records written by hand hold only as long as their page still says so."""
+    return extract.guarded(rows, texts, "page", "t", "must")
+
+
+@case(
+    ("n int, line string", [(1, "1 海丸 千葉県 03-1234-5678"), (2, "合計 2"), (3, "2 山 丸 東京都 090-1111-2222"), (4, "")]),
+    ddl="n int, no string, name string, pref string, tel string", expected=[(1, "1", "海丸", "千葉県", "03-1234-5678"), (3, "2", "山 丸", "東京都", "090-1111-2222")],
+)
+def fields_of_text_lines(rows):
+    """Fields of the lines of a table that comes as text, as a document's text lines do."""
+    return extract.line_fields(rows, "line", r"^(\d+)\s+(.+?)\s+(\S+[都道府県])\s+(0[\d-]+)$", ["no", "name", "pref", "tel"]).select("n", "no", "name", "pref", "tel")
+
+
+@query(rows_sql("area string, ring int, points int", [("A", 0, 4), ("B", 0, 4), ("B", 1, 3)]))
+def geojson_scan(spark, d):
+    """Rings of the polygons of a feature collection."""
+    square, small = [[0, 0], [0, 1], [1, 1], [0, 0]], [[5, 5], [5, 6], [5, 5]]
+    shape = {"features": [{"properties": {"nam_ja": "A"}, "geometry": {"type": "Polygon", "coordinates": [square]}}, {"properties": {"nam_ja": "B"}, "geometry": {"type": "MultiPolygon", "coordinates": [[square], [small]]}}]}
+    return geometry.geojson_rings(spark, f"{_put(spark, g__json=shape)}/g.json").select("area", "ring", F.size("points").alias("points"))
+
+
+@query(rows_sql("n int, la double, lo double, name string", [(0, 35.0, 140.0, "port1"), (1, 35.0, 141.0, "port2"), (2, None, None, "port3")]))
+def shapefile_scan(spark, d):
+    """Points of a shapefile with the attributes of their place; a null shape keeps its place."""
+    body = b"".join(struct.pack(">ii", i + 1, 10) + struct.pack("<idd", 1 if i < 2 else 0, 140.0 + i, 35.0) for i in range(3))
+    head = b"\3\0\0\0" + struct.pack("<IHH", 3, 65, 6) + b"\0" * 20
+    folder = _put(spark, p__shp=b"\0" * 100 + body, p__dbf=head + b"NAME".ljust(11, b"\0") + b"C\0\0\0\0\5" + b"\0" * 15 + b"\x0d" + b" port1 port2 port3")
+    return geometry.shapefile_points(spark, folder).select("n", "la", "lo", F.element_at("attributes", "NAME").alias("name"))
+
+
+@query(rows_sql("name string, candidates array<string>", [("港", ["harbour=yes 1.0", "place=town 3.0"]), ("浜", ["landuse=port 2.0"])]))
+def map_extract_scan(spark, d):
+    """Named elements of a map extract as candidates by name, ways by their centre."""
+    elements = [{"lat": 1.0, "lon": 2.0, "tags": {"name": "港", "harbour": "yes"}}, {"center": {"lat": 3.0, "lon": 4.0}, "tags": {"name": "港", "place": "town"}}, {"lat": 2.0, "lon": 2.0, "tags": {"name": "浜", "landuse": "port"}}, {"lat": 1.0, "lon": 1.0, "tags": {"place": "x"}}, {"tags": {"name": "y"}}]
+    found = geometry.osm_places(spark, f"{_put(spark, o__json={'elements': elements})}/o.json")
+    return found.groupBy("name").agg(F.array_sort(F.collect_list(F.concat_ws(" ", "kind", c("la").cast("string")))).alias("candidates"))
+
+
+@case(
+    ("q string", [("a",), ("b",), ("c",), (None,), ("a",)]), ("q string, la double", [("a", 1.0), ("b", None)]), ("q string, la double", [("c", 3.0)]),
+    ddl="q string, la double, state string", expected=[("a", 1.0, "hit"), ("b", None, "known miss"), ("c", 3.0, "hit")],
+)
+def lookups_with_a_cache(asked, cache, answered):
+    """Only what a cache of hits and misses lacks is asked for; the answers join it."""
+    todo = json_listings.todo(asked, cache, "q")
+    known = cache.unionByName(answered.join(todo, "q", "left_semi"))
+    return known.select("q", "la", F.when(c("la").isNull(), "known miss").otherwise("hit").alias("state"))
+
+
+@query("SELECT c_custkey AS id, c_nationkey AS pref FROM customer WHERE c_nationkey = 7")
+def published_partition(spark, d):
+    """Entities of one area from a published table: written anew, the pointer moved, the old version dropped, one partition read."""
+    root = files.scratch(spark) + "/entities"
+    rows = read(spark, d, "customer").select(c("c_custkey").alias("id"), c("c_nationkey").alias("pref"))
+    publish.write_versioned(rows.limit(1), root, "pref")
+    publish.write_versioned(rows, root, "pref")
+    publish.drop_old(spark, root)
+    return publish.read_current(spark, root).where("pref = 7").select("id", c("pref").cast("int").alias("pref"))
+
+
+@case(
+    ("id string, name string, tags array<string>, n int, _key string, stale boolean", [("a", "海", ["x"], 1, "k", True), ("b", "", [], None, "k", False)]),
+    ddl="id string, js string, shown string, stale boolean", expected=[("a", '{"id":"a","name":"海","tags":["x"],"n":1,"stale":true}', "id,name,tags,n,stale", True), ("b", '{"id":"b"}', "id,name,tags,n,stale", None)],
+)
+def sparse_public_rows(rows):
+    """Rows as JSON without empty fields and without internal columns; stale only if true."""
+    shown = publish.public(rows)
+    return publish.sparse_json(shown, "id").join(shown.select("id", "stale"), "id").select("id", "js", F.lit(",".join(shown.columns)).alias("shown"), "stale")
+
+
+@case(
+    ("id string, members array<string>", [("b1", ["a:1", "c:2"]), ("b2", ["a:3"]), ("b3", [])]), ("src string", [("link",), ("a",), (None,)]), ("src string", [("plan",), ("link",)]),
+    ddl="what string, a string, b string", expected=[("member", "b1", "a:1"), ("member", "b1", "c:2"), ("member", "b2", "a:3"), ("source", "a", None), ("source", "c", None), ("source", "link", None), ("source", "plan", None)],
+)
+def members_and_sources(entities, links, plans):
+    """Which records an entity has, and which sources anything published names."""
+    members = publish.memberships(entities)
+    used = publish.used_sources(links, plans, members.select(F.substring_index("member", ":", 1).alias("src")))
+    return members.select(F.lit("member").alias("what"), c("id").alias("a"), c("member").alias("b")).unionByName(used.select(F.lit("source").alias("what"), c("src").alias("a"), F.lit(None).cast("string").alias("b")))
+
+
+@case(
+    ("key string, n int, price int, depart string", [("s", 1, 9000, "05:00"), ("s", 2, 8000, "06:00"), ("t", 1, 7000, None)]), ("key string, n int, price_unstated boolean, depart_unstated boolean", [("s", 1, True, False), ("s", 2, False, True)]),
+    ddl="key string, n int, price int, depart string", expected=[("s", 1, None, "05:00"), ("s", 2, 8000, None), ("t", 1, 7000, None)],
+)
+def unstated_values_blanked(rows, flags):
+    """What a text doesn't state is taken back."""
+    return publish.blanked(rows, flags, ["key", "n"], ["price", "depart"])
+
+
+@query(rows_sql("payload string", [('window.DATA={"generated":"2026-09-15","sources":{"a":["A","booking"]},"rows":[[0,"海丸",12],[1,"山丸",13]]}',)]))
+def client_payload(spark, d):
+    """The client's script: positional rows and the sources in use."""
+    index = spark.createDataFrame([(0, "海丸", 12), (1, "山丸", 13)], "idx int, name string, pref int").orderBy("idx")
+    sources = spark.createDataFrame([("a", "A", "booking")], "src string, label string, kind string")
+    return spark.createDataFrame([(publish.index_payload(index, sources, "2026-09-15"),)], "payload string")
+
+
+@query(rows_sql("src string, src_id string, name string", [("a", "1", "new"), ("a", "2", "x"), ("b", "1", "y")]))
+def stream_of_listings(spark, d):
+    """Listings that arrive in files: the latest record of each, over two runs that share a checkpoint."""
+    folder, out, state = files.scratch(spark), files.scratch(spark), files.scratch(spark)
+    line = lambda *rows: "\n".join(json.dumps(dict(zip(("src", "src_id", "name", "fetched"), r))) for r in rows)
+    files.put(spark, f"{folder}/0.json", line(("a", "1", "old", "2026-01-01"), ("a", "2", "x", "2026-01-01")))
+    ingest.upsert(ingest.listing_stream(spark, folder), f"{out}/t", f"{state}/c").awaitTermination()
+    files.put(spark, f"{folder}/1.json", line(("a", "1", "new", "2026-02-01"), ("b", "1", "y", "2026-02-01"), ("a", "1", "older", "2025-01-01")))
+    ingest.upsert(ingest.listing_stream(spark, folder), f"{out}/t", f"{state}/c").awaitTermination()
+    return ingest.latest(spark, f"{out}/t").select("src", "src_id", "name")
+
+
+def _events(spark, d):
+    return spark.readStream.schema(read(spark, d, "events").schema).parquet(f"{d}/events.parquet*").withColumn("ts", c("ts").cast("timestamp"))
+
+
+def _settled(stream, mode: str = "complete"):
+    """What a stream has in its memory table when all input is read; for small results."""
+    import uuid
+
+    name = f"t{uuid.uuid4().hex}"
+    stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.table(name)
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def stream_window_counts(spark, d):
+    """Counts of a stream's events by hour and kind (beyond what a batch build needs)."""
+    return _settled(ingest.windowed_counts(_events(spark, d))).select(c("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k""")
+def stream_sessions(spark, d):
+    """Sessions of a stream's users: events under half an hour apart (beyond what a batch build needs)."""
+    return _settled(ingest.sessions(_events(spark, d))).select("user_id", c("w.start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query(rows_sql("src string, src_id string, n bigint", [("a", "1", 2), ("a", "2", 1)]))
+def stream_without_repeats(spark, d):
+    """A stream's records, each once within its watermark."""
+    folder = files.scratch(spark)
+    line = lambda *rows: "\n".join(json.dumps(dict(zip(("src", "src_id", "name", "fetched"), r))) for r in rows)
+    files.put(spark, f"{folder}/0.json", line(("a", "1", "x", "2026-01-01"), ("a", "1", "x", "2026-01-01"), ("a", "2", "y", "2026-01-01"), ("a", "1", "z", "2026-01-02")))
+    return _settled(ingest.deduplicated(ingest.listing_stream(spark, folder)), "append").groupBy("src", "src_id").agg(F.count("*").alias("n"))
+
+
+@case(
+    ("id int, grp string, page int, name string", [(i, "a" if i < 5 else "b", i // 3, f"n{i}") for i in range(1, 11)]),
+    ddl="id int", expected=[(2,), (3,), (4,)],
+)
+def rows_selected(rows):
+    """Rows by ranges of ids, groups, pages and names, and a limit in order."""
+    return json_listings.selected(rows, "id", ids="1-4,7", groups=("grp", ["a"]), pages=("page", [0, 1]), without=("name", ["n1"]), limit=3).select("id")

@@ -68,6 +68,20 @@ def sitemap_urls(files: DataFrame, text: str = "value") -> DataFrame:
     return files.select(F.explode(F.regexp_extract_all(text, F.lit(r"<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))).alias("url")).distinct()
 
 
+def sitemap_pages(files: DataFrame, start: str, deep: int = 3, wanted: str | None = None) -> DataFrame:
+    """(url) of the pages that a sitemap (url, value) names, through the sitemaps that an index names, so many levels deep.
+
+    wanted: a pattern of the URLs to keep.  Sitemaps that aren't among the files name nothing.
+    """
+    at, pages = files.where(F.col("url") == start), None
+    for _ in range(deep):
+        index = F.col("value").contains("<sitemapindex")
+        found = sitemap_urls(at.where(~index))
+        pages = found if pages is None else pages.unionByName(found)
+        at = files.join(sitemap_urls(at.where(index)), "url", "left_semi")
+    return (pages.where(F.col("url").rlike(wanted)) if wanted else pages).distinct()
+
+
 def decoded(files: DataFrame, content: str = "content") -> DataFrame:
     """files with the column text: the bytes decoded in whichever of the usual charsets gives most kana and fewest
     broken characters."""

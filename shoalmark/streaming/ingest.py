@@ -27,8 +27,11 @@ def upsert(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rows = batch
-        if number > 0 and _exists(spark, f"{path}/v={number - 1}"):
-            rows = spark.read.parquet(f"{path}/v={number - 1}").unionByName(batch, allowMissingColumns=True)
+        before = max((v for v in _versions(spark, path) if v < number), default=None)
+        if before is None and number > 0:
+            raise RuntimeError(f"{path} has no version before {number}: its history is gone")
+        if before is not None:
+            rows = spark.read.parquet(f"{path}/v={before}").unionByName(batch, allowMissingColumns=True)
         w = Window.partitionBy("src", "src_id").orderBy(F.desc("seen"), F.xxhash64("name"))
         latest = rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
         latest.write.mode("overwrite").parquet(f"{path}/v={number}")
@@ -37,15 +40,18 @@ def upsert(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def latest(spark: SparkSession, path: str) -> DataFrame:
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = [int(s.getPath().getName()[2:]) for s in fs.listStatus(fs_path) if s.getPath().getName().startswith("v=")]
-    return spark.read.parquet(f"{path}/v={max(versions)}")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return spark.read.parquet(f"{path}/v={max(_versions(spark, path))}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions that were written whole."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return []
+    found = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("v=")]
+    return [int(p.getName()[2:]) for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
 
 
 def windowed_counts(stream: DataFrame, time: str = "ts", size: str = "1 hour", late: str = "2 hours", by: str = "event_type") -> DataFrame:
