@@ -16,7 +16,10 @@ BETWEEN = r"^\s*(?:頃|ごろ)?\s*(?:出船|出港|出航)?\s*[~〜\-ー−]\s*(
 BETWEEN_TRIP = r"^\s*(?:頃|ごろ|位|くらい)?\s*[～〜~\-ー−]\s*(?:帰港)?\s*$"
 
 _MARK = "\u0001"
-_TEXT = F.lit(None).cast("string")
+
+
+def _none() -> Column:
+    return F.lit(None).cast("string")
 
 
 def tokens(text: Column) -> Column:
@@ -51,7 +54,7 @@ def assigned(text: Column) -> Column:
     Each time goes by the words before and behind it; without any, the first is the departure (or, after a sunrise, the
     return) and one behind a dash the return.  A departure and a return under two hours apart are a range of departures.
     """
-    start = F.struct(_TEXT.alias("depart"), _TEXT.alias("back"), _TEXT.alias("meet"))
+    start = F.struct(_none().alias("depart"), _none().alias("back"), _none().alias("meet"))
     sunrise = text.rlike(SUNRISE)
 
     def step(a: Column, x: Column) -> Column:
@@ -85,7 +88,7 @@ def trips(text: Column) -> Column:
         last = F.element_at(a["list"], -1)
         back = F.when(minutes(x["t"]) - minutes(last["d"]) >= 240, x["t"])
         closed = F.concat(F.slice(a["list"], F.lit(1), F.size(a["list"]) - 1), F.array(pair(last["d"], back)))
-        return F.struct(F.when(ends, closed).otherwise(F.concat(a["list"], F.array(pair(x["t"], _TEXT)))).alias("list"), (~ends).alias("open"))
+        return F.struct(F.when(ends, closed).otherwise(F.concat(a["list"], F.array(pair(x["t"], _none())))).alias("list"), (~ends).alias("open"))
 
     own = F.filter(tokens(text), lambda x: ~x["before"].rlike(r"(集合|受付)\s*$"))
     found = F.array_distinct(F.aggregate(own, start, step)["list"])

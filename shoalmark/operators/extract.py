@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import offers as f
-from ..functions.text import kinds_of
-from .ordered import forward_fill, over, section
+from ..functions.text import kinds_of, nfkc
+from ..functions.times import TIME, assigned
+from .classify import generic_label, header_line, plain_label
+from .ordered import back_fill, forward_fill, islands, over, section
 
 
 def offers(lines: DataFrame, doc: str, ln: str, line: str) -> DataFrame:
@@ -108,3 +110,47 @@ def guarded(rows: DataFrame, texts: DataFrame, page: str, text: str, must: str)
 def line_fields(lines: DataFrame, line: str, pattern: str, names: list[str]) -> DataFrame:
     """lines that match a pattern, with its groups as columns; others are left out."""
     return lines.where(F.col(line).rlike(pattern)).withColumns({n: F.regexp_extract(line, pattern, i + 1) for i, n in enumerate(names)})
+
+
+def rolled_up(rows: DataFrame, doc: str, most: int = 80, boat: int = 20000) -> DataFrame:
+    """(doc, first, name, kind, price_text): price lists for different numbers of people, neighbouring rows (doc, n, header, text,
+    value) of one header as one offer; it is for a boat if one of the prices is `boat` or more."""
+    w = over([doc], ["n"])
+    runs = rows.withColumn("_run", islands(F.col("header"), w)).groupBy(doc, "_run").agg(
+        F.min("n").alias("first"), F.first("header").alias("_header"), F.max("value").alias("_top"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "text"))), lambda x: x["text"]), " / ").alias("_text")
+    )
+    name = F.concat(F.when(F.coalesce("_header", F.lit("")) != "", F.concat("_header", F.lit(" "))).otherwise(""), F.lit("人数別料金"))
+    return runs.select(doc, "first", name.alias("name"), F.when(F.col("_top") >= boat, "仕立").otherwise("").alias("kind"), F.substring("_text", 1, most).alias("price_text"))
+
+
+def plans(lines: DataFrame, doc: str, ln: str, line: str) -> DataFrame:
+    """(doc, ln, n, kind, name, price, unit, depart, back, meet) of the fares that lines of free text state.
+
+    Headings name a kind or an offer for the lines below, up to the next one of their sort.  Times on a line of an amount
+    are that offer's; else those of its section, above or below it.  Every amount of a line is an offer of its own: its
+    label is what stands before it, or the heading.  Amounts that are no fares go.
+    """
+    w = over([doc], [ln])
+    rows = lines.select(F.col(doc).alias("doc"), F.col(ln).alias("ln"), nfkc(line).alias("line")).checkpoint()
+    w = over(["doc"], ["ln"])
+    amounts = segments(rows.withColumn("_id", F.concat_ws("|", "doc", F.col("ln").cast("string"))), "_id", "line")
+    rows = rows.withColumn("_id", F.concat_ws("|", "doc", F.col("ln").cast("string")))
+    priced = amounts.select("_id").distinct().withColumn("_priced", F.lit(True))
+    rows = rows.join(priced, "_id", "left").withColumn("_priced", F.coalesce("_priced", F.lit(False)))
+    rows = rows.withColumn("_t", assigned(F.col("line"))).withColumn("_timed", F.coalesce("_t.depart", "_t.back", "_t.meet").isNotNull())
+    rows = rows.withColumn("_own", F.get(kinds_of(F.col("line")), F.lit(0)))
+    head = ~F.col("_priced") & header_line(F.col("line"), F.col("line"), F.array().cast("array<bigint>"), F.when(F.col("_timed"), F.array(F.lit("t"))).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("_head", head).withColumn("_kind", forward_fill(F.when(F.col("_head"), F.col("_own")), w))
+    rows = rows.withColumn("_title", forward_fill(F.when(F.col("_head"), F.regexp_replace("line", r"^[【『\[(（◆●■・\s]+|[】』\])）\s]+$", "")), w)).withColumn("_section", section(F.col("_head"), w))
+    inside = over(["doc", "_section"], ["ln"])
+    time = F.when(F.col("_timed"), F.col("_t"))
+    rows = rows.withColumn("_time", F.coalesce(time, forward_fill(time, inside), back_fill(time, inside)))
+    both = rows.where("_priced").join(amounts.withColumnRenamed("_id", "_key"), F.col("_id") == F.col("_key"))
+    label = F.trim(F.regexp_replace(F.regexp_replace("before", TIME, ""), r"^[、,・◆●■~〜\-\s/]+|[:：~〜\-\s/]+$", ""))
+    out = both.withColumn("_label", plain_label(label)).where(F.col("amount").between(300, 600000))
+    generic = (F.col("_label") == "") | generic_label(F.col("_label"))
+    name = F.when(generic, F.coalesce("_title", "_label")).otherwise(F.col("_label"))
+    kind = F.coalesce(F.get(kinds_of(F.col("before")), F.lit(0)), "_kind", "_own")
+    words = F.concat_ws("", "before", F.format_number("amount", 0), F.lit("円"), "behind")
+    out = out.withColumn("kind", kind).withColumn("name", name).where(~f.junk_offer(F.col("name"), words, F.col("amount"), F.col("kind"), F.lit(False)))
+    return out.select(F.col("doc").alias(doc), F.col("ln").alias(ln), "n", "kind", "name", F.col("amount").alias("price"), f.price_unit(F.coalesce("kind", F.lit("")), words).alias("unit"), "_time.depart", "_time.back", "_time.meet")

@@ -103,3 +103,24 @@ def trimmed_extent(rows: DataFrame, value: str, share: float = 0.1, gap: float =
     high = F.when((F.lag("a").over(down) - F.col("b") >= gap) & (before(down) <= most), F.col("b"))
     cells = cells.select("a", "b", low.alias("low"), high.alias("high"))
     return cells.agg(F.coalesce(F.max("low"), F.min("a")).alias("low"), F.coalesce(F.min("high"), F.max("b")).alias("high"))
+
+
+def placed(rows: DataFrame, lat: str = "lat", area: str = "pref") -> DataFrame:
+    """rows with `placed`: whether they have a position and an area."""
+    return rows.withColumn("placed", F.col(lat).isNotNull() & (F.coalesce(area, F.lit("")) != ""))
+
+
+def by_use(rows: DataFrame, key: str) -> DataFrame:
+    """(place, key, n): the values of a key, the most used first; one row a value, so that the order is over a vocabulary."""
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), key)))
+
+
+def by_parts(rows: DataFrame, code: str, mark: str) -> DataFrame:
+    """rows with `place` in the order of a code's parts: its text, then its number."""
+    text, number = F.substring_index(code, mark, 1), F.substring_index(code, mark, -1).try_cast("int")
+    ranked = rows.withColumn("_text", text).withColumn("_number", number)
+    within = F.row_number().over(over(["_text"], ["_number", code]))
+    sizes = ranked.groupBy("_text").agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_text").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return ranked.withColumn("_within", within).join(before, "_text").withColumn("place", (F.col("_within") + F.col("_before")).cast("int")).drop("_text", "_number", "_within", "_size", "_before")

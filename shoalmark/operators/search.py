@@ -8,7 +8,7 @@ from functools import reduce
 from operator import and_
 from urllib.parse import parse_qs, urlencode
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..dims import FLAGS, PRICE_CAPS
@@ -114,3 +114,41 @@ def what_if(index: DataFrame, spec: QuerySpec, values: Iterable[str]) -> DataFra
 
 def viewport(index: DataFrame, south: float, west: float, north: float, east: float) -> DataFrame:
     return index.where(F.col("lat").between(south, north) & F.col("lon").between(west, east))
+
+
+def chips(values: DataFrame, most: int = 18) -> DataFrame:
+    """(place, value, pressed, n) of the chips that are shown of a facet folded up: the first `most` by what pressing one adds,
+    then by how often it occurs at all, and all pressed ones.  values (value, number, pressed, gain, total, n)."""
+    ranked = values.where("total > 0").withColumn("_place", F.row_number().over(Window.orderBy(F.desc("gain"), F.desc("total"), "number")))  # a vocabulary's values
+    return ranked.where((F.col("_place") <= most) | F.col("pressed")).select(F.col("_place").alias("place"), "value", "pressed", "n")
+
+
+def chip_values(index: DataFrame, spec: QuerySpec, values: Iterable[str]) -> DataFrame:
+    """What `chips` takes, from one pass over the index: for each value what pressing it would add, how often it occurs, and
+    the count on it."""
+    values = list(values)
+    base, chosen = spec.matches(["targets"]), sorted(spec.targets)
+    has = F.arrays_overlap("targets", F.array(*map(F.lit, chosen))) if chosen else F.lit(False)
+    aggs = [F.count_if(base & has).alias("now")]
+    for i, v in enumerate(values):
+        aggs += [F.count_if(base & ~has & F.array_contains("targets", v)).alias(f"g{i}"), F.count_if(F.array_contains("targets", v)).alias(f"t{i}")]
+    one = index.agg(*aggs)
+    count = lambda i, v: F.col("now") if v in chosen else F.col("now") + F.col(f"g{i}")
+    rows = [F.struct(F.lit(v).alias("value"), F.lit(i).alias("number"), F.lit(v in chosen).alias("pressed"), F.col(f"g{i}").alias("gain"), F.col(f"t{i}").alias("total"), count(i, v).alias("n")) for i, v in enumerate(values)]
+    return one.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
+def fits_map(asked: Column, auto: Column, words: Column, before: Column, now: Column, most: int = 500) -> Column:
+    """Whether the map moves to what is found: when asked, or by itself when words made the result smaller and small."""
+    return asked | (auto & (words > 0) & now.between(1, most) & (now < before))
+
+
+def decoded_index(rows: DataFrame, targets: list[str], row: str = "row") -> DataFrame:
+    """The columns of positional rows (JSON arrays of id, name, kana, lat, lon, pref, place, flags, price, targets), with the
+    names of the targets and the text that keywords are looked up in."""
+    from ..functions.text import search_key
+
+    at = F.from_json(row, "array<string>")
+    names = F.array(*map(F.lit, targets))
+    fields = rows.select(F.get(at, F.lit(0)).alias("id"), *[F.get(at, F.lit(i)).alias(n) for i, n in ((1, "name"), (2, "kana"), (6, "place"))], *[F.get(at, F.lit(i)).cast(t).alias(n) for i, n, t in ((3, "lat", "double"), (4, "lon", "double"), (5, "pref", "int"), (7, "flags", "int"), (8, "price", "int"))], F.transform(F.from_json(F.get(at, F.lit(9)), "array<int>"), lambda i: F.get(names, i)).alias("targets"))
+    return fields.withColumn("text", search_key(F.concat_ws(" ", "name", "kana", "place", F.array_join("targets", " "))))

@@ -99,3 +99,10 @@ def used_in_one(rows: DataFrame, value: str, group: str, order: str) -> DataFram
 def first_by(value: Column, rank: Column) -> Column:
     """Aggregate: the value of the smallest rank; nulls don't count."""
     return F.min_by(F.when(value.isNotNull(), value), F.when(value.isNotNull(), rank))
+
+
+def grouped(rows: DataFrame, keys: Sequence[str], order: str, item: str) -> DataFrame:
+    """(place, keys, items, distinct_items): rows of equal keys as one, in the order in which they first come; for groups of a
+    page or a list, whose items are few."""
+    lists = rows.groupBy(*keys).agg(F.min(order).alias("_first"), F.transform(F.sort_array(F.collect_list(F.struct(order, item))), lambda x: x[item]).alias("items"))
+    return lists.select(F.row_number().over(Window.orderBy("_first")).alias("place"), *keys, "items", F.array_distinct("items").alias("distinct_items"))

@@ -63,7 +63,10 @@ def address_split_levels(spark, d):
     return read(spark, d, "customer").select(k.alias("id"), prefecture(c).alias("pref"), town_level(a).alias("town"))
 
 
-@query()
+@query(
+    """WITH l AS (SELECT l_orderkey AS doc, l_linenumber AS ln, CAST(floor(l_extendedprice) AS BIGINT) % 20000 + 3000 AS price FROM lineitem), h AS (SELECT l.*, EXISTS (SELECT 1 FROM l x WHERE x.doc = l.doc AND x.ln % 4 = 1 AND x.ln < l.ln) AS under FROM l)
+SELECT doc, ln, CASE WHEN under THEN '乗合' END AS kind, '午前便' AS name, CAST(price AS INTEGER) AS price, CASE WHEN under THEN 'person' ELSE '' END AS unit, '06:00' AS depart, '11:30' AS return_at FROM h WHERE ln % 4 = 2"""
+)
 def offer_extract(spark, d):
     """Offers read from lines of text, with their section, times, amount and unit."""
     n = F.col("l_linenumber")
