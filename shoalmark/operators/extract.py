@@ -12,6 +12,7 @@ from ..functions import offers as f
 from ..functions.text import kinds_of, nfkc
 from ..functions.times import TIME, assigned
 from .classify import generic_label, header_line, plain_label
+from .graph import checkpoint_dir
 from .ordered import back_fill, forward_fill, islands, over, section
 
 
@@ -127,11 +128,11 @@ def plans(lines: DataFrame, doc: str, ln: str, line: str) -> DataFrame:
     """(doc, ln, n, kind, name, price, unit, depart, back, meet) of the fares that lines of free text state.
 
     Headings name a kind or an offer for the lines below, up to the next one of their sort.  Times on a line of an amount
-    are that offer's; else those of its section, above or below it.  Every amount of a line is an offer of its own: its
+    are that offer's alone; others are its section's, above or below it.  Every amount of a line is an offer of its own: its
     label is what stands before it, or the heading.  Amounts that are no fares go.
     """
-    w = over([doc], [ln])
-    rows = lines.select(F.col(doc).alias("doc"), F.col(ln).alias("ln"), nfkc(line).alias("line")).checkpoint()
+    checkpoint_dir(lines.sparkSession)
+    rows = lines.select(F.col(doc).alias("doc"), F.col(ln).alias("ln"), nfkc(line).alias("line")).checkpoint()  # read by each step
     w = over(["doc"], ["ln"])
     amounts = segments(rows.withColumn("_id", F.concat_ws("|", "doc", F.col("ln").cast("string"))), "_id", "line")
     rows = rows.withColumn("_id", F.concat_ws("|", "doc", F.col("ln").cast("string")))
@@ -143,8 +144,8 @@ def plans(lines: DataFrame, doc: str, ln: str, line: str) -> DataFrame:
     rows = rows.withColumn("_head", head).withColumn("_kind", forward_fill(F.when(F.col("_head"), F.col("_own")), w))
     rows = rows.withColumn("_title", forward_fill(F.when(F.col("_head"), F.regexp_replace("line", r"^[【『\[(（◆●■・\s]+|[】』\])）\s]+$", "")), w)).withColumn("_section", section(F.col("_head"), w))
     inside = over(["doc", "_section"], ["ln"])
-    time = F.when(F.col("_timed"), F.col("_t"))
-    rows = rows.withColumn("_time", F.coalesce(time, forward_fill(time, inside), back_fill(time, inside)))
+    alone = F.when(F.col("_timed") & ~F.col("_priced"), F.col("_t"))
+    rows = rows.withColumn("_time", F.coalesce(F.when(F.col("_timed"), F.col("_t")), forward_fill(alone, inside), back_fill(alone, inside)))
     both = rows.where("_priced").join(amounts.withColumnRenamed("_id", "_key"), F.col("_id") == F.col("_key"))
     label = F.trim(F.regexp_replace(F.regexp_replace("before", TIME, ""), r"^[、,・◆●■~〜\-\s/]+|[:：~〜\-\s/]+$", ""))
     out = both.withColumn("_label", plain_label(label)).where(F.col("amount").between(300, 600000))
