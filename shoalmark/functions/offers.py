@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Words beside amounts that aren't fares, words that say they are included, fares of children, phrases of
@@ -59,10 +59,19 @@ def before_amount(text: Column, price: Column, size: int = 18) -> Column:
     return F.when(at > 0, F.regexp_replace(F.substring(text, start, at - start), r"\s+", "")).otherwise("")
 
 
-def junk_offer(name: Column, text: Column, price: Column, kind: Column, ferry: Column) -> Column:
-    """The amount isn't a fare: gear, options, children's fares, small fees, or too small for what it is."""
-    before = before_amount(text, price)
-    label = F.regexp_replace(F.coalesce(name, F.lit("")), r"\s+", "")
+def with_fare_words(rows: DataFrame, name: Column, text: Column, price: Column) -> DataFrame:
+    """rows with `_before` (what stands before the amount) and `_label` (the name without white space), found once for each row:
+    the rule below reads them several times."""
+    return rows.withColumn("_before", before_amount(text, price)).withColumn("_label", F.regexp_replace(F.coalesce(name, F.lit("")), r"\s+", ""))
+
+
+def junk_offer(name: Column, text: Column, price: Column, kind: Column, ferry: Column, words: bool = False) -> Column:
+    """The amount isn't a fare: gear, options, children's fares, small fees, or too small for what it is.
+
+    words: the rows have the columns of with_fare_words, so that name and text aren't read.
+    """
+    before = F.col("_before") if words else before_amount(text, price)
+    label = F.col("_label") if words else F.regexp_replace(F.coalesce(name, F.lit("")), r"\s+", "")
     kind = F.coalesce(kind, F.lit(""))
     junk_at = F.regexp_instr(before, F.lit(JUNK))
     junk_len = F.length(F.regexp_extract(before, f"({JUNK})", 1))

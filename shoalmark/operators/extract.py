@@ -27,15 +27,16 @@ def offers(lines: DataFrame, doc: str, ln: str, line: str) -> DataFrame:
     own = F.get(kinds_of(t), F.lit(0))
     rows = lines.withColumn("_price", F.get(prices, F.lit(0))).withColumn("_own", own)
     heading = F.when(F.col("_price").isNull(), F.col("_own"))
-    rows = rows.withColumn("kind", F.coalesce("_own", forward_fill(heading, over([doc], [ln]))))
+    rows = rows.withColumn("kind", F.coalesce("_own", forward_fill(heading, over([doc], [ln])))).where(F.col("_price").between(300, 600000))
     clock = r"(\d{1,2}[:：時]\d{0,2})"
     span = F.regexp_extract(t, clock + r"\s*[~〜～-]\s*" + clock, 2)
     name = F.trim(F.regexp_replace(F.regexp_extract(t, r"^([^\d¥￥]*)", 1), r"^[◆●■・\s]+", ""))
-    out = rows.where(F.col("_price").between(300, 600000)).select(
+    out = rows.select(
         F.col(doc), F.col(ln), "kind", name.alias("name"), F.col("_price").cast("int").alias("price"), f.price_unit(F.col("kind"), t).alias("unit"), f.clock(t).alias("depart"), f.clock(span).alias("return_at"), t.alias("_line")
     )
-    junk = f.junk_offer(F.col("name"), F.col("_line"), F.col("price"), F.col("kind"), F.lit(False))
-    return out.where(~junk).drop("_line")
+    out = f.with_fare_words(out, F.col("name"), F.col("_line"), F.col("price"))
+    junk = f.junk_offer(F.col("name"), F.col("_line"), F.col("price"), F.col("kind"), F.lit(False), words=True)
+    return out.where(~junk).drop("_line", "_before", "_label")
 
 
 # How amounts are written, what isn't one, and what belongs to one behind it.

@@ -28,7 +28,8 @@ def offers(listings: DataFrame, ident: tuple[str, ...] = ("src", "src_id")) -> D
     blank = lambda c: F.nullif(c, F.lit(""))
     kind = F.coalesce(F.get(kinds_of(F.col("t_kind")), F.lit(0)), blank(cut(F.col("t_kind"), 10)))
     rows = rows.withColumn("kind", kind).withColumn("price", f.in_range(F.col("t_price"), 300, 600000))
-    junk = F.col("price").isNotNull() & ~F.col("src").isin(*VERIFIED) & f.junk_offer(F.col("t_name"), F.col("t_price_text"), F.col("price"), F.col("kind"), F.col("_ferry"))
+    rows = f.with_fare_words(rows, F.col("t_name"), F.col("t_price_text"), F.col("price"))
+    junk = F.col("price").isNotNull() & ~F.col("src").isin(*VERIFIED) & f.junk_offer(F.col("t_name"), F.col("t_price_text"), F.col("price"), F.col("kind"), F.col("_ferry"), words=True)
     rows = rows.where(~F.coalesce(junk, F.lit(False)))
     name = blank(F.regexp_replace(cut(F.col("t_name"), 90), r"^[、。，,.)）\]】」』\s※*＊・:：]+", ""))
     out = rows.select(

@@ -31,8 +31,8 @@ o AS (SELECT ord, line, CASE line % 5 WHEN 0 THEN '乗合 午前便' WHEN 1 THEN
 )
 def junk_offer_filter(spark, d):
     """Which amounts aren't fares."""
-    o = _offer_rows(spark, d)
-    return o.select("ord", "line", "price", f.junk_offer(F.col("name"), F.col("text"), F.col("price"), F.col("kind"), F.lit(False)).alias("junk"))
+    o = f.with_fare_words(_offer_rows(spark, d), F.col("name"), F.col("text"), F.col("price"))
+    return o.select("ord", "line", "price", f.junk_offer(F.col("name"), F.col("text"), F.col("price"), F.col("kind"), F.lit(False), words=True).alias("junk"))
 
 
 @query(f"WITH {_OFFERS} SELECT ord, line, CASE WHEN kind = '乗合' THEN 'person' WHEN kind = '仕立' THEN 'boat' WHEN lead = '大人1名' THEN 'person' WHEN lead = '1隻' THEN 'boat' ELSE '' END AS unit, CAST(price AS BIGINT) AS amount FROM o")
