@@ -8,8 +8,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import wraps
 
-from pyspark.sql.types import StructType
-
 from .registry import ORACLE_SQL, QUERIES
 
 _SQL_TYPE = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE"}
@@ -34,8 +32,8 @@ def _literal(value) -> str:
 
 
 def rows_sql(ddl: str, rows: Sequence[tuple]) -> str:
-    """SQL that gives the rows, by their schema."""
-    fields = [(f.name, _type(f.dataType.simpleString())) for f in StructType.fromDDL(ddl)]
+    """SQL that gives the rows, by their schema ("name type, name type")."""
+    fields = [(name, _type(kind)) for name, kind in (f.split(" ", 1) for f in ddl.split(", "))]
     columns = ", ".join(f'CAST(c{i} AS {kind}) AS "{name}"' for i, (name, kind) in enumerate(fields))
     names = ", ".join(f"c{i}" for i in range(len(fields)))
     values = ", ".join(f"({', '.join(map(_literal, row))})" for row in rows) or f"({', '.join(['NULL'] * len(fields))})"
