@@ -154,3 +154,20 @@ def total_of(text: Column) -> Column:
 def pages_of(total: Column, each: int) -> Column:
     """The page numbers of a list of so many entries."""
     return F.when(total > 0, F.sequence(F.lit(1), F.ceil(total / each).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
+def vocabulary_masked(c: Column, words: Iterable[str]) -> Column:
+    """The words of a vocabulary in a text in the order of the vocabulary: what a word covers is hidden from those after it."""
+    hits, left = [], c
+    for w in dict.fromkeys(words):
+        hits.append(F.when(left.contains(w), F.lit(w)))
+        left = F.replace(left, F.lit(w), F.lit("\u0001"))
+    return F.array_compact(F.array(*hits))
+
+
+def vocabulary_whole(c: Column, words: Iterable[str]) -> Column:
+    """The words of a vocabulary that stand in a text as whole runs of katakana, each once, in order; words in other signs count
+    anywhere."""
+    kana = "[ァ-ヶー]"
+    pattern = "|".join(f"(?<!{kana})\\Q{w}\\E(?!{kana})" if "ァ" <= w[0] <= "ヶ" else f"\\Q{w}\\E" for w in sorted(set(words), key=lambda w: (-len(w), w)))
+    return F.array_distinct(F.regexp_extract_all(c, F.lit(f"({pattern})"), F.lit(1)))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.places import cell, cells_for, dist_km, segment_km
+from ..functions.places import KM_PER_LAT, cell, cells_for, dist_km, segment_km
 
 
 def within_km(left: DataFrame, right: DataFrame, km: float, size: float = 0.5, latitude: float = 60.0) -> DataFrame:
@@ -96,3 +98,21 @@ def areas_or_nearest(points: DataFrame, edges: DataFrame, margin_km: float = 5.0
     km = segment_km(F.col("la"), F.col("lo"), F.col("la1"), F.col("lo1"), F.col("la2"), F.col("lo2"))
     near = at.join(dealt, ["cy", "cx"]).withColumn("km", km).where(F.col("km") <= margin_km).groupBy("pid").agg(F.min_by("area", F.struct("km", "area")).alias("area"))
     return inside.unionByName(near)
+
+
+def within_own_area(points: DataFrame, edges: DataFrame, km: float = 1.0, band: float = 0.25) -> DataFrame:
+    """(pid, inside, within): whether points (pid, area, la, lo) lie in the area that they say, and in it or so close to its edge.
+
+    Points meet the edges of their own area in bands of latitude: those of their own band for the count of crossings, those
+    within reach for the distance.
+    """
+    reach = math.ceil(km / KM_PER_LAT / band)
+    low, high = cell(F.least("la1", "la2"), band), cell(F.greatest("la1", "la2"), band)
+    dealt = edges.withColumn("band", F.explode(F.sequence(low - reach, high + reach)))
+    met = points.withColumn("band", cell(F.col("la"), band)).join(dealt, ["area", "band"])
+    crosses = ((F.col("la1") > F.col("la")) != (F.col("la2") > F.col("la"))) & (F.col("lo") < (F.col("lo2") - F.col("lo1")) * (F.col("la") - F.col("la1")) / (F.col("la2") - F.col("la1")) + F.col("lo1"))
+    away = segment_km(F.col("la"), F.col("lo"), F.col("la1"), F.col("lo1"), F.col("la2"), F.col("lo2"))
+    rings = met.groupBy("pid", "ring").agg((F.count_if(crosses) % 2 == 1).alias("inside"), F.min(away).alias("_km"))
+    of = rings.groupBy("pid").agg(F.bool_or("inside").alias("inside"), F.min("_km").alias("_km"))
+    out = points.select("pid").join(of, "pid", "left")
+    return out.select("pid", F.coalesce("inside", F.lit(False)).alias("inside"), (F.coalesce("inside", F.lit(False)) | F.coalesce(F.col("_km") <= km, F.lit(False))).alias("within"))

@@ -394,3 +394,24 @@ def candidates_thinned(points):
 def prefectures_of_cities(rows):
     """A city that lies in one prefecture gives it to rows that lack it."""
     return lookup.imputed(rows, "city", "pref", "full").select("n", c("full").alias("pref"))
+
+
+@case(
+    ("area string, ring int, points array<string>", [("A", 0, ["35,135", "35,136", "36,136", "36,135"]), ("B", 0, ["35,136", "35,137", "36,137", "36,136"])]),
+    ("pid int, area string, la double, lo double", [(1, "A", 35.5, 135.5), (2, "A", 35.5, 136.005), (3, "A", 35.5, 136.5), (4, "B", 35.5, 136.5), (5, "A", 36.008, 135.5), (6, "A", 36.02, 135.5), (7, "C", 35.5, 135.5)]),
+    ddl="pid int, inside boolean, within boolean", expected=[(1, True, True), (2, False, True), (3, False, False), (4, True, True), (5, False, True), (6, False, False), (7, False, False)],
+)
+def points_in_their_own_area(rings, points):
+    """Points in the area that they say, or within a kilometre of it."""
+    at = F.transform("points", lambda p: F.struct(F.substring_index(p, ",", 1).cast("double").alias("la"), F.substring_index(p, ",", -1).cast("double").alias("lo")))
+    return spatial.within_own_area(points, spatial.ring_edges(rings.withColumn("points", at)))
+
+
+@case(
+    ("id int, links string", [(1, "a"), (2, "b"), (3, None)]), ("k int, src string", [(1, "x"), (2, "x"), (2, "y")]),
+    ddl="id int, children array<string>, n int", expected=[(1, ["x"], 1), (2, ["x", "y"], 2), (3, [], 0)],
+)
+def parents_with_children(parents, children):
+    """Parents with their children as arrays, those without any too."""
+    of = children.groupBy(c("k").alias("id")).agg(F.array_sort(F.collect_set("src")).alias("children"))
+    return parents.join(of, "id", "left").select("id", F.coalesce("children", F.array().cast("array<string>")).alias("children"), F.coalesce(F.size("children"), F.lit(0)).alias("n"))

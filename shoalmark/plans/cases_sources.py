@@ -310,3 +310,31 @@ def stream_without_repeats(spark, d):
 def rows_selected(rows):
     """Rows by ranges of ids, groups, pages and names, and a limit in order."""
     return json_listings.selected(rows, "id", ids="1-4,7", groups=("grp", ["a"]), pages=("page", [0, 1]), without=("name", ["n1"]), limit=3).select("id")
+
+
+@case(
+    ("metric string, value string, n int", [("geo", "site", 3), ("geo", "port", 5), ("geo", "city", 3), ("pref", "千葉県", 1)]),
+    ddl="metric string, line string", expected=[("geo", "geo: port=5, city=3"), ("pref", "pref: 千葉県=1")],
+)
+def report_lines(rows):
+    """Metrics as lines of a report, the most frequent values first."""
+    return publish.report(rows, 2)
+
+
+@query(rows_sql("at bigint, step string, n string", [(0, "crawl", "3"), (1, "build", None)]))
+def log_entries(spark, d):
+    """A log that only grows, read as a table."""
+    folder = files.scratch(spark)
+    publish.log(spark, folder, "crawl", n=3)
+    publish.log(spark, folder, "build", state="ok")
+    return publish.log_entries(spark, folder).select("at", "step", F.try_element_at("facts", F.lit("n")).alias("n"))
+
+
+@case(
+    ("id int", [(1,), (2,), (2,)]), ("id int", [(2,), (3,)]),
+    ddl="what string, id int", expected=[("whole", 1), ("whole", 2), ("short", 1), ("short", 2), ("short", 3)],
+)
+def lists_enumerated_again(found, again):
+    """A list with fewer ids than it announces is enumerated once more by area."""
+    of = lambda what, n: json_listings.enumerated(found, n, again).select(F.lit(what).alias("what"), "id")
+    return of("whole", 2).unionByName(of("short", 3))

@@ -299,3 +299,13 @@ def safe_casts(rows):
     """The number of a text's digits, and texts that are numbers; null otherwise."""
     plain = rows.withColumn("c", F.nullif(text.nfkc("c"), F.lit("")))
     return plain.select("i", text.digits_only(c("c")).alias("n"), c("c").try_cast("double").alias("x"))
+
+
+@case(
+    ("i int, c string", [(1, "ライトアジとアジ、タイラバで真鯛"), (2, "タイとヒラメ"), (3, "イカタコ")]),
+    ddl="i int, masked array<string>, whole array<string>", expected=[(1, ["ライトアジ", "アジ", "タイ", "真鯛"], ["ライトアジ", "アジ", "真鯛"]), (2, ["タイ", "ヒラメ"], ["タイ", "ヒラメ"]), (3, ["イカ", "タコ"], [])],
+)
+def vocabularies_masked_and_whole(rows):
+    """Words of a vocabulary by priority, and as whole runs of katakana."""
+    words = ["ライトアジ", "アジ", "タイ", "ヒラメ", "イカ", "タコ", "真鯛"]
+    return rows.select("i", embedded.vocabulary_masked(c("c"), words).alias("masked"), embedded.vocabulary_whole(c("c"), words).alias("whole"))

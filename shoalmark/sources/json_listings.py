@@ -122,3 +122,9 @@ def selected(rows: DataFrame, id_col: str, ids: str | None = None, groups: tuple
     if without:
         out = out.where(~F.col(without[0]).isin(*without[1]))
     return out.orderBy(id_col).limit(limit) if limit is not None else out
+
+
+def enumerated(found: DataFrame, announced: int, again: DataFrame, key: str = "id") -> DataFrame:
+    """The distinct ids of a list; where they are fewer than the list announces, with those of a second enumeration (by area)."""
+    once = found.select(key).distinct()
+    return once if once.count() >= announced else once.unionByName(again.select(key)).distinct()

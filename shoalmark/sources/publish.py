@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -87,3 +87,24 @@ def used_sources(*tables: DataFrame) -> DataFrame:
     for t in tables[1:]:
         out = out.unionByName(t.select("src"))
     return out.where("src IS NOT NULL").distinct()
+
+
+def report(counts: DataFrame, most: int = 40) -> DataFrame:
+    """(metric, line): each metric of counts (metric, value, n) as a line of a report: its values by how many they are, at most
+    so many, as value=n."""
+    ranked = counts.withColumn("_n", F.row_number().over(Window.partitionBy("metric").orderBy(F.desc("n"), "value"))).where(F.col("_n") <= most)
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("_n", "value", "n"))), lambda x: F.concat(x["value"], F.lit("="), x["n"].cast("string")))
+    return ranked.groupBy("metric").agg(F.concat(F.first("metric"), F.lit(": "), F.array_join(parts, ", ")).alias("line"))
+
+
+def log(spark: SparkSession, folder: str, step: str, **facts: int | str) -> None:
+    """Adds an entry to a log: a file of its own, whose name sorts behind those before it, so that nothing is rewritten."""
+    from .files import names, put
+
+    at = len(names(spark, folder))
+    put(spark, f"{folder}/{at:09d}-{uuid.uuid4().hex[:8]}.json", json.dumps({"at": at, "step": step, "facts": {k: str(v) for k, v in facts.items()}}, ensure_ascii=False))
+
+
+def log_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """(at, step, facts) of a log's entries."""
+    return spark.read.schema("at bigint, step string, facts map<string, string>").json(folder)
