@@ -75,7 +75,12 @@ def offer_extract(spark, d):
     return extract.offers(lines, "doc", "ln", "line")
 
 
-@query()
+@query(
+    r"""WITH a AS (SELECT page_id, regexp_replace(replace(regexp_replace(html, '(?s)<head.*?</head>|<!--.*?-->|<!DOCTYPE[^>]*>', '', 'g'), chr(10), ' '), '</?(address|article|blockquote|dd|div|dl|dt|fieldset|footer|form|h[1-6]|header|li|main|nav|ol|p|section|table|ul|br|hr|tr)(\s[^>]*)?>', chr(10), 'g') AS h FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(h, '<[^<>]*>', '', 'g'), '<[a-z/!][^<>]*$', '') AS h FROM a),
+c AS (SELECT page_id, list_filter(list_transform(string_split(replace(replace(replace(replace(replace(replace(h, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&'), chr(10)), lambda x: trim(regexp_replace(trim(regexp_replace(x, '\s+', ' ', 'g')), '[|]$', ''))), lambda x: x <> '') AS l FROM b)
+SELECT page_id, array_to_string(list_filter(l, lambda x, i: i = 1 OR l[i - 1] <> x), chr(10)) AS text FROM c"""
+)
 def html_to_text(spark, d):
     """Lines of each page."""
     return read(spark, d, "pages").select("page_id", pages.page_text("html").alias("text"))
@@ -194,7 +199,10 @@ def vocabulary_hits(spark, d):
     return read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.array_join(vocabulary(F.col("p_type"), ["STEEL", "BRASS", "TIN", "COPPER", "NICKEL"]), ",").alias("words"))
 
 
-@query()
+@query(
+    """WITH c AS (SELECT c_custkey AS k FROM customer) SELECT CASE WHEN k % 2 = 0 THEN 'alpha' ELSE 'beta' END AS src, CAST(k AS VARCHAR) AS src_id, '釣船 第' || (k % 90) || '丸(大原港)' AS name, (k % 90) || '丸' AS nkey, '千葉県' AS pref, '千葉県いすみ市大原1-2' AS address, '大原' AS pkey,
+'0470' || lpad(CAST(k % 100 AS VARCHAR), 2, '0') || lpad(CAST(k % 10000 AS VARCHAR), 4, '0') AS tel, 'example' || (k % 9) || '.jp' AS ukey, 24 + (k * 37 % 2150) / 100.0::DOUBLE AS lat, 123 + (k * 91 % 2250) / 100.0::DOUBLE AS lon FROM c"""
+)
 def prepare_listings(spark, d):
     """Listings with clean fields and keys, from raw ones made of customers."""
     from ..operators.prepare import listings

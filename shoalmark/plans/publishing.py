@@ -33,7 +33,7 @@ def publish_order(spark, d):
     within = F.row_number().over(Window.partitionBy("c_nationkey").orderBy(F.desc("n"), "c_name"))
     sizes = c.groupBy("c_nationkey").agg(F.count("*").alias("size"))
     before = sizes.withColumn("before", F.coalesce(F.sum("size").over(Window.orderBy("c_nationkey").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = c.withColumn("place", within).join(F.broadcast(before.select("c_nationkey", "before")), "c_nationkey")
+    out = c.withColumn("place", within).join(before.select("c_nationkey", "before"), "c_nationkey")
     return out.select(F.col("c_custkey").alias("id"), (F.col("place") + F.col("before")).alias("place"))
 
 
