@@ -85,6 +85,10 @@ class Codec:
         merges = [tuple(x.split(" ")) if isinstance(x, str) else tuple(x) for x in model["merges"]]
         self.ids: dict[str, int] = model["vocab"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        # What this encoder doesn't do isn't passed over.
+        odd = [x["content"] for x in spec["added_tokens"] if x.get("single_word") or x.get("lstrip") or x.get("rstrip") or x.get("normalized")]
+        if odd or spec.get("decoder") or model["type"] != "BPE" or not self.suffix:
+            raise ValueError(f"not a tokenizer of the kind that this encoder is for (special tokens with flags: {odd})")
         self.split_special = re.compile("|".join(f"({re.escape(x)})" for x in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.tokens = [""] * (max([*self.ids.values(), *self.special.values()]) + 1)
         for token, i in (self.ids | self.special).items():
@@ -221,7 +225,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """(id_col, ids array<int>, decoded string) for each row of docs; no shuffle.
 
     Null and empty texts have no ids and an empty decoded text.  Repeated rows give repeated rows, a null id stays null,
-    an empty table gives an empty one, other columns are not read.  path: a file that every executor has.
+    an empty table gives an empty one, other columns are not read.  path: a file that every executor has.  An id_col called
+    like a result keeps its name, and the result gets an underscore behind.  A text is held whole, with some twenty bytes for
+    each of its own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

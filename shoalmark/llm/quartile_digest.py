@@ -106,7 +106,8 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     empty text has no triplets: all codes are 0.  An empty table gives an empty one; other columns are not read.
 
     The rows are sorted into ranges of ids (the one shuffle of the texts); each task pairs its rows and hands on its
-    first and last one, which are paired across the ranges afterwards.
+    first and last one, which are paired across the ranges afterwards.  A text is held whole beside the one that follows it, with
+    four bytes for each of its own.  An id_col called like a result keeps its name, and the result gets an underscore behind.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["id"]

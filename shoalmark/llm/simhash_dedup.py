@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components
-from .common import named, raw, slices, spans, table, trimmed, unused, written
+from .common import named, raw, shared_dir, slices, spans, table, trimmed, unused, written
 
 #: Each byte value with its eight bits spread over the bytes of a 64-bit number.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64)[:, 0]
@@ -171,6 +171,7 @@ def links(prints: DataFrame, most_bits: int = 4, list_bytes: int | None = None,
     least = 8 - most_bits
     if least < 1:
         raise ValueError("the byte-position index needs at most 7 differing bits")
+    shared_dir(prints.sparkSession)
     if list_bytes is None:
         n = prints.count()
         list_bytes = 2 if n <= TWO_BYTES else 3 if n <= THREE_BYTES else 4

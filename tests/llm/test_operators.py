@@ -837,6 +837,16 @@ def test_forced_cuts(coder):
             assert not any(pair in t for t in inside)
 
 
+def test_tokenizers_of_another_kind_are_refused(coder, tmp_path):
+    import json
+
+    spec = json.load(open(coder, encoding="utf-8"))
+    for change in ({"added_tokens": [spec["added_tokens"][0] | {"lstrip": True}]}, {"decoder": {"type": "ByteLevel"}}, {"model": spec["model"] | {"end_of_word_suffix": None}}):
+        (tmp_path / "t.json").write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError):
+            bpe.Codec(str(tmp_path / "t.json"))
+
+
 def test_bpe_query(spark, sf_dir, coder, odd, none):
     from tokenizers import Tokenizer
 
