@@ -415,3 +415,27 @@ def parents_with_children(parents, children):
     """Parents with their children as arrays, those without any too."""
     of = children.groupBy(c("k").alias("id")).agg(F.array_sort(F.collect_set("src")).alias("children"))
     return parents.join(of, "id", "left").select("id", F.coalesce("children", F.array().cast("array<string>")).alias("children"), F.coalesce(F.size("children"), F.lit(0)).alias("n"))
+
+
+@case(
+    ("id int, name string, city string, website string, tel string", [(1, "海丸", None, None, "03"), (2, "海丸", "x", "w1", None), (3, "山丸", "x", "w1", "04"), (4, "山丸", "y", None, None), (5, "星丸", "y", None, None), (6, "山丸", "x", None, None)]),
+    ddl="id int, name string, city string, website string, tel string, members array<int>", expected=[(1, "海丸", "x", "w1", "03", [1, 2, 3, 6]), (4, "山丸", "y", None, None, [4]), (5, "星丸", "y", None, None, [5])],
+)
+def merged_until_settled(rows):
+    """Records of one list: equal names without other cities, or equal sites in one city, merged until none fit; a merge fills
+    in what makes others fit."""
+
+    def pairs(r):
+        side = lambda n: r.select(*[c(x).alias(f"{n}_{x}") for x in ("id", "names", "city", "website")])
+        named = side("a").withColumn("k", F.explode("a_names")).join(side("b").withColumn("k", F.explode("b_names")), "k")
+        sited = side("a").withColumn("k", c("a_website")).join(side("b").withColumn("k", c("b_website")), "k")
+        by_name = named.where("a_id < b_id AND (a_city = b_city OR a_city IS NULL AND b_website IS NOT NULL)")
+        by_site = sited.where("a_id < b_id AND a_city = b_city")
+        return by_name.unionByName(by_site).select(c("a_id").alias("a"), c("b_id").alias("b"))
+
+    def merge_rows(r):
+        items = merge.absorbed(r, ["root"], ["id"], fill=["name", "city", "website", "tel"], union=["names", "members"])
+        return items.withColumnRenamed("root", "id")
+
+    start = rows.withColumn("names", F.array("name")).withColumn("members", F.array("id"))
+    return resolve.agglomerated(start, pairs, merge_rows).select("id", "name", "city", "website", "tel", F.array_sort("members").alias("members"))
