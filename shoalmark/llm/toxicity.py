@@ -65,7 +65,7 @@ class Fit:
 
     rows: int = 12000
     least_docs: int = 4
-    least_weight: float = 3.0
+    least_weight: float = 1.5
     stems: tuple[int, ...] = (4, 5, 6, 7)
     letters: tuple[int, int] = (3, 30)
 
