@@ -780,6 +780,15 @@ def test_viterbi_in_turns():
             at += n
 
 
+def test_a_quote_interrupts_a_text(spark):
+    """The language that a text returns to is the text's, however long the quote; a line at either end isn't enough."""
+    words = {"en": "the cat and the dog sat there with this and that ", "de": "und der hund ist nicht da weil wir schon gehen "}
+    model = language_id.learn(spark.createDataFrame([(t * 3, k) for k, t in words.items()], "text string, lang string"))
+    en, de = words["en"], words["de"]
+    cases = [(en + de * 3 + en, "en"), (de + en * 3 + de, "de"), (en + de * 3, "de"), (en * 3 + de, "en"), (en[:12] + de * 9 + en[:12], "de")]
+    assert language_id.predict(pa.array([t for t, _ in cases]), model)[0] == [k for _, k in cases]
+
+
 def test_spans_of_letters_that_change_their_length():
     model = language_id.Model(["en", "tr"], np.zeros((language_id.BUCKETS, 2), np.float32), np.ones((len(language_id.SCRIPT_NAMES), 2), bool))
     assert [x for _, x in language_id.language_spans("İstanbul İzmir hello there", model)] == [pa.compute.utf8_lower(pa.array(["İstanbul İzmir hello there"]))[0].as_py()]

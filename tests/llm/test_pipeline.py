@@ -101,7 +101,9 @@ def plain_clear(model, text):
     path = slow_path(np.array(scores), model.penalty)
     share = np.bincount(path, [len(w.encode()) for w in words], minlength=len(model.languages))
     opens, total = path[0], share.sum()
-    best = opens if share[opens] >= model.opening * total else int(share.argmax())
+    spans = [k for i, k in enumerate(path) if not i or path[i - 1] != k]
+    frames = [(spans.count(k) if share[k] >= language_id.PART * total else 0, share[k]) for k in range(len(share))]
+    best = opens if share[opens] >= model.opening * total else max(range(len(share)), key=lambda k: frames[k])
     second = max((s for k, s in enumerate(share) if k != best), default=0)
     held = share[best] >= 0.5 * total or best == opens and share[best] >= model.opening * total and share[best] + second >= language_id.PAIR * total
     return bool(held and sum(log[best] for log in logs) / sum(grams) >= model.least)
