@@ -168,8 +168,17 @@ class Adapter:
         return own.unionByName(below.select("url", "key", "n", "field", F.trim(F.regexp_replace("line", r"^[^:：]{1,12}[:：]", "")).alias("value")))
 
 
-def listings(found: DataFrame, adapter: Adapter) -> DataFrame:
-    """Listings from facts (url, key, n, field, value): the first value of each field of a key; offers from its prices and times."""
+def _by_source(adapters: tuple[Adapter, ...], value) -> Column:
+    """value(adapter) of the first adapter whose pages a URL is one of."""
+    out = None
+    for a in adapters:
+        out = F.when(F.col("url").rlike(a.page), value(a)) if out is None else out.when(F.col("url").rlike(a.page), value(a))
+    return out
+
+
+def listings(found: DataFrame, *adapters: Adapter) -> DataFrame:
+    """Listings from facts (url, key, n, field, value) of the adapters' pages: the first value of each field of a key; offers from
+    its prices and times."""
     found = found.where(F.coalesce("value", F.lit("")) != "").withColumn("value", nfkc("value"))
     one = found.groupBy("url", "key").agg(*[F.min_by(F.when(F.col("field") == f, F.col("value")), F.when(F.col("field") == f, F.col("n"))).alias(f) for f in (*FIELDS, "title")])
     lines = found.where(F.col("field").isin("price", "time")).select("key", "n", F.posexplode(F.split("value", "\n| / ")).alias("i", "line"))
@@ -182,12 +191,12 @@ def listings(found: DataFrame, adapter: Adapter) -> DataFrame:
     rows = rows.where((F.coalesce("_shown", F.lit("")) != "") & ~rejected_name(F.col("_shown"))).withColumn("_r", reading_of(F.col("_shown")))
     address = F.nullif(clean_address(F.col("address")), F.lit(""))
     site = F.nullif(F.regexp_extract("website", r"(https?://[^\s<>\"'、，）)]+)", 1), F.lit(""))
-    number = F.nullif(F.regexp_extract("url", adapter.page, 1), F.lit(""))
+    number = F.nullif(_by_source(adapters, lambda a: F.regexp_extract("url", a.page, 1)), F.lit(""))
     several = F.col("key").contains("#")  # listings of one page are told apart by their place on it
-    kinds = kinds_of(F.concat_ws(" ", "type", "price", F.lit(adapter.types)))
+    kinds = kinds_of(F.concat_ws(" ", "type", "price", _by_source(adapters, lambda a: F.lit(a.types))))
     items = lambda c: split_list(F.coalesce(c, F.lit("")))
     return rows.select(
-        F.lit(adapter.source).alias("src"), F.when(several, F.concat_ws(":", number, F.replace(F.regexp_extract("key", "#(.*)$", 1), F.lit("#"), F.lit("-")))).otherwise(F.coalesce(number, F.left(F.sha1("key"), F.lit(10)))).alias("src_id"), F.col("url").alias("src_url"),
+        _by_source(adapters, lambda a: F.lit(a.source)).alias("src"), F.when(several, F.concat_ws(":", number, F.replace(F.regexp_extract("key", "#(.*)$", 1), F.lit("#"), F.lit("-")))).otherwise(F.coalesce(number, F.left(F.sha1("key"), F.lit(10)))).alias("src_id"), F.col("url").alias("src_url"),
         F.col("_r.name").alias("name"), F.coalesce("kana", "_r.kana").alias("kana"), prefecture(address).alias("pref"), city_of(address).alias("city"), address.alias("address"), plain_port(F.coalesce(port_in(F.col("port")), F.col("port"))).alias("port"), blank("double").alias("lat"), blank("double").alias("lon"),
         phone_shown(F.col("tel")).alias("tel"), F.when(url_class(site) == "official", root_of_form(site)).alias("website"), F.when(url_class(site) == "sns", F.array(site)).otherwise(F.array().cast("array<string>")).alias("sns"), kinds.alias("types"), items(F.col("targets")).alias("targets"), items(F.col("methods")).alias("methods"),
         "holidays", items(F.col("facilities")).alias("facilities"), digits_only(F.regexp_extract("capacity", r"(\d+)", 1)).cast("int").alias("capacity"), "access", summary(F.col("comment")).alias("description"), F.coalesce("plans", F.array().cast(f"array<{PLAN}>")).alias("plans"), F.regexp_replace("time", "\n", " ").alias("schedule_text"),
@@ -243,9 +252,14 @@ ADAPTERS: dict[str, Adapter] = {
 
 
 def read_sources(cached: DataFrame, sources: list[str] | None = None) -> DataFrame:
-    """Listings of all sources (or of those named) from the cached pages (url, html)."""
-    out = None
+    """Listings of all sources (or of those named) from the cached pages (url, html); pages of one shape are read in one pass."""
+    groups: dict[tuple, list[Adapter]] = {}
     for name in sources or ADAPTERS:
-        rows = ADAPTERS[name].read(cached)
+        a = ADAPTERS[name]
+        groups.setdefault((a.shape, *sorted(a.keys.items())), []).append(a)
+    out = None
+    for (shape, *_), same in groups.items():
+        mine = cached.where(F.col("html").isNotNull() & F.col("url").rlike("|".join(f"(?:{a.page})" for a in same)))
+        rows = listings(getattr(same[0], f"_{shape}")(mine), *same)
         out = rows if out is None else out.unionByName(rows)
     return out
