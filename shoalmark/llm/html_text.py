@@ -62,6 +62,7 @@ class Dom:
 
     def __init__(self, html: str):
         self.tag, self.parent, self.noise, self.pieces = ["#root"], [-1], [False], [[]]
+        self.in_article = [False]
         self.named: dict[int, str] = {}  # nodes that only class, id or role marks: as "never", "part" (by a whole name) or "other"
         self._parse(html)
         if self.named:
@@ -70,10 +71,10 @@ class Dom:
     def _open(self, tag: str, attributes: str, parent: int) -> int:
         found = _NAMES.findall(attributes) if "=" in attributes else ()
         # An id inside an article is mostly the anchor of a heading: it only names discussions.
-        anchors = any(kind.lower() == "id" for kind, *_ in found) and self._inside(parent, "article")
+        anchors = self.in_article[parent]
         marks = [(x, anchors and kind.lower() == "id") for kind, *value in found for x in "".join(value).split()]
         noise = self.noise[parent] or tag in NOISE
-        exempt = tag in ("body", "html", "main") or tag == "header" and self._inside(parent, "article")  # the head of the article, not of the page
+        exempt = tag in ("body", "html", "main") or tag == "header" and self.in_article[parent]  # the head of the article, not of the page
         if not self.noise[parent] and exempt:
             noise = False
         elif not noise and marks:
@@ -84,6 +85,7 @@ class Dom:
         self.tag.append(tag)
         self.parent.append(parent)
         self.noise.append(noise)
+        self.in_article.append(self.in_article[parent] or tag == "article")
         self.pieces.append([])
         self.pieces[parent].append(len(self.tag) - 1)
         return len(self.tag) - 1
@@ -123,20 +125,21 @@ class Dom:
         for i in range(1, n):
             self.noise[i] = self.noise[i] or self.noise[self.parent[i]]
 
-    def _inside(self, node: int, tag: str) -> bool:
-        while node >= 0:
-            if self.tag[node] == tag:
-                return True
-            node = self.parent[node]
-        return False
-
     def _parse(self, html: str) -> None:
         stack, at, tags = [0], 0, self.tag
+        is_open: dict[str, int] = {}  # how many elements of a tag are open: what isn't open isn't searched for
+
+        def pop(i: int) -> None:
+            for x in stack[i:]:
+                is_open[tags[x]] -= 1
+            del stack[i:]
 
         def close(names, stops) -> None:
+            if not any(is_open.get(x) for x in names):
+                return
             for i in range(len(stack) - 1, 0, -1):
                 if tags[stack[i]] in names:
-                    del stack[i:]
+                    pop(i)
                     return
                 if tags[stack[i]] in stops:
                     return
@@ -160,11 +163,11 @@ class Dom:
                     return
                 at = end + 1
             if m[1]:
-                if tag in VOID:
+                if tag in VOID or not is_open.get(tag):
                     continue
                 for i in range(len(stack) - 1, 0, -1):
                     if tags[stack[i]] == tag:
-                        del stack[i:]
+                        pop(i)
                         break
                     if tag not in P_SCOPE and tags[stack[i]] in P_SCOPE:
                         break  # an end tag of text markup doesn't end a block
@@ -176,7 +179,7 @@ class Dom:
             if tag in ("html", "body") and any(tags[x] == tag for x in stack):
                 continue
             if tag == "body":
-                del stack[2 if len(stack) > 1 and tags[stack[1]] == "html" else 1 :]
+                pop(2 if len(stack) > 1 and tags[stack[1]] == "html" else 1)
             node = self._open(tag, m[3], stack[-1])
             closed = m[3].endswith("/")
             if tag in RAW and not closed:
@@ -189,6 +192,7 @@ class Dom:
                     return
             elif tag not in VOID and not closed:
                 stack.append(node)
+                is_open[tag] = is_open.get(tag, 0) + 1
         text(at, len(html))
 
     def _counts(self) -> tuple[list[int], list[int], list[int], list[int]]:

@@ -581,6 +581,20 @@ def test_html_raw_and_foreign_elements():
     assert html_text.main_text("<p>a<!-- x <p>gone</p> --> b</p>") == "a b"
 
 
+def test_html_of_deep_and_broken_pages_takes_linear_time():
+    import time
+
+    def took(n):
+        pages = ["<div id=a>" * n + "x", "<b>" * n + "</i>" * n + "x", "<p>a" * n, "<ul>" + "<li>a<b>" * n, "<span>" * n + "<div>y</div>" * n]
+        begin = time.perf_counter()
+        for page in pages:
+            assert html_text.main_text(page)
+        return time.perf_counter() - begin
+
+    took(500)
+    assert took(20000) < 40 * max(took(2000), 0.02)
+
+
 def test_html_names_inside_an_article():
     p = "".join(f"<p>{x * 100}</p>" for x in "abcde")
     want = " ".join(x * 100 for x in "abcde")
