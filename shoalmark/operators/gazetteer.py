@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.places import dist_km
+from .cover import covered, within_box, within_km
 
 # Classes of map features that are harbours or water.
 HARBOURS = {"natural": None, "man_made": None, "waterway": None, "leisure": ("marina", "slipway"), "amenity": ("ferry_terminal",), "landuse": ("harbour", "port")}
@@ -80,31 +80,11 @@ def port_positions(rows: DataFrame) -> DataFrame:
 
 def thinned(points: DataFrame, key: str, order: str, km: float = 1.5, box: float | None = None) -> DataFrame:
     """(key, order, la, lo) of the points of each key, taken in order, that aren't within so many km of one taken before, or
-    in a box of so many degrees either way around it.
-
-    Taking is sequential, so a key's points go to one task; a key is one port name with its few map features.
-    """
-    kinds = dict(points.dtypes)
-
-    def take(group: pd.DataFrame) -> pd.DataFrame:
-        import math
-
-        kept: list[tuple] = []
-        for row in group.sort_values("_order").itertuples(index=False):
-            far = True
-            for other in kept:
-                if box:
-                    far = far and not (abs(other[2] - row[2]) < box and abs(other[3] - row[3]) < box)
-                    continue
-                x = math.radians(other[3] - row[3]) * math.cos(math.radians((other[2] + row[2]) / 2))
-                far = far and math.hypot(x, math.radians(other[2] - row[2])) * 6371.0 >= km
-            if far:
-                kept.append(tuple(row))
-        return pd.DataFrame(kept, columns=["_key", "_order", "la", "lo"])
-
+    in a box of so many degrees either way around it.  The order has no ties within a key."""
     rows = points.select(F.col(key).alias("_key"), F.col(order).alias("_order"), "la", "lo")
-    out = rows.groupBy("_key").applyInPandas(take, f"_key {kinds[key]}, _order {kinds[order]}, la double, lo double")
-    return out.withColumnsRenamed({"_key": key, "_order": order})
+    named = rows.select("_key", F.struct("_key", "_order").alias("id"), F.col("_order").alias("rank"), F.col("la").alias("y"), F.col("lo").alias("x"))
+    kept = covered(named, within_box(box) if box else within_km(km), ["_key"]).where("id = centre").select("id.*")
+    return rows.join(kept, ["_key", "_order"]).withColumnsRenamed({"_key": key, "_order": order})
 
 
 def doubtful(places: DataFrame, inland_km: float = 3.0) -> DataFrame:

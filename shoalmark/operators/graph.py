@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows of df as a Parquet table in the folder of checkpoints, read again.
+
+    Like a checkpoint it cuts the lineage and survives lost executors.  Unlike one it leaves behind what Spark has inferred about
+    the rows (a checkpoint keeps constraints and size estimates, which grow with every join of a loop), and its size
+    is the measured one, so that small tables are broadcast.  The table goes when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/shoalmark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for each node of the edges (a, b); root is the smallest node that it reaches.
 

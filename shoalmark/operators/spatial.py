@@ -7,7 +7,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.places import KM_PER_LAT, cell, cells_for, dist_km, segment_km
+from ..functions.places import KM_PER_LAT, KM_PER_LON, cell, cells_for, dist_km, segment_km
+from .graph import written
 
 
 def within_km(left: DataFrame, right: DataFrame, km: float, size: float = 0.5, latitude: float = 60.0) -> DataFrame:
@@ -81,6 +82,47 @@ def nearest_segment(points: DataFrame, segments: DataFrame, most_km: float, size
     return at.join(dealt, ["cy", "cx"]).groupBy("pid").agg(F.min(km).alias("km")).where(F.col("km") <= most_km)
 
 
+#: Points that no ring has settled up to which they go to all segments at once: a scan of those without a shuffle.
+FEW_POINTS = 1_000
+
+
+def nearest_by_rings(points: DataFrame, segments: DataFrame, size: float = 0.25, few: int = FEW_POINTS) -> DataFrame:
+    """(pid, sid, km) of the segment (sid, la1, lo1, la2, lo2) nearest to each point (pid, la, lo), however far; exact.
+
+    A point is a segment of no length.  Points look in the nine cells around them; the nearest segment there is the nearest of
+    all if it is no farther than the edge of these cells.  Points left unresolved go on to cells of twice the side, until nine
+    hold the world; once `few` are left, they are sent to all segments, of which each task keeps one for a point.  Ties go to
+    the least sid.  A point without a position has no row, and without segments there is none.
+    """
+    left = written(points.select("pid", "la", "lo").where("la IS NOT NULL AND lo IS NOT NULL"))
+    held = segments.select("sid", "la1", "lo1", "la2", "lo2").where("la1 IS NOT NULL AND lo1 IS NOT NULL AND la2 IS NOT NULL AND lo2 IS NOT NULL")
+    if held.isEmpty():
+        return left.select("pid", F.lit(None).cast(dict(held.dtypes)["sid"]).alias("sid"), F.lit(None).cast("double").alias("km")).limit(0)
+    km = segment_km(F.col("la"), F.col("lo"), F.col("la1"), F.col("lo1"), F.col("la2"), F.col("lo2"))
+    found = None
+
+    def best(met: DataFrame) -> DataFrame:
+        near = met.groupBy("pid", "la", "lo").agg(F.min(F.struct(km.alias("km"), "sid")).alias("b"))
+        return near.select("pid", "la", "lo", "b.sid", "b.km")
+
+    while left.count() > few:
+        y, x = cell(F.col("la"), size), cell(F.col("lo"), size)
+        sides = F.explode(F.array(*[F.struct(F.lit(i).alias("y"), F.lit(j).alias("x")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+        at = left.withColumn("_o", sides).withColumn("cy", y + F.col("_o.y")).withColumn("cx", x + F.col("_o.x")).drop("_o")
+        ys = F.sequence(cell(F.least("la1", "la2"), size), cell(F.greatest("la1", "la2"), size))
+        xs = F.sequence(cell(F.least("lo1", "lo2"), size), cell(F.greatest("lo1", "lo2"), size))
+        dealt = held.withColumn("cy", F.explode(ys)).withColumn("cx", F.explode(xs))
+        north, south = (y + 2) * size - F.col("la"), F.col("la") - (y - 1) * size
+        east, west = (x + 2) * size - F.col("lo"), F.col("lo") - (x - 1) * size
+        edge = F.least(F.least(north, south) * KM_PER_LAT, F.least(east, west) * F.cos(F.radians("la")) * KM_PER_LON)
+        settled = written(best(at.join(dealt, ["cy", "cx"])).where((F.col("km") <= edge) | F.lit(size >= 180)).select("pid", "sid", "km"))
+        found = settled if found is None else found.unionByName(settled)
+        left = written(left.join(settled, "pid", "left_anti"))
+        size *= 2
+    last = best(held.join(F.broadcast(left), F.lit(True))).select("pid", "sid", "km")
+    return last if found is None else found.unionByName(last)
+
+
 def boxes(edges: DataFrame) -> DataFrame:
     """(area, south, west, north, east) around the edges of each area."""
     return edges.groupBy("area").agg(F.min(F.least("la1", "la2")).alias("south"), F.min(F.least("lo1", "lo2")).alias("west"), F.max(F.greatest("la1", "la2")).alias("north"), F.max(F.greatest("lo1", "lo2")).alias("east"))

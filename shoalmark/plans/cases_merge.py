@@ -425,8 +425,8 @@ def merged_until_settled(rows):
     """Records of one list: equal names without other cities, or equal sites in one city, merged until none fit; a merge fills
     in what makes others fit."""
 
-    def pairs(r):
-        side = lambda n: r.select(*[c(x).alias(f"{n}_{x}") for x in ("id", "names", "city", "website")])
+    def pairs(first, second):
+        side = lambda n: (first if n == "a" else second).select(*[c(x).alias(f"{n}_{x}") for x in ("id", "names", "city", "website")])
         named = side("a").withColumn("k", F.explode("a_names")).join(side("b").withColumn("k", F.explode("b_names")), "k")
         sited = side("a").withColumn("k", c("a_website")).join(side("b").withColumn("k", c("b_website")), "k")
         by_name = named.where("a_id < b_id AND (a_city = b_city OR a_city IS NULL AND b_website IS NOT NULL)")

@@ -1,0 +1,101 @@
+"""Greedy covers, clusters by zoom and nearest segments against sequential passes over all pairs."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from shoalmark.operators import cover, gazetteer, spatial
+
+
+def km(a, b):
+    x = math.radians(b[1] - a[1]) * math.cos(math.radians((a[0] + b[0]) / 2))
+    return math.hypot(x, math.radians(b[0] - a[0])) * 6371.0
+
+
+def plain_cover(points, near):
+    """points (id, rank, y, x) -> id: centre."""
+    centre = {}
+    for i, _, y, x in sorted(points, key=lambda p: (p[1], p[0])):
+        if i in centre:
+            continue
+        centre[i] = i
+        for j, _, v, u in points:
+            if j not in centre and near((y, x), (v, u)):
+                centre[j] = i
+    return centre
+
+
+@pytest.mark.parametrize("near, test", [
+    (cover.within_km(30), lambda a, b: km(a, b) < 30), (cover.within_box(0.3), lambda a, b: abs(a[0] - b[0]) < 0.3 and abs(a[1] - b[1]) < 0.3), (cover.within_radius(0.25), lambda a, b: math.dist(a, b) <= 0.25),
+])
+def test_cover_equals_a_sequential_pass(spark, near, test):
+    """Crowded and lonely places, points on one spot, negative positions and ties of rank."""
+    rng = random.Random(2)
+    points = [(i, rng.randint(0, 30), rng.choice([rng.gauss(0, 0.2), rng.uniform(-2, 2), 0.1]), rng.choice([rng.gauss(0, 0.2), rng.uniform(-2, 2), 0.1])) for i in range(150)]
+    df = spark.createDataFrame(points, "id int, rank int, y double, x double")
+    assert {r.id: r.centre for r in cover.covered(df, near).collect()} == plain_cover(points, test)
+
+
+def test_cover_of_keys_and_of_nothing(spark):
+    df = spark.createDataFrame([(1, 1, 0.0, 0.0, "a"), (2, 2, 0.0, 0.0, "b"), (3, 3, 0.0, 0.01, "a")], "id int, rank int, y double, x double, k string")
+    assert {r.id: r.centre for r in cover.covered(df, cover.within_box(0.5), ["k"]).collect()} == {1: 1, 2: 2, 3: 1}
+    assert cover.covered(df.limit(0), cover.within_box(0.5)).collect() == []
+
+
+def test_thinned(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), i, 35 + rng.uniform(0, 0.1), 140 + rng.uniform(0, 0.1)) for i in range(80)]
+    df = spark.createDataFrame(rows, "k string, n int, la double, lo double")
+    want = set()
+    for k in "ab":
+        kept = []
+        for r in rows:
+            if r[0] == k and all(km(r[2:], o[2:]) >= 1.5 for o in kept):
+                kept.append(r)
+        want |= set(kept)
+    assert {tuple(r) for r in gazetteer.thinned(df, "k", "n").collect()} == want
+
+
+def test_zoom_clusters(spark):
+    rng = random.Random(4)
+    points = [(i, rng.choice([rng.uniform(0, 1), rng.gauss(0.5, 0.004)]), rng.choice([rng.uniform(0, 1), rng.gauss(0.5, 0.004)])) for i in range(90)]
+    got = {(r.zoom, r.cluster): (r.parent, r.n, round(r.y, 9), round(r.x, 9)) for r in cover.zoom_clusters(spark.createDataFrame(points, "id int, y double, x double"), most_zoom=4, least_zoom=2).collect()}
+    now, want = {i: (1, y, x) for i, y, x in points}, {}
+    for zoom in (4, 3, 2):
+        radius = 44 / (512 * 2**zoom)
+        centre = plain_cover([(i, i, y, x) for i, (_, y, x) in now.items()], lambda a, b: math.dist(a, b) <= radius)  # noqa: B023
+        want |= {(zoom + 1, i): (centre[i], n, round(y, 9), round(x, 9)) for i, (n, y, x) in now.items()}
+        groups = {}
+        for i, c in centre.items():
+            groups.setdefault(c, []).append(now[i])
+        now = {c: (sum(g[0] for g in v), sum(g[0] * g[1] for g in v) / sum(g[0] for g in v), sum(g[0] * g[2] for g in v) / sum(g[0] for g in v)) for c, v in groups.items()}
+    want |= {(2, i): (None, n, round(y, 9), round(x, 9)) for i, (n, y, x) in now.items()}
+    assert got == want
+
+
+def plain_segment(la, lo, s):
+    kx, ky = math.cos(math.radians(la)) * 111.320, 110.574
+    ax, ay, bx, by = (s[2] - lo) * kx, (s[1] - la) * ky, (s[4] - lo) * kx, (s[3] - la) * ky
+    dx, dy = bx - ax, by - ay
+    size = dx * dx + dy * dy
+    t = max(0.0, min(1.0, -(ax * dx + ay * dy) / size)) if size else 0.0
+    return math.hypot(ax + t * dx, ay + t * dy)
+
+
+@pytest.mark.parametrize("few", [0, 25, 1000])
+def test_rings_give_every_point_its_nearest(spark, few):
+    """Close and far points, long segments and single points, around the origin; whatever number is left to the scan."""
+    rng = random.Random(5)
+    ends = lambda: (rng.uniform(-3, 3), rng.uniform(-3, 3))
+    segments = []
+    for i in range(40):
+        a = ends()
+        b = a if i % 2 else (a[0] + rng.gauss(0, 0.4), a[1] + rng.gauss(0, 0.4))
+        segments.append((i, *a, *b))
+    points = [(i, rng.uniform(-4, 4), rng.uniform(-4, 4)) for i in range(60)] + [(60, 70.0, -120.0), (61, -45.0, 10.0), (62, None, 1.0)]
+    p, s = spark.createDataFrame(points, "pid int, la double, lo double"), spark.createDataFrame(segments, "sid int, la1 double, lo1 double, la2 double, lo2 double")
+    got = {r.pid: (r.sid, round(r.km, 6)) for r in spatial.nearest_by_rings(p, s, few=few).collect()}
+    assert got == {i: min(((x[0], round(plain_segment(la, lo, x), 6)) for x in segments), key=lambda x: (x[1], x[0])) for i, la, lo in points if la is not None}
+    assert spatial.nearest_by_rings(p, s.limit(0), few=few).collect() == []

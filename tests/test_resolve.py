@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from shoalmark.operators import graph, resolve
@@ -25,6 +26,79 @@ def test_replay_by_component_equals_global_replay(spark):
     assert got == want
 
 
+def as_frames(spark, records, edges):
+    return spark.createDataFrame(records, "idx bigint, src string, nkey string"), spark.createDataFrame(edges, "rule int, key_first bigint, a bigint, b bigint, strength int")
+
+
+def replay_all(records, edges):
+    return resolve.replay(edges, {i: None if s == "registry" else s for i, s, _ in records}, {i: n for i, _, n in records})
+
+
+def test_rounds_equal_replay_on_random_graphs(spark):
+    """Dense and sparse graphs with refusals, names, forced edges and repeated edges; none is small enough to be replayed."""
+    rng = random.Random(1)
+    records, edges = [], []
+    for g, (n, m) in enumerate([(25, 20), (12, 40), (2, 1)]):
+        base = g * 1000
+        records += [(base + i, rng.choice(["a", "b", "c", "d", "registry", None, ""]), rng.choice(["x", "y", "z"])) for i in range(n)]
+        for _ in range(m):
+            a, b = sorted(rng.sample(range(n), 2))
+            edges.append((rng.randint(1, 4), rng.randint(0, 9), base + a, base + b, rng.choice([0, 0, 0, 1, 2])))
+    edges += edges[:9]
+    got = {x.idx: x.cluster for x in resolve.cluster(*as_frames(spark, records, edges), most_replayed=12).collect()}
+    assert got == replay_all(records, edges)
+
+
+@pytest.mark.parametrize("ascending", [False, True])
+def test_a_chain_merges_without_a_task_that_holds_it(spark, ascending):
+    """Ascending edges decide one pair a round, and go by prefixes of the pass."""
+    n = 300
+    rng = random.Random(4)
+    order = list(range(n))
+    if not ascending:
+        rng.shuffle(order)
+    records = [(i, f"s{rng.randint(0, 40)}", f"n{i % 5}") for i in range(n + 1)]
+    edges = [(1, order[i], i, i + 1, rng.choice([0, 1])) for i in range(n)]
+    got = {x.idx: x.cluster for x in resolve.cluster(*as_frames(spark, records, edges), most_replayed=60).collect()}
+    assert got == replay_all(records, edges)
+
+
+def test_only_new_records_probe_again(spark):
+    """Records with a phone and a site merge where either agrees; what fits follows from the record as it is after a merge."""
+    rng = random.Random(6)
+    rows = [(i, rng.choice([None, *range(40)]), rng.choice([None, *range(40)])) for i in range(120)]
+    probes = []
+
+    def pairs(first, second):
+        probes.append(first.count())
+        side = lambda t, n: t.select(*[F.col(c).alias(f"{n}_{c}") for c in ("id", "tel", "site")])
+        a, b = side(first, "a"), side(second, "b")
+        return a.join(b, F.col("a_tel") == F.col("b_tel")).unionByName(a.join(b, F.col("a_site") == F.col("b_site"))).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+
+    def merge(grouped):
+        first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("id"))).alias(c)
+        return grouped.groupBy("root").agg(first("tel"), first("site")).withColumnRenamed("root", "id")
+
+    df = spark.createDataFrame(rows, "id int, tel int, site int")
+    got = sorted(tuple(r) for r in resolve.agglomerated(df, pairs, merge).select("id", "tel", "site").collect())
+    now, rounds = {r[0]: r[1:] for r in rows}, 0
+    while True:
+        links = [(a, b) for a in now for b in now if a < b and any(x is not None and x == y for x, y in zip(now[a], now[b]))]
+        if not links:
+            break
+        rounds += 1
+        root = {i: i for i in now}
+        for _ in now:
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        groups = {}
+        for i in sorted(now):
+            groups.setdefault(root[i], []).append(now[i])
+        now = {r: tuple(next((m[k] for m in g if m[k] is not None), None) for k in (0, 1)) for r, g in groups.items()}
+    assert got == sorted((i, *v) for i, v in now.items())
+    assert rounds > 1 and probes[0] == 120 and max(probes[1::2]) < 120
+
+
 def test_refuses_two_records_of_one_source():
     source, name = {0: "a", 1: "b", 2: "a"}, {0: "x", 1: "x", 2: "y"}
     assert resolve.replay([(1, 0, 0, 1, 0), (2, 0, 1, 2, 0)], source, name) == {0: 0, 1: 0, 2: 2}
