@@ -121,4 +121,4 @@ def _prefix_moves(first: DataFrame, sources: DataFrame, names: DataFrame) -> Dat
         found = replayed([(o, int(x), int(y), o[4]) for o, x, y in zip(order, e["x"], e["y"])], has["source"], has["name"])
         return pd.DataFrame([(i, c) for i, c in found.items() if i != c], columns=["old", "new"], dtype="int64")
 
-    return rows.groupBy(F.lit(0)).applyInPandas(solve, "old bigint, new bigint")
+    return rows.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(solve, "old bigint, new bigint")

@@ -67,11 +67,11 @@ def covered(points: DataFrame, near: Near, keys: Sequence[str] = (), most_rounds
     at = [*keys, "cy", "cx"]
     left, centres = placed, None
     for _ in range(most_rounds):
-        firsts = written(left.groupBy(*at).agg(F.min(F.struct("o", "y", "x")).alias("f")).select(*at, "f.*"))
-        if firsts.isEmpty():
-            break
+        firsts = left.groupBy(*at).agg(F.min(F.struct("o", "y", "x")).alias("f")).select(*at, "f.*")
         seen = firsts.select(*_around(near, *keys, "o")).select(*keys, "_at.cy", "_at.cx", "o").groupBy(*at).agg(F.min("o").alias("least"))
         new = written(firsts.join(seen, at).where("o = least").drop("least"))
+        if new.isEmpty():
+            break
         near_new = new.select(*_around(near, *keys, F.col("y").alias("y2"), F.col("x").alias("x2"))).select(*keys, "_at.cy", "_at.cx", "y2", "x2")
         gone = left.join(near_new, at).where(near.test(F.col("y2"), F.col("x2"), F.col("y"), F.col("x"))).select("o").unionByName(new.select("o")).distinct()
         left = written(left.join(gone, "o", "left_anti"))
@@ -99,15 +99,16 @@ def projected(lat: Column, lon: Column) -> tuple[Column, Column]:
 def zoom_clusters(points: DataFrame, radius: float = 44.0, most_zoom: int = 11, least_zoom: int = 0) -> DataFrame:
     """(zoom, cluster, parent, n, y, x) of the clusters of points (id, y, x) at each zoom, and of the points at most_zoom + 1.
 
-    From the finest zoom to the coarsest, the clusters of the zoom before are taken by id; each that no earlier one has
-    taken becomes a cluster and takes those within so many pixels of it.  A cluster has the id of its first, the number
-    of its points and their mean position; parent: its cluster at the next coarser zoom.
+    From the finest zoom to the coarsest, the clusters of the zoom before are taken in an order that the ground doesn't
+    follow, by MD5 of their ids; each that no earlier one has taken becomes a cluster and takes those within so many pixels
+    of it.  A cluster has the id of its first, the number of its points and their mean position; parent: its cluster at
+    the next coarser zoom.
     """
     now = written(points.select("id", "y", "x", F.lit(1).cast("long").alias("n")))
     out = None
     for zoom in range(most_zoom, least_zoom - 1, -1):
         near = within_radius(radius / (WORLD_PIXELS * 2**zoom))
-        of = written(covered(now.select("id", F.col("id").alias("rank"), "y", "x"), near))
+        of = written(covered(now.select("id", F.md5(F.col("id").cast("string")).alias("rank"), "y", "x"), near))
         tied = now.join(of, "id")
         level = tied.select(F.lit(zoom + 1).alias("zoom"), F.col("id").alias("cluster"), F.col("centre").alias("parent"), "n", "y", "x")
         out = level if out is None else out.unionByName(level)

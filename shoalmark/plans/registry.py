@@ -21,5 +21,5 @@ def query(sql: str | None = None):
     return put
 
 
-for _name in ("searching", "merging", "joining", "placing", "ordering", "resolving", "parsing", "publishing", "cases_text", "cases_sites", "cases_merge", "cases_sources", "cases_client", "cases_adapters"):
+for _name in ("searching", "merging", "joining", "placing", "ordering", "resolving", "parsing", "publishing", "scaling", "cases_text", "cases_sites", "cases_merge", "cases_sources", "cases_client", "cases_adapters"):
     import_module(f".{_name}", __package__)

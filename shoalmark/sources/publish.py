@@ -39,6 +39,34 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{version}")
 
 
+def id_range(id_col: str, width: int):
+    """The number of the range of so many ids that an id lies in."""
+    return F.floor(F.col(id_col) / width).cast("long")
+
+
+def write_by_ranges(rows: DataFrame, root: str, id_col: str, width: int) -> str:
+    """A version of rows laid out for lookups: a folder for each range of so many ids, sorted by id within."""
+    return write_versioned(rows.withColumn("_range", id_range(id_col, width)).repartition("_range").sortWithinPartitions("_range", id_col), root, "_range")
+
+
+def looked_up(wanted: DataFrame, root: str, id_col: str, width: int) -> DataFrame:
+    """The rows of a table written by ranges whose ids stand in wanted (id_col), each once; null ids have none.
+
+    Where wanted is small enough for a broadcast, its ranges prune the table's folders while the query runs, and only
+    the files of those ranges are read; otherwise both sides are shuffled.
+    """
+    table = read_current(wanted.sparkSession, root)
+    # A comparison tells the optimiser that the ids select, without which it doesn't prune.
+    asked = wanted.select(id_col).where(F.col(id_col).isNotNull()).distinct().withColumn("_range", id_range(id_col, width)).where(F.col("_range") >= -(1 << 62))
+    return table.join(asked, ["_range", id_col]).select(*[c for c in table.columns if c != "_range"])
+
+
+def looked_up_ids(spark: SparkSession, root: str, id_col: str, width: int, ids: list[int]) -> DataFrame:
+    """The same for ids at hand: their folders are known before anything is read, and within a file the order skips row groups."""
+    table = read_current(spark, root)
+    return table.where(F.col("_range").isin(sorted({i // width for i in ids})) & F.col(id_col).isin(ids)).drop("_range")
+
+
 def drop_old(spark: SparkSession, root: str) -> int:
     """Deletes the versions that the pointer doesn't name; returns how many."""
     version = spark.read.text(f"{root}/CURRENT").first()[0].strip()
