@@ -116,13 +116,21 @@ def polygon_margin(spark, d):
     return both.select(F.col("pid").alias("id"), F.coalesce("inside", F.lit(False)).alias("inside"), F.lit(True).alias("within_margin"))
 
 
+_SQL_CELLS = f"""cells AS (SELECT DISTINCT CAST(floor(la) AS INTEGER) AS y, CAST(floor(lo) AS INTEGER) AS x FROM (SELECT {SQL_LAT.format('s_suppkey')} AS la, {SQL_LON.format('s_suppkey')} AS lo FROM supplier)),
+edges AS (SELECT y AS la1, x AS lo1, y AS la2, x + 1 AS lo2 FROM cells UNION ALL SELECT y, x + 1, y + 1, x + 1 FROM cells UNION ALL SELECT y + 1, x + 1, y + 1, x FROM cells UNION ALL SELECT y + 1, x, y, x FROM cells)"""
+
+
 @query(
-    f"""WITH {_SQL_EDGES}, c AS (SELECT least((la1, lo1), (la2, lo2)) AS a, greatest((la1, lo1), (la2, lo2)) AS b FROM edges), n AS (SELECT a, b FROM c GROUP BY a, b HAVING count(*) = 1)
-SELECT a[1] AS la1, a[2] AS lo1, b[1] AS la2, b[2] AS lo2 FROM n"""
+    f"""WITH {_SQL_CELLS}, c AS (SELECT least((la1, lo1), (la2, lo2)) AS a, greatest((la1, lo1), (la2, lo2)) AS b FROM edges), n AS (SELECT a, b FROM c GROUP BY a, b HAVING count(*) = 1)
+SELECT a[1]::DOUBLE AS la1, a[2]::DOUBLE AS lo1, b[1]::DOUBLE AS la2, b[2]::DOUBLE AS lo2 FROM n"""
 )
 def edge_multiplicity_boundary(spark, d):
-    """The outer boundary of neighbouring areas."""
-    return spatial.boundary(_edges(spark))
+    """The outer boundary of the map cells in which suppliers lie: borders between two of them vanish."""
+    s = F.col("s_suppkey")
+    cells = read(spark, d, "supplier").select(F.floor(lat_of(s)).alias("y"), F.floor(lon_of(s)).alias("x")).distinct()
+    corner = lambda y, x: F.struct((F.col("y") + y).cast("double").alias("la"), (F.col("x") + x).cast("double").alias("lo"))
+    rings = cells.select(F.concat_ws(",", "y", "x").alias("area"), F.lit(0).alias("ring"), F.array(corner(0, 0), corner(0, 1), corner(1, 1), corner(1, 0)).alias("points"))
+    return spatial.boundary(spatial.ring_edges(rings))
 
 
 @query(

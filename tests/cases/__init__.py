@@ -1,4 +1,4 @@
-"""Queries over small written-out inputs that reach every branch of an operator; their SQL states the rows that the rules give.
+"""Operators over small written-out inputs that reach their branches, with the rows that the rules give.
 
 The rows were worked out by hand from the rules, not from what the operator returned.
 """
@@ -8,7 +8,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import wraps
 
-from .registry import ORACLE_SQL, QUERIES
+QUERIES: dict = {}
+#: The expected rows as SQL.
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str):
+    def put(f):
+        QUERIES[f.__name__] = f
+        ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return put
+
 
 _SQL_TYPE = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE"}
 

@@ -6,8 +6,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from ..sources import adapters
-from .cases import case
+from shoalmark.sources import adapters
+from . import case
 
 c = F.col
 _PAGE = "url string, html string"

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import display
-from ..operators import extract, ordered, search, survivorship
-from ..operators.search import QuerySpec
-from .cases import case
+from shoalmark.functions import display
+from shoalmark.operators import extract, ordered, search, survivorship
+from shoalmark.operators.search import QuerySpec
+from . import case
 
 c = F.col
 

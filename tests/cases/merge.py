@@ -7,9 +7,9 @@ from hashlib import sha1
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators import coordinates, gazetteer, lookup, merge, prepare, resolve, spatial, survivorship
-from ..schema import LISTING
-from .cases import case
+from shoalmark.operators import coordinates, gazetteer, lookup, merge, prepare, resolve, spatial, survivorship
+from shoalmark.schema import LISTING
+from . import case
 
 c = F.col
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import embedded, web
-from ..functions.text import nfkc
-from ..operators import classify, pages, sites
-from .cases import case
+from shoalmark.functions import embedded, web
+from shoalmark.functions.text import nfkc
+from shoalmark.operators import classify, pages, sites
+from . import case
 
 c = F.col
 _PAD = "釣り船の案内です。" + "船の予約をお待ちしています。" * 8

@@ -7,13 +7,11 @@ import struct
 
 from pyspark.sql import functions as F
 
-from ..functions import embedded
-from ..operators import extract, ordered, pages
-from ..sources import files, geometry, json_listings, publish
-from ..streaming import ingest
-from .cases import case, rows_sql
-from .registry import query
-from .tables import read
+from shoalmark.functions import embedded
+from shoalmark.operators import extract, ordered, pages
+from shoalmark.sources import files, geometry, json_listings, publish
+from shoalmark.streaming import ingest
+from . import case, query, rows_sql
 
 c = F.col
 
@@ -207,17 +205,6 @@ def lookups_with_a_cache(asked, cache, answered):
     return known.select("q", "la", F.when(c("la").isNull(), "known miss").otherwise("hit").alias("state"))
 
 
-@query("SELECT c_custkey AS id, c_nationkey AS pref FROM customer WHERE c_nationkey = 7")
-def published_partition(spark, d):
-    """Entities of one area from a published table: written anew, the pointer moved, the old version dropped, one partition read."""
-    root = files.scratch(spark) + "/entities"
-    rows = read(spark, d, "customer").select(c("c_custkey").alias("id"), c("c_nationkey").alias("pref"))
-    publish.write_versioned(rows.limit(1), root, "pref")
-    publish.write_versioned(rows, root, "pref")
-    publish.drop_old(spark, root)
-    return publish.read_current(spark, root).where("pref = 7").select("id", c("pref").cast("int").alias("pref"))
-
-
 @case(
     ("id string, name string, tags array<string>, n int, _key string, stale boolean", [("a", "海", ["x"], 1, "k", True), ("b", "", [], None, "k", False)]),
     ddl="id string, js string, shown string, stale boolean", expected=[("a", '{"id":"a","name":"海","tags":["x"],"n":1,"stale":true}', "id,name,tags,n,stale", True), ("b", '{"id":"b"}', "id,name,tags,n,stale", None)],
@@ -268,10 +255,6 @@ def stream_of_listings(spark, d):
     return ingest.latest(spark, f"{out}/t").select("src", "src_id", "name")
 
 
-def _events(spark, d):
-    return spark.readStream.schema(read(spark, d, "events").schema).parquet(f"{d}/events.parquet*").withColumn("ts", c("ts").cast("timestamp"))
-
-
 def _settled(stream, mode: str = "complete"):
     """What a stream has in its memory table when all input is read; for small results."""
     import uuid
@@ -281,19 +264,6 @@ def _settled(stream, mode: str = "complete"):
     return stream.sparkSession.table(name)
 
 
-@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
-def stream_window_counts(spark, d):
-    """Counts of a stream's events by hour and kind (beyond what a batch build needs)."""
-    return _settled(ingest.windowed_counts(_events(spark, d))).select(c("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
-
-
-@query("""WITH g AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER w IS NULL OR ts >= lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
-s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k""")
-def stream_sessions(spark, d):
-    """Sessions of a stream's users: events under half an hour apart (beyond what a batch build needs)."""
-    return _settled(ingest.sessions(_events(spark, d))).select("user_id", c("w.start").cast("timestamp_ntz").alias("start"), "n")
-
-
 @query(rows_sql("src string, src_id string, n bigint", [("a", "1", 2), ("a", "2", 1)]))
 def stream_without_repeats(spark, d):
     """A stream's records, each once within its watermark."""

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import embedded, offers, places, ports, text, times, web
-from ..operators import classify, extract, prepare
-from .cases import case
+from shoalmark.functions import embedded, offers, places, ports, text, times, web
+from shoalmark.operators import classify, extract, prepare
+from . import case
 
 c = F.col
 
