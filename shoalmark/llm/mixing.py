@@ -1,20 +1,19 @@
 """Mixing sources to target weights by soft membership; DataFrame and SQL functions only.
 
-A naive Bayes classifier over hashed beginnings of words, counted on a labelled table, gives each document a posterior over
-the domains.  Its rate is the expected number of its copies in the mixture.  The rates are the nonnegative solution that
+A naive Bayes classifier over hashed words, counted on a labelled table, gives each document a posterior over the
+domains; its temperature is fitted on labelled rows that weren't counted.  A document's rate is the expected number of its copies in the mixture.  The rates are the nonnegative solution that
 projected-gradient least squares reaches from one copy of each document: the tokens that each domain is expected to get,
 over the rates and posteriors, match the targets, errors counting in proportion to the domain's own tokens.
 
-Each step changes a rate by the document's posterior times the domains' errors, so documents of equal posterior keep equal
-rates: the steps run over the distinct posteriors with their summed tokens.  Those are a lattice of `resolution` steps: with
-few domains it is small however many documents there are, with many it has as many points as documents at most.
+Each step changes a rate by the document's posterior times the domains' errors.  A step is one aggregation of all
+documents, whose partial sums meet as one number for each domain.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,24 +27,29 @@ SPLIT = r"[\x20\x09-\x0D]+"
 
 @dataclass(frozen=True)
 class Fit:
-    """About `rows` labelled rows are learned from, by a hash of the text."""
+    """About `rows` labelled rows are learned from, by a hash of the text; of every `held`-th the words aren't counted, and
+    the temperature is fitted on it."""
 
     rows: int = 20000
     buckets: int = 4096
-    letters: int = 3
     smoothing: float = 0.5
-    evidence_words: float = 5.0  # words of a text aren't independent: its likelihood counts as that of so many at most
-    resolution: int = 100
+    held: int = 5
+
+
+#: Temperatures tried: words of a text aren't independent, so its log odds count for less than they say.
+TEMPERATURES = tuple(2.0 ** (-k / 2) for k in range(25))
 
 
 @dataclass
 class Classifier:
-    """domains, sorted; odds[k]: log odds of each bucket in domain k + 1 against the first one; shares of the domains."""
+    """domains, sorted; odds[k]: log odds of each bucket in domain k + 1 against the first one; shares of the domains;
+    scale: what log odds are multiplied by, the inverse of the temperature."""
 
     domains: list[str]
     odds: list[list[float]]
     shares: list[float]
     fit: Fit = Fit()
+    scale: float = 1.0
 
 
 def _words(text: Column) -> Column:
@@ -53,7 +57,7 @@ def _words(text: Column) -> Column:
 
 
 def _bucket(word: Column, fit: Fit) -> Column:
-    return F.pmod(F.xxhash64(F.substring(word, 1, fit.letters)), F.lit(fit.buckets)).cast("int")
+    return F.pmod(F.xxhash64(word), F.lit(fit.buckets)).cast("int")
 
 
 def learn(labelled: DataFrame, fit: Fit = Fit()) -> Classifier:
@@ -68,7 +72,8 @@ def learn(labelled: DataFrame, fit: Fit = Fit()) -> Classifier:
         return Classifier([], [], [], fit)
     share = min(1_000_000, math.ceil(1_000_000 * fit.rows / total))
     sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share)
-    words = sample.select("domain", F.explode(_words(F.col("text"))).alias("word")).select("domain", _bucket(F.col("word"), fit).alias("bucket"))
+    held = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(fit.held)) == 0
+    words = sample.where(~held).select("domain", F.explode(_words(F.col("text"))).alias("word")).select("domain", _bucket(F.col("word"), fit).alias("bucket"))
     # At most domains times buckets counts come to the driver.
     counts = {(r.domain, r.bucket): r.n for r in words.groupBy("domain", "bucket").agg(F.count("*").alias("n")).toLocalIterator()}
     logs = []
@@ -76,37 +81,52 @@ def learn(labelled: DataFrame, fit: Fit = Fit()) -> Classifier:
         n = sum(counts.get((d, b), 0) for b in range(fit.buckets))
         logs.append([math.log((counts.get((d, b), 0) + fit.smoothing) / (n + fit.smoothing * fit.buckets)) for b in range(fit.buckets)])
     odds = [[round(x - y, 4) for x, y in zip(row, logs[0])] for row in logs[1:]]
-    return Classifier(domains, odds, [sizes[d] / total for d in domains], fit)
+    model = Classifier(domains, odds, [sizes[d] / total for d in domains], fit)
+    return replace(model, scale=_temperature(sample.where(held), model)) if len(domains) > 1 else model
 
 
-def posteriors(docs: DataFrame, model: Classifier, text_col: str = "text", prefix: str = "_mix_") -> DataFrame:
-    """docs with two more columns: prefix + tokens, the words of the text, and prefix + p, the posterior of each domain
-    in steps of 1 / resolution (its parts sum to 1).  Without a word the posterior is the domains' shares."""
-    fit, k = model.fit, len(model.domains)
+def _temperature(rows: DataFrame, model: Classifier) -> float:
+    """The scale of the log odds under which the rows' own domains are likeliest; 1 without rows."""
+    at = F.array_position(F.array(*map(F.lit, model.domains)), F.col("domain")).cast("int") - 1
+    known = _log_odds(rows, model, "text", "_").select(F.col("_s").alias("s"), at.alias("at"))
+
+    def likelihood(scale: float) -> Column:
+        logits = _logits(F.col("s"), model, scale)
+        top = F.array_max(logits)
+        return F.sum(F.get(logits, F.col("at")) - top - F.log(F.aggregate(logits, F.lit(0.0), lambda a, x: a + F.exp(x - top))))
+
+    found = known.agg(*[likelihood(t).alias(f"t{k}") for k, t in enumerate(TEMPERATURES)]).first()
+    return max(zip(found, TEMPERATURES))[1] if found[0] is not None else 1.0
+
+
+def _log_odds(docs: DataFrame, model: Classifier, text_col: str, prefix: str) -> DataFrame:
+    """docs with prefix + tokens, the words of the text, and prefix + s, their summed log odds for each domain."""
+    fit = model.fit
     out = docs.withColumn(prefix + "b", F.transform(_words(F.coalesce(F.col(text_col), F.lit(""))), lambda w: _bucket(w, fit)))
-    tokens = F.size(prefix + "b").cast("long")
-    if k < 2:
-        return out.withColumn(prefix + "tokens", tokens).withColumn(prefix + "p", F.array(*[F.lit(1.0)] * k).cast("array<double>")).drop(prefix + "b")
 
     def summed(row: list[float]) -> Column:
         odds = F.split(F.lit(",".join(map(str, row))), ",").cast("array<double>")  # one literal, folded before the query runs
         return F.aggregate(prefix + "b", F.lit(0.0), lambda a, b: a + F.get(odds, b))
 
-    sums = [summed(row) for row in model.odds]
-    out = out.withColumn(prefix + "tokens", tokens).withColumn(prefix + "s", F.array(F.lit(0.0), *sums)).drop(prefix + "b")
-    scale = F.least(F.lit(1.0), F.lit(fit.evidence_words) / F.greatest(F.col(prefix + "tokens"), F.lit(1)))
-    prior = F.array(*[F.lit(math.log(x)) for x in model.shares])
-    out = out.withColumn(prefix + "s", F.zip_with(prefix + "s", prior, lambda s, p: s * scale + p))
+    sums = F.array(F.lit(0.0), *[summed(row) for row in model.odds])
+    return out.withColumn(prefix + "tokens", F.size(prefix + "b").cast("long")).withColumn(prefix + "s", sums).drop(prefix + "b")
+
+
+def _logits(s: Column, model: Classifier, scale: float) -> Column:
+    return F.zip_with(s, F.array(*[F.lit(math.log(x)) for x in model.shares]), lambda a, p: a * scale + p)
+
+
+def posteriors(docs: DataFrame, model: Classifier, text_col: str = "text", prefix: str = "_mix_") -> DataFrame:
+    """docs with two more columns: prefix + tokens, the words of the text, and prefix + p, the posterior of each domain
+    (its parts sum to 1).  Without a word the posterior is the domains' shares."""
+    k = len(model.domains)
+    if k < 2:
+        return docs.withColumn(prefix + "tokens", F.size(_words(F.coalesce(F.col(text_col), F.lit("")))).cast("long")).withColumn(prefix + "p", F.array(*[F.lit(1.0)] * k).cast("array<double>"))
+    out = _log_odds(docs, model, text_col, prefix).withColumn(prefix + "s", _logits(F.col(prefix + "s"), model, model.scale))
     top = F.array_max(prefix + "s")
     out = out.withColumn(prefix + "s", F.transform(prefix + "s", lambda s: F.exp(s - top)))
     total = F.aggregate(prefix + "s", F.lit(0.0), lambda a, s: a + s)
-    steps = float(fit.resolution)
-    out = out.withColumn(prefix + "s", F.transform(prefix + "s", lambda s: F.floor(s / total * steps + 0.5) / steps))
-    # What rounding leaves over goes to the likeliest domain.
-    rest = 1.0 - F.aggregate(prefix + "s", F.lit(0.0), lambda a, s: a + s)
-    best = F.array_position(F.col(prefix + "s"), F.array_max(prefix + "s"))
-    fixed = F.transform(prefix + "s", lambda s, i: F.round(s + F.when(i + 1 == best, rest).otherwise(0.0), 6))
-    return out.withColumn(prefix + "p", fixed).drop(prefix + "s")
+    return out.withColumn(prefix + "p", F.transform(prefix + "s", lambda s: s / total)).drop(prefix + "s")
 
 
 def _dot(p: Column, g: Column, k: int) -> Column:
@@ -128,15 +148,22 @@ class Mixture:
     reached: list[float]
     steps: list[list[float]]
 
+    @property
+    def short(self) -> float:
+        """The largest distance of a domain from its target, as a share of all tokens."""
+        return max((abs(r - t) for r, t in zip(self.reached, self.targets)), default=0.0) / (sum(self.targets) or 1.0)
+
 
-def fit_rates(known: DataFrame, model: Classifier, weights: Mapping[str, float] | None = None, most_steps: int = 60, tolerance: float = 1e-4, prefix: str = "_mix_") -> Mixture:
+def fit_rates(known: DataFrame, model: Classifier, weights: Mapping[str, float] | None = None, most_steps: int = 500, tolerance: float = 1e-4, prefix: str = "_mix_") -> Mixture:
     """Rates for the rows of known (with the columns of `posteriors`), as the steps that lead to them.
 
-    weights: domain -> share of all tokens; domains without one share what is left alike; no weights: all alike.  Each step
-    is one aggregation of the distinct posteriors, whose rates are written every few steps.
+    weights: domain -> share of all tokens; domains without one share what is left alike; no weights: all alike.  The steps end
+    when all domains are within `tolerance` of all tokens of their targets, or when nothing changes any more: targets that no
+    nonnegative rates reach stay unmet, and `short` of the result says by how much.  Steps that haven't ended after
+    `most_steps` are an error.
     """
     k = len(model.domains)
-    groups = written(known.groupBy(F.col(prefix + "p").alias("p")).agg(F.sum(prefix + "tokens").alias("tokens"), F.lit(1.0).alias("rate")))
+    groups = written(known.select(F.col(prefix + "p").alias("p"), F.col(prefix + "tokens").alias("tokens"), F.lit(1.0).alias("rate")))
     token = lambda r: [F.sum(F.col("tokens") * F.get("p", F.lit(i)) * r).alias(f"d{i}") for i in range(k)]
     own = [float(x or 0) for x in groups.agg(*token(F.lit(1.0))).first()] if k else []
     total = sum(own)
@@ -161,6 +188,8 @@ def fit_rates(known: DataFrame, model: Classifier, weights: Mapping[str, float]
         steps, reached = [*steps, step], new
         if settled:
             break
+    else:
+        raise RuntimeError(f"rates did not settle in {most_steps} steps: {reached} of {targets} tokens")
     return Mixture(model, targets, reached, steps)
 
 
@@ -203,12 +232,12 @@ def mixed(docs: DataFrame, labelled: DataFrame, text_col: str = "text", id_col:
 TARGETS = {"en": 0.4, "de": 0.2, "es": 0.2, "fr": 0.2}
 
 
-def labelled_domains(spark, sf_dir: str) -> DataFrame:
-    """(text, domain) of about Fit.rows documents that the labels table covers; the domain is the language that they are
-    marked with."""
+def labelled_domains(spark, sf_dir: str, column: str = "lang") -> DataFrame:
+    """(text, domain) of about Fit.rows documents that the labels table covers; the domain is what they are marked with in
+    the column, the language or the source."""
     covered = table(spark, sf_dir, "labels").select("doc_id", F.lit(0).alias("label")).distinct()
-    known = training_rows(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), covered, Fit.rows)
-    return known.select("text", F.col("lang").alias("domain"))
+    known = training_rows(table(spark, sf_dir, "documents").select("doc_id", "text", F.col(column).alias("domain")), covered, Fit.rows)
+    return known.select("text", "domain")
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:

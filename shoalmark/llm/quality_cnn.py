@@ -27,11 +27,9 @@ GROUP = 64  # chunks convolved at once, so that their windows stay in the cache
 
 @dataclass(frozen=True)
 class Fit:
-    """About `rows` rows of each label are learned from, by a hash of the text, and of each at most `chunks` chunks spread
-    evenly over the text (scores take all chunks)."""
+    """About `rows` rows of each label are learned from, by a hash of the text, all chunks of each."""
 
     rows: int = 3000
-    chunks: int = 8
     rounds: int = 8
     least_steps: int = 600
     batch: int = 64
@@ -86,14 +84,6 @@ def chunked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return padded[np.where(inside, at, len(data))], text_of
 
 
-def _spread(chunks: np.ndarray, text_of: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """At most so many chunks of each text, spread evenly."""
-    n = np.bincount(text_of)
-    first = np.cumsum(n) - n
-    keep = np.concatenate([f + np.unique(np.linspace(0, k - 1, min(k, most)).round().astype(int)) for f, k in zip(first, n)]) if len(n) else np.zeros(0, int)
-    return chunks[keep], text_of[keep]
-
-
 def learn(rows: DataFrame, fit: Fit = Fit()) -> Network:
     """A network from rows (text, label 0 or 1 and, if there is one, weight); rows with a null text or label aren't used.
 
@@ -107,22 +97,10 @@ def learn(rows: DataFrame, fit: Fit = Fit()) -> Network:
     taken = F.lit(False)
     for label, r in totals.items():
         taken = taken | ((F.col("label") == label) & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < min(1_000_000, math.ceil(1_000_000 * fit.rows / r.n))))
-    sample = rows.where(taken).select("text", "label")
-    most = fit.chunks
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                chunks, text_of = _spread(*chunked(part.column(0)), most)
-                ends = np.searchsorted(text_of, np.arange(part.num_rows), "right")
-                begins = np.concatenate([[0], ends[:-1]])
-                octets = [chunks[a:b].tobytes() for a, b in zip(begins, ends)]
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(octets, pa.binary())], ["label", "chunks"])
-
-    # About twice fit.rows times fit.chunks chunks come to the driver: 12 MB at the defaults.
-    found = sorted((bytes(r.chunks), r.label) for r in sample.mapInArrow(trimmed(cut), "label int, chunks binary").toLocalIterator())
+    # Some twice fit.rows whole texts come to the driver.
+    found = sorted((r.text.encode(), r.label) for r in rows.where(taken).select("text", "label").toLocalIterator())
     labels = np.array([y for _, y in found], np.float32)
-    network = trained([np.frombuffer(x, np.uint8).reshape(-1, CHUNK) for x, _ in found], labels, fit)
+    network = trained([chunked(pa.array([x], pa.large_binary()).cast(pa.large_string()))[0] for x, _ in found], labels, fit)
     if 0 < labels.sum() < len(labels):
         network.offset += math.log(totals[1].weight / totals[0].weight) - math.log(labels.sum() / (len(labels) - labels.sum()))
     return network
@@ -164,23 +142,29 @@ def _gradients(net: Network, texts: list[np.ndarray], labels: np.ndarray, decay:
     """Of the mean log loss in vectors, filters, bias, weights and offset; only the largest responses pass it down."""
     number = np.array([len(x) for x in texts])
     chunks, text_of = np.concatenate(texts), np.repeat(np.arange(len(texts)), number)
-    windows = net.windows(chunks)
-    response = windows.reshape(-1, WIDTH * VECTOR) @ net.filters
-    response = response.reshape(len(chunks), PLACES, FILTERS)
-    place = response.argmax(axis=1)
-    pooled = np.take_along_axis(response, place[:, None, :], axis=1)[:, 0] + net.bias
+    # Windows are made for a group of chunks at a time, so a long text takes no more memory than its largest responses.
+    groups = [slice(i, i + GROUP) for i in range(0, len(chunks), GROUP)]
+    place, top = np.empty((len(chunks), FILTERS), np.int64), np.empty((len(chunks), FILTERS), net.filters.dtype)
+    for g in groups:
+        response = (net.windows(chunks[g]).reshape(-1, WIDTH * VECTOR) @ net.filters).reshape(-1, PLACES, FILTERS)
+        place[g] = response.argmax(axis=1)
+        top[g] = np.take_along_axis(response, place[g][:, None, :], axis=1)[:, 0]
+    pooled = top + net.bias
     active = np.maximum(pooled, 0)
     mean = np.zeros((len(texts), FILTERS), np.float32)
     np.add.at(mean, text_of, active / number[text_of][:, None])
     p = 1 / (1 + np.exp(-np.clip(mean @ net.weights + net.offset, -30, 30)))
     wrong = ((p - labels) / len(texts)).astype(np.float32)
     down = (wrong / number)[text_of][:, None] * net.weights * (pooled > 0)
-    rows = np.arange(len(chunks))[:, None]
-    under = windows[rows, place]  # (chunks, FILTERS, WIDTH * VECTOR)
-    to_filters = np.einsum("cf,cfx->xf", down, under, optimize=True)
-    to_windows = (down[:, :, None] * net.filters.T[None]).reshape(-1, VECTOR)
-    octets = chunks[rows[:, :, None], place[:, :, None] * STRIDE + np.arange(WIDTH)].reshape(-1)
-    to_vectors = np.stack([np.bincount(octets, to_windows[:, k], minlength=256) for k in range(VECTOR)], axis=1)
+    to_filters, to_vectors = np.zeros_like(net.filters), np.zeros((256, VECTOR))
+    for g in groups:
+        rows = np.arange(len(chunks[g]))[:, None]
+        octets = chunks[g][rows[:, :, None], place[g][:, :, None] * STRIDE + np.arange(WIDTH)]  # (chunks, FILTERS, WIDTH)
+        under = net.vectors[octets].reshape(len(rows), FILTERS, WIDTH * VECTOR)
+        to_filters += np.einsum("cf,cfx->xf", down[g], under, optimize=True)
+        to_windows = (down[g][:, :, None] * net.filters.T[None]).reshape(-1, VECTOR)
+        for k in range(VECTOR):
+            to_vectors[:, k] += np.bincount(octets.reshape(-1), to_windows[:, k], minlength=256)
     return [
         to_vectors.astype(np.float32) + decay * net.vectors,
         to_filters + decay * net.filters,

@@ -428,7 +428,7 @@ def test_mixing_reaches_targets(spark, sf_dir):
     # The same steps over the rows themselves.
     total, own = (p * n[:, None]).sum(), (p * n[:, None]).sum(axis=0)
     target, rate = total * np.array([0.2, 0.4, 0.2, 0.2]), np.ones(len(rows))
-    for _ in range(60):
+    for _ in range(500):
         error = (p * (n * rate)[:, None]).sum(axis=0) - target
         if np.abs(error).max() <= 1e-4 * total:
             break
@@ -439,6 +439,41 @@ def test_mixing_reaches_targets(spark, sf_dir):
     assert np.mean([lang[x.doc_id] == x.domain for x in rows]) > 0.9
 
 
+def test_mixing_learns_as_a_plain_version(spark, sf_dir):
+    """Counts of whole words, and the temperature under which rows that weren't counted are likeliest."""
+    rows = [r for r in mixing.labelled_domains(spark, sf_dir).collect() if r.text is not None]
+    fit = mixing.Fit(buckets=97)
+    model = mixing.learn(spark.createDataFrame(rows, "text string, domain string"), fit)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    hashed = lambda w: signed(xxhash.xxh64_intdigest(w.encode(), 42))
+    held = [signed(xxhash.xxh64_intdigest((1).to_bytes(4, "little"), xxhash.xxh64_intdigest(r.text.encode(), 42))) % fit.held == 0 for r in rows]
+    words = [[w for w in re.split(r"[\x20\x09-\x0D]+", r.text.lower()) if w] for r in rows]
+    domains = sorted({r.domain for r in rows if r.domain})
+    counts = {d: Counter(hashed(w) % 97 for r, ws, h in zip(rows, words, held) if r.domain == d and not h for w in ws) for d in domains}
+    log = [[np.log((counts[d][b] + 0.5) / (sum(counts[d].values()) + 0.5 * 97)) for b in range(97)] for d in domains]
+    odds = np.array([[x - y for x, y in zip(row, log[0])] for row in log])
+    assert model.domains == domains and np.allclose(model.odds, odds[1:], atol=1e-4) and any(held)
+    share = np.log([sum(r.domain == d for r in rows) / sum(r.domain is not None for r in rows) for d in domains])
+    likely = []
+    for t in mixing.TEMPERATURES:
+        sums = [np.array([0.0, *(sum(row[hashed(w) % 97] for w in ws) for row in model.odds)]) * t + share for r, ws, h in zip(rows, words, held) if h and r.domain]
+        likely.append(sum(z[domains.index(r.domain)] - np.log(np.exp(z - z.max()).sum()) - z.max() for z, r in zip(sums, [r for r, h in zip(rows, held) if h and r.domain])))
+    assert model.scale == mixing.TEMPERATURES[int(np.argmax(likely))]
+
+
+def test_mixing_of_sources_and_of_targets_out_of_reach(spark, sf_dir):
+    labelled = mixing.labelled_domains(spark, sf_dir, "source")
+    assert len(mixing.learn(labelled).domains) == labelled.select("domain").where("domain IS NOT NULL").distinct().count() > 4
+    docs = spark.createDataFrame([(i, "the cat and the dog " * 5, "en") for i in range(20)] + [(i + 20, "der hund und die katze " * 5, "de") for i in range(20)], "doc_id int, text string, domain string")
+    model = mixing.learn(docs)
+    known = mixing.posteriors(docs.where("domain = 'en'"), model)
+    fitted = mixing.fit_rates(known, model, {"en": 0.0, "de": 1.0})
+    assert fitted.short > 0.01
+    assert mixing.fit_rates(mixing.posteriors(docs, model), model, {"en": 0.2, "de": 0.8}).short <= 1e-4
+    with pytest.raises(RuntimeError):
+        mixing.fit_rates(mixing.posteriors(docs, model), model, {"en": 0.2, "de": 0.8}, most_steps=1)
+
+
 def test_mixing_edges(spark, odd, none):
     labelled = odd.select("text", F.col("lang").alias("domain"))
     assert mixing.rated(odd, labelled).count() == len(ODD)

@@ -120,19 +120,17 @@ def plain_mixture(model, rows, weights):
     fit, p, n = model.fit, [], []
     for _, text in rows:
         words = [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
-        buckets = [spark_hash(w[: fit.letters]) % fit.buckets for w in words]
+        buckets = [spark_hash(w) % fit.buckets for w in words]
         s = np.array([0.0, *(sum(row[b] for b in buckets) for row in model.odds)])
-        s = s * min(1.0, fit.evidence_words / max(1, len(words))) + np.log(model.shares)
+        s = s * model.scale + np.log(model.shares)
         e = np.exp(s - s.max())
-        e = np.floor(e / e.sum() * fit.resolution + 0.5) / fit.resolution
-        e[int(e.argmax())] += 1.0 - e.sum()
-        p.append(np.round(e, 6))
+        p.append(e / e.sum())
         n.append(len(words))
     p, n = np.array(p), np.array(n, float)
     own = (p * n[:, None]).sum(axis=0)
     target = own.sum() * np.array([weights.get(d, 0.0) for d in model.domains]) / sum(weights.get(d, 0.0) for d in model.domains)
     rate, reached = np.ones(len(rows)), own
-    for _ in range(60):
+    for _ in range(500):
         if np.abs(reached - target).max() <= 1e-4 * own.sum():
             break
         rate = np.maximum(0, rate - p @ ((reached - target) / own))
