@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -277,6 +278,20 @@ MAINTENANCE = "maintenance|メンテナンス中|ただいまメンテナンス"
 RELEVANT = "釣|船|丸|乗合|仕立|出船|遊漁|フィッシング|漁|マリン|ボート|渡し|磯|沖"
 
 
+@dataclass(frozen=True)
+class SiteWords:
+    """The patterns that rules of a site's state look for; letters: those of its language; named: those that name a subject."""
+
+    spam: str = SPAM
+    closed: str = CLOSED
+    closed_part: str = CLOSED_PART
+    parked: str = PARKED
+    maintenance: str = MAINTENANCE
+    relevant: str = RELEVANT
+    letters: str = "[ぁ-んァ-ン]"
+    named: str = "[ぁ-んァ-ン一-龥]"
+
+
 def _any_case(c: Column, pattern: str) -> Column:
     return c.rlike(f"(?i)(?:{pattern})")
 
@@ -324,7 +339,7 @@ def evidence(body: Column) -> Column:
     return F.regexp_count(body, F.lit(f"(?i)(?:{EVIDENCE})"))
 
 
-def health(text: Column, title: Column | None = None, whole: Column | None = None, names: Column | None = None) -> Column:
+def health(text: Column, title: Column | None = None, whole: Column | None = None, names: Column | None = None, words: SiteWords = SiteWords()) -> Column:
     """(state, reason) of a site from the text and title of its first page: the first of the rules that holds.
 
     whole: texts and titles of all its pages (the first page's where not given); names: the names of those whose site it
@@ -336,18 +351,18 @@ def health(text: Column, title: Column | None = None, whole: Column | None = Non
     whole = F.coalesce(whole, top) if whole is not None else top
     named = F.exists(F.coalesce(names, F.array().cast("array<string>")), lambda n: (n != "") & whole.contains(n)) if names is not None else F.lit(False)
     size = F.length(top)
-    kana, broken = F.regexp_count(top, F.lit("[ぁ-んァ-ン]")), F.regexp_count(top, F.lit("�"))
+    kana, broken = F.regexp_count(top, F.lit(words.letters)), F.regexp_count(top, F.lit("�"))
     rules = [
         (F.length(F.trim(whole)) == 0, "unreachable", "no text"),
-        (_any_case(top, SPAM), "suspect", "spam"),
-        (head.rlike(CLOSED) & ~head.rlike(CLOSED_PART), "closed", "closed for good"),
-        ((size < 1500) & _any_case(top, PARKED), "suspect", "parked domain"),
-        (_any_case(title, MAINTENANCE) | ((size < 400) & _any_case(top, MAINTENANCE)), "thin", "under maintenance"),
+        (_any_case(top, words.spam), "suspect", "spam"),
+        (head.rlike(words.closed) & ~head.rlike(words.closed_part), "closed", "closed for good"),
+        ((size < 1500) & _any_case(top, words.parked), "suspect", "parked domain"),
+        (_any_case(title, words.maintenance) | ((size < 400) & _any_case(top, words.maintenance)), "thin", "under maintenance"),
         (F.length(F.trim(whole)) < 80, "thin", "hardly any text"),
         (broken > 20, "thin", "broken characters"),
-        ((kana < 15) & (size > 200) & title.rlike(RELEVANT) & title.rlike("[ぁ-んァ-ン一-龥]"), "thin", "text drawn by scripts"),
+        ((kana < 15) & (size > 200) & title.rlike(words.relevant) & title.rlike(words.named), "thin", "text drawn by scripts"),
         ((kana < 15) & (size > 200), "suspect", "another language"),
-        (~whole.rlike(RELEVANT) & ~named, "suspect", "another subject"),
+        (~whole.rlike(words.relevant) & ~named, "suspect", "another subject"),
     ]
     state = reason = None
     for condition, s, r in rules:

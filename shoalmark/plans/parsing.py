@@ -96,10 +96,24 @@ def page_link_scores(spark, d):
     return out.select("id", "n", "href", "text", pages.link_score(F.col("href"), F.col("text")).alias("score"))
 
 
-@query("SELECT doc_id, CASE WHEN n_chars < 80 THEN 'thin' ELSE 'suspect' END AS state FROM documents")
+#: What documents have to show for each state of a site: the rules are those of sites, the words those of the texts at hand.
+_WORDS = pages.SiteWords(spam="[#*$%&]{3}.*[#*$%&]{3}", closed="^[A-Z][a-z]+ .{0,60}!", closed_part="[|]", parked="viagra|casino|tion tion|eau eau", maintenance="\\bble\\b|\\bleaux\\b", relevant="(?i)the |der |que |aux ", letters="[a-zß-ÿ]", named="[A-Z][a-z]")
+
+
+@query(
+    rf"""WITH t AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', '', 'g'), '&amp;', '&', 'g'), '\s+', ' ', 'g')) AS title FROM pages),
+s AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(title, '') AS title FROM documents LEFT JOIN t ON page_id = doc_id % 400), r AS (SELECT *, text || ' ' || title AS top, title || ' ' || left(text, 400) AS head, len(regexp_extract_all(text || ' ' || title, '{_WORDS.letters}')) AS letters FROM s)
+SELECT doc_id, CASE WHEN trim(top) = '' THEN 'unreachable' WHEN regexp_matches(top, '(?i){_WORDS.spam}') THEN 'suspect' WHEN regexp_matches(head, '{_WORDS.closed}') AND NOT regexp_matches(head, '{_WORDS.closed_part}') THEN 'closed'
+ WHEN length(top) < 1500 AND regexp_matches(top, '(?i){_WORDS.parked}') THEN 'suspect' WHEN regexp_matches(title, '(?i){_WORDS.maintenance}') OR length(top) < 400 AND regexp_matches(top, '(?i){_WORDS.maintenance}') THEN 'thin'
+ WHEN length(trim(top)) < 80 THEN 'thin' WHEN length(top) - length(replace(top, chr(65533), '')) > 20 THEN 'thin' WHEN letters < 15 AND length(top) > 200 AND regexp_matches(title, '{_WORDS.relevant}') AND regexp_matches(title, '{_WORDS.named}') THEN 'thin'
+ WHEN letters < 15 AND length(top) > 200 THEN 'suspect' WHEN NOT regexp_matches(top, '{_WORDS.relevant}') THEN 'suspect' ELSE 'ok' END AS state FROM r"""
+)
 def site_health_classify(spark, d):
-    """State of sites from their text."""
-    return read(spark, d, "documents").select("doc_id", pages.health(F.col("text"))["state"].alias("state"))
+    """State of sites from their text and title, by all rules: documents with the titles of pages."""
+    p = read(spark, d, "pages")
+    title = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1), "<[^>]*>", ""), "&amp;", "&"), r"\s+", " "))
+    titled = read(spark, d, "documents").withColumn("page_id", F.col("doc_id") % 400).join(p.select("page_id", title.alias("title")), "page_id", "left")
+    return titled.select("doc_id", pages.health(F.coalesce("text", F.lit("")), F.col("title"), words=_WORDS)["state"].alias("state"))
 
 
 @query("""SELECT c_custkey AS id, CASE WHEN e = 6 THEN 'dead' WHEN e IN (7, 28) THEN 'unknown' WHEN code IN (404, 410) THEN 'dead' WHEN code BETWEEN 200 AND 399 AND c_custkey % 10 <> 3 THEN 'alive' WHEN code BETWEEN 200 AND 399 THEN 'dead' ELSE 'unknown' END AS verdict
@@ -130,14 +144,29 @@ def list_split(spark, d):
     return read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.get(items, F.lit(0)).alias("first"), F.size(items).cast("bigint").alias("n"))
 
 
+#: Sights of documents, and classes of them that need the same machinery as facilities: several sights, obstacles, precedence.
+_SEEN = {"bars": ("text", "[|]+"), "wide": ("bars", "[|][|]"), "marks": ("text", "[#*$%&]{3}"), "shout": ("text", "!+"), "mail": ("text", "[a-z]+@[a-z]+"), "code": ("head", "^[A-Z][a-z]+,"), "article": ("head", "(?i)\\bthe\\b")}
+_KINDS = (("grid", False, ("bars", "wide"), ()), ("noisy", False, ("marks", "bars"), ("shout",)), ("marked", False, ("marks",), ("bars",)), ("contact", True, ("mail",), ()), ("loud", True, ("shout", "article"), ("mail",)), ("letter", True, ("code",), ("article",)), ("prose", True, ("article",), ()))
+_SQL_SEEN = ", ".join(f"regexp_extract({'text' if s == 'text' else 'left(text, 200)' if s == 'head' else s}, '{p}') AS {n}" if n != "wide" else "regexp_extract(regexp_extract(text, '[|]+'), '[|][|]') AS wide" for n, (s, p) in _SEEN.items())
+
+
+def _sql_kinds(value) -> str:
+    """The first class that fits, as a CASE; value gives what a class stands for."""
+    whens = " ".join(f"WHEN {' AND '.join([f'{n} <> {chr(39) * 2}' for n in needs] + [f'{n} = {chr(39) * 2}' for n in lacks])} THEN {value(i, kind, keep, needs)}" for i, (kind, keep, needs, lacks) in enumerate(_KINDS, 1))
+    return f"CASE {whens} ELSE {value(0, 'other', False, ())} END"
+
+
 @query(
-    """SELECT doc_id, CASE WHEN regexp_matches(text, '[|]') THEN 'table' WHEN regexp_matches(text, '!!') THEN 'shouting' WHEN regexp_matches(text, '[#*$%&]{3}') THEN 'symbols' WHEN length(text) < 200 THEN 'short' ELSE 'prose' END AS kind FROM documents"""
+    f"""WITH s AS (SELECT doc_id, {_SQL_SEEN} FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)) SELECT doc_id, {_sql_kinds(lambda i, k, keep, n: f"'{k}'")} AS kind, {_sql_kinds(lambda i, k, keep, n: str(keep).upper())} AS keep, {_sql_kinds(lambda i, k, keep, n: str(i))} AS rule,
+{_sql_kinds(lambda i, k, keep, n: " || ';' || ".join(f"'{x}=' || {x}" for x in n) or "''")} AS evidence FROM s"""
 )
 def facility_classify(spark, d):
-    """The class of a document and by which rule."""
-    t = F.col("text")
-    kind = F.when(t.contains("|"), "table").when(t.contains("!!"), "shouting").when(t.rlike("[#*$%&]{3}"), "symbols").when(F.length(t) < 200, "short").otherwise("prose")
-    return read(spark, d, "documents").select("doc_id", kind.alias("kind"))
+    """The class of a document by what is seen in it, by which rule, and the evidence."""
+    from ..operators import classify
+
+    t = F.coalesce("text", F.lit(""))
+    out = read(spark, d, "documents").select("doc_id", classify.judged(classify.sights({"text": t, "head": F.left(t, F.lit(200))}, _SEEN), _KINDS, "other").alias("j")).select("doc_id", "j.*")
+    return out.withColumn("evidence", F.array_join(F.transform("evidence", lambda e: F.concat(e["sight"], F.lit("="), e["found"])), ";"))
 
 
 @query("SELECT c_custkey AS id, round(24 + (c_custkey * 37 % 2150) / 100.0::DOUBLE, 2) AS la, round(123 + (c_custkey * 91 % 2250) / 100.0::DOUBLE, 2) AS lo FROM customer")

@@ -21,5 +21,5 @@ def query(sql: str | None = None):
     return put
 
 
-for _name in ("searching", "merging", "joining", "placing", "ordering", "resolving", "parsing", "publishing", "scaling", "streams"):
+for _name in ("searching", "merging", "joining", "placing", "ordering", "resolving", "parsing", "publishing", "reading", "scaling", "streams"):
     import_module(f".{_name}", __package__)

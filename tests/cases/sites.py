@@ -214,15 +214,16 @@ def redirects_of_listings(rows):
         (1, "海丸", "", "", True), (2, "海上釣堀まるや", "乗合船", "", False), (3, "トラウトパーク", "", "", False), (4, "海釣りセンター", "カセ釣り 出船します", "", False), (5, "海釣り公園", "出船", "", False), (6, "みなと渡船", "", "トイレ", False), (7, "みなと屋", "", "トイレ", False), (8, "釣具のみなと", "出船", "", False), (9, "磯渡しみなと", "", "", False),
         (10, "みなと屋", "レンタルボートあり", "", False), (11, "みなと屋", "筏で釣り", "", False), (12, "みなと屋", "筏 乗船 開園", "", False), (13, "海丸", "", "", False), (14, "みなと屋", "乗合で行く", "", False), (15, "海丸", "乗合 入園料", "", False), (16, "みなと屋", "入園料", "", False), (17, "みなと屋", "", "", False), (18, "渡船桟橋", "カセットコンロ", "", False),
     ]),
-    ddl="i int, keep boolean, kind string, reason string",
+    ddl="i int, keep boolean, kind string, rule int, evidence string",
     expected=[
-        (1, False, "淡水", "breadcrumb:sea=0"), (2, False, "釣り堀", "name:海上釣"), (3, False, "管理釣り場", "name:トラウト"), (4, True, "カセ・筏", "name:釣りセンター+text:カセ,出船"), (5, False, "釣り公園・施設", "name:公園"), (6, True, "渡船", "row:船の設備+name:渡船"), (7, True, "船宿", "row:船の設備"), (8, False, "釣具店", "name:釣具"), (9, True, "渡船", "name:磯渡"),
-        (10, False, "レンタルボート", "text:レンタルボート"), (11, True, "カセ・筏", "text:筏"), (12, True, "カセ・筏", "text:筏,乗船"), (13, True, "船宿", "name:丸"), (14, True, "船宿", "text:乗合"), (15, True, "船宿", "name:丸+text:乗合 (nonboat text:入園)"), (16, False, "不明", "no boat evidence / nonboat text:入園"), (17, False, "不明", "no boat evidence"), (18, True, "渡船", "name:渡船"),
+        (1, False, "淡水", 1, "freshwater=true"), (2, False, "釣り堀", 2, "pond=海上釣"), (3, False, "管理釣り場", 3, "managed=トラウト"), (4, True, "カセ・筏", 4, "park=釣りセンター;centre=センター;raft=カセ;boat=出船"), (5, False, "釣り公園・施設", 5, "park=公園"), (6, True, "渡船", 6, "equipment=トイレ;ferry=渡船"), (7, True, "船宿", 7, "equipment=トイレ"), (8, False, "釣具店", 8, "shop=釣具"), (9, True, "渡船", 9, "ferry=磯渡"),
+        (10, False, "レンタルボート", 10, "rental=レンタルボート"), (11, True, "カセ・筏", 12, "raft=筏"), (12, True, "カセ・筏", 11, "raft=筏;boat=乗船"), (13, True, "船宿", 13, "boat_name=丸"), (14, True, "船宿", 14, "boat=乗合"), (15, True, "船宿", 15, "boat_name=丸;boat=乗合"), (16, False, "不明", 0, ""), (17, False, "不明", 0, ""), (18, True, "渡船", 9, "ferry=渡船"),
     ],
 )
 def facilities_by_rules(rows):
-    """Every rule that says what a facility is, with what it saw."""
-    return rows.select("i", classify.facility(c("name"), c("t"), c("gear"), c("fresh")).alias("f")).select("i", "f.keep", "f.kind", "f.reason")
+    """Every class that a facility can be, with what was seen for it."""
+    f = rows.select("i", classify.facility(c("name"), c("t"), c("gear"), c("fresh")).alias("f")).select("i", "f.*")
+    return f.withColumn("evidence", F.array_join(F.transform("evidence", lambda e: F.concat(e["sight"], F.lit("="), e["found"])), ";"))
 
 
 @case(
