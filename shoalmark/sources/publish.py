@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.graph import written
+
 
 def _path(spark: SparkSession, at: str):
     jvm = spark.sparkContext._jvm
@@ -56,8 +58,8 @@ def looked_up(wanted: DataFrame, root: str, id_col: str, width: int) -> DataFram
     the files of those ranges are read; otherwise both sides are shuffled.
     """
     table = read_current(wanted.sparkSession, root)
-    # A comparison tells the optimiser that the ids select, without which it doesn't prune.
-    asked = wanted.select(id_col).where(F.col(id_col).isNotNull()).distinct().withColumn("_range", id_range(id_col, width)).where(F.col("_range") >= -(1 << 62))
+    # Written first, so that their size is known; the comparison tells the optimiser that the ids select, without which it doesn't prune.
+    asked = written(wanted.select(id_col).where(F.col(id_col).isNotNull()).distinct().withColumn("_range", id_range(id_col, width))).where(F.col("_range") >= -(1 << 62))
     return table.join(asked, ["_range", id_col]).select(*[c for c in table.columns if c != "_range"])
 
 
