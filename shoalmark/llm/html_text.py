@@ -4,7 +4,10 @@ Every DOM node has the characters and tags below it, and those of them in links;
 tag, times a logarithm that falls with the share of links (its base grows with the share in the whole body).  The block
 whose children's densities have the greatest sum is the main part; the least density on its path to the body is the
 threshold that parts beside the path must reach.  A run of bare text and text markup beside blocks is a part like a block.
-No tag or name says what the main part is; menus, adverts, notices and the like, which elements and names mark, take no part.
+Density says what the main part is.  Elements and names (class, id, role) only say what takes no part, menus, adverts, notices
+and the like, and where an element marked so holds the main text after all: one with a `main` element, with the `article`
+that outweighs all unmarked text, or with over half of the body's text.  Short parts without links beside dense ones that hold
+nearly all (`NEARLY`) of a block stay with them.
 """
 
 from __future__ import annotations

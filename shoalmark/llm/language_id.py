@@ -352,7 +352,10 @@ def _judged(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.n
     share, opens, logs, runs = _shares(column, model)
     total = share.sum(axis=1)
     best = _choice(share, opens, model.opening, runs)
-    score = np.where(total > 0, share[np.arange(n), best] / np.maximum(total, 1), 0.0)
+    held_by = share[np.arange(n), best] / np.maximum(total, 1)
+    # What decides: the share of the bytes where the opening rule does, else the share of the spans.
+    opening = (best == opens) & (held_by >= model.opening)
+    score = np.where(total > 0, np.where(opening, held_by, runs[np.arange(n), best] / np.maximum(1, runs.sum(axis=1))), 0.0)
     data, offsets = raw(column)
     ascii_letters = np.zeros(len(data) + 1, np.int64)
     np.cumsum(~OUTSIDE[data] & (data < 128), out=ascii_letters[1:])
@@ -362,14 +365,15 @@ def _judged(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.n
     known = lettered & (total > 0)
     other = share.copy()
     other[np.arange(n), best] = 0
-    quotes = (best == opens) & (score >= model.opening) & (share[np.arange(n), best] + other.max(axis=1) >= PAIR * total)
-    held = (score >= 0.5) | quotes
+    quotes = opening & (share[np.arange(n), best] + other.max(axis=1) >= PAIR * total)
+    held = (held_by >= 0.5) | quotes
     clear = known & held & (logs[np.arange(n), best] >= model.least)
     return [model.languages[b] if ok else "und" for b, ok in zip(best, known)], np.where(lettered, score, 0.0), clear
 
 
 def predict(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
-    """The language of each text and its share of the bytes of words; `und` without a letter or a model.
+    """The language of each text and its share of what decides, the spans (the bytes of words where a text is in the language
+    that it opens in); `und` without a letter or a model.
 
     It is the one that most spans are in, of those with a fifth of the bytes at least, of equal ones the one with most; or, in a model with a share `opening`, the one
     that the text opens in where that holds the share.

@@ -60,7 +60,8 @@ def fold(text: str) -> str:
 class Fit:
     """Bounds and thresholds of the fit: at most about `rows` labelled rows of either label are learned from.
 
-    letters: the least and most of a whole-word entry; stems begin words of any length.
+    letters: the least and most of a whole-word entry.  Shorter words are in every text, and longer ones are strings that
+    hardly occur twice; neither is left out of a score, as stems begin words of any length.
     """
 
     rows: int = 12000

@@ -835,7 +835,14 @@ def test_a_quote_interrupts_a_text(spark):
     model = language_id.learn(spark.createDataFrame([(t * 3, k) for k, t in words.items()], "text string, lang string"))
     en, de = words["en"], words["de"]
     cases = [(en + de * 3 + en, "en"), (de + en * 3 + de, "de"), (en + de * 3, "de"), (en * 3 + de, "en"), (en[:12] + de * 9 + en[:12], "de")]
-    assert language_id.predict(pa.array([t for t, _ in cases]), model)[0] == [k for _, k in cases]
+    found, score = language_id.predict(pa.array([t for t, _ in cases]), model)
+    assert found == [k for _, k in cases]
+    for (text, lang), s in zip(cases, score):  # the share of the spans, which decide
+        spans = [k for k, _ in language_id.language_spans(text, model)]
+        assert s == pytest.approx(spans.count(lang) / len(spans)), text
+    opens = language_id.learn(spark.createDataFrame([(t * 3, k) for k, t in words.items()], "text string, lang string"), opening=0.2)
+    (lang,), (score,) = language_id.predict(pa.array([en + de * 3]), opens)
+    assert lang == "en" and 0.2 <= score < 0.3  # the share of the bytes, which the opening rule asks for
 
 
 def test_spans_of_letters_that_change_their_length():
