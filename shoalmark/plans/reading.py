@@ -209,3 +209,92 @@ def stale_if_the_list_is_complete(spark, d):
     customers = read(spark, d, "customer").select("c_custkey")
     listed = read(spark, d, "orders").where("o_orderstatus = 'O'").select(c("o_custkey").alias("c_custkey"))
     return classify.gone(customers, listed, customers.groupBy().agg(F.count("*").alias("n")), "c_custkey", 0.5)
+
+
+@query(
+    """WITH t AS (SELECT p_partkey % 50 AS boat, p_partkey AS tour, CAST(p_size % 5 AS VARCHAR) AS name, left(p_type, 1) AS kind, p_size % 20 AS price FROM part),
+b AS (SELECT o_custkey % 50 AS boat, o_orderkey AS n, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 5000 END AS tour, CAST(o_orderkey % 7 AS VARCHAR) AS name, o_orderstatus AS kind, CAST(o_totalprice AS INTEGER) % 20 AS price FROM orders WHERE o_orderkey % 10 = 3),
+own AS (SELECT boat, 1 AS part, n AS place, name, kind, price FROM b WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.boat = b.boat AND t.tour = b.tour) AND NOT (b.tour IS NULL AND EXISTS (SELECT 1 FROM t WHERE t.boat = b.boat AND t.name = b.name))),
+every AS (SELECT boat, 0 AS part, tour AS place, name, kind, price FROM t UNION ALL SELECT * FROM own), kept AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY boat, name, kind, price ORDER BY part, place) = 1)
+SELECT boat, CAST(row_number() OVER (PARTITION BY boat ORDER BY part, place) - 1 AS INTEGER) AS n, name, kind, price FROM kept"""
+)
+def offers_with_their_tours(spark, d):
+    """Offers of boats: those of their tours, then their own that no tour gives, by number or name; equal ones once."""
+    t, o = read(spark, d, "part"), read(spark, d, "orders").where("o_orderkey % 10 = 3")
+    k = c("o_orderkey")
+    tours = t.select((c("p_partkey") % 50).alias("boat"), c("p_partkey").alias("tour"), (c("p_size") % 5).cast("string").alias("name"), F.left("p_type", F.lit(1)).alias("kind"), (c("p_size") % 20).alias("price"))
+    boats = o.select((c("o_custkey") % 50).alias("boat"), k.alias("n"), F.when(k % 3 == 0, k % 5000).alias("tour"), (k % 7).cast("string").alias("name"), c("o_orderstatus").alias("kind"), (F.bround("o_totalprice").cast("int") % 20).alias("price"))
+    return merge.with_tours(boats, tours)
+
+
+@query(
+    """WITH r AS (SELECT c_custkey AS id, c_nationkey AS pref, c_custkey % 40 AS nkey, c_mktsegment AS kind, CASE WHEN c_custkey % 3 = 0 THEN CAST(c_custkey % 9 AS VARCHAR) END AS tel, CASE WHEN c_custkey % 4 = 0 THEN 'p' || (c_custkey % 8) ELSE '' END AS port, CASE WHEN c_custkey % 5 = 0 THEN 'u' || (c_custkey % 25) END AS ukey FROM customer)
+SELECT a.id, min(b.id) AS partner FROM r a JOIN r b ON a.pref = b.pref AND a.nkey = b.nkey AND a.kind <> b.kind AND b.id < a.id AND (a.tel = b.tel OR a.tel IS NULL AND b.tel IS NULL OR a.port <> '' AND a.port = b.port OR a.ukey = b.ukey) GROUP BY a.id"""
+)
+def partners_across_lists(spark, d):
+    """The first row before a row, of another list and with its key, whose phone, port or site agrees."""
+    k = c("c_custkey")
+    named = lambda p, x: F.concat(F.lit(p), x.cast("string"))
+    rows = read(spark, d, "customer").select(k.alias("id"), c("c_nationkey").alias("pref"), (k % 40).alias("nkey"), c("c_mktsegment").alias("kind"), F.when(k % 3 == 0, (k % 9).cast("string")).alias("tel"), F.when(k % 4 == 0, named("p", k % 8)).otherwise("").alias("port"), F.when(k % 5 == 0, named("u", k % 25)).alias("ukey"))
+    return merge.across_lists(rows, ["pref", "nkey"], "kind")
+
+
+_SQL_KM = "sqrt(power(radians(q.lo - p.lo) * cos(radians((p.la + q.la) / 2)), 2) + power(radians(q.la - p.la), 2)) * 6371.0"
+
+
+@query(
+    f"""WITH p AS (SELECT c_custkey AS id, {SQL_LAT.format('c_custkey')} + 0.004 AS la, {SQL_LON.format('c_custkey')} + 0.004 AS lo FROM customer), q AS (SELECT s_suppkey AS sid, {SQL_LAT.format('s_suppkey * 7')} AS la, {SQL_LON.format('s_suppkey * 7')} AS lo FROM supplier),
+b AS (SELECT p.id, min({_SQL_KM}) AS km FROM p JOIN q ON abs(q.la - p.la) < 0.4 AND abs(q.lo - p.lo) < 0.4 GROUP BY p.id), n AS (SELECT p.id, min(sqrt(power((q.lo - p.lo) * cos(radians(p.la)) * 111.320, 2) + power((q.la - p.la) * 110.574, 2))) AS coast FROM p, q WHERE q.sid % 3 = 0 GROUP BY p.id)
+SELECT id, round(coast, 4) AS coast_km, round(km, 4) AS port_km FROM n LEFT JOIN b USING (id) WHERE coast >= 30 AND coalesce(km, 1e9) >= 30"""
+)
+def places_in_doubt(spark, d):
+    """Places 30 km or more from the nearest coast, at any distance, without a port as near in a box around them."""
+    from ..operators import coordinates, gazetteer
+
+    k, s = c("c_custkey"), c("s_suppkey")
+    places = read(spark, d, "customer").select(k.alias("rid"), (lat_of(k) + 0.004).alias("la"), (lon_of(k) + 0.004).alias("lo"))
+    ports = read(spark, d, "supplier").select(s.alias("sid"), lat_of(s * 7).alias("la"), lon_of(s * 7).alias("lo"))
+    coast = spatial.nearest_by_rings(places.withColumnRenamed("rid", "pid"), ports.where("sid % 3 = 0").select("sid", c("la").alias("la1"), c("lo").alias("lo1"), c("la").alias("la2"), c("lo").alias("lo2")), size=0.5, few=50)
+    near = coordinates.nearest_in_box(places, ports, 0.4)
+    rows = coast.select(c("pid").alias("id"), c("km").alias("coast_km")).join(near.select(c("rid").alias("id"), c("km").alias("port_km")), "id", "left")
+    return gazetteer.doubtful(rows, 30.0).select("id", F.round("coast_km", 4).alias("coast_km"), F.round("port_km", 4).alias("port_km"))
+
+
+@query(
+    """WITH l AS (SELECT l_orderkey AS id, l_linenumber AS n, l_partkey AS part, CASE l_returnflag WHEN 'A' THEN '仕立' WHEN 'N' THEN '乗合' ELSE '体験' END AS kind, CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE CAST(l_quantity AS INTEGER) END AS price, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS place FROM lineitem)
+SELECT id, array_to_string(list(kind || coalesce(CAST(price AS VARCHAR), '?') ORDER BY CASE kind WHEN '乗合' THEN 0 WHEN '仕立' THEN 1 ELSE 3 END, coalesce(price, 1000000000), place), ',') AS shown FROM l GROUP BY id"""
+)
+def offers_in_order(spark, d):
+    """An order's lines as offers in the order in which they are shown: by kind, then price, unknown prices last."""
+    from ..functions import display
+
+    kind = F.when(c("l_returnflag") == "A", "仕立").when(c("l_returnflag") == "N", "乗合").otherwise("体験")
+    price = F.when(c("l_partkey") % 4 != 0, c("l_quantity").cast("int"))
+    lines = read(spark, d, "lineitem").groupBy(c("l_orderkey").alias("id")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", kind.alias("kind"), price.alias("price")))).alias("plans"))
+    shown = F.transform(display.in_order(c("plans")), lambda p: F.concat(p["kind"], F.coalesce(p["price"].cast("string"), F.lit("?"))))
+    return lines.select("id", F.array_join(shown, ",").alias("shown"))
+
+
+@query("""SELECT c_custkey AS id, CASE WHEN o.p IS NOT TRUE THEN c_name END AS name, CASE WHEN o.n IS NOT TRUE THEN c_acctbal END AS price
+FROM customer LEFT JOIN (SELECT o_custkey, bool_or(o_orderpriority = '1-URGENT') AS p, bool_or(o_totalprice > 100000) AS n FROM orders GROUP BY o_custkey) o ON c_custkey = o_custkey""")
+def unstated_values_go(spark, d):
+    """Fields of customers are blanked where another table says that they were never stated."""
+    flagged = read(spark, d, "orders").groupBy(c("o_custkey").alias("id")).agg(F.bool_or(c("o_orderpriority") == "1-URGENT").alias("name_unstated"), F.bool_or(c("o_totalprice") > 100000).alias("price_unstated"))
+    rows = read(spark, d, "customer").select(c("c_custkey").alias("id"), c("c_name").alias("name"), c("c_acctbal").alias("price"))
+    return publish.blanked(rows, flagged, ["id"], ["name", "price"])
+
+
+@query("""SELECT id, unnest(members) AS member FROM (SELECT o_custkey AS id, list('o' || o_orderkey) AS members FROM orders GROUP BY o_custkey)""")
+def memberships_of_entities(spark, d):
+    """The membership table of entities: a row for each member."""
+    entities = read(spark, d, "orders").groupBy(c("o_custkey").alias("id")).agg(F.collect_list(F.concat(F.lit("o"), c("o_orderkey").cast("string"))).alias("members"))
+    return publish.memberships(entities)
+
+
+@query("""SELECT c_custkey, 'b' || left(sha1(c_mktsegment || ':' || c_custkey), 9) AS id, TRY_CAST(regexp_replace(c_name, '[^0-9]', '', 'g') AS BIGINT) AS number, TRY_CAST(regexp_replace(c_mktsegment, '[^0-9]', '', 'g') AS BIGINT) AS none FROM customer""")
+def ids_and_numbers(spark, d):
+    """Ids of entities from source and key, and the numbers that the digits of texts make."""
+    from ..functions.text import digits_only
+    from ..operators.resolve import entity_id
+
+    return read(spark, d, "customer").select("c_custkey", entity_id(c("c_mktsegment"), c("c_custkey").cast("string")).alias("id"), digits_only(c("c_name")).alias("number"), digits_only(c("c_mktsegment")).alias("none"))
