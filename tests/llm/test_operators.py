@@ -829,6 +829,35 @@ def test_viterbi_in_turns():
             at += n
 
 
+@pytest.mark.parametrize("two, three, dense", [(0, 1 << 30, 2500), (0, 0, 2500), (1 << 23, 1 << 30, 3)], ids=["three bytes", "four bytes", "dense"])
+def test_simhash_switches_of_size_lose_no_component(spark, monkeypatch, two, three, dense):
+    """Lists of two, three and four bytes and dense lists, each chosen by the number of fingerprints, give the same components."""
+    monkeypatch.setattr(simhash_dedup, "TWO_BYTES", two)
+    monkeypatch.setattr(simhash_dedup, "THREE_BYTES", three)
+    rng = random.Random(12)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    prints = list({b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 6))) for b in base for _ in range(6)} | {rng.getrandbits(64) for _ in range(20)})
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    parent = list(range(len(prints)))
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 4:
+                a, b = parent[i], parent[j]
+                parent = [min(a, b) if x in (a, b) else x for x in parent]
+    root = {x: x for x in signed}
+
+    def top(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in simhash_dedup.links(spark.createDataFrame([(p,) for p in signed], "fp bigint"), dense=dense).collect():
+        root[top(r[0])] = top(r[1])
+    mine = [top(x) for x in signed]
+    assert [mine.index(m) for m in mine] == [parent.index(m) for m in parent] and len(set(parent)) > 12
+
+
 def test_a_quote_interrupts_a_text(spark):
     """The language that a text returns to is the text's, however long the quote; a line at either end isn't enough."""
     words = {"en": "the cat and the dog sat there with this and that ", "de": "und der hund ist nicht da weil wir schon gehen "}
