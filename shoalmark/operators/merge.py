@@ -166,10 +166,17 @@ def known_to(rows: DataFrame, entities: DataFrame, id_col: str = "id", least: in
 def across_lists(rows: DataFrame, key: Sequence[str], kind: str, id_col: str = "id") -> DataFrame:
     """(id_col, partner): of each row the first one before it of another list with its key that agrees with it.
 
-    They agree if their phones are equal or both unknown, or their ports or sites are equal.
+    They agree if their phones are equal or both unknown, or their ports or sites are equal.  No pairs are made: of the rows
+    that agree in one of these, the first one and the first one of another list than its own are all that a row can have
+    for a partner, however many share a key.
     """
-    side = lambda n: rows.select(*key, F.col(id_col).alias(f"{n}_id"), *[F.col(c).alias(f"{n}_{c}") for c in (kind, "tel", "port", "ukey")])
-    same = lambda c: F.coalesce((F.col(f"a_{c}") != "") & (F.col(f"a_{c}") == F.col(f"b_{c}")), F.lit(False))
-    unknown = (F.coalesce("a_tel", F.lit("")) == "") & (F.coalesce("b_tel", F.lit("")) == "")
-    pairs = side("a").join(side("b"), list(key)).where((F.col(f"a_{kind}") != F.col(f"b_{kind}")) & (F.col("b_id") < F.col("a_id")) & (same("tel") | unknown | same("port") | same("ukey")))
-    return pairs.groupBy(F.col("a_id").alias(id_col)).agg(F.min("b_id").alias("partner"))
+    text = lambda x: F.coalesce(F.col(x).cast("string"), F.lit(""))
+    sign = lambda x, known: F.when(known, F.struct(F.lit(x).alias("by"), text(x).alias("value")))
+    signs = F.array_compact(F.array(sign("tel", F.lit(True)), sign("port", text("port") != ""), sign("ukey", text("ukey") != "")))
+    at = [*key, "by", "value"]
+    named = rows.where(F.col(kind).isNotNull()).select(*key, F.col(id_col).alias("_id"), F.col(kind).alias("_kind"), F.explode(signs).alias("_s")).select(*key, "_id", "_kind", "_s.by", "_s.value")
+    firsts = named.groupBy(*at, "_kind").agg(F.min("_id").alias("_id"))
+    first = firsts.groupBy(*at).agg(F.min(F.struct("_id", "_kind")).alias("_f")).select(*at, F.col("_f._id").alias("_one"), F.col("_f._kind").alias("_one_kind"))
+    other = firsts.join(first, at).where("_kind <> _one_kind").groupBy(*at).agg(F.min("_id").alias("_two"))
+    met = named.join(first.join(other, at), at).withColumn("partner", F.when(F.col("_kind") != F.col("_one_kind"), F.col("_one")).otherwise(F.col("_two")))
+    return met.where("partner < _id").groupBy(F.col("_id").alias(id_col)).agg(F.min("partner").alias("partner"))
