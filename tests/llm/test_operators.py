@@ -557,6 +557,61 @@ def test_gradients():
             assert abs((loss(up) - loss(down)) / 2e-5 - grads[k][at]) < 1e-3
 
 
+def plain_trained(texts, labels, fit):
+    """Adam on the log loss, parameter by parameter and chunk by chunk."""
+    q, rng = quality_cnn, np.random.default_rng(fit.seed)
+    wide = q.WIDTH * q.VECTOR
+    value = [rng.normal(0, 0.5, (256, q.VECTOR)), rng.normal(0, (2 / wide) ** 0.5, (wide, q.FILTERS)), np.zeros(q.FILTERS), rng.normal(0, 0.1, q.FILTERS)]
+    value.append(np.array([np.log(labels.mean() / (1 - labels.mean()))]))
+    first, second, step = [np.zeros_like(v) for v in value], [np.zeros_like(v) for v in value], 0
+    each = -(-len(texts) // fit.batch)
+    rounds = max(fit.rounds, min(fit.least_steps // each, 100))
+    for _ in range(rounds):
+        order = rng.permutation(len(texts))
+        for at in range(0, len(order), fit.batch):
+            pick = order[at : at + fit.batch]
+            vectors, filters, bias, weights, offset = value
+            grads = [1e-4 * vectors, 1e-4 * filters, np.zeros(q.FILTERS), 1e-4 * weights, np.zeros(1)]
+            for k in pick:
+                seen = []
+                for chunk in texts[k]:
+                    places = [vectors[chunk[i * q.STRIDE : i * q.STRIDE + q.WIDTH]].reshape(-1) for i in range(q.PLACES)]
+                    answers = np.array([x @ filters for x in places])
+                    best = answers.argmax(axis=0)
+                    seen.append((chunk, places, best, answers[best, range(q.FILTERS)] + bias))
+                mean = np.mean([np.maximum(x[3], 0) for x in seen], axis=0)
+                wrong = (1 / (1 + np.exp(-(mean @ weights + offset[0]))) - labels[k]) / len(pick)
+                grads[3] = grads[3] + wrong * mean
+                grads[4] = grads[4] + wrong
+                for chunk, places, best, pooled in seen:
+                    for f in np.flatnonzero(pooled > 0):
+                        down = wrong * weights[f] / len(seen)
+                        grads[1][:, f] += down * places[best[f]]
+                        grads[2][f] += down
+                        for j in range(q.WIDTH):
+                            grads[0][chunk[best[f] * q.STRIDE + j]] += down * filters[j * q.VECTOR : (j + 1) * q.VECTOR, f]
+            step += 1
+            rate = fit.rate * min(1.0, step / 20) * (1 + np.cos(np.pi * step / (rounds * each + 1))) / 2
+            for n, g in enumerate(grads):
+                first[n] = 0.9 * first[n] + 0.1 * g
+                second[n] = 0.999 * second[n] + 0.001 * g * g
+                value[n] = value[n] - rate * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.999**step)) + 1e-8)
+    return value
+
+
+def test_training_as_a_plain_version():
+    rng = np.random.default_rng(3)
+    texts = [rng.integers(32, 127, (int(k), quality_cnn.CHUNK)).astype(np.uint8) for k in (1, 2, 1, 70, 1, 3, 2)]  # one of more than a group of chunks
+    labels, fit = np.array([0, 1, 1, 0, 1, 0, 1], np.float32), quality_cnn.Fit(rounds=2, least_steps=6, batch=3)
+    net = quality_cnn.trained(texts, labels, fit)
+    want = plain_trained(texts, labels.astype(float), fit)
+    got = [net.vectors, net.filters, net.bias, net.weights, np.array([net.offset])]
+    moved = [w - s for w, s in zip(want, plain_trained(texts, labels.astype(float), quality_cnn.Fit(rounds=0, least_steps=0)))]
+    for g, w, m in zip(got, want, moved):
+        assert np.abs(g - w).max() < 2e-3 and np.abs(m).max() > 2e-3
+        assert np.mean(np.abs(g - w)) < 0.02 * np.abs(m).max()
+
+
 def test_quality(spark, odd, none):
     d = "/root/testdata/sf0.01"
     out = registry.QUERIES["op6_quality_cnn"](spark, d).join(table(spark, d, "labels"), "doc_id").where("held_out").toPandas()
