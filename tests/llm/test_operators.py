@@ -913,6 +913,35 @@ def test_simhash_switches_of_size_lose_no_component(spark, monkeypatch, two, thr
     assert [mine.index(m) for m in mine] == [parent.index(m) for m in parent] and len(set(parent)) > 12
 
 
+def test_language_learns_as_a_plain_version(spark, sf_dir):
+    """Counts of hashed byte n-grams of whole words, and the scripts of a hundredth of a language's words or more."""
+    rows = [(r.text, r.lang) for r in table(spark, sf_dir, "documents").where("length(text) < 3000").collect()] + [("привет как дела the", "ru"), ("x", None)]
+    model = language_id.learn(spark.createDataFrame(rows, "text string, lang string"))
+    languages = sorted({k for _, k in rows if k})
+    counts, scripts = {k: Counter() for k in languages}, {k: Counter() for k in languages}
+
+    def bucket(gram):
+        v = 0
+        for i, b in enumerate(gram, 1):
+            v = (v * 0x9E3779B1 + b + i) % 2**64
+        v ^= v >> 29
+        return (v * 0xBF58476D1CE4E5B9 % 2**64) >> 48
+
+    for text, lang in rows:
+        for w in re.findall(r"[^\x00-@\[-`{-\x7f]+", (text or "").lower()) if lang else ():
+            b = f" {w} ".encode()
+            scripts[lang][int(language_id.script_of(pa.array([w.encode()], pa.large_binary()))[0])] += 1
+            for n in language_id.GRAMS:
+                counts[lang].update(bucket(b[i : i + n]) for i in range(len(b) - n + 1) if n > 1 or b[i] != 32)
+    smooth = language_id.Fit().smoothing
+    assert model.languages == languages
+    for k, lang in enumerate(languages):
+        c = np.bincount(list(counts[lang]), list(counts[lang].values()), minlength=language_id.BUCKETS)
+        assert np.allclose(model.logs[:, k], np.log((c + smooth) / (c.sum() + smooth * language_id.BUCKETS)), atol=1e-4)
+        total = sum(scripts[lang].values())
+        assert [s for s in range(len(language_id.SCRIPT_NAMES)) if model.scripts[s, k]] == sorted(s for s, n in scripts[lang].items() if n >= 0.01 * total)
+
+
 def test_a_quote_interrupts_a_text(spark):
     """The language that a text returns to is the text's, however long the quote; a line at either end isn't enough."""
     words = {"en": "the cat and the dog sat there with this and that ", "de": "und der hund ist nicht da weil wir schon gehen "}
