@@ -42,29 +42,32 @@ def clusters_in_rounds(spark, d):
 
 
 def contacts(spark, d):
-    """Customers as records of one list, with a phone and a site where they are known."""
+    """Customers as records of one list: a name, and a city and a site where they are known."""
     k = c("c_custkey")
-    return read(spark, d, "customer").select(k.alias("id"), F.when(k % 3 != 0, F.pmod(F.xxhash64(k, F.lit(1)), F.lit(1 << 12))).alias("tel"), F.when(k % 4 == 0, F.pmod(F.xxhash64(k, F.lit(2)), F.lit(1 << 9))).alias("site"))
+    of = lambda seed, n: F.pmod(F.xxhash64(k, F.lit(seed)), F.lit(n))
+    return read(spark, d, "customer").select(k.alias("id"), of(1, 900).alias("name"), F.when(k % 3 != 0, of(2, 4)).alias("city"), F.when(k % 2 == 0, of(3, 150)).alias("site"))
 
 
 def agree(first, second):
-    """Pairs of records with one phone or one site."""
-    side = lambda t, n: t.select(*[c(x).alias(f"{n}_{x}") for x in ("id", "tel", "site")])
+    """Pairs of records of one name whose cities don't differ, and of one site in one known city."""
+    side = lambda t, n: t.select(*[c(x).alias(f"{n}_{x}") for x in ("id", "name", "city", "site")])
     a, b = side(first, "a"), side(second, "b")
-    pairs = a.join(b, c("a_tel") == c("b_tel")).unionByName(a.join(b, c("a_site") == c("b_site")))
-    return pairs.select(c("a_id").alias("a"), c("b_id").alias("b"))
+    named = a.join(b, c("a_name") == c("b_name")).where("a_city = b_city OR a_city IS NULL OR b_city IS NULL")
+    sited = a.join(b, (c("a_site") == c("b_site")) & (c("a_city") == c("b_city")))
+    return named.unionByName(sited).select(c("a_id").alias("a"), c("b_id").alias("b"))
 
 
 def first_known(grouped):
     """One record for each root: of each field the first that is known."""
     first = lambda x: F.min_by(x, F.when(c(x).isNotNull(), c("id"))).alias(x)
-    return grouped.groupBy("root").agg(first("tel"), first("site")).withColumnRenamed("root", "id")
+    return grouped.groupBy("root").agg(first("name"), first("city"), first("site")).withColumnRenamed("root", "id")
 
 
 @query()
 def contacts_until_settled(spark, d):
-    """Records of one list merged while any two agree (rounds that SQL can't tell; a test has them in plain Python)."""
-    return resolve.agglomerated(contacts(spark, d), agree, first_known).select("id", "tel", "site")
+    """Records of one list merged while any two agree; a merge fills in the city or site by which others agree (rounds that SQL
+    can't tell; a test has them in plain Python)."""
+    return resolve.agglomerated(contacts(spark, d), agree, first_known).select("id", "name", "city", "site")
 
 
 _PORTS = f"s AS (SELECT s_suppkey AS sid, {SQL_LAT.format('s_suppkey')} AS la2, {SQL_LON.format('s_suppkey')} AS lo2 FROM supplier WHERE s_suppkey % 5 = 0)"

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoalmark.operators import grams
-from shoalmark.plans import scaling
 from shoalmark.sources import publish
 
 
@@ -103,39 +102,3 @@ def test_lookups_read_the_files_of_their_ranges(spark, tmp_path):
         assert {tuple(r) for r in looked.collect()} == {(3, 6), (250, 500)}
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-
-
-def test_contacts_settle_as_in_plain_rounds(spark, sf_dir):
-    from shoalmark.plans import registry
-
-    now = {r.id: (r.tel, r.site) for r in scaling.contacts(spark, sf_dir).collect()}
-    while True:
-        root = {i: i for i in now}
-        for k in (0, 1):
-            held = {}
-            for i, v in now.items():
-                held.setdefault(v[k], []).append(i)
-            held.pop(None, None)
-            for _ in now:
-                for ids in held.values():
-                    least = min(root[i] for i in ids)
-                    for i in ids:
-                        root[i] = least
-        changed = True
-        while changed:
-            changed = False
-            for k in (0, 1):
-                least = {}
-                for i, v in now.items():
-                    if v[k] is not None:
-                        least[v[k]] = min(least.get(v[k], root[i]), root[i])
-                for i, v in now.items():
-                    if v[k] is not None and least[v[k]] < root[i]:
-                        root[i], changed = least[v[k]], True
-        groups = {}
-        for i in sorted(now):
-            groups.setdefault(root[i], []).append(now[i])
-        if len(groups) == len(now):
-            break
-        now = {r: tuple(next((m[k] for m in g if m[k] is not None), None) for k in (0, 1)) for r, g in groups.items()}
-    assert {r.id: (r.tel, r.site) for r in registry.QUERIES["contacts_until_settled"](spark, sf_dir).collect()} == now

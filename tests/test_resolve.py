@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoalmark.operators import graph, resolve
+from shoalmark.plans import scaling
 
 
 def test_replay_by_component_equals_global_replay(spark):
@@ -63,40 +64,51 @@ def test_a_chain_merges_without_a_task_that_holds_it(spark, ascending):
     assert got == replay_all(records, edges)
 
 
+def plain_rounds(now):
+    """{id: (name, city, site)} after rounds in which all records that agree, transitively, become one."""
+    rounds = 0
+    while True:
+        by = {}
+        for i, (name, city, site) in now.items():
+            by.setdefault(("name", name), []).append(i)
+            by.setdefault(("site", site, city), []).append(i)
+        fit = lambda k, a, b: k[0] == "site" and None not in k or k[0] == "name" and (None in (now[a][1], now[b][1]) or now[a][1] == now[b][1])
+        links = [(a, b) for k, ids in by.items() for a in ids for b in ids if a < b and fit(k, a, b)]
+        if not links:
+            return now, rounds
+        rounds += 1
+        root, changed = {i: i for i in now}, True
+        while changed:
+            changed = False
+            for a, b in links:
+                least = min(root[a], root[b])
+                changed |= root[a] != least or root[b] != least
+                root[a] = root[b] = least
+        groups = {}
+        for i in sorted(now):
+            groups.setdefault(root[i], []).append(now[i])
+        now = {r: tuple(next((m[k] for m in g if m[k] is not None), None) for k in (0, 1, 2)) for r, g in groups.items()}
+
+
 def test_only_new_records_probe_again(spark):
-    """Records with a phone and a site merge where either agrees; what fits follows from the record as it is after a merge."""
     rng = random.Random(6)
-    rows = [(i, rng.choice([None, *range(40)]), rng.choice([None, *range(40)])) for i in range(120)]
+    rows = [(i, rng.randint(0, 80), rng.choice([None, 0, 1, 2, 3]), rng.choice([None, rng.randint(0, 30)])) for i in range(110)]
     probes = []
 
     def pairs(first, second):
         probes.append(first.count())
-        side = lambda t, n: t.select(*[F.col(c).alias(f"{n}_{c}") for c in ("id", "tel", "site")])
-        a, b = side(first, "a"), side(second, "b")
-        return a.join(b, F.col("a_tel") == F.col("b_tel")).unionByName(a.join(b, F.col("a_site") == F.col("b_site"))).select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+        return scaling.agree(first, second)
 
-    def merge(grouped):
-        first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("id"))).alias(c)
-        return grouped.groupBy("root").agg(first("tel"), first("site")).withColumnRenamed("root", "id")
+    got = resolve.agglomerated(spark.createDataFrame(rows, "id int, name int, city int, site int"), pairs, scaling.first_known).collect()
+    want, rounds = plain_rounds({r[0]: r[1:] for r in rows})
+    assert {r.id: (r.name, r.city, r.site) for r in got} == want
+    assert rounds > 1 and probes[0] == 110 and max(probes[1::2]) < 110
 
-    df = spark.createDataFrame(rows, "id int, tel int, site int")
-    got = sorted(tuple(r) for r in resolve.agglomerated(df, pairs, merge).select("id", "tel", "site").collect())
-    now, rounds = {r[0]: r[1:] for r in rows}, 0
-    while True:
-        links = [(a, b) for a in now for b in now if a < b and any(x is not None and x == y for x, y in zip(now[a], now[b]))]
-        if not links:
-            break
-        rounds += 1
-        root = {i: i for i in now}
-        for _ in now:
-            for a, b in links:
-                root[a] = root[b] = min(root[a], root[b])
-        groups = {}
-        for i in sorted(now):
-            groups.setdefault(root[i], []).append(now[i])
-        now = {r: tuple(next((m[k] for m in g if m[k] is not None), None) for k in (0, 1)) for r, g in groups.items()}
-    assert got == sorted((i, *v) for i, v in now.items())
-    assert rounds > 1 and probes[0] == 120 and max(probes[1::2]) < 120
+
+def test_contacts_settle_as_in_plain_rounds(spark, sf_dir):
+    want, rounds = plain_rounds({r.id: (r.name, r.city, r.site) for r in scaling.contacts(spark, "/root/testdata/sf0.01").collect()})
+    got = scaling.contacts_until_settled(spark, "/root/testdata/sf0.01").collect()
+    assert {r.id: (r.name, r.city, r.site) for r in got} == want and rounds > 1
 
 
 def test_refuses_two_records_of_one_source():
