@@ -89,14 +89,11 @@ def _temperature(rows: DataFrame, model: Classifier) -> float:
     """The scale of the log odds under which the rows' own domains are likeliest; 1 without rows."""
     at = F.array_position(F.array(*map(F.lit, model.domains)), F.col("domain")).cast("int") - 1
     known = _log_odds(rows, model, "text", "_").select(F.col("_s").alias("s"), at.alias("at"))
-
-    def likelihood(scale: float) -> Column:
-        logits = _logits(F.col("s"), model, scale)
-        top = F.array_max(logits)
-        return F.sum(F.get(logits, F.col("at")) - top - F.log(F.aggregate(logits, F.lit(0.0), lambda a, x: a + F.exp(x - top))))
-
-    found = known.agg(*[likelihood(t).alias(f"t{k}") for k, t in enumerate(TEMPERATURES)]).first()
-    return max(zip(found, TEMPERATURES))[1] if found[0] is not None else 1.0
+    tried = known.select("*", F.explode(F.array(*map(F.lit, TEMPERATURES))).alias("t"))  # one plain expression for all of them
+    tried = tried.select("t", "at", _logits(F.col("s"), model, F.col("t")).alias("z")).select("t", "at", "z", F.array_max("z").alias("top"))
+    likely = F.get("z", F.col("at")) - F.col("top") - F.log(F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
+    found = {r.t: r.ll for r in tried.groupBy("t").agg(F.sum(likely).alias("ll")).collect()}
+    return max((ll, t) for t, ll in found.items())[1] if found else 1.0
 
 
 def _log_odds(docs: DataFrame, model: Classifier, text_col: str, prefix: str) -> DataFrame:
@@ -112,7 +109,7 @@ def _log_odds(docs: DataFrame, model: Classifier, text_col: str, prefix: str) ->
     return out.withColumn(prefix + "tokens", F.size(prefix + "b").cast("long")).withColumn(prefix + "s", sums).drop(prefix + "b")
 
 
-def _logits(s: Column, model: Classifier, scale: float) -> Column:
+def _logits(s: Column, model: Classifier, scale: float | Column) -> Column:
     return F.zip_with(s, F.array(*[F.lit(math.log(x)) for x in model.shares]), lambda a, p: a * scale + p)
 
 
