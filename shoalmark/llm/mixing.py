@@ -156,7 +156,8 @@ def fit_rates(known: DataFrame, model: Classifier, weights: Mapping[str, float]
 
     weights: domain -> share of all tokens; domains without one share what is left alike; no weights: all alike.  The steps end
     when all domains are within `tolerance` of all tokens of their targets, or when nothing changes any more: targets that no
-    nonnegative rates reach stay unmet, and `short` of the result says by how much.  Steps that haven't ended after
+    nonnegative rates reach, or whose domain isn't expected to have one token of the table, stay unmet, and `short` of the result
+    says by how much.  Steps that haven't ended after
     `most_steps` are an error.
     """
     k = len(model.domains)
@@ -173,8 +174,8 @@ def fit_rates(known: DataFrame, model: Classifier, weights: Mapping[str, float]
     steps, ahead, reached = [], [], own  # ahead: the steps that the written rates lack
     for _ in range(most_steps):
         errors = [r - t for r, t in zip(reached, targets)]
-        # A domain without tokens can't be reached, and no document pulls towards it.
-        step = [e / o if o > 0 else 0.0 for e, o in zip(errors, own)]
+        # A domain that isn't expected to have one token can't be reached, and no document pulls towards it.
+        step = [e / o if o >= 1 else 0.0 for e, o in zip(errors, own)]
         if not total or max(map(abs, errors), default=0.0) <= tolerance * total:
             break
         if len(ahead) == STEPS_WRITTEN:

@@ -469,6 +469,10 @@ def test_mixing_of_sources_and_of_targets_out_of_reach(spark, sf_dir):
     known = mixing.posteriors(docs.where("domain = 'en'"), model)
     fitted = mixing.fit_rates(known, model, {"en": 0.0, "de": 1.0})
     assert fitted.short > 0.01
+    # A domain that the table isn't expected to have a token of pulls no document, however little posterior it has.
+    faint = known.limit(1).withColumn("_mix_p", F.array(F.lit(1e-16), F.lit(1.0)))
+    least = mixing.fit_rates(faint, model, {"en": 0.5, "de": 0.5})
+    assert model.domains == ["de", "en"] and least.short > 0.4 and all(s[0] == 0 for s in least.steps)
     assert mixing.fit_rates(mixing.posteriors(docs, model), model, {"en": 0.2, "de": 0.8}).short <= 1e-4
     with pytest.raises(RuntimeError):
         mixing.fit_rates(mixing.posteriors(docs, model), model, {"en": 0.2, "de": 0.8}, most_steps=1)
@@ -1045,7 +1049,7 @@ def test_sql(name, spark, sf_dir):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     found = con.sql(registry.ORACLE_SQL[name])
     columns = sorted(found.columns)
