@@ -148,17 +148,19 @@ def season_changes(now: DataFrame, before: DataFrame, key: str, columns: Sequenc
 
 def known_to(rows: DataFrame, entities: DataFrame, id_col: str = "id", least: int = 3) -> DataFrame:
     """(id_col, hit): the entity that a row (tel, host, nkey, pref) is, by phone, else by host, else by name: equal in its
-    prefecture, or one of `least` letters or more inside the other.  Names meet in blocks of a prefecture and a trigram."""
+    prefecture, or one of `least` letters or more inside the other.  Names meet in blocks of a prefecture and a trigram, each
+    name of a prefecture once, however many rows bear it."""
     asked = rows.select(F.col(id_col).alias("_id"), "tel", "host", "nkey", "pref")
     by = lambda c, n: asked.where(F.coalesce(c, F.lit("")) != "").join(entities.groupBy(c).agg(F.min("entity").alias("hit")), c).select("_id", F.lit(n).alias("_n"), "hit")
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - least + 1)), lambda i: F.substring(c, i, F.lit(least))))
-    names = entities.where(F.length("nkey") >= least).select("entity", F.col("nkey").alias("_name"), "pref")
-    whole = asked.where(F.length("nkey") >= least).select("_id", "nkey", "pref")
+    names = entities.where(F.length("nkey") >= least).groupBy(F.col("nkey").alias("_name"), "pref").agg(F.min("entity").alias("entity"))
+    whole = asked.where(F.length("nkey") >= least).select("nkey", "pref").distinct()
     # A shorter name lies inside a longer one only if its first letters are one of that one's grams.
     head = lambda c: F.substring(c, 1, least)
     inside = whole.withColumn("g", head(F.col("nkey"))).join(names.withColumn("g", F.explode(grams(F.col("_name")))), ["pref", "g"]).where(F.col("_name").contains(F.col("nkey")))
     around = whole.withColumn("g", F.explode(grams(F.col("nkey")))).join(names.withColumn("g", head(F.col("_name"))), ["pref", "g"]).where(F.col("nkey").contains(F.col("_name")))
-    similar = inside.select("_id", "entity").unionByName(around.select("_id", "entity")).groupBy("_id").agg(F.min("entity").alias("hit")).select("_id", F.lit(3).alias("_n"), "hit")
+    alike = inside.select("nkey", "pref", "entity").unionByName(around.select("nkey", "pref", "entity")).groupBy("nkey", "pref").agg(F.min("entity").alias("hit"))
+    similar = asked.join(alike, ["nkey", "pref"]).select("_id", F.lit(3).alias("_n"), "hit")
     hits = by("tel", 1).unionByName(by("host", 2)).unionByName(similar).groupBy("_id").agg(F.min_by("hit", "_n").alias("hit"))
     return asked.select("_id").join(hits, "_id", "left").select(F.col("_id").alias(id_col), "hit")
 
