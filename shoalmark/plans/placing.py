@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.places import dist_km, near
 from ..operators import ordered, spatial
+from ..operators.graph import spread
 from .registry import query
 from .tables import SQL_DIST, SQL_LAT, SQL_LON, SQL_PLACES, lat_of, lon_of, places, read
 
@@ -22,7 +23,7 @@ def self_join_three_valued(spark, d):
     """Pairs of one key and area with the three ways to take an unknown distance."""
     p = places(spark, d)
     a, b = p.select(F.col("id").alias("a"), "key", "pref", F.col("la").alias("la1"), F.col("lo").alias("lo1")), p.select(F.col("id").alias("b"), "key", "pref", F.col("la").alias("la2"), F.col("lo").alias("lo2"))
-    j = a.join(b, ["pref", "key"]).where("a < b")
+    j = spread(a, "pref", "key").join(spread(b, "pref", "key").hint("shuffle_hash"), ["pref", "key"]).where("a < b")
     dist = dist_km(F.col("la1"), F.col("lo1"), F.col("la2"), F.col("lo2"))
     return j.select("a", "b", near(dist, 900, True).alias("unless_far"), near(dist, 900, False).alias("if_near"), F.coalesce(dist > 900, F.lit(False)).alias("known_far"))
 
@@ -41,8 +42,7 @@ r AS (SELECT *, row_number() OVER w AS n, lead(d) OVER w AS second FROM k WINDOW
 )
 def nearest_with_ambiguity(spark, d):
     """The nearest port of each place within 120 km, and whether another is nearly as near."""
-    pairs = spatial.within_km(places(spark, d).withColumnRenamed("id", "lid"), _suppliers(spark, d), 120, size=1.0, latitude=46)
-    return spatial.nearest(pairs).select("lid", "rid", F.round("d", 3).alias("d"), "ambiguous")
+    return spatial.nearest_within_km(places(spark, d).withColumnRenamed("id", "lid"), _suppliers(spark, d), 120, size=1.0, latitude=46).select("lid", "rid", F.round("d", 3).alias("d"), "ambiguous")
 
 
 @query(
@@ -51,11 +51,7 @@ SELECT id, same, other, n FROM j"""
 )
 def grid_distance_flags(spark, d):
     """Whether places within 60 km are of the same or another area."""
-    p = places(spark, d)
-    pairs = spatial.within_km(p.withColumnRenamed("id", "lid"), p.withColumnRenamed("id", "rid"), 60, latitude=46).where("lid <> rid")
-    pref = p.select("id", "pref")
-    j = pairs.join(pref.select(F.col("id").alias("lid"), F.col("pref").alias("p1")), "lid").join(pref.select(F.col("id").alias("rid"), F.col("pref").alias("p2")), "rid")
-    return j.groupBy(F.col("lid").alias("id")).agg(F.bool_or(F.col("p1") == F.col("p2")).alias("same"), F.bool_or(F.col("p1") != F.col("p2")).alias("other"), F.count("*").alias("n"))
+    return spatial.areas_within_km(places(spark, d).withColumnRenamed("pref", "area"), 60, latitude=46)
 
 
 @query(
