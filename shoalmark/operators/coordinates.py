@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.places import cell, dist_km
 from ..functions.text import port_key
+from .graph import spread
 from .lookup import others_median
 from .survivorship import median_by_rank
 
@@ -147,13 +148,13 @@ def inland(places: DataFrame, coast: DataFrame | None) -> DataFrame:
 
 def nearest_in_box(places: DataFrame, ports: DataFrame, half: float = 0.1) -> DataFrame:
     """(rid, km): the distance of places (rid, la, lo) to the nearest of the ports (la, lo) in a box of so many degrees
-    either way; null without one.  They meet in cells of the box's half."""
-    p = places.select("rid", F.col("la").alias("a"), F.col("lo").alias("o"), cell(F.col("la"), half).alias("cy"), cell(F.col("lo"), half).alias("cx"))
+    either way; null without one.  Their positions, each once, meet in cells of the box's half."""
+    p = places.select(F.col("la").alias("a"), F.col("lo").alias("o")).distinct().select("a", "o", cell(F.col("a"), half).alias("cy"), cell(F.col("o"), half).alias("cx"))
     around = F.explode(F.array(*[F.struct((cell(F.col("la"), half) + y).alias("cy"), (cell(F.col("lo"), half) + x).alias("cx")) for y in (-1, 0, 1) for x in (-1, 0, 1)]))
-    q = ports.select("la", "lo", around.alias("at")).select("la", "lo", "at.cy", "at.cx")
-    met = p.join(q, ["cy", "cx"]).where((F.abs(F.col("la") - F.col("a")) < half) & (F.abs(F.col("lo") - F.col("o")) < half))
-    best = met.groupBy("rid").agg(F.min(dist_km(F.col("a"), F.col("o"), F.col("la"), F.col("lo"))).alias("km"))
-    return places.select("rid").join(best, "rid", "left").select("rid", "km")
+    q = ports.select("la", "lo").distinct().select("la", "lo", around.alias("at")).select("la", "lo", "at.cy", "at.cx")
+    met = spread(p, "cy", "cx").join(spread(q, "cy", "cx").hint("shuffle_hash"), ["cy", "cx"]).where((F.abs(F.col("la") - F.col("a")) < half) & (F.abs(F.col("lo") - F.col("o")) < half))
+    best = met.groupBy("a", "o").agg(F.min(dist_km(F.col("a"), F.col("o"), F.col("la"), F.col("lo"))).alias("km"))
+    return places.select("rid", F.col("la").alias("a"), F.col("lo").alias("o")).join(best, ["a", "o"], "left").select("rid", "km")
 
 
 def port_gazetteer(ports: DataFrame) -> DataFrame:
