@@ -1,7 +1,6 @@
 """What larger or odd tables showed, as small ones: queries against their SQL over written-out tables, and steps against all pairs."""
 
 import duckdb
-import pytest
 from pyspark.sql import functions as F
 
 from shoalmark.plans import registry
@@ -38,3 +37,31 @@ def test_words_end_at_letters_beyond_ascii(spark, tmp_path):
     pages = [(1, "<title>x</title>"), (3, "<title>eñble</title>"), (5, "<title>able</title>")]
     got = same_as_sql(spark, tmp_path, "site_health_classify", documents=(docs, "doc_id bigint, text string"), pages=(pages, "page_id bigint, html string"))
     assert dict(got) == {1: "thin", 2: "ok", 3: "thin", 4: "thin", 5: "ok", 6: "unreachable"}
+
+
+def test_agreeing_records_make_stars(spark):
+    """300 records of one name have eight edges each at most, not a pair with each other, and are connected by them."""
+    from shoalmark.operators.graph import components
+    from shoalmark.plans import scaling
+
+    rows = spark.createDataFrame([(i, 1, None if i == 7 else i % 3, i % 2) for i in range(300)], "id bigint, name bigint, city bigint, site bigint")
+    edges = scaling.agree(rows, rows).where("a <> b").distinct()
+    assert edges.count() <= 8 * 300
+    assert {r.root for r in components(edges).collect()} == {0}
+
+
+def test_positions_stand_for_their_rows(spark):
+    """Flags and the nearest of rows that share positions, against all pairs."""
+    from shoalmark.operators import spatial
+
+    rows = [(i, i % 3 if i % 5 else None, 30.0 + (i % 4) * 0.3, 130.0 + (i % 2) * 0.3) for i in range(40)] + [(90, 1, None, None), (91, 1, 20.0, 110.0)]
+    p = spark.createDataFrame(rows, "id bigint, area int, la double, lo double")
+    a, b = p.toDF("id", "area", "la1", "lo1"), p.toDF("other_id", "other_area", "la2", "lo2")
+    from shoalmark.functions.places import dist_km
+
+    pairs = a.join(b, F.col("id") != F.col("other_id")).where(dist_km(F.col("la1"), F.col("lo1"), F.col("la2"), F.col("lo2")) <= 60)
+    want = pairs.groupBy("id").agg(F.bool_or(F.col("area") == F.col("other_area")).alias("same"), F.bool_or(F.col("area") != F.col("other_area")).alias("other"), F.count("*").alias("n"))
+    assert sorted(map(tuple, spatial.areas_within_km(p, 60).collect())) == sorted(map(tuple, want.collect()))
+    left, right = p.select(F.col("id").alias("lid"), "la", "lo"), p.where("id % 7 < 3").select(F.col("id").alias("rid"), "la", "lo")
+    want = spatial.nearest(spatial.within_km(left, right, 60))
+    assert sorted(map(tuple, spatial.nearest_within_km(left, right, 60).collect())) == sorted(map(tuple, want.collect()))
