@@ -65,3 +65,33 @@ def test_positions_stand_for_their_rows(spark):
     left, right = p.select(F.col("id").alias("lid"), "la", "lo"), p.where("id % 7 < 3").select(F.col("id").alias("rid"), "la", "lo")
     want = spatial.nearest(spatial.within_km(left, right, 60))
     assert sorted(map(tuple, spatial.nearest_within_km(left, right, 60).collect())) == sorted(map(tuple, want.collect()))
+
+
+RECORD = "idx bigint, src string, src_id string, nkey string, pref string, city string, pkey string, tel string, ukey string, page string, geo string, lat double, lon double, bare boolean"
+
+
+def test_linking_pairs_give_the_clusters_of_all_pairs(spark):
+    """Crowded and small blocks with copies, refusals and unknown fields: fewer pairs, all of them proposed, and the clusters of a
+    pass over all pairs."""
+    import random
+
+    from shoalmark.operators import resolve
+
+    rng, pick, rows = random.Random(11), lambda *xs: rng.choice(xs), []
+    for i in range(260):
+        rows.append((i * 3 % 260, pick("a", "b", "registry", "reserver", None), str(i), pick("海丸", "大海丸", "皇", "北丸", f"n{i % 9}"), pick("1", "2", "", None), pick("", "x"), pick("", "p"), pick("", "", f"03{i % 7}"), pick("", "", f"s{i % 8}"), pick("", "", f"g{i % 8}"), pick("site", "town", "port", None), pick(None, 35.0, 35.01, 35.02, 39.0), 140.0, pick(True, False)))
+    r = spark.createDataFrame(rows, RECORD)
+    every, some = resolve.candidates(r), resolve.linking(r).distinct()
+    assert not some.exceptAll(every.distinct()).count() and some.count() < every.count()
+    e = [tuple(x) for x in every.select("rule", "key_first", "a", "b", "strength").collect()]
+    want = resolve.replay(e, {x[0]: None if x[1] == "registry" else x[1] for x in rows}, {x[0]: x[3] for x in rows})
+    assert {x.idx: x.cluster for x in resolve.cluster(r, some).collect()} == want
+
+
+def test_a_crowded_name_is_linked_by_few_pairs(spark):
+    from shoalmark.operators import resolve
+
+    rows = [(i, f"s{i % 3}", str(i), "海丸", str(i % 4), "", "p", "", "", "", "port", 35.0, 140.0, False) for i in range(400)]
+    edges = resolve.linking(spark.createDataFrame(rows, RECORD))
+    assert edges.count() <= 4 * len(rows)
+    assert {x.cluster for x in resolve.cluster(spark.createDataFrame(rows, RECORD), edges).collect()} == {0}
