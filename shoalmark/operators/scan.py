@@ -52,10 +52,19 @@ def before(value: Column) -> Carry:
 
 
 def _blocks(rows: DataFrame, keys: Sequence[str], order: Sequence[str], block_rows: int) -> DataFrame:
-    """rows with _block, the number of their range of (keys, order), as a table, so that the ranges stay as they are."""
+    """rows with _block, the number of their range of (keys, order), as a table, so that the ranges stay as they are.
+
+    A task sorts a range of BLOCK_ROWS or so and cuts it into blocks of block_rows: small blocks make no more tasks, nor
+    more bounds for the driver to sample.
+    """
     kept = written(rows)
-    n = max(1, -(-kept.count() // block_rows))
-    return written(kept.repartitionByRange(n, *keys, *order).withColumn("_block", F.spark_partition_id()))
+    count = kept.count()
+    tasks = min(-(-count // block_rows), max(kept.sparkSession.sparkContext.defaultParallelism, -(-count // BLOCK_ROWS)))
+    ranges = kept.repartitionByRange(max(1, tasks), *keys, *order).sortWithinPartitions(*keys, *order)
+    # The upper bits of the id are the range, the lower ones the row's place in it.
+    at = F.monotonically_increasing_id()
+    place = at.bitwiseAND(F.lit((1 << 33) - 1))
+    return written(ranges.withColumn("_block", at - place + F.floor(place / block_rows)))
 
 
 def _on(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
@@ -73,14 +82,16 @@ def carried(rows: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
     values = {f"_v{i}": c for i, c in enumerate(columns.values())}
     held = _blocks(rows.withColumns({v: c.value for v, c in values.items()}), keys, order, block_rows)
     w = Window.partitionBy("_block", *keys).orderBy(*order)
-    up, down = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    up = w.rowsBetween(Window.unboundedPreceding, 0)
+    # From the end: Spark goes through all rows to come again for each row of a frame that ends there.
+    down = Window.partitionBy("_block", *keys).orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     place = F.struct(*order)
     local, sums = {}, []
     for v, c in values.items():
         if c.kind == "forward":
             local[v + "l"], handed = F.last(v, ignorenulls=True).over(up), F.max_by(v, F.when(F.col(v).isNotNull(), place))
         elif c.kind == "back":
-            local[v + "l"], handed = F.first(v, ignorenulls=True).over(down), F.min_by(v, F.when(F.col(v).isNotNull(), place))
+            local[v + "l"], handed = F.last(v, ignorenulls=True).over(down), F.min_by(v, F.when(F.col(v).isNotNull(), place))
         elif c.kind == "total":
             local[v + "l"], handed = F.sum(v).over(up), F.sum(v)
         else:

@@ -80,3 +80,12 @@ def test_empty(spark):
     df = spark.createDataFrame([], "g string, n int")
     assert scan.carried(df, ["g"], ["n"], {"x": scan.total(F.lit(1))}).collect() == []
     assert scan.run_machine(df, ["g"], ["n"], F.lit("x"), MACHINE).collect() == []
+
+
+def test_small_blocks_share_tasks(spark):
+    """10,000 rows in blocks of 5: no more ranges than the session has cores, and blocks that ascend with the rows."""
+    df = spark.range(10_000).select((F.col("id") % 2).alias("g"), F.col("id").alias("n"))
+    held = scan._blocks(df, ["g"], ["n"], 5)
+    bounds = [tuple(r) for r in held.groupBy("_block").agg(F.min(F.struct("g", "n")).alias("a"), F.max(F.struct("g", "n")).alias("b"), F.count("*").alias("k")).orderBy("_block").select("a", "b", "k").collect()]
+    assert all(k <= 5 for _, _, k in bounds) and all(x[1] < y[0] for x, y in zip(bounds, bounds[1:]))
+    assert len({r._block >> 33 for r in held.select("_block").distinct().collect()}) <= spark.sparkContext.defaultParallelism
