@@ -61,8 +61,13 @@ def before_amount(text: Column, price: Column, size: int = 18) -> Column:
 
 def with_fare_words(rows: DataFrame, name: Column, text: Column, price: Column) -> DataFrame:
     """rows with `_before` (what stands before the amount) and `_label` (the name without white space), found once for each row:
-    the rule below reads them several times."""
-    return rows.withColumn("_before", before_amount(text, price)).withColumn("_label", F.regexp_replace(F.coalesce(name, F.lit("")), r"\s+", ""))
+    the rule below reads them several times.
+
+    A filter by the rule would find them again at each place that reads them; it doesn't go through the explode of one element.
+    """
+    found = rows.withColumn("_before", before_amount(text, price)).withColumn("_label", F.regexp_replace(F.coalesce(name, F.lit("")), r"\s+", ""))
+    once = found.select(*[F.col(f"`{c}`") for c in found.columns if c not in ("_before", "_label")], F.explode(F.array(F.struct("_before", "_label"))).alias("_words"))
+    return once.withColumn("_before", F.col("_words._before")).withColumn("_label", F.col("_words._label")).drop("_words")
 
 
 def junk_offer(name: Column, text: Column, price: Column, kind: Column, ferry: Column, words: bool = False) -> Column:

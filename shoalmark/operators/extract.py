@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..dims import KINDS
 from ..functions import offers as f
 from ..functions.text import kinds_of, nfkc
 from ..functions.times import TIME, assigned
 from .classify import generic_label, header_line, plain_label
-from .graph import checkpoint_dir
+from .graph import checkpoint_dir, written
 from .ordered import back_fill, forward_fill, islands, over, section
 
 
@@ -22,21 +24,36 @@ def offers(lines: DataFrame, doc: str, ln: str, line: str) -> DataFrame:
     A line that names a kind and no amount is a heading for those below it; a time range gives departure and return; an
     amount that isn't a fare, or has no place for one, is left out.
     """
-    t = F.col(line)
-    prices = f.amounts(t)
-    own = F.get(kinds_of(t), F.lit(0))
-    rows = lines.withColumn("_price", F.get(prices, F.lit(0))).withColumn("_own", own)
+    rows = lines.join(_read_once(lines, line), F.col(line) == F.col("_line"), "left")
     heading = F.when(F.col("_price").isNull(), F.col("_own"))
     rows = rows.withColumn("kind", F.coalesce("_own", forward_fill(heading, over([doc], [ln])))).where(F.col("_price").between(300, 600000))
+    kind = F.coalesce("kind", F.lit(""))
+    junk = reduce(lambda x, y: x | y, [(kind == k) & (F.col("_junk").bitwiseAND(F.lit(1 << i)) != 0) for i, k in enumerate(_KINDS)])
+    of_kind = f.price_unit(F.col("kind"), F.lit(""))
+    return rows.where(~junk).select(doc, ln, "kind", F.col("_name").alias("name"), F.col("_fare").alias("price"), F.when(of_kind != "", of_kind).otherwise(F.col("_unit")).alias("unit"), F.col("_depart").alias("depart"), F.col("_back").alias("return_at"))
+
+
+#: The kinds that a line can be under, and none.
+_KINDS = (*dict.fromkeys(k for _, k in KINDS), "")
+
+
+def _read_once(lines: DataFrame, line: str) -> DataFrame:
+    """What each distinct line says by itself, as a table: lines that stand in many documents are read once.
+
+    _junk has a bit for each kind under which its amount is no fare; _unit is what the line says where the kind doesn't.
+    """
+    t = F.col("_line")
     clock = r"(\d{1,2}[:：時]\d{0,2})"
     span = F.regexp_extract(t, clock + r"\s*[~〜～-]\s*" + clock, 2)
     name = F.trim(F.regexp_replace(F.regexp_extract(t, r"^([^\d¥￥]*)", 1), r"^[◆●■・\s]+", ""))
-    out = rows.select(
-        F.col(doc), F.col(ln), "kind", name.alias("name"), F.col("_price").cast("int").alias("price"), f.price_unit(F.col("kind"), t).alias("unit"), f.clock(t).alias("depart"), f.clock(span).alias("return_at"), t.alias("_line")
-    )
-    out = f.with_fare_words(out, F.col("name"), F.col("_line"), F.col("price"))
-    junk = f.junk_offer(F.col("name"), F.col("_line"), F.col("price"), F.col("kind"), F.lit(False), words=True)
-    return out.where(~junk).drop("_line", "_before", "_label")
+    rows = lines.select(F.col(line).alias("_line")).where(t.isNotNull()).distinct().withColumn("_price", F.get(f.amounts(t), F.lit(0)))
+    fare = F.when(F.col("_price").between(300, 600000), F.col("_price")).cast("int")
+    rows = rows.select(
+        "_line", "_price", F.get(kinds_of(t), F.lit(0)).alias("_own"), name.alias("_name"), fare.alias("_fare"), f.price_unit(F.lit(None).cast("string"), t).alias("_unit"), f.clock(t).alias("_depart"), f.clock(span).alias("_back")
+    )
+    rows = f.with_fare_words(rows, F.col("_name"), t, F.col("_fare"))
+    junk = [F.when(f.junk_offer(F.col("_name"), t, F.col("_fare"), F.lit(k), F.lit(False), words=True), 1 << i).otherwise(0) for i, k in enumerate(_KINDS)]
+    return written(rows.withColumn("_junk", F.when(F.col("_fare").isNotNull(), reduce(lambda x, y: x + y, junk))).drop("_before", "_label"))
 
 
 # How amounts are written, what isn't one, and what belongs to one behind it.

@@ -95,3 +95,15 @@ def test_a_crowded_name_is_linked_by_few_pairs(spark):
     edges = resolve.linking(spark.createDataFrame(rows, RECORD))
     assert edges.count() <= 4 * len(rows)
     assert {x.cluster for x in resolve.cluster(spark.createDataFrame(rows, RECORD), edges).collect()} == {0}
+
+
+def test_repeated_lines_are_read_once(spark):
+    """Lines of many documents are read as one row each; the kind that a document gives them still decides."""
+    from shoalmark.operators import extract
+
+    texts = ["◆渡船", "大人 1,000円", "◆仕立船", None, "大人 1,000円", "1隻 50,000円", "竿レンタル 2,000円"]
+    lines = spark.createDataFrame([(d, n, t) for d in range(40) for n, t in enumerate(texts)] + [(99, 0, "大人 1,000円"), (99, 1, "1名 9,000円")], "doc int, ln int, line string")
+    assert extract._read_once(lines, "line").count() == len({t for t in texts if t} | {"1名 9,000円"})
+    got = {(r.doc, r.ln, r.kind, r.price, r.unit) for r in extract.offers(lines, "doc", "ln", "line").collect()}
+    want = {(d, *x) for d in range(40) for x in [(1, "渡船", 1000, ""), (5, "仕立", 50000, "boat")]} | {(99, 1, None, 9000, "person")}
+    assert got == want
