@@ -28,6 +28,18 @@ def test_grams(spark):
     assert [r.g for r in df.select(grams.grams(F.col("t")).alias("g")).collect()] == [[], [], ["abc", "bca", "cab"], ["a😀漢", "😀漢é"], None]
 
 
+def test_numbers_stand_for_grams(spark, corpus):
+    """Each text has the numbers of its distinct grams once, those of 8 characters by a hash; names only those of one size."""
+    t, n = frames(spark, corpus)
+    sizes = [1, 2, 3, 8]
+    of = lambda text, ks: {grams.number_of(text[i : i + k]) for k in ks for i in range(len(text) - k + 1)}
+    got = sorted(map(tuple, grams.numbered(t, sizes).collect()))
+    assert got == sorted((i, g) for i, text in corpus[0] for g in of(text or "", sizes))
+    named = n.where("name <> ''").distinct().select(F.col("name").alias("id"), F.col("name").alias("text"))
+    want = {(x, g) for x in corpus[1] if x for g in of(x, [max(k for k in sizes if k <= len(x))])}
+    assert {tuple(r) for r in grams.numbered(named, sizes, of_length=True).collect()} == want
+
+
 def test_names_in_texts(spark, corpus):
     t, n = frames(spark, corpus)
     texts, names = corpus
