@@ -64,14 +64,14 @@ def merged_in_rounds(nodes: DataFrame, edges: DataFrame, prefix: int = 10_000, m
 
     src null: no source that could repeat.  The tables are written each round.
     """
-    label = written(nodes.select("node", F.col("node").alias("c")))
+    moved: list[DataFrame] = []
     sources = written(nodes.where("src IS NOT NULL").select(F.col("node").alias("c"), F.col("src").alias("v")))
     names = written(nodes.select(F.col("node").alias("c"), F.col("nkey").alias("v")).where("v IS NOT NULL"))
     pending = written(edges.select(F.struct(*ORDER).alias("o"), F.col("a").alias("x"), F.col("b").alias("y"), "strength").distinct().where("x <> y"))
     left = pending.count()
     for _ in range(most_rounds):
         if not left:
-            return label.select("node", F.col("c").alias("cluster"))
+            return _moved(nodes.select("node", F.col("node").alias("cluster")), _composed(moved), "cluster") if moved else nodes.select("node", F.col("node").alias("cluster"))
         earliest = pending.select(F.col("x").alias("c"), "o").unionByName(pending.select(F.col("y").alias("c"), "o")).groupBy("c").agg(F.min("o").alias("o"))
         # Named by both sides: the order names its edge, so an edge that two clusters name stands twice.
         mutual = earliest.groupBy("o").agg(F.count(F.lit(1)).alias("n")).where("n = 2").select("o")
@@ -83,24 +83,39 @@ def merged_in_rounds(nodes: DataFrame, edges: DataFrame, prefix: int = 10_000, m
         agreed = told.where(F.col("clash").isNull() | (F.col("strength") == FORCED) | ((F.col("strength") == STRONG) & F.col("alike").isNotNull()))
         moves = written(agreed.select(F.greatest("x", "y").alias("old"), F.least("x", "y").alias("new")))
         rest = pending.join(chosen.select("o"), "o", "left_anti")
-        label, sources, names, pending, now = _carried(label, sources, names, rest, moves)
+        moved.append(moves)
+        sources, names, pending, now = _carried(sources, names, rest, moves)
         if left - now < left // 16 and now:
             first = written(pending.orderBy("o").limit(prefix))
             moves = written(_prefix_moves(first, sources, names))
-            label, sources, names, pending, now = _carried(label, sources, names, pending.join(first.select("o"), "o", "left_anti"), moves)
+            moved.append(moves)
+            sources, names, pending, now = _carried(sources, names, pending.join(first.select("o"), "o", "left_anti"), moves)
         left = now
     raise RuntimeError(f"clusters did not settle in {most_rounds} rounds")
 
 
-def _carried(label: DataFrame, sources: DataFrame, names: DataFrame, pending: DataFrame, moves: DataFrame) -> tuple:
-    """The tables after the moves, and how many edges are pending: those inside a cluster go, as do weak ones that clash."""
-    label = written(_moved(label, moves))
-    sources, names = (written(_moved(t, moves).distinct()) for t in (sources, names))
-    pending = _moved(_moved(pending, moves, "x"), moves, "y").where("x <> y").select("o", "x", "y", "strength")
+def _composed(moved: list[DataFrame]) -> DataFrame:
+    """(old, new) of all rounds' moves, each cluster to the one that it ends in: from the last round back, so that a round's
+    moves meet those that come later only.  A cluster moves once."""
+    out = moved[-1]
+    for moves in reversed(moved[:-1]):
+        out = written(_moved(moves, out, "new").unionByName(out))
+    return out
+
+
+def _carried(sources: DataFrame, names: DataFrame, pending: DataFrame, moves: DataFrame) -> tuple:
+    """The tables after the moves, and how many edges are pending: those inside a cluster go, as do weak ones that clash.
+
+    Of sources and names only those of clusters with a pending edge are kept: no one asks for the others any more.
+    """
+    pending = written(_moved(_moved(pending, moves, "x"), moves, "y").where("x <> y").select("o", "x", "y", "strength"))
+    ends = lambda of: of.select(F.explode(F.array("x", "y")).alias("c")).distinct()
+    live = ends(pending)
+    sources, names = (written(_moved(t, moves).join(live, "c", "left_semi").distinct()) for t in (sources, names))
     weak = pending.where(F.col("strength") == WEAK)
     clash = weak.join(sources.select(F.col("c").alias("x"), "v"), "x").join(sources.select(F.col("c").alias("y"), "v"), ["y", "v"]).select("o").distinct()
     pending = written(pending.join(clash, "o", "left_anti"))
-    return label, sources, names, pending, pending.count()
+    return sources, names, pending, pending.count()
 
 
 def _prefix_moves(first: DataFrame, sources: DataFrame, names: DataFrame) -> DataFrame:

@@ -107,3 +107,16 @@ def test_repeated_lines_are_read_once(spark):
     got = {(r.doc, r.ln, r.kind, r.price, r.unit) for r in extract.offers(lines, "doc", "ln", "line").collect()}
     want = {(d, *x) for d in range(40) for x in [(1, "渡船", 1000, ""), (5, "仕立", 50000, "boat")]} | {(99, 1, None, 9000, "person")}
     assert got == want
+
+
+def test_settled_clusters_leave_the_rounds(spark):
+    """Sources and names of clusters without a pending edge aren't carried on, and moves of later rounds reach earlier ones."""
+    from shoalmark.operators import constrained as k
+
+    rows = spark.createDataFrame([(i, f"s{i}") for i in range(6)], "c bigint, v string")
+    edges = spark.createDataFrame([((1, 0, 0, 2, 1), 0, 2, 1)], "o struct<rule: int, key_first: bigint, a: bigint, b: bigint, strength: int>, x bigint, y bigint, strength int")
+    first = spark.createDataFrame([(1, 0), (3, 2), (5, 4)], "old bigint, new bigint")
+    sources, _, _, left = k._carried(rows, rows, edges, first)
+    assert left == 1 and {tuple(r) for r in sources.collect()} == {(0, "s0"), (0, "s1"), (2, "s2"), (2, "s3")}
+    later = spark.createDataFrame([(2, 0)], "old bigint, new bigint")
+    assert {tuple(r) for r in k._composed([first, later]).collect()} == {(1, 0), (2, 0), (3, 0), (5, 4)}
