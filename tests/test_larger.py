@@ -120,3 +120,22 @@ def test_settled_clusters_leave_the_rounds(spark):
     assert left == 1 and {tuple(r) for r in sources.collect()} == {(0, "s0"), (0, "s1"), (2, "s2"), (2, "s3")}
     later = spark.createDataFrame([(2, 0)], "old bigint, new bigint")
     assert {tuple(r) for r in k._composed([first, later]).select("old", "new").collect()} == {(1, 0), (2, 0), (3, 0), (5, 4)}
+
+
+def test_no_pair_of_candidates_is_shuffled(spark, monkeypatch):
+    """Classes of several rows and blocks of several tasks give each pair once, and no join stands below an exchange."""
+    from shoalmark.operators import resolve
+
+    rows = [(i, f"s{i % 3}", str(i), "海丸", "1", "", "p", "03" if i % 2 else "", "", "", "port", 35.0, 140.0, False) for i in range(120)]
+    r = spark.createDataFrame(rows, RECORD)
+    monkeypatch.setattr(resolve, "TOGETHER", 9, raising=False)
+    monkeypatch.setattr(resolve, "SHARE", 25, raising=False)
+    found = resolve.candidates(r)
+    pairs = [(x.a, x.b) for x in found.where("rule = 5").collect()]
+    assert sorted(pairs) == [(a, b) for a in range(120) for b in range(a + 1, 120)]
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    for i, line in enumerate(lines):
+        if "Exchange" in line:
+            below = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            assert not any("Join" in x for x in lines[i + 1 : below]), line
